@@ -1,0 +1,24 @@
+"""Broadcast only with a known bound.
+
+``broadcast_bounded`` is used for tables whose row count is bounded by a
+parameter of the plan (a one-row aggregate, the range table of a global rank,
+the calendar of a date span), never by the data.  Everything else is left to
+Spark's own size check (``spark.sql.autoBroadcastJoinThreshold``) and to AQE,
+which re-plans joins from the real sizes and falls back to a shuffled join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest row bound accepted for a forced broadcast.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_bounded(df: DataFrame, row_bound: int) -> DataFrame:
+    """Hint a broadcast for a table whose size is bounded by ``row_bound``;
+    above the limit the table is joined the ordinary way."""
+    if row_bound <= MAX_BROADCAST_ROWS:
+        return F.broadcast(df)
+    return df
