@@ -35,7 +35,7 @@ def parse_source_date(c: str | Column) -> Column:
 
 def try_parse_source_date(c: str | Column) -> Column:
     """E1 lenient: NULL where the text is not a real date (for quarantine)."""
-    return F.try_to_date(col(c), F.lit(SOURCE_DATE_FORMAT))
+    return F.try_to_date(col(c), SOURCE_DATE_FORMAT)
 
 
 def month_key(d: str | Column) -> Column:

@@ -8,15 +8,18 @@ values present in the test data (regions, month, tag, profile key).
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwell.functions import routines
-from martwell.operators import lookups, ranking, reports
+from martwell.operators import lookups, normalize, quality, ranking, reports
 from martwell.plans.render import for_compare
-from martwell.sources.testdata import bind_model
+from martwell.session import new_scratch_dir
+from martwell.sources.ingest import read_staging_csv, write_staging_csv
+from martwell.sources.testdata import bind_model, read_raw, staging_frame
 
 # Report parameters used by the registered queries.
 REGION = "ASIA"
@@ -208,3 +211,132 @@ def q_profile_lookup(spark, sf_dir):
 def q_tag_lookup(spark, sf_dir):
     """X2, E12, E13."""
     return lookups.products_with_tag(bind_model(spark, sf_dir).product_tags, TAG)
+
+
+# ---- ingest and normalise ------------------------------------------------------------
+
+# Declared yearly ranges of the partitioned order table, moved
+# onto the years of the test data (half-open [lo, hi)).
+YEAR_RANGES = [
+    ("1995", date(1995, 1, 1), date(1996, 1, 1)),
+    ("1996", date(1996, 1, 1), date(1997, 1, 1)),
+    ("1997", date(1997, 1, 1), date(1998, 1, 1)),
+]
+
+
+def _staging(spark, sf_dir):
+    return staging_frame(bind_model(spark, sf_dir))
+
+
+@register("staging_from_csv")
+def q_staging_from_csv(spark, sf_dir):
+    """Flat staging rows written as CSV in the source dialect, then loaded
+    back by position with the staging schema."""
+    path = write_staging_csv(_staging(spark, sf_dir), new_scratch_dir(spark, "staging-csv"))
+    return read_staging_csv(spark, path)
+
+
+@register("dim_region")
+def q_dim_region(spark, sf_dir):
+    """P1, A11."""
+    return normalize.dim_regions(_staging(spark, sf_dir))
+
+
+@register("dim_customer")
+def q_dim_customer(spark, sf_dir):
+    """P2."""
+    return normalize.dim_customers(_staging(spark, sf_dir))
+
+
+@register("dim_product")
+def q_dim_product(spark, sf_dir):
+    """P3."""
+    return normalize.dim_products(_staging(spark, sf_dir))
+
+
+@register("fact_orders")
+def q_fact_orders(spark, sf_dir):
+    """P4, E1."""
+    return normalize.fact_orders(_staging(spark, sf_dir))
+
+
+@register("fact_items")
+def q_fact_items(spark, sf_dir):
+    """P5."""
+    return normalize.fact_items(_staging(spark, sf_dir))
+
+
+# ---- checks ---------------------------------------------------------------------------
+
+
+def _pk_all(spark, sf_dir):
+    m = bind_model(spark, sf_dir)
+    li = read_raw(spark, sf_dir, "lineitem")
+    return quality.model_pk_violations(m).unionByName(
+        quality.pk_violations(li, ["l_orderkey", "l_linenumber"], "lineitem")
+    )
+
+
+def _range(spark, sf_dir):
+    m = bind_model(spark, sf_dir)
+    return quality.range_violations(m.orders, "order_date", "order_id", YEAR_RANGES, "orders")
+
+
+def _amount(spark, sf_dir):
+    return quality.amount_violations(_staging(spark, sf_dir), "sales", "row_id", "staging")
+
+
+def _date_text(spark, sf_dir):
+    return quality.date_text_violations(_staging(spark, sf_dir), ["order_date", "ship_date"], "row_id", "staging")
+
+
+@register("pk_violations")
+def q_pk_violations(spark, sf_dir):
+    """Q1 over the model keys and the source line key (order, line number)."""
+    return _pk_all(spark, sf_dir)
+
+
+@register("fk_violations")
+def q_fk_violations(spark, sf_dir):
+    """Q2 over the model's foreign keys."""
+    return quality.model_fk_violations(bind_model(spark, sf_dir))
+
+
+@register("length_violations")
+def q_length_violations(spark, sf_dir):
+    """Q3 over the model's declared text limits."""
+    return quality.model_length_violations(bind_model(spark, sf_dir))
+
+
+@register("range_violations")
+def q_range_violations(spark, sf_dir):
+    """Q4: orders outside the declared yearly ranges."""
+    return _range(spark, sf_dir)
+
+
+@register("amount_violations")
+def q_amount_violations(spark, sf_dir):
+    """Q5 on staging amounts."""
+    return _amount(spark, sf_dir)
+
+
+@register("date_text_violations")
+def q_date_text_violations(spark, sf_dir):
+    """Q6 on staging date text."""
+    return _date_text(spark, sf_dir)
+
+
+@register("check_summary")
+def q_check_summary(spark, sf_dir):
+    """Q1-Q6 violation counts, one row per check."""
+    m = bind_model(spark, sf_dir)
+    return quality.check_summary(
+        {
+            "pk": _pk_all(spark, sf_dir),
+            "fk": quality.model_fk_violations(m),
+            "length": quality.model_length_violations(m),
+            "range": _range(spark, sf_dir),
+            "amount": _amount(spark, sf_dir),
+            "date_text": _date_text(spark, sf_dir),
+        }
+    )

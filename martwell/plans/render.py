@@ -1,8 +1,8 @@
 """Presentation of results for comparison with other engines.
 
-Dates become ISO text (``yyyy-MM-dd``) and string arrays become ``|``-joined
-text, so a result hashes the same whatever client library turns it into rows.
-Values are not changed otherwise.
+Dates become ISO text (``yyyy-MM-dd``), string arrays become ``|``-joined
+text and exact decimals become double, so a result hashes the same whatever
+client library turns it into rows.  Values are not changed otherwise.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ def for_compare(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
         elif isinstance(f.dataType, T.ArrayType):
             c = F.concat_ws("|", c)
         cols.append(c.alias(f.name))
