@@ -7,6 +7,7 @@ values present in the test data (regions, month, tag, profile key).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
@@ -15,11 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwell.functions import routines
-from martwell.operators import lookups, normalize, quality, ranking, reports
+from martwell.operators import audit, lookups, maintenance, normalize, quality, ranking, reports
 from martwell.plans.render import for_compare
 from martwell.session import new_scratch_dir
+from martwell.sources import storage
 from martwell.sources.ingest import read_staging_csv, write_staging_csv
 from martwell.sources.testdata import bind_model, read_raw, staging_frame
+from martwell.streaming import triggers
 
 # Report parameters used by the registered queries.
 REGION = "ASIA"
@@ -340,3 +343,254 @@ def q_check_summary(spark, sf_dir):
             "date_text": _date_text(spark, sf_dir),
         }
     )
+
+
+# ---- maintenance and audit --------------------------------------------------------------
+
+# Change parameters used by the registered maintenance queries.
+OLD_MODE, NEW_MODE = "5-LOW", "1-URGENT"
+OLD_SEGMENT, NEW_SEGMENT = "BUILDING", "CONSTRUCTION"
+LINE_ROW_ID, LINE_AMOUNT = 1001, Decimal("50")
+ERASE_IDS = [1, 2, 3, -1]
+FORCED_ORDER, FORCED_SHIP_DATE = 10, date(2010, 1, 1)
+BUCKETS = 8
+
+
+def _erase_ids(spark):
+    return spark.createDataFrame([(i,) for i in ERASE_IDS], "customer_id long")
+
+
+def _raise_changes(spark, sf_dir):
+    return maintenance.increase_sales(bind_model(spark, sf_dir).order_items, RAISE_PERCENT)
+
+
+@register("ship_mode_updated")
+def q_ship_mode_updated(spark, sf_dir):
+    """M1 set form + T2 on the written rows: every low-priority order moves to
+    the urgent mode."""
+    m = bind_model(spark, sf_dir)
+    updates = m.orders.where(F.col("ship_mode") == OLD_MODE).select("order_id", F.lit(NEW_MODE).alias("new_mode"))
+    return maintenance.update_ship_mode(m.orders, updates)
+
+
+@register("sales_increased")
+def q_sales_increased(spark, sf_dir):
+    """M2: all amounts raised by 5 %, rounded to 2 places."""
+    return maintenance.new_version(_raise_changes(spark, sf_dir))
+
+
+@register("sales_increase_audit")
+def q_sales_increase_audit(spark, sf_dir):
+    """T1 on M2: one row per amount that really changed."""
+    return audit.audit_rows(_raise_changes(spark, sf_dir))
+
+
+@register("single_line_add")
+def q_single_line_add(spark, sf_dir):
+    """M5: add an amount to one line."""
+    items = bind_model(spark, sf_dir).order_items
+    return maintenance.new_version(maintenance.add_to_line(items, LINE_ROW_ID, LINE_AMOUNT))
+
+
+@register("single_line_audit")
+def q_single_line_audit(spark, sf_dir):
+    """T1 on M5."""
+    items = bind_model(spark, sf_dir).order_items
+    return audit.audit_rows(maintenance.add_to_line(items, LINE_ROW_ID, LINE_AMOUNT))
+
+
+@register("segment_renamed")
+def q_segment_renamed(spark, sf_dir):
+    """M3."""
+    return maintenance.rename_segment(bind_model(spark, sf_dir).customers, OLD_SEGMENT, NEW_SEGMENT)
+
+
+def _erased(spark, sf_dir):
+    return maintenance.erase_customers(bind_model(spark, sf_dir), _erase_ids(spark))
+
+
+@register("customer_erased_items")
+def q_customer_erased_items(spark, sf_dir):
+    """Lines left after erasing several customers in one job."""
+    return _erased(spark, sf_dir).order_items
+
+
+@register("customer_erased_orders")
+def q_customer_erased_orders(spark, sf_dir):
+    """M4: orders left."""
+    return _erased(spark, sf_dir).orders
+
+
+@register("customer_erased_profiles")
+def q_customer_erased_profiles(spark, sf_dir):
+    """M4: profiles left."""
+    return _erased(spark, sf_dir).customer_profiles
+
+
+@register("customer_erased_customers")
+def q_customer_erased_customers(spark, sf_dir):
+    """M4: customers left."""
+    return _erased(spark, sf_dir).customers
+
+
+@register("ship_dates_repaired")
+def q_ship_dates_repaired(spark, sf_dir):
+    """T2 on every order row as written (batch twin of T4)."""
+    o = audit.repair_ship_dates(bind_model(spark, sf_dir).orders)
+    return o.select("order_id", "order_date", "ship_date")
+
+
+@register("ship_date_forced")
+def q_ship_date_forced(spark, sf_dir):
+    """M6 + T2 + P7: force one order's ship date into the past and read it back."""
+    o = maintenance.set_ship_date(bind_model(spark, sf_dir).orders, FORCED_ORDER, F.lit(FORCED_SHIP_DATE))
+    return reports.order_lookup(bind_model(spark, sf_dir).replace(orders=o), FORCED_ORDER)
+
+
+def _numbered_audit(spark, sf_dir):
+    a = audit.audit_rows(_raise_changes(spark, sf_dir))
+    return audit.number_audit_rows(a, 0).drop("changed_at")
+
+
+@register("audit_numbered")
+def q_audit_numbered(spark, sf_dir):
+    """M7 + M8: audit rows of M2 with generated ids (no single-partition sort)."""
+    return _numbered_audit(spark, sf_dir)
+
+
+@register("audit_tail")
+def q_audit_tail(spark, sf_dir):
+    """O3: the last 5 audit rows by id."""
+    return _numbered_audit(spark, sf_dir).orderBy(F.col("audit_id").desc()).limit(5)
+
+
+# ---- layouts, versions, snapshots --------------------------------------------------------
+
+
+@register("partitioned_orders_counts")
+def q_partitioned_orders_counts(spark, sf_dir):
+    """Orders written by year range, read back, counted per folder."""
+    path, _ = storage.write_year_partitioned(
+        bind_model(spark, sf_dir).orders, new_scratch_dir(spark, "orders-by-year"), YEAR_RANGES
+    )
+    return storage.read_years(spark, path).groupBy("order_year").agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+@register("partition_pruned_orders")
+def q_partition_pruned_orders(spark, sf_dir):
+    """S7 read with a partition filter (only the 1997 folder is listed)."""
+    path, _ = storage.write_year_partitioned(
+        bind_model(spark, sf_dir).orders, new_scratch_dir(spark, "orders-by-year"), YEAR_RANGES
+    )
+    return storage.read_years(spark, path, ["1997"]).select("order_id", "order_date", "order_year")
+
+
+@register("bucketed_join_revenue")
+def q_bucketed_join_revenue(spark, sf_dir):
+    """Both facts bucketed by order_id; the join needs no shuffle.
+    Orders and revenue per ship mode."""
+    m = bind_model(spark, sf_dir)
+    tag = uuid.uuid4().hex[:10]
+    items = storage.write_bucketed(
+        m.order_items, f"mw_items_{tag}", new_scratch_dir(spark, "bucketed-items"), "order_id", BUCKETS
+    )
+    orders = storage.write_bucketed(
+        m.orders, f"mw_orders_{tag}", new_scratch_dir(spark, "bucketed-orders"), "order_id", BUCKETS
+    )
+    j = items.join(orders, "order_id")
+    return j.groupBy("ship_mode").agg(
+        F.count_distinct("order_id").alias("total_orders"), F.sum("sales").cast("double").alias("total_sales")
+    )
+
+
+def _model_store(spark, sf_dir) -> storage.TableStore:
+    store = storage.TableStore(spark, new_scratch_dir(spark, "warehouse"))
+    store.write_all(bind_model(spark, sf_dir).tables())
+    return store
+
+
+@register("snapshot_roundtrip")
+def q_snapshot_roundtrip(spark, sf_dir):
+    """S9 + S10: snapshot every table, restore the newest snapshot into a new
+    store, verify rows and content hashes."""
+    root = new_scratch_dir(spark, "snapshots")
+    storage.snapshot(spark, bind_model(spark, sf_dir).tables(), root)
+    target = storage.TableStore(spark, new_scratch_dir(spark, "restored"))
+    return storage.restore(spark, root, target)
+
+
+@register("table_inventory")
+def q_table_inventory(spark, sf_dir):
+    """S11 + S6: stored tables by name with their row counts."""
+    return _model_store(spark, sf_dir).inventory()
+
+
+@register("table_preview")
+def q_table_preview(spark, sf_dir):
+    """Preview of a listed table (n = 100)."""
+    return _model_store(spark, sf_dir).preview("regions", 100)
+
+
+@register("view_refresh")
+def q_view_refresh(spark, sf_dir):
+    """M9: the stored category result refreshed after the 5 % raise."""
+    m = bind_model(spark, sf_dir)
+    store = storage.TableStore(spark, new_scratch_dir(spark, "warehouse"))
+    store.write_all({"order_items": m.order_items, "products": m.products})
+    store.refresh_view("mv_category_sales", reports.category_revenue(m.replace(order_items=store.read("order_items"))))
+    raised = maintenance.new_version(maintenance.increase_sales(store.read("order_items"), RAISE_PERCENT))
+    store.write("order_items", raised)
+    fresh = m.replace(order_items=store.read("order_items"), products=store.read("products"))
+    store.refresh_view("mv_category_sales", reports.category_revenue(fresh))
+    return store.read("mv_category_sales")
+
+
+@register("erasure_published")
+def q_erasure_published(spark, sf_dir):
+    """M4 + N5: erasure written as new versions of four tables, published in
+    one commit; row counts of every table afterwards."""
+    store = _model_store(spark, sf_dir)
+    current = store_model(store)
+    erased = maintenance.erase_customers(current, _erase_ids(spark))
+    store.write_all(
+        {
+            "order_items": erased.order_items,
+            "orders": erased.orders,
+            "customer_profiles": erased.customer_profiles,
+            "customers": erased.customers,
+        }
+    )
+    return store.inventory()
+
+
+def store_model(store: storage.TableStore):
+    from martwell.sources.model import RetailModel
+
+    return RetailModel(**{name: store.read(name) for name in store.list_tables()})
+
+
+# ---- streams -----------------------------------------------------------------------------
+
+
+@register("stream_audit")
+def q_stream_audit(spark, sf_dir):
+    """Change rows of the 5 % raise arrive as files; a stream keeps the
+    real changes and appends them to the audit sink."""
+    src = new_scratch_dir(spark, "changes")
+    triggers.changes_frame(_raise_changes(spark, sf_dir)).write.parquet(src)
+    sink = new_scratch_dir(spark, "audit-sink")
+    triggers.run_file_stream(
+        spark, src, triggers.CHANGE_SCHEMA, triggers.audit_stream, sink, new_scratch_dir(spark, "ckpt")
+    )
+    return spark.read.schema("row_id long, old_sales decimal(12,2), new_sales decimal(12,2)").parquet(sink)
+
+
+@register("stream_ship_repair")
+def q_stream_ship_repair(spark, sf_dir):
+    """T4: written order rows arrive as files; a stream repairs ship dates."""
+    src = new_scratch_dir(spark, "orders-in")
+    bind_model(spark, sf_dir).orders.write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    sink = new_scratch_dir(spark, "orders-sink")
+    triggers.run_file_stream(spark, src, schema, triggers.ship_repair_stream, sink, new_scratch_dir(spark, "ckpt"))
+    return spark.read.schema(schema).parquet(sink).select("order_id", "order_date", "ship_date")
