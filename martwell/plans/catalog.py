@@ -1,5 +1,7 @@
 """Registered queries: one callable per operator id, ``(spark, sf_dir) ->
-DataFrame``.  Each reads the whole source tables through the model binding.
+DataFrame``.  Each reads the whole warehouse that Spark builds from the source
+tables in ``sf_dir`` (``martwell.plans.warehouse``), as the reports of a
+warehouse read its normalised tables rather than the raw feed.
 
 Parameters stated here are the fixtures of the original screens, moved onto
 values present in the test data (regions, month, tag, profile key).
@@ -21,7 +23,8 @@ from martwell.plans.render import for_compare
 from martwell.session import new_scratch_dir
 from martwell.sources import storage
 from martwell.sources.ingest import read_staging_csv, write_staging_csv
-from martwell.sources.testdata import bind_model, read_raw, staging_frame
+from martwell.plans.warehouse import open_warehouse
+from martwell.sources.testdata import read_raw, staging_frame
 from martwell.streaming import triggers
 
 # Report parameters used by the registered queries.
@@ -36,6 +39,13 @@ UNKNOWN_CUSTOMER = -1
 RAISE_PERCENT = Decimal("5")
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
+
+
+def model_of(spark: SparkSession, sf_dir: str):
+    """The stored warehouse model of the sources in ``sf_dir`` (S2, built
+    once per session)."""
+    return open_warehouse(spark, sf_dir)
+
 QUERIES: dict[str, QueryFn] = {}
 
 
@@ -64,63 +74,63 @@ def _asked_customers(spark: SparkSession, model) -> DataFrame:
 @register("revenue_by_region_category")
 def q_revenue_by_region_category(spark, sf_dir):
     """A1 (J1-J3)."""
-    return reports.revenue_by_region_category(bind_model(spark, sf_dir))
+    return reports.revenue_by_region_category(model_of(spark, sf_dir))
 
 
 @register("revenue_by_month")
 def q_revenue_by_month(spark, sf_dir):
     """A2, O4."""
-    return reports.revenue_by_month(bind_model(spark, sf_dir))
+    return reports.revenue_by_month(model_of(spark, sf_dir))
 
 
 @register("customer_value")
 def q_customer_value(spark, sf_dir):
     """A3 (J4)."""
-    return reports.customer_value(bind_model(spark, sf_dir))
+    return reports.customer_value(model_of(spark, sf_dir))
 
 
 @register("shipping_delay")
 def q_shipping_delay(spark, sf_dir):
     """A4, P9, E3.  The day count is NULL for orders without a ship date;
     it is shown as double so NULL-able integers convert alike in every client."""
-    out = reports.shipping_delay(bind_model(spark, sf_dir))
+    out = reports.shipping_delay(model_of(spark, sf_dir))
     return out.withColumn("days_to_ship", F.col("days_to_ship").cast("double"))
 
 
 @register("shipping_status_counts")
 def q_shipping_status_counts(spark, sf_dir):
     """A5."""
-    return reports.shipping_status_counts(bind_model(spark, sf_dir))
+    return reports.shipping_status_counts(model_of(spark, sf_dir))
 
 
 @register("category_revenue")
 def q_category_revenue(spark, sf_dir):
     """A6, O1 (J2)."""
-    return reports.category_revenue(bind_model(spark, sf_dir))
+    return reports.category_revenue(model_of(spark, sf_dir))
 
 
 @register("state_city_revenue")
 def q_state_city_revenue(spark, sf_dir):
     """A7."""
-    return reports.state_city_revenue(bind_model(spark, sf_dir))
+    return reports.state_city_revenue(model_of(spark, sf_dir))
 
 
 @register("kpi_summary")
 def q_kpi_summary(spark, sf_dir):
     """A8, A9."""
-    return reports.kpi_summary(bind_model(spark, sf_dir))
+    return reports.kpi_summary(model_of(spark, sf_dir))
 
 
 @register("region_revenue_param")
 def q_region_revenue_param(spark, sf_dir):
     """P6, P8."""
-    return reports.region_revenue_param(spark, bind_model(spark, sf_dir), REGION)
+    return reports.region_revenue_param(spark, model_of(spark, sf_dir), REGION)
 
 
 @register("top_customers_by_spend")
 def q_top_customers_by_spend(spark, sf_dir):
     """O2."""
-    return reports.top_customers_by_spend(bind_model(spark, sf_dir), TOP_N)
+    return reports.top_customers_by_spend(model_of(spark, sf_dir), TOP_N)
 
 
 # ---- windows and calendar ---------------------------------------------------------
@@ -129,37 +139,37 @@ def q_top_customers_by_spend(spark, sf_dir):
 @register("customer_rank")
 def q_customer_rank(spark, sf_dir):
     """W1 (plain window)."""
-    return ranking.customer_rank(bind_model(spark, sf_dir))
+    return ranking.customer_rank(model_of(spark, sf_dir))
 
 
 @register("customer_rank_scalable")
 def q_customer_rank_scalable(spark, sf_dir):
     """W1 + N6 (range-split global rank)."""
-    return ranking.customer_rank_scalable(bind_model(spark, sf_dir))
+    return ranking.customer_rank_scalable(model_of(spark, sf_dir))
 
 
 @register("top_customers_ranked")
 def q_top_customers_ranked(spark, sf_dir):
     """W2."""
-    return ranking.top_customers_ranked(bind_model(spark, sf_dir), TOP_RANKED)
+    return ranking.top_customers_ranked(model_of(spark, sf_dir), TOP_RANKED)
 
 
 @register("running_revenue")
 def q_running_revenue(spark, sf_dir):
     """W3."""
-    return ranking.running_revenue(bind_model(spark, sf_dir))
+    return ranking.running_revenue(model_of(spark, sf_dir))
 
 
 @register("largest_line_per_customer")
 def q_largest_line_per_customer(spark, sf_dir):
     """W4."""
-    return ranking.largest_line_per_customer(bind_model(spark, sf_dir))
+    return ranking.largest_line_per_customer(model_of(spark, sf_dir))
 
 
 @register("month_calendar")
 def q_month_calendar(spark, sf_dir):
     """U1 over the data's month span, with revenue per month."""
-    return ranking.calendar_revenue(bind_model(spark, sf_dir))
+    return ranking.calendar_revenue(model_of(spark, sf_dir))
 
 
 # ---- functions ----------------------------------------------------------------------
@@ -168,7 +178,7 @@ def q_month_calendar(spark, sf_dir):
 @register("region_total_or_zero")
 def q_region_total_or_zero(spark, sf_dir):
     """F1 set form over every region."""
-    m = bind_model(spark, sf_dir)
+    m = model_of(spark, sf_dir)
     asked = m.regions.select(F.col("region_name").alias("region"))
     return routines.region_total_or_zero(m, asked)
 
@@ -176,27 +186,27 @@ def q_region_total_or_zero(spark, sf_dir):
 @register("customer_order_count")
 def q_customer_order_count(spark, sf_dir):
     """F2 set form over every customer and one unknown id."""
-    m = bind_model(spark, sf_dir)
+    m = model_of(spark, sf_dir)
     return routines.customer_order_count(m, _asked_customers(spark, m))
 
 
 @register("top_products_of_month")
 def q_top_products_of_month(spark, sf_dir):
     """F3."""
-    return routines.top_products_of_month(bind_model(spark, sf_dir), MONTH, TOP_N)
+    return routines.top_products_of_month(model_of(spark, sf_dir), MONTH, TOP_N)
 
 
 @register("top_products_all_months")
 def q_top_products_all_months(spark, sf_dir):
     """F3 set form."""
-    out = routines.top_products_all_months(bind_model(spark, sf_dir), TOP_N)
+    out = routines.top_products_all_months(model_of(spark, sf_dir), TOP_N)
     return out.withColumn("pos", F.col("pos").cast("long"))
 
 
 @register("customer_status")
 def q_customer_status(spark, sf_dir):
     """F4 + A10 set form over every customer and one unknown id."""
-    m = bind_model(spark, sf_dir)
+    m = model_of(spark, sf_dir)
     return routines.customer_status(m, _asked_customers(spark, m))
 
 
@@ -206,14 +216,14 @@ def q_customer_status(spark, sf_dir):
 @register("profile_lookup")
 def q_profile_lookup(spark, sf_dir):
     """X1, E10, E11."""
-    m = bind_model(spark, sf_dir)
+    m = model_of(spark, sf_dir)
     return lookups.profiles_with_key(m.customer_profiles, PROFILE_KEY, PROFILE_VALUE, [PROFILE_KEY])
 
 
 @register("tag_lookup")
 def q_tag_lookup(spark, sf_dir):
     """X2, E12, E13."""
-    return lookups.products_with_tag(bind_model(spark, sf_dir).product_tags, TAG)
+    return lookups.products_with_tag(model_of(spark, sf_dir).product_tags, TAG)
 
 
 # ---- ingest and normalise ------------------------------------------------------------
@@ -228,7 +238,7 @@ YEAR_RANGES = [
 
 
 def _staging(spark, sf_dir):
-    return staging_frame(bind_model(spark, sf_dir))
+    return staging_frame(model_of(spark, sf_dir))
 
 
 @register("staging_from_csv")
@@ -273,7 +283,7 @@ def q_fact_items(spark, sf_dir):
 
 
 def _pk_all(spark, sf_dir):
-    m = bind_model(spark, sf_dir)
+    m = model_of(spark, sf_dir)
     li = read_raw(spark, sf_dir, "lineitem")
     return quality.model_pk_violations(m).unionByName(
         quality.pk_violations(li, ["l_orderkey", "l_linenumber"], "lineitem")
@@ -281,7 +291,7 @@ def _pk_all(spark, sf_dir):
 
 
 def _range(spark, sf_dir):
-    m = bind_model(spark, sf_dir)
+    m = model_of(spark, sf_dir)
     return quality.range_violations(m.orders, "order_date", "order_id", YEAR_RANGES, "orders")
 
 
@@ -302,13 +312,13 @@ def q_pk_violations(spark, sf_dir):
 @register("fk_violations")
 def q_fk_violations(spark, sf_dir):
     """Q2 over the model's foreign keys."""
-    return quality.model_fk_violations(bind_model(spark, sf_dir))
+    return quality.model_fk_violations(model_of(spark, sf_dir))
 
 
 @register("length_violations")
 def q_length_violations(spark, sf_dir):
     """Q3 over the model's declared text limits."""
-    return quality.model_length_violations(bind_model(spark, sf_dir))
+    return quality.model_length_violations(model_of(spark, sf_dir))
 
 
 @register("range_violations")
@@ -332,7 +342,7 @@ def q_date_text_violations(spark, sf_dir):
 @register("check_summary")
 def q_check_summary(spark, sf_dir):
     """Q1-Q6 violation counts, one row per check."""
-    m = bind_model(spark, sf_dir)
+    m = model_of(spark, sf_dir)
     return quality.check_summary(
         {
             "pk": _pk_all(spark, sf_dir),
@@ -361,14 +371,14 @@ def _erase_ids(spark):
 
 
 def _raise_changes(spark, sf_dir):
-    return maintenance.increase_sales(bind_model(spark, sf_dir).order_items, RAISE_PERCENT)
+    return maintenance.increase_sales(model_of(spark, sf_dir).order_items, RAISE_PERCENT)
 
 
 @register("ship_mode_updated")
 def q_ship_mode_updated(spark, sf_dir):
     """M1 set form + T2 on the written rows: every low-priority order moves to
     the urgent mode."""
-    m = bind_model(spark, sf_dir)
+    m = model_of(spark, sf_dir)
     updates = m.orders.where(F.col("ship_mode") == OLD_MODE).select("order_id", F.lit(NEW_MODE).alias("new_mode"))
     return maintenance.update_ship_mode(m.orders, updates)
 
@@ -388,25 +398,25 @@ def q_sales_increase_audit(spark, sf_dir):
 @register("single_line_add")
 def q_single_line_add(spark, sf_dir):
     """M5: add an amount to one line."""
-    items = bind_model(spark, sf_dir).order_items
+    items = model_of(spark, sf_dir).order_items
     return maintenance.new_version(maintenance.add_to_line(items, LINE_ROW_ID, LINE_AMOUNT))
 
 
 @register("single_line_audit")
 def q_single_line_audit(spark, sf_dir):
     """T1 on M5."""
-    items = bind_model(spark, sf_dir).order_items
+    items = model_of(spark, sf_dir).order_items
     return audit.audit_rows(maintenance.add_to_line(items, LINE_ROW_ID, LINE_AMOUNT))
 
 
 @register("segment_renamed")
 def q_segment_renamed(spark, sf_dir):
     """M3."""
-    return maintenance.rename_segment(bind_model(spark, sf_dir).customers, OLD_SEGMENT, NEW_SEGMENT)
+    return maintenance.rename_segment(model_of(spark, sf_dir).customers, OLD_SEGMENT, NEW_SEGMENT)
 
 
 def _erased(spark, sf_dir):
-    return maintenance.erase_customers(bind_model(spark, sf_dir), _erase_ids(spark))
+    return maintenance.erase_customers(model_of(spark, sf_dir), _erase_ids(spark))
 
 
 @register("customer_erased_items")
@@ -436,15 +446,15 @@ def q_customer_erased_customers(spark, sf_dir):
 @register("ship_dates_repaired")
 def q_ship_dates_repaired(spark, sf_dir):
     """T2 on every order row as written (batch twin of T4)."""
-    o = audit.repair_ship_dates(bind_model(spark, sf_dir).orders)
+    o = audit.repair_ship_dates(model_of(spark, sf_dir).orders)
     return o.select("order_id", "order_date", "ship_date")
 
 
 @register("ship_date_forced")
 def q_ship_date_forced(spark, sf_dir):
     """M6 + T2 + P7: force one order's ship date into the past and read it back."""
-    o = maintenance.set_ship_date(bind_model(spark, sf_dir).orders, FORCED_ORDER, F.lit(FORCED_SHIP_DATE))
-    return reports.order_lookup(bind_model(spark, sf_dir).replace(orders=o), FORCED_ORDER)
+    o = maintenance.set_ship_date(model_of(spark, sf_dir).orders, FORCED_ORDER, F.lit(FORCED_SHIP_DATE))
+    return reports.order_lookup(model_of(spark, sf_dir).replace(orders=o), FORCED_ORDER)
 
 
 def _numbered_audit(spark, sf_dir):
@@ -471,7 +481,7 @@ def q_audit_tail(spark, sf_dir):
 def q_partitioned_orders_counts(spark, sf_dir):
     """Orders written by year range, read back, counted per folder."""
     path, _ = storage.write_year_partitioned(
-        bind_model(spark, sf_dir).orders, new_scratch_dir(spark, "orders-by-year"), YEAR_RANGES
+        model_of(spark, sf_dir).orders, new_scratch_dir(spark, "orders-by-year"), YEAR_RANGES
     )
     return storage.read_years(spark, path).groupBy("order_year").agg(F.count(F.lit(1)).alias("n_orders"))
 
@@ -480,7 +490,7 @@ def q_partitioned_orders_counts(spark, sf_dir):
 def q_partition_pruned_orders(spark, sf_dir):
     """S7 read with a partition filter (only the 1997 folder is listed)."""
     path, _ = storage.write_year_partitioned(
-        bind_model(spark, sf_dir).orders, new_scratch_dir(spark, "orders-by-year"), YEAR_RANGES
+        model_of(spark, sf_dir).orders, new_scratch_dir(spark, "orders-by-year"), YEAR_RANGES
     )
     return storage.read_years(spark, path, ["1997"]).select("order_id", "order_date", "order_year")
 
@@ -489,7 +499,7 @@ def q_partition_pruned_orders(spark, sf_dir):
 def q_bucketed_join_revenue(spark, sf_dir):
     """Both facts bucketed by order_id; the join needs no shuffle.
     Orders and revenue per ship mode."""
-    m = bind_model(spark, sf_dir)
+    m = model_of(spark, sf_dir)
     tag = uuid.uuid4().hex[:10]
     items = storage.write_bucketed(
         m.order_items, f"mw_items_{tag}", new_scratch_dir(spark, "bucketed-items"), "order_id", BUCKETS
@@ -505,7 +515,7 @@ def q_bucketed_join_revenue(spark, sf_dir):
 
 def _model_store(spark, sf_dir) -> storage.TableStore:
     store = storage.TableStore(spark, new_scratch_dir(spark, "warehouse"))
-    store.write_all(bind_model(spark, sf_dir).tables())
+    store.write_all(model_of(spark, sf_dir).tables())
     return store
 
 
@@ -514,7 +524,7 @@ def q_snapshot_roundtrip(spark, sf_dir):
     """S9 + S10: snapshot every table, restore the newest snapshot into a new
     store, verify rows and content hashes."""
     root = new_scratch_dir(spark, "snapshots")
-    storage.snapshot(spark, bind_model(spark, sf_dir).tables(), root)
+    storage.snapshot(spark, model_of(spark, sf_dir).tables(), root)
     target = storage.TableStore(spark, new_scratch_dir(spark, "restored"))
     return storage.restore(spark, root, target)
 
@@ -534,7 +544,7 @@ def q_table_preview(spark, sf_dir):
 @register("view_refresh")
 def q_view_refresh(spark, sf_dir):
     """M9: the stored category result refreshed after the 5 % raise."""
-    m = bind_model(spark, sf_dir)
+    m = model_of(spark, sf_dir)
     store = storage.TableStore(spark, new_scratch_dir(spark, "warehouse"))
     store.write_all({"order_items": m.order_items, "products": m.products})
     store.refresh_view("mv_category_sales", reports.category_revenue(m.replace(order_items=store.read("order_items"))))
@@ -589,7 +599,7 @@ def q_stream_audit(spark, sf_dir):
 def q_stream_ship_repair(spark, sf_dir):
     """T4: written order rows arrive as files; a stream repairs ship dates."""
     src = new_scratch_dir(spark, "orders-in")
-    bind_model(spark, sf_dir).orders.write.parquet(src)
+    model_of(spark, sf_dir).orders.write.parquet(src)
     schema = spark.read.parquet(src).schema
     sink = new_scratch_dir(spark, "orders-sink")
     triggers.run_file_stream(spark, src, schema, triggers.ship_repair_stream, sink, new_scratch_dir(spark, "ckpt"))
