@@ -48,7 +48,7 @@ def number_audit_rows(audit: DataFrame, base_id: Column | int = 0, changed_at: C
     single-partition sort; row ids are unique within one batch of changes,
     so rank == position."""
     base = F.lit(base_id) if isinstance(base_id, int) else base_id
-    ranked = global_rank(audit, "row_id", "_pos", descending=False)
+    ranked = global_rank(audit, "row_id", "_pos", descending=False, unique_values=True)
     when = changed_at if changed_at is not None else F.localtimestamp()
     return ranked.select(
         (base + F.col("_pos")).cast("long").alias("audit_id"),

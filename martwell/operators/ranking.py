@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from martwell.functions.exprs import col, money_as_double, month_key
 from martwell.plans.broadcast import broadcast_bounded
+from martwell.session import ensure_checkpoint_dir
 from martwell.sources.model import RetailModel
 
 DEFAULT_RANGES = 64
@@ -49,14 +50,24 @@ def global_rank(
     descending: bool = True,
     ranges: int = DEFAULT_RANGES,
     rel_err: float = 0.001,
+    unique_values: bool = False,
 ) -> DataFrame:
     """``rank() over (order by value_col desc nulls first)`` (or ascending,
-    nulls last) without a single-partition exchange of the rows."""
-    counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
+    nulls last) without a single-partition exchange of the rows.
+
+    ``unique_values=True`` (keys such as row ids, where rank == position)
+    skips the per-value counts: rows are split by range and numbered inside
+    their range, since no single value can make a range hot."""
+    base = df if unique_values else df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
+    if not unique_values:
+        # written once to the checkpoint folder: the quantiles, the range
+        # totals and the per-value ranks all read it instead of recomputing df
+        ensure_checkpoint_dir(df.sparkSession)
+        base = base.checkpoint(eager=True)
     probs = [i / ranges for i in range(1, ranges)]
     edges = sorted(
         set(
-            counts.where(F.col(value_col).isNotNull())
+            base.where(F.col(value_col).isNotNull())
             .select(F.col(value_col).cast("double").alias(value_col))
             .approxQuantile(value_col, probs, rel_err)
         )
@@ -65,8 +76,9 @@ def global_rank(
     if not descending:
         # ascending: nulls last -> move them after the last range
         rng = F.when(F.col(value_col).isNull(), F.lit(len(edges) + 2)).otherwise(rng)
-    counts = counts.withColumn("_range", rng)
-    per_range = counts.groupBy("_range").agg(F.sum("_n").alias("_range_n"))
+    n_col = F.lit(1) if unique_values else F.col("_n")
+    tagged = base.withColumn("_range", rng).withColumn("_n", n_col)
+    per_range = tagged.groupBy("_range").agg(F.sum("_n").alias("_range_n"))
     # at most len(edges)+3 rows: ordering them in one partition is free
     offsets = per_range.select(
         "_range",
@@ -74,16 +86,20 @@ def global_rank(
             F.sum("_range_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
         ).alias("_offset"),
     ).fillna(0, subset=["_offset"])
+    offsets = broadcast_bounded(offsets, len(edges) + 3)
     order = F.col(value_col).desc() if descending else F.col(value_col).asc()
-    above_in_range = F.sum("_n").over(
-        Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    value_rank = (
-        counts.join(broadcast_bounded(offsets, len(edges) + 3), "_range", "inner")
-        .select(
-            F.col(value_col).alias("_v"),
-            (F.col("_offset") + F.coalesce(above_in_range, F.lit(0)) + F.lit(1)).alias(out_col),
+    in_range = Window.partitionBy("_range").orderBy(order)
+    if unique_values:
+        pos = F.row_number().over(in_range)
+        return (
+            tagged.join(offsets, "_range", "inner")
+            .withColumn(out_col, F.col("_offset") + pos)
+            .drop("_range", "_n", "_offset")
         )
+    above_in_range = F.sum("_n").over(in_range.rowsBetween(Window.unboundedPreceding, -1))
+    value_rank = tagged.join(offsets, "_range", "inner").select(
+        F.col(value_col).alias("_v"),
+        (F.col("_offset") + F.coalesce(above_in_range, F.lit(0)) + F.lit(1)).alias(out_col),
     )
     return df.join(value_rank, df[value_col].eqNullSafe(value_rank["_v"]), "inner").drop("_v")
 
