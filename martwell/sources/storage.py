@@ -48,35 +48,38 @@ class TableStore:
         except AnalysisException:
             return None
 
-    def current(self) -> dict[str, str]:
-        """table -> data path of the newest published manifest (tiny)."""
-        m = self._manifest_all()
-        if m is None:
-            return {}
-        top = m.agg(F.max("seq")).first()[0]
-        if top is None:
-            return {}
-        return {r.table_name: r.path for r in m.where(F.col("seq") == top).collect()}
-
-    def _seq(self) -> int:
+    def refresh(self) -> tuple[int, dict[str, str]]:
+        """Read the newest published manifest (a few rows) into this handle.
+        Readers keep that snapshot until they refresh or publish, so a report
+        sees one consistent set of table versions."""
         m = self._manifest_all()
-        if m is None:
-            return 0
-        top = m.agg(F.max("seq")).first()[0]
-        return int(top or 0)
+        seq, cur = 0, {}
+        if m is not None:
+            rows = m.collect()
+            if rows:
+                seq = max(int(r.seq) for r in rows)
+                cur = {r.table_name: r.path for r in rows if int(r.seq) == seq}
+        self._state = (seq, cur)
+        return self._state
+
+    def current(self) -> dict[str, str]:
+        """table -> data path of this handle's manifest snapshot."""
+        state = getattr(self, "_state", None) or self.refresh()
+        return dict(state[1])
 
     def publish(self, paths: dict[str, str], retries: int = 5) -> int:
         """Make new versions current together (one manifest commit)."""
         for _ in range(retries):
-            cur = self.current()
+            seq, cur = self.refresh()
+            cur = dict(cur)
             cur.update(paths)
-            seq = self._seq() + 1
             rows = [(k, v) for k, v in sorted(cur.items())]
             try:
                 self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").json(
-                    f"{self.root}/_manifest/seq={seq}"
+                    f"{self.root}/_manifest/seq={seq + 1}"
                 )
-                return seq
+                self._state = (seq + 1, cur)
+                return seq + 1
             except AnalysisException:
                 time.sleep(0.2)  # another writer took this number; retry on top of it
         raise RuntimeError("could not publish manifest")
