@@ -18,37 +18,59 @@ source folder (the sources are immutable); a new session builds again.
 from __future__ import annotations
 
 import hashlib
+import math
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martwell.session import new_scratch_dir
 from martwell.sources.model import RetailModel
-from martwell.sources.testdata import bind_model
+from martwell.sources.testdata import LINE_SLOTS, bind_model
 
 _BUILT: dict[tuple[str, str], tuple[str, dict[str, str]]] = {}
 
-BUCKETED = ("orders", "order_items")
-
-
-def default_buckets(spark: SparkSession) -> int:
-    """Bucket count: the session's shuffle partitions (set it to roughly
-    fact bytes / 256 MB on a cluster)."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+# Rows of the narrow line fact per bucket (~128-256 MB of Parquet).
+ROWS_PER_BUCKET = 8_000_000
+# A key whose rows exceed this many times a bucket's fair share is "hot".
+HOT_FACTOR = 4.0
+
+
+def plan_layout(items: DataFrame, buckets: int | None = None) -> tuple[int, bool, int]:
+    """Bucket count, whether the line fact may be bucketed, and the largest
+    number of lines of one order.
+
+    The count is sized from the line rows, never below the cluster's default
+    parallelism.  Bucketing puts every line of an order into one file read
+    by one task, and a bucketed scan cannot be split; so if one order holds
+    more than ``HOT_FACTOR`` times a bucket's share of the lines, the line
+    facts are stored unbucketed and the fact join becomes a shuffle join whose
+    hot partition AQE splits at run time.  Both numbers come from one narrow
+    aggregation (order id only, combined map-side)."""
+    spark = items.sparkSession
+    per_order = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+    stats = per_order.agg(F.sum("n").alias("rows"), F.max("n").alias("top")).first()
+    n_rows, top = int(stats.rows or 0), int(stats.top or 0)
+    if buckets is None:
+        buckets = max(spark.sparkContext.defaultParallelism, math.ceil(n_rows / ROWS_PER_BUCKET), 1)
+    hot = top > HOT_FACTOR * max(1.0, n_rows / buckets)
+    return buckets, not hot, top
 
 
 def build_warehouse(
-    spark: SparkSession, sf_dir: str, root: str | None = None, buckets: int | None = None
+    spark: SparkSession, model: RetailModel, root: str | None = None, buckets: int | None = None,
+    max_lines_per_order: int | None = None,
 ) -> dict[str, str]:
-    """Full, repeatable rebuild of every model table from the sources.
-    Returns table -> catalog name (bucketed) or path (plain)."""
-    model = bind_model(spark, sf_dir)
+    """Write every model table (from the test binding or from staging
+    normalisation).  Returns table -> catalog name (bucketed) or path."""
     root = root or new_scratch_dir(spark, "warehouse")
-    buckets = buckets or default_buckets(spark)
+    buckets, bucket_lines, top = plan_layout(model.order_items, buckets)
+    if max_lines_per_order is not None and top > max_lines_per_order:
+        raise ValueError(f"an order has {top} lines; line keys allow {max_lines_per_order}")
     tag = hashlib.sha1(root.encode()).hexdigest()[:10]
     out: dict[str, str] = {}
     for name, df in model.tables().items():
         path = f"{root}/{name}"
-        if name in BUCKETED:
+        if name in ("orders", "order_items") and bucket_lines:
             table = f"mw_{tag}_{name}"
             (
                 df.repartition(buckets, "order_id")
@@ -59,6 +81,13 @@ def build_warehouse(
                 .saveAsTable(table)
             )
             out[name] = "table:" + table
+        elif name in ("orders", "order_items"):
+            # hot order present: neither fact is bucketed, so the fact join
+            # shuffles both sides and AQE can split the hot partition (its
+            # skew handling needs a shuffle on both sides).  No shuffle at
+            # write time; order ids are clustered within each file.
+            df.sortWithinPartitions("order_id").write.mode("errorifexists").parquet(path)
+            out[name] = "path:" + path
         else:
             df.write.mode("errorifexists").parquet(path)
             out[name] = "path:" + path
@@ -87,7 +116,7 @@ def open_warehouse(spark: SparkSession, sf_dir: str) -> RetailModel:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     hit = _BUILT.get(key)
     if hit is None or not _still_there(spark, hit[1]):
-        where = build_warehouse(spark, sf_dir)
+        where = build_warehouse(spark, bind_model(spark, sf_dir), max_lines_per_order=LINE_SLOTS - 1)
         _BUILT[key] = ("", where)
         hit = _BUILT[key]
     return _load(spark, hit[1])

@@ -86,3 +86,61 @@ def test_no_python_in_plans(model_small):
     for df in (reports.customer_value(model_small), ranking.largest_line_per_customer(model_small)):
         p = plan(df)
         assert "Python" not in p and "ArrowEval" not in p
+
+
+def test_hot_order_disables_line_bucketing(spark):
+    from datetime import date
+    from decimal import Decimal
+
+    from martwell.plans.warehouse import build_warehouse, plan_layout
+    from tests.test_edges import make_model
+
+    # one order holds half of all lines
+    items = [(i, "hot" if i % 2 else f"o{i}", "p", Decimal("1")) for i in range(400)]
+    orders = [("hot", date(2020, 1, 1))] + [(f"o{i}", date(2020, 1, 1)) for i in range(0, 400, 2)]
+    m = make_model(spark, orders=orders, items=items)
+    buckets, bucket_lines, top = plan_layout(m.order_items, buckets=16)
+    assert (bucket_lines, top) == (False, 200)
+    where = build_warehouse(spark, m, new_scratch_dir(spark, "t-hot"), buckets=16)
+    assert where["order_items"].startswith("path:") and where["orders"].startswith("path:")
+    calm = make_model(spark, orders=orders, items=[(i, f"o{i - i % 2}", "p", Decimal("1")) for i in range(400)])
+    assert plan_layout(calm.order_items, buckets=16)[1] is True
+
+
+def test_hot_order_join_is_split_by_aqe(spark):
+    """With a hot order the fact join is a shuffle join; AQE splits the hot
+    partition into several tasks."""
+    from datetime import date
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from martwell.plans.warehouse import _load, build_warehouse
+    from tests.test_edges import make_model
+
+    items = [(i, "hot" if i % 3 else f"o{i}", "p", Decimal("1")) for i in range(30000)]
+    orders = [("hot", date(2020, 1, 1))] + [(f"o{i}", date(2020, 1, 1)) for i in range(0, 30000, 3)]
+    m = make_model(spark, orders=orders, items=items)
+    where = build_warehouse(spark, m, new_scratch_dir(spark, "t-hot2"), buckets=16)
+    w = _load(spark, where)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        # reports regroup by another key after the fact join (month, region ...)
+        # and carry a per-line value, as a revenue sum does
+        j = w.order_items.join(w.orders, "order_id").groupBy("order_date").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("row_id").alias("s")
+        )
+        assert [(r.n, r.s) for r in j.collect()] == [(30000, sum(range(30000)))]
+        final = j._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
