@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwell.functions.exprs import add_amount, raise_by_percent, to_money
-from martwell.operators.audit import repaired_ship_date
+from martwell.operators.audit import audit_rows, next_audit_base, number_audit_rows, repaired_ship_date
 from martwell.sources.model import RetailModel
 
 _HIT = "_touched"
@@ -123,3 +123,23 @@ def erase_customers(model: RetailModel, ids: DataFrame) -> RetailModel:
         customer_profiles=model.customer_profiles.join(ids, "customer_id", "left_anti"),
         customers=model.customers.join(ids, "customer_id", "left_anti"),
     )
+
+
+# ---- update + audit as one commit (M2/M5 + T1 + M7 + M8 + N5) --------------------------
+
+
+def commit_line_change(store, changes: DataFrame, items: str = "order_items", audit_log: str = "sales_audit") -> int:
+    """Write the new line version and its audit rows, publish both together.
+
+    The audit batch is written first (so its rows are fixed), then numbered
+    after the highest existing audit id and appended as one more batch of the
+    append-only audit log; the line table gets a new version.  Both become
+    visible in one manifest commit, like an UPDATE whose trigger writes the
+    log inside the same transaction."""
+    spark = store.spark
+    items_path = store.stage(items, new_version(changes))
+    batch_path = store.stage("_audit_batch", audit_rows(changes))
+    batch = spark.read.parquet(batch_path)
+    base = next_audit_base(store.read(audit_log)) if audit_log in store.current() else F.lit(0).cast("long")
+    numbered_path = store.append(audit_log, number_audit_rows(batch, base))
+    return store.publish({items: items_path, audit_log: store.appended_paths(audit_log, numbered_path)})

@@ -604,3 +604,15 @@ def q_stream_ship_repair(spark, sf_dir):
     sink = new_scratch_dir(spark, "orders-sink")
     triggers.run_file_stream(spark, src, schema, triggers.ship_repair_stream, sink, new_scratch_dir(spark, "ckpt"))
     return spark.read.schema(schema).parquet(sink).select("order_id", "order_date", "ship_date")
+
+
+@register("audit_log_after_two_updates")
+def q_audit_log_after_two_updates(spark, sf_dir):
+    """M2 then M5, each committed with its audit batch (T1, M7, M8, N5); the
+    append-only audit log afterwards (change times left out)."""
+    m = model_of(spark, sf_dir)
+    store = storage.TableStore(spark, new_scratch_dir(spark, "warehouse"))
+    store.write_all({"order_items": m.order_items})
+    maintenance.commit_line_change(store, maintenance.increase_sales(store.read("order_items"), RAISE_PERCENT))
+    maintenance.commit_line_change(store, maintenance.add_to_line(store.read("order_items"), LINE_ROW_ID, LINE_AMOUNT))
+    return store.read("sales_audit").drop("changed_at")

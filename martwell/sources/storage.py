@@ -26,6 +26,9 @@ from pyspark.sql.utils import AnalysisException
 
 from martwell.operators.quality import range_partition
 
+# Separator of the batch folders of an append-only table in a manifest row.
+PATH_SEP = "|"
+
 MANIFEST_SCHEMA = T.StructType(
     [T.StructField("table_name", T.StringType()), T.StructField("path", T.StringType())]
 )
@@ -105,11 +108,21 @@ class TableStore:
         paths = {name: self.stage(name, df) for name, df in tables.items()}
         return self.publish(paths)
 
+    def append(self, name: str, df: DataFrame) -> str:
+        """Stage one more batch folder of an append-only table (M7); the
+        table's version is the list of its committed batches, so an append
+        never rewrites earlier rows.  Publish with ``publish_appended``."""
+        return self.stage(name, df)
+
+    def appended_paths(self, name: str, batch_path: str) -> str:
+        prev = self.current().get(name)
+        return batch_path if not prev else prev + PATH_SEP + batch_path
+
     def read(self, name: str) -> DataFrame:
         cur = self.current()
         if name not in cur:
             raise KeyError(f"no table {name!r}")
-        return self.spark.read.parquet(cur[name])
+        return self.spark.read.parquet(*cur[name].split(PATH_SEP))
 
     def list_tables(self) -> list[str]:
         """Table names, sorted."""

@@ -421,3 +421,11 @@ def test_line_deltas_set_form(spark):
     assert rows(ch, "row_id", "old_sales", "sales") == [(1, Decimal("1.00"), Decimal("1.75")),
                                                         (2, Decimal("2.00"), Decimal("2.00"))]
     assert rows(audit.audit_rows(ch), "row_id") == [(1,)]
+
+
+def test_order_count_single_and_set(spark):
+    m = make_model(spark, orders=[("o1", date(2020, 1, 1), None, "C1"), ("o2", date(2020, 1, 2), None, "C1")])
+    assert rows(routines.order_count_of(m, "C1")) == [(2,)]
+    assert rows(routines.order_count_of(m, "C9")) == [(0,)]
+    asked = spark.createDataFrame([("C1",), ("C9",)], "customer_id string")
+    assert rows(routines.customer_order_count(m, asked)) == [("C1", 2), ("C9", 0)]
