@@ -23,7 +23,7 @@ from martwell.plans.render import for_compare
 from martwell.session import new_scratch_dir
 from martwell.sources import storage
 from martwell.sources.ingest import read_staging_csv, write_staging_csv
-from martwell.plans.warehouse import open_warehouse
+from martwell.plans.warehouse import open_store, open_warehouse, store_model
 from martwell.sources.testdata import read_raw, staging_frame
 from martwell.streaming import triggers
 
@@ -513,10 +513,9 @@ def q_bucketed_join_revenue(spark, sf_dir):
     )
 
 
-def _model_store(spark, sf_dir) -> storage.TableStore:
-    store = storage.TableStore(spark, new_scratch_dir(spark, "warehouse"))
-    store.write_all(model_of(spark, sf_dir).tables())
-    return store
+def _branch(spark, sf_dir) -> storage.TableStore:
+    """A metadata-only branch of the warehouse to change without touching it."""
+    return open_store(spark, sf_dir).clone(new_scratch_dir(spark, "branch"))
 
 
 @register("snapshot_roundtrip")
@@ -532,26 +531,23 @@ def q_snapshot_roundtrip(spark, sf_dir):
 @register("table_inventory")
 def q_table_inventory(spark, sf_dir):
     """S11 + S6: stored tables by name with their row counts."""
-    return _model_store(spark, sf_dir).inventory()
+    return open_store(spark, sf_dir).inventory()
 
 
 @register("table_preview")
 def q_table_preview(spark, sf_dir):
     """Preview of a listed table (n = 100)."""
-    return _model_store(spark, sf_dir).preview("regions", 100)
+    return open_store(spark, sf_dir).preview("regions", 100)
 
 
 @register("view_refresh")
 def q_view_refresh(spark, sf_dir):
     """M9: the stored category result refreshed after the 5 % raise."""
-    m = model_of(spark, sf_dir)
-    store = storage.TableStore(spark, new_scratch_dir(spark, "warehouse"))
-    store.write_all({"order_items": m.order_items, "products": m.products})
-    store.refresh_view("mv_category_sales", reports.category_revenue(m.replace(order_items=store.read("order_items"))))
+    store = _branch(spark, sf_dir)
+    store.refresh_view("mv_category_sales", reports.category_revenue(store_model(store)))
     raised = maintenance.new_version(maintenance.increase_sales(store.read("order_items"), RAISE_PERCENT))
     store.write("order_items", raised)
-    fresh = m.replace(order_items=store.read("order_items"), products=store.read("products"))
-    store.refresh_view("mv_category_sales", reports.category_revenue(fresh))
+    store.refresh_view("mv_category_sales", reports.category_revenue(store_model(store)))
     return store.read("mv_category_sales")
 
 
@@ -559,9 +555,8 @@ def q_view_refresh(spark, sf_dir):
 def q_erasure_published(spark, sf_dir):
     """M4 + N5: erasure written as new versions of four tables, published in
     one commit; row counts of every table afterwards."""
-    store = _model_store(spark, sf_dir)
-    current = store_model(store)
-    erased = maintenance.erase_customers(current, _erase_ids(spark))
+    store = _branch(spark, sf_dir)
+    erased = maintenance.erase_customers(store_model(store), _erase_ids(spark))
     store.write_all(
         {
             "order_items": erased.order_items,
@@ -573,12 +568,6 @@ def q_erasure_published(spark, sf_dir):
     return store.inventory()
 
 
-def store_model(store: storage.TableStore):
-    from martwell.sources.model import RetailModel
-
-    return RetailModel(**{name: store.read(name) for name in store.list_tables()})
-
-
 # ---- streams -----------------------------------------------------------------------------
 
 
@@ -610,9 +599,7 @@ def q_stream_ship_repair(spark, sf_dir):
 def q_audit_log_after_two_updates(spark, sf_dir):
     """M2 then M5, each committed with its audit batch (T1, M7, M8, N5); the
     append-only audit log afterwards (change times left out)."""
-    m = model_of(spark, sf_dir)
-    store = storage.TableStore(spark, new_scratch_dir(spark, "warehouse"))
-    store.write_all({"order_items": m.order_items})
+    store = _branch(spark, sf_dir)
     maintenance.commit_line_change(store, maintenance.increase_sales(store.read("order_items"), RAISE_PERCENT))
     maintenance.commit_line_change(store, maintenance.add_to_line(store.read("order_items"), LINE_ROW_ID, LINE_AMOUNT))
     return store.read("sales_audit").drop("changed_at")

@@ -17,7 +17,6 @@ source folder (the sources are immutable); a new session builds again.
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +24,11 @@ from pyspark.sql import functions as F
 
 from martwell.session import new_scratch_dir
 from martwell.sources.model import RetailModel
+from martwell.sources.storage import TableStore
 from martwell.sources.testdata import LINE_SLOTS, bind_model
 
-_BUILT: dict[tuple[str, str], tuple[str, dict[str, str]]] = {}
+_BUILT: dict[tuple[str, str], str] = {}
+FACTS = ("orders", "order_items")
 
 # Rows of the narrow line fact per bucket (~128-256 MB of Parquet).
 ROWS_PER_BUCKET = 8_000_000
@@ -59,64 +60,45 @@ def plan_layout(items: DataFrame, buckets: int | None = None) -> tuple[int, bool
 def build_warehouse(
     spark: SparkSession, model: RetailModel, root: str | None = None, buckets: int | None = None,
     max_lines_per_order: int | None = None,
-) -> dict[str, str]:
+) -> TableStore:
     """Write every model table (from the test binding or from staging
-    normalisation).  Returns table -> catalog name (bucketed) or path."""
-    root = root or new_scratch_dir(spark, "warehouse")
+    normalisation) into a new versioned store and publish them together."""
+    store = TableStore(spark, root or new_scratch_dir(spark, "warehouse"))
     buckets, bucket_lines, top = plan_layout(model.order_items, buckets)
     if max_lines_per_order is not None and top > max_lines_per_order:
         raise ValueError(f"an order has {top} lines; line keys allow {max_lines_per_order}")
-    tag = hashlib.sha1(root.encode()).hexdigest()[:10]
-    out: dict[str, str] = {}
+    refs: dict[str, str] = {}
     for name, df in model.tables().items():
-        path = f"{root}/{name}"
-        if name in ("orders", "order_items") and bucket_lines:
-            table = f"mw_{tag}_{name}"
-            (
-                df.repartition(buckets, "order_id")
-                .write.mode("errorifexists")
-                .option("path", path)
-                .bucketBy(buckets, "order_id")
-                .sortBy("order_id")
-                .saveAsTable(table)
-            )
-            out[name] = "table:" + table
-        elif name in ("orders", "order_items"):
+        if name in FACTS and bucket_lines:
+            refs[name] = store.stage_bucketed(name, df, "order_id", buckets)
+        elif name in FACTS:
             # hot order present: neither fact is bucketed, so the fact join
             # shuffles both sides and AQE can split the hot partition (its
             # skew handling needs a shuffle on both sides).  No shuffle at
             # write time; order ids are clustered within each file.
-            df.sortWithinPartitions("order_id").write.mode("errorifexists").parquet(path)
-            out[name] = "path:" + path
+            refs[name] = store.stage(name, df.sortWithinPartitions("order_id"))
         else:
-            df.write.mode("errorifexists").parquet(path)
-            out[name] = "path:" + path
-    return out
+            refs[name] = store.stage(name, df)
+    store.publish(refs)
+    return store
 
 
-def _load(spark: SparkSession, where: dict[str, str]) -> RetailModel:
-    def read(ref: str) -> DataFrame:
-        kind, val = ref.split(":", 1)
-        return spark.table(val) if kind == "table" else spark.read.parquet(val)
-
-    return RetailModel(**{name: read(ref) for name, ref in where.items()})
+def open_store(spark: SparkSession, sf_dir: str) -> TableStore:
+    """The warehouse store for ``sf_dir``: built on first use in this session,
+    then reused (the sources are immutable)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    root = _BUILT.get(key)
+    if root is None:
+        store = build_warehouse(spark, bind_model(spark, sf_dir), max_lines_per_order=LINE_SLOTS - 1)
+        _BUILT[key] = store.root
+        return store
+    return TableStore(spark, root)
 
 
-def _still_there(spark: SparkSession, where: dict[str, str]) -> bool:
-    for ref in where.values():
-        kind, val = ref.split(":", 1)
-        if kind == "table" and not spark.catalog.tableExists(val):
-            return False
-    return True
+def store_model(store: TableStore) -> RetailModel:
+    return RetailModel(**{name: store.read(name) for name in RetailModel.__dataclass_fields__})
 
 
 def open_warehouse(spark: SparkSession, sf_dir: str) -> RetailModel:
-    """The stored model for ``sf_dir``: built on first use in this session,
-    then read from the written tables."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    hit = _BUILT.get(key)
-    if hit is None or not _still_there(spark, hit[1]):
-        where = build_warehouse(spark, bind_model(spark, sf_dir), max_lines_per_order=LINE_SLOTS - 1)
-        _BUILT[key] = ("", where)
-        hit = _BUILT[key]
-    return _load(spark, hit[1])
+    """The stored model for ``sf_dir`` (see ``open_store``)."""
+    return store_model(open_store(spark, sf_dir))

@@ -28,6 +28,16 @@ from martwell.operators.quality import range_partition
 
 # Separator of the batch folders of an append-only table in a manifest row.
 PATH_SEP = "|"
+# Manifest prefix of a bucketed version: "bucketed:<n>:<key>:<path>".
+BUCKETED_REF = "bucketed:"
+
+
+def _catalog_name(path: str) -> str:
+    """Session catalog name of a bucketed version (bucket specs live in the
+    catalog, so a bucketed read goes through a table)."""
+    import hashlib
+
+    return "mw_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 
 MANIFEST_SCHEMA = T.StructType(
     [T.StructField("table_name", T.StringType()), T.StructField("path", T.StringType())]
@@ -89,15 +99,42 @@ class TableStore:
 
     # -- data ------------------------------------------------------------------------
 
+    def _new_path(self, name: str) -> str:
+        return f"{self.root}/tables/{name}/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+
     def stage(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write a new, not yet visible version of ``name``; returns its path."""
-        path = f"{self.root}/tables/{name}/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+        path = self._new_path(name)
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         return path
 
+    def stage_bucketed(self, name: str, df: DataFrame, key: str, buckets: int) -> str:
+        """Write a new version bucketed and sorted by ``key`` (S8).  Rows are
+        hash-partitioned into exactly ``buckets`` partitions first (the same
+        hash as bucketing), so each task writes one file.  The manifest entry
+        records the bucket spec, so any session can register the table again."""
+        path = self._new_path(name)
+        (
+            df.repartition(buckets, key)
+            .write.mode("errorifexists")
+            .option("path", path)
+            .bucketBy(buckets, key)
+            .sortBy(key)
+            .saveAsTable(_catalog_name(path))
+        )
+        return f"{BUCKETED_REF}{buckets}:{key}:{path}"
+
+    def clone(self, root: str) -> "TableStore":
+        """A branch at ``root`` that starts from this store's current tables.
+        Only the manifest is written: versions are immutable, so the branch
+        shares their files until it publishes versions of its own."""
+        branch = TableStore(self.spark, root)
+        branch.publish(self.current())
+        return branch
+
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         path = self.stage(name, df, partition_by)
         self.publish({name: path})
@@ -122,7 +159,19 @@ class TableStore:
         cur = self.current()
         if name not in cur:
             raise KeyError(f"no table {name!r}")
-        return self.spark.read.parquet(*cur[name].split(PATH_SEP))
+        ref = cur[name]
+        if ref.startswith(BUCKETED_REF):
+            n, key, path = ref[len(BUCKETED_REF):].split(":", 2)
+            table = _catalog_name(path)
+            if not self.spark.catalog.tableExists(table):
+                schema = self.spark.read.parquet(path).schema
+                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+                self.spark.sql(
+                    f"CREATE TABLE {table} ({cols}) USING parquet CLUSTERED BY (`{key}`) "
+                    f"SORTED BY (`{key}`) INTO {int(n)} BUCKETS LOCATION '{path}'"
+                )
+            return self.spark.table(table)
+        return self.spark.read.parquet(*ref.split(PATH_SEP))
 
     def list_tables(self) -> list[str]:
         """Table names, sorted."""

@@ -101,8 +101,8 @@ def test_hot_order_disables_line_bucketing(spark):
     m = make_model(spark, orders=orders, items=items)
     buckets, bucket_lines, top = plan_layout(m.order_items, buckets=16)
     assert (bucket_lines, top) == (False, 200)
-    where = build_warehouse(spark, m, new_scratch_dir(spark, "t-hot"), buckets=16)
-    assert where["order_items"].startswith("path:") and where["orders"].startswith("path:")
+    refs = build_warehouse(spark, m, new_scratch_dir(spark, "t-hot"), buckets=16).current()
+    assert not refs["order_items"].startswith("bucketed:") and not refs["orders"].startswith("bucketed:")
     calm = make_model(spark, orders=orders, items=[(i, f"o{i - i % 2}", "p", Decimal("1")) for i in range(400)])
     assert plan_layout(calm.order_items, buckets=16)[1] is True
 
@@ -115,14 +115,13 @@ def test_hot_order_join_is_split_by_aqe(spark):
 
     from pyspark.sql import functions as F
 
-    from martwell.plans.warehouse import _load, build_warehouse
+    from martwell.plans.warehouse import build_warehouse, store_model
     from tests.test_edges import make_model
 
     items = [(i, "hot" if i % 3 else f"o{i}", "p", Decimal("1")) for i in range(30000)]
     orders = [("hot", date(2020, 1, 1))] + [(f"o{i}", date(2020, 1, 1)) for i in range(0, 30000, 3)]
     m = make_model(spark, orders=orders, items=items)
-    where = build_warehouse(spark, m, new_scratch_dir(spark, "t-hot2"), buckets=16)
-    w = _load(spark, where)
+    w = store_model(build_warehouse(spark, m, new_scratch_dir(spark, "t-hot2"), buckets=16))
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
