@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from martwell.functions import routines
 from martwell.operators import audit, lookups, maintenance, normalize, quality, ranking, reports
+from martwell.plans import pipeline
 from martwell.plans.render import for_compare
 from martwell.session import new_scratch_dir
 from martwell.sources import storage
@@ -603,3 +604,28 @@ def q_audit_log_after_two_updates(spark, sf_dir):
     maintenance.commit_line_change(store, maintenance.increase_sales(store.read("order_items"), RAISE_PERCENT))
     maintenance.commit_line_change(store, maintenance.add_to_line(store.read("order_items"), LINE_ROW_ID, LINE_AMOUNT))
     return store.read("sales_audit").drop("changed_at")
+
+
+# ---- end-to-end load (S1 -> Q -> P -> S2) ------------------------------------------------
+
+
+def _pipeline(spark, sf_dir, strict: bool, ranges):
+    m = model_of(spark, sf_dir)
+    csv = write_staging_csv(staging_frame(m), new_scratch_dir(spark, "feed"))
+    tags = m.product_tags.select(F.col("product_id").cast("string"), "tags")
+    profiles = m.customer_profiles.select(F.col("customer_id").cast("string"), "profile")
+    return pipeline.run_pipeline(spark, csv, tags, profiles, strict=strict, year_ranges=ranges)
+
+
+@register("pipeline_revenue_by_region_category")
+def q_pipeline_revenue_by_region_category(spark, sf_dir):
+    """S1 + P1-P5 + Q1-Q6 (strict) + S2, then A1 on the loaded warehouse."""
+    result = _pipeline(spark, sf_dir, strict=True, ranges=None)
+    return reports.revenue_by_region_category(store_model(result.store))
+
+
+@register("pipeline_load_checks")
+def q_pipeline_load_checks(spark, sf_dir):
+    """The load's check report (violation count per check), including the
+    yearly ranges of the partitioned order table."""
+    return _pipeline(spark, sf_dir, strict=False, ranges=YEAR_RANGES).checks

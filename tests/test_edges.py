@@ -429,3 +429,21 @@ def test_order_count_single_and_set(spark):
     assert rows(routines.order_count_of(m, "C9")) == [(0,)]
     asked = spark.createDataFrame([("C1",), ("C9",)], "customer_id string")
     assert rows(routines.customer_order_count(m, asked)) == [("C1", 2), ("C9", 0)]
+
+
+def test_strict_pipeline_refuses_bad_rows(spark):
+    from martwell.plans.pipeline import run_pipeline
+    from martwell.session import new_scratch_dir
+    from martwell.sources.storage import TableStore
+
+    good = "1,A-1,8/11/2016,11/11/2016,First Class,C1,Bob,Consumer,US,X,S,1,West,P1,F,B,Chair,10\n"
+    bad_date = "2,A-2,31/02/2016,11/11/2016,First Class,C1,Bob,Consumer,US,X,S,1,West,P1,F,B,Chair,10\n"
+    tags = spark.createDataFrame([], "product_id string, tags array<string>")
+    profiles = spark.createDataFrame([], "customer_id string, profile string")
+    root = new_scratch_dir(spark, "t-pipe")
+    with pytest.raises(quality.ConstraintViolation, match="date_text=1"):
+        run_pipeline(spark, _csv(good + bad_date), tags, profiles, root=root)
+    assert TableStore(spark, root).list_tables() == []  # nothing published
+    ok = run_pipeline(spark, _csv(good), tags, profiles, root=new_scratch_dir(spark, "t-pipe"))
+    assert dict(rows(ok.checks)) == {"pk": 0, "fk": 0, "length": 0, "amount": 0, "date_text": 0}
+    assert "orders" in ok.store.list_tables() and "staging" in ok.store.list_tables()
