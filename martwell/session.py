@@ -69,8 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory, setting one only if unset.
 
     On a cluster the deployment names a shared folder in
-    ``spark.checkpoint.dir``; that is always used.  Only a session without one
-    (local tests) gets a fresh private folder under the system temp dir.
+    ``spark.checkpoint.dir``; that is always used.  Only a local-mode session
+    without one (tests) gets a fresh private folder under the system temp
+    dir; a cluster session without one is an error, because a machine-local
+    folder is invisible to the other executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -80,6 +82,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         conf_dir = tempfile.mkdtemp(prefix="martwell-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
