@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from martwell.session import new_scratch_dir
 from martwell.sources.model import RetailModel
-from martwell.sources.storage import TableStore
+from martwell.sources.storage import TableStore, run_parallel
 from martwell.sources.testdata import LINE_SLOTS, bind_model
 
 _BUILT: dict[tuple[str, str], str] = {}
@@ -59,26 +59,29 @@ def plan_layout(items: DataFrame, buckets: int | None = None) -> tuple[int, bool
 
 def build_warehouse(
     spark: SparkSession, model: RetailModel, root: str | None = None, buckets: int | None = None,
-    max_lines_per_order: int | None = None,
+    max_lines_per_order: int | None = None, jobs: int = 4,
 ) -> TableStore:
     """Write every model table (from the test binding or from staging
-    normalisation) into a new versioned store and publish them together."""
+    normalisation) into a new versioned store, up to ``jobs`` tables at a
+    time, and publish them together."""
     store = TableStore(spark, root or new_scratch_dir(spark, "warehouse"))
     buckets, bucket_lines, top = plan_layout(model.order_items, buckets)
     if max_lines_per_order is not None and top > max_lines_per_order:
         raise ValueError(f"an order has {top} lines; line keys allow {max_lines_per_order}")
-    refs: dict[str, str] = {}
-    for name, df in model.tables().items():
+    def write(item: tuple[str, DataFrame]) -> str:
+        name, df = item
         if name in FACTS and bucket_lines:
-            refs[name] = store.stage_bucketed(name, df, "order_id", buckets)
-        elif name in FACTS:
+            return store.stage_bucketed(name, df, "order_id", buckets)
+        if name in FACTS:
             # hot order present: neither fact is bucketed, so the fact join
             # shuffles both sides and AQE can split the hot partition (its
             # skew handling needs a shuffle on both sides).  No shuffle at
             # write time; order ids are clustered within each file.
-            refs[name] = store.stage(name, df.sortWithinPartitions("order_id"))
-        else:
-            refs[name] = store.stage(name, df)
+            return store.stage(name, df.sortWithinPartitions("order_id"))
+        return store.stage(name, df)
+
+    items = list(model.tables().items())
+    refs = dict(zip([n for n, _ in items], run_parallel(write, items, jobs)))
     store.publish(refs)
     return store
 

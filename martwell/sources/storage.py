@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -257,17 +258,31 @@ def content_hash(df: DataFrame) -> DataFrame:
     )
 
 
-def snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str, ts: str | None = None) -> str:
+def run_parallel(fn, items, jobs: int):
+    """Run one Spark job per item from up to ``jobs`` driver threads (the
+    scheduler runs them side by side; each job is still spread over the
+    cluster).  Results keep the order of ``items``."""
+    with ThreadPoolExecutor(max_workers=max(1, jobs)) as pool:
+        return list(pool.map(fn, items))
+
+
+def snapshot(
+    spark: SparkSession, tables: dict[str, DataFrame], root: str, ts: str | None = None, jobs: int = 4
+) -> str:
     """Copy every table to ``<root>/ts=<ts>/<table>`` and record a
-    manifest (table, rows, schema, content hash) computed from the copies."""
+    manifest (table, rows, schema, content hash) computed from the copies.
+    Up to ``jobs`` tables are copied at the same time."""
     ts = ts or time.strftime("%Y%m%d%H%M%S") + f"{int(time.time() * 1000) % 1000:03d}"
     base = f"{root.rstrip('/')}/ts={ts}"
-    rows = []
-    for name, df in tables.items():
+
+    def copy(item):
+        name, df = item
         df.write.mode("errorifexists").parquet(f"{base}/{name}")
         written = spark.read.parquet(f"{base}/{name}")
         h = content_hash(written).first()
-        rows.append((name, int(h.n_rows), written.schema.json(), h.content_hash or "0"))
+        return (name, int(h.n_rows), written.schema.json(), h.content_hash or "0")
+
+    rows = run_parallel(copy, list(tables.items()), jobs)
     spark.createDataFrame(
         rows, "table_name string, n_rows long, schema_json string, content_hash string"
     ).coalesce(1).write.mode("errorifexists").json(f"{root.rstrip('/')}/_snapshots/ts={ts}")
@@ -279,20 +294,25 @@ def latest_snapshot(spark: SparkSession, root: str) -> str:
     return str(m.agg(F.max(F.col("ts").cast("string"))).first()[0])
 
 
-def restore(spark: SparkSession, root: str, target: TableStore, ts: str | None = None) -> DataFrame:
+def restore(spark: SparkSession, root: str, target: TableStore, ts: str | None = None, jobs: int = 4) -> DataFrame:
     """Load the newest (or given) snapshot into ``target`` -- each table
-    a new version, published in one commit -- and verify rows and content hash
-    against the snapshot manifest.  Returns (table_name, n_rows, restored_equal)."""
+    a new version, up to ``jobs`` at a time, published in one commit -- and
+    verify rows and content hash against the snapshot manifest.  Returns
+    (table_name, n_rows, restored_equal)."""
     ts = ts or latest_snapshot(spark, root)
-    manifest = spark.read.json(f"{root.rstrip('/')}/_snapshots/ts={ts}").collect()
-    paths = {}
-    for m in manifest:
+    manifest = spark.read.json(f"{root.rstrip('/')}/_snapshots/ts={ts}").collect()  # one row per table
+
+    def load(m):
         schema = T.StructType.fromJson(json.loads(m.schema_json))
-        paths[m.table_name] = target.stage(m.table_name, spark.read.schema(schema).parquet(f"{root}/ts={ts}/{m.table_name}"))
+        return target.stage(m.table_name, spark.read.schema(schema).parquet(f"{root}/ts={ts}/{m.table_name}"))
+
+    paths = dict(zip([m.table_name for m in manifest], run_parallel(load, manifest, jobs)))
     target.publish(paths)
-    out = []
-    for m in manifest:
+
+    def verify(m):
         h = content_hash(target.read(m.table_name)).first()
         equal = int(h.n_rows) == int(m.n_rows) and (h.content_hash or "0") == m.content_hash
-        out.append((m.table_name, int(h.n_rows), bool(equal)))
+        return (m.table_name, int(h.n_rows), bool(equal))
+
+    out = run_parallel(verify, manifest, jobs)
     return spark.createDataFrame(out, "table_name string, n_rows long, restored_equal boolean")
