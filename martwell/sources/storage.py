@@ -41,8 +41,13 @@ def _catalog_name(path: str) -> str:
     return "mw_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 
 MANIFEST_SCHEMA = T.StructType(
-    [T.StructField("table_name", T.StringType()), T.StructField("path", T.StringType())]
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("writer", T.StringType()),
+    ]
 )
+MANIFEST_READ_SCHEMA = T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("seq", T.LongType())])
 
 
 class TableStore:
@@ -56,24 +61,26 @@ class TableStore:
 
     def _manifest_all(self) -> DataFrame | None:
         try:
-            return self.spark.read.schema(
-                T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("seq", T.LongType())])
-            ).json(f"{self.root}/_manifest")
+            return self.spark.read.schema(MANIFEST_READ_SCHEMA).json(f"{self.root}/_manifest")
         except AnalysisException:
             return None
 
     def refresh(self) -> tuple[int, dict[str, str]]:
         """Read the newest published manifest (a few rows) into this handle.
         Readers keep that snapshot until they refresh or publish, so a report
-        sees one consistent set of table versions."""
+        sees one consistent set of table versions.  If two writers ever land
+        in the same sequence number, the smaller writer token wins for every
+        reader, and the other writer retries."""
         m = self._manifest_all()
-        seq, cur = 0, {}
+        seq, cur, token = 0, {}, None
         if m is not None:
             rows = m.collect()
             if rows:
                 seq = max(int(r.seq) for r in rows)
-                cur = {r.table_name: r.path for r in rows if int(r.seq) == seq}
+                token = min(r.writer for r in rows if int(r.seq) == seq)
+                cur = {r.table_name: r.path for r in rows if int(r.seq) == seq and r.writer == token}
         self._state = (seq, cur)
+        self._winner = token
         return self._state
 
     def current(self) -> dict[str, str]:
@@ -81,21 +88,29 @@ class TableStore:
         state = getattr(self, "_state", None) or self.refresh()
         return dict(state[1])
 
-    def publish(self, paths: dict[str, str], retries: int = 5) -> int:
-        """Make new versions current together (one manifest commit)."""
+    def publish(self, paths: dict[str, str], retries: int = 8) -> int:
+        """Make new versions current together (one manifest commit).
+
+        Optimistic: write sequence n+1 with ``errorifexists``; then re-read
+        and confirm this writer won n+1, otherwise retry on top of the
+        winner."""
+        token = uuid.uuid4().hex
         for _ in range(retries):
             seq, cur = self.refresh()
             cur = dict(cur)
             cur.update(paths)
-            rows = [(k, v) for k, v in sorted(cur.items())]
+            rows = [(k, v, token) for k, v in sorted(cur.items())]
             try:
                 self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").json(
                     f"{self.root}/_manifest/seq={seq + 1}"
                 )
-                self._state = (seq + 1, cur)
-                return seq + 1
             except AnalysisException:
-                time.sleep(0.2)  # another writer took this number; retry on top of it
+                time.sleep(0.2)  # the number is taken; retry on top of it
+                continue
+            self.refresh()
+            if self._winner == token:
+                return seq + 1
+            time.sleep(0.2)
         raise RuntimeError("could not publish manifest")
 
     # -- data ------------------------------------------------------------------------
@@ -103,8 +118,14 @@ class TableStore:
     def _new_path(self, name: str) -> str:
         return f"{self.root}/tables/{name}/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
 
-    def stage(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
-        """Write a new, not yet visible version of ``name``; returns its path."""
+    def stage(self, name: str, df: DataFrame, partition_by: list[str] | None = None, keep_layout: bool = True) -> str:
+        """Write a new, not yet visible version of ``name``; returns its path.
+        A table that is bucketed now stays bucketed the same way, so later
+        joins keep their shuffle-free plan."""
+        ref = self.current().get(name, "") if keep_layout else ""
+        if ref.startswith(BUCKETED_REF) and not partition_by:
+            n, key, _ = ref[len(BUCKETED_REF):].split(":", 2)
+            return self.stage_bucketed(name, df, key, int(n))
         path = self._new_path(name)
         w = df.write.mode("errorifexists")
         if partition_by:
