@@ -44,7 +44,7 @@ def test_scalable_rank_moves_no_rows_to_one_partition(model_small, no_broadcast)
     single = [line for line in p.splitlines() if "SinglePartition" in line]
     # only the per-range offsets (a handful of rows) are ordered in one partition
     assert len(single) == 1
-    plain = plan(ranking.customer_rank(model_small))
+    plain = plan(ranking.customer_rank_single_partition(model_small))
     assert "SinglePartition" in plain
 
 
