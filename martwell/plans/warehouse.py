@@ -57,17 +57,16 @@ def plan_layout(items: DataFrame, buckets: int | None = None) -> tuple[int, bool
     return buckets, not hot, top
 
 
-def build_warehouse(
-    spark: SparkSession, model: RetailModel, root: str | None = None, buckets: int | None = None,
+def stage_warehouse(
+    store: TableStore, model: RetailModel, buckets: int | None = None,
     max_lines_per_order: int | None = None, jobs: int = 4,
-) -> TableStore:
-    """Write every model table (from the test binding or from staging
-    normalisation) into a new versioned store, up to ``jobs`` tables at a
-    time, and publish them together."""
-    store = TableStore(spark, root or new_scratch_dir(spark, "warehouse"))
+) -> dict[str, str]:
+    """Write every model table as a new, not yet published version (up to
+    ``jobs`` tables at a time); returns table -> version reference."""
     buckets, bucket_lines, top = plan_layout(model.order_items, buckets)
     if max_lines_per_order is not None and top > max_lines_per_order:
         raise ValueError(f"an order has {top} lines; line keys allow {max_lines_per_order}")
+
     def write(item: tuple[str, DataFrame]) -> str:
         name, df = item
         if name in FACTS and bucket_lines:
@@ -77,12 +76,25 @@ def build_warehouse(
             # shuffles both sides and AQE can split the hot partition (its
             # skew handling needs a shuffle on both sides).  No shuffle at
             # write time; order ids are clustered within each file.
-            return store.stage(name, df.sortWithinPartitions("order_id"))
-        return store.stage(name, df)
+            return store.stage(name, df.sortWithinPartitions("order_id"), keep_layout=False)
+        return store.stage(name, df, keep_layout=False)
 
     items = list(model.tables().items())
-    refs = dict(zip([n for n, _ in items], run_parallel(write, items, jobs)))
-    store.publish(refs)
+    return dict(zip([n for n, _ in items], run_parallel(write, items, jobs)))
+
+
+def staged_model(store: TableStore, refs: dict[str, str]) -> RetailModel:
+    return RetailModel(**{name: store.read_ref(refs[name]) for name in RetailModel.__dataclass_fields__})
+
+
+def build_warehouse(
+    spark: SparkSession, model: RetailModel, root: str | None = None, buckets: int | None = None,
+    max_lines_per_order: int | None = None, jobs: int = 4,
+) -> TableStore:
+    """Write every model table (from the test binding or from staging
+    normalisation) into a new versioned store and publish them together."""
+    store = TableStore(spark, root or new_scratch_dir(spark, "warehouse"))
+    store.publish(stage_warehouse(store, model, buckets, max_lines_per_order, jobs))
     return store
 
 

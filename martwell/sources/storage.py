@@ -181,7 +181,10 @@ class TableStore:
         cur = self.current()
         if name not in cur:
             raise KeyError(f"no table {name!r}")
-        ref = cur[name]
+        return self.read_ref(cur[name])
+
+    def read_ref(self, ref: str) -> DataFrame:
+        """Read a version by its reference (published or only staged)."""
         if ref.startswith(BUCKETED_REF):
             n, key, path = ref[len(BUCKETED_REF):].split(":", 2)
             table = _catalog_name(path)
