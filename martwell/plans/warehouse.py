@@ -18,6 +18,7 @@ source folder (the sources are immutable); a new session builds again.
 from __future__ import annotations
 
 import math
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from martwell.sources.storage import TableStore, run_parallel
 from martwell.sources.testdata import LINE_SLOTS, bind_model
 
 _BUILT: dict[tuple[str, str], str] = {}
+_BUILD_LOCK = threading.Lock()
 FACTS = ("orders", "order_items")
 
 # Rows of the narrow line fact per bucket (~128-256 MB of Parquet).
@@ -102,11 +104,12 @@ def open_store(spark: SparkSession, sf_dir: str) -> TableStore:
     """The warehouse store for ``sf_dir``: built on first use in this session,
     then reused (the sources are immutable)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    root = _BUILT.get(key)
-    if root is None:
-        store = build_warehouse(spark, bind_model(spark, sf_dir), max_lines_per_order=LINE_SLOTS - 1)
-        _BUILT[key] = store.root
-        return store
+    with _BUILD_LOCK:  # callers in several threads build once
+        root = _BUILT.get(key)
+        if root is None:
+            store = build_warehouse(spark, bind_model(spark, sf_dir), max_lines_per_order=LINE_SLOTS - 1)
+            _BUILT[key] = store.root
+            return store
     return TableStore(spark, root)
 
 
