@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from martwell.functions.exprs import days_between, money_as_double, month_key, month_range
 from martwell.operators.ranking import top_n_per_group
+from martwell.operators.reports import revenue_per_product
 from martwell.sources.model import RetailModel
 
 # Customer status labels and day limits.
@@ -79,14 +80,12 @@ def top_products_of_month(model: RetailModel, year_month: str, n: int = DEFAULT_
     filter reaches the scan."""
     lo, hi = month_range(year_month)
     o = model.orders.where((F.col("order_date") >= lo) & (F.col("order_date") < hi)).select("order_id")
-    j = (
-        model.order_items.select("order_id", "product_id", "sales")
-        .join(o, "order_id")
-        .join(model.products.select("product_id", "product_name", "category"), "product_id")
-    )
+    lines = model.order_items.select("order_id", "product_id", "sales").join(o, "order_id")
+    per = revenue_per_product(lines, [])
+    j = per.join(model.products.select("product_id", "product_name", "category"), "product_id")
     return (
         j.groupBy("product_name", "category")
-        .agg(F.sum("sales").alias("rev"))
+        .agg(F.sum("_rev").alias("rev"))
         .orderBy(
             F.col("rev").desc_nulls_first(),
             F.col("product_name").asc_nulls_last(),
@@ -99,14 +98,13 @@ def top_products_of_month(model: RetailModel, year_month: str, n: int = DEFAULT_
 
 def top_products_all_months(model: RetailModel, n: int = DEFAULT_TOP_N) -> DataFrame:
     """Set form of F3: the top n of every month in one job."""
-    j = (
-        model.order_items.select("order_id", "product_id", "sales")
-        .join(model.orders.select("order_id", "order_date"), "order_id")
-        .join(model.products.select("product_id", "product_name", "category"), "product_id")
+    lines = model.order_items.select("order_id", "product_id", "sales").join(
+        model.orders.select("order_id", month_key("order_date").alias("order_month")), "order_id"
     )
-    per = j.groupBy(month_key("order_date").alias("order_month"), "product_name", "category").agg(
-        F.sum("sales").alias("rev")
+    j = revenue_per_product(lines, ["order_month"]).join(
+        model.products.select("product_id", "product_name", "category"), "product_id"
     )
+    per = j.groupBy("order_month", "product_name", "category").agg(F.sum("_rev").alias("rev"))
     order: list[Column] = [
         F.col("rev").desc_nulls_first(),
         F.col("product_name").asc_nulls_last(),
