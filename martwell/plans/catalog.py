@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from martwell.functions import routines
 from martwell.operators import audit, lookups, maintenance, normalize, quality, ranking, reports
-from martwell.plans import pipeline
+from martwell.plans import pipeline, sql_surface
 from martwell.plans.render import for_compare
 from martwell.session import new_scratch_dir
 from martwell.sources import storage
@@ -629,3 +629,42 @@ def q_pipeline_load_checks(spark, sf_dir):
     """The load's check report (violation count per check), including the
     yearly ranges of the partitioned order table."""
     return _pipeline(spark, sf_dir, strict=False, ranges=YEAR_RANGES).checks
+
+
+# ---- SQL surface (views and SQL-bodied functions by name) ------------------------------
+
+
+def _sql(spark, sf_dir, text):
+    sql_surface.register_sql(spark, model_of(spark, sf_dir))
+    return spark.sql(text)
+
+
+@register("sql_region_totals")
+def q_sql_region_totals(spark, sf_dir):
+    """F1 called from SQL for every region."""
+    return _sql(
+        spark, sf_dir, "SELECT region_name AS region, fn_total_sales_by_region(region_name) AS total_sales FROM regions"
+    )
+
+
+@register("sql_sales_trend_view")
+def q_sql_sales_trend_view(spark, sf_dir):
+    """A2 through its view name."""
+    return _sql(spark, sf_dir, "SELECT * FROM v_sales_trend")
+
+
+@register("sql_top_products_function")
+def q_sql_top_products_function(spark, sf_dir):
+    """F3 as a SQL table function."""
+    return _sql(spark, sf_dir, f"SELECT * FROM fn_top_products_by_month('{MONTH}', {TOP_N})")
+
+
+@register("sql_customer_functions")
+def q_sql_customer_functions(spark, sf_dir):
+    """F2 and F4 called from SQL for every customer."""
+    return _sql(
+        spark,
+        sf_dir,
+        "SELECT customer_id, fn_customer_order_count(customer_id) AS order_count, "
+        "fn_get_customer_status(customer_id) AS status FROM customers",
+    )
