@@ -609,9 +609,21 @@ def q_audit_log_after_two_updates(spark, sf_dir):
 # ---- end-to-end load (S1 -> Q -> P -> S2) ------------------------------------------------
 
 
+_FEEDS: dict[tuple[str, str], str] = {}
+
+
+def feed_of(spark, sf_dir) -> str:
+    """The flat CSV feed of the source tables (the files a load receives),
+    written once per session and source folder."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _FEEDS:
+        _FEEDS[key] = write_staging_csv(staging_frame(model_of(spark, sf_dir)), new_scratch_dir(spark, "feed"))
+    return _FEEDS[key]
+
+
 def _pipeline(spark, sf_dir, strict: bool, ranges):
     m = model_of(spark, sf_dir)
-    csv = write_staging_csv(staging_frame(m), new_scratch_dir(spark, "feed"))
+    csv = feed_of(spark, sf_dir)
     tags = m.product_tags.select(F.col("product_id").cast("string"), "tags")
     profiles = m.customer_profiles.select(F.col("customer_id").cast("string"), "profile")
     return pipeline.run_pipeline(spark, csv, tags, profiles, strict=strict, year_ranges=ranges)

@@ -62,10 +62,12 @@ def plan_layout(items: DataFrame, buckets: int | None = None) -> tuple[int, bool
 def stage_warehouse(
     store: TableStore, model: RetailModel, buckets: int | None = None,
     max_lines_per_order: int | None = None, jobs: int = 4,
+    layout: tuple[int, bool, int] | None = None,
 ) -> dict[str, str]:
     """Write every model table as a new, not yet published version (up to
-    ``jobs`` tables at a time); returns table -> version reference."""
-    buckets, bucket_lines, top = plan_layout(model.order_items, buckets)
+    ``jobs`` tables at a time); returns table -> version reference.
+    ``layout`` reuses a ``plan_layout`` result already computed."""
+    buckets, bucket_lines, top = layout or plan_layout(model.order_items, buckets)
     if max_lines_per_order is not None and top > max_lines_per_order:
         raise ValueError(f"an order has {top} lines; line keys allow {max_lines_per_order}")
 

@@ -69,3 +69,13 @@ def test_stream_equals_batch(spark, model_small):
     # a restart on the same checkpoint processes nothing twice
     triggers.run_file_stream(spark, src, triggers.CHANGE_SCHEMA, triggers.audit_stream, sink, ckpt, 1)
     assert spark.read.parquet(sink).count() == len(got)
+
+
+def test_ship_repair_stream_equals_batch(spark, model_small):
+    src = new_scratch_dir(spark, "test-orders-in")
+    model_small.orders.repartition(3).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    sink, ckpt = new_scratch_dir(spark, "test-orders-sink"), new_scratch_dir(spark, "test-ckpt")
+    triggers.run_file_stream(spark, src, schema, triggers.ship_repair_stream, sink, ckpt, 1)
+    got = rows(spark.read.parquet(sink), "order_id", "ship_date")
+    assert got == rows(audit.repair_ship_dates(model_small.orders), "order_id", "ship_date")
