@@ -21,10 +21,10 @@ from martwell.functions import routines
 from martwell.operators import audit, lookups, maintenance, normalize, quality, ranking, reports
 from martwell.plans import pipeline, sql_surface
 from martwell.plans.render import for_compare
+from martwell.plans.warehouse import open_store, open_warehouse, plan_layout, store_model
 from martwell.session import new_scratch_dir
 from martwell.sources import storage
 from martwell.sources.ingest import read_staging_csv, write_staging_csv
-from martwell.plans.warehouse import open_store, open_warehouse, store_model
 from martwell.sources.testdata import read_raw, staging_frame
 from martwell.streaming import triggers
 
@@ -47,6 +47,7 @@ def model_of(spark: SparkSession, sf_dir: str):
     once per session)."""
     return open_warehouse(spark, sf_dir)
 
+
 QUERIES: dict[str, QueryFn] = {}
 
 
@@ -364,7 +365,6 @@ OLD_SEGMENT, NEW_SEGMENT = "BUILDING", "CONSTRUCTION"
 LINE_ROW_ID, LINE_AMOUNT = 1001, Decimal("50")
 ERASE_IDS = [1, 2, 3, -1]
 FORCED_ORDER, FORCED_SHIP_DATE = 10, date(2010, 1, 1)
-BUCKETS = 8
 
 
 def _erase_ids(spark):
@@ -498,15 +498,17 @@ def q_partition_pruned_orders(spark, sf_dir):
 
 @register("bucketed_join_revenue")
 def q_bucketed_join_revenue(spark, sf_dir):
-    """Both facts bucketed by order_id; the join needs no shuffle.
-    Orders and revenue per ship mode."""
+    """Both facts written bucketed by order_id (bucket count sized from
+    the line count); the join needs no shuffle.  Orders and revenue per ship
+    mode."""
     m = model_of(spark, sf_dir)
+    buckets = plan_layout(m.order_items)[0]
     tag = uuid.uuid4().hex[:10]
     items = storage.write_bucketed(
-        m.order_items, f"mw_items_{tag}", new_scratch_dir(spark, "bucketed-items"), "order_id", BUCKETS
+        m.order_items, f"mw_items_{tag}", new_scratch_dir(spark, "bucketed-items"), "order_id", buckets
     )
     orders = storage.write_bucketed(
-        m.orders, f"mw_orders_{tag}", new_scratch_dir(spark, "bucketed-orders"), "order_id", BUCKETS
+        m.orders, f"mw_orders_{tag}", new_scratch_dir(spark, "bucketed-orders"), "order_id", buckets
     )
     j = items.join(orders, "order_id")
     return j.groupBy("ship_mode").agg(
