@@ -67,7 +67,7 @@ def length_violations(df: DataFrame, limits: dict[str, int], table_name: str, ke
         *[
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.length(F.rtrim(F.col(c).cast("string"))).alias("value_length"),
+                F.length(F.rtrim(F.col(c).cast("string"))).cast("long").alias("value_length"),
                 F.lit(n).alias("limit"),
             )
             for c, n in limits.items()
