@@ -15,6 +15,7 @@ version folder and no visible change.
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -48,6 +49,8 @@ MANIFEST_SCHEMA = T.StructType(
     ]
 )
 MANIFEST_READ_SCHEMA = T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("seq", T.LongType())])
+_SEQ = re.compile(r"/seq=(\d+)/")
+_TS = re.compile(r"/ts=(\d+)/")
 
 
 class TableStore:
@@ -59,26 +62,29 @@ class TableStore:
 
     # -- manifest ----------------------------------------------------------------------
 
-    def _manifest_all(self) -> DataFrame | None:
+    def _latest_seq(self) -> int:
+        """Highest committed sequence number, from the file listing only
+        (no manifest data is read; folders still being written hold only
+        hidden temporary files and are not listed)."""
         try:
-            return self.spark.read.schema(MANIFEST_READ_SCHEMA).json(f"{self.root}/_manifest")
+            files = self.spark.read.schema(MANIFEST_READ_SCHEMA).json(f"{self.root}/_manifest").inputFiles()
         except AnalysisException:
-            return None
+            return 0
+        seqs = [int(m.group(1)) for m in (_SEQ.search(f) for f in files) if m]
+        return max(seqs, default=0)
 
     def refresh(self) -> tuple[int, dict[str, str]]:
-        """Read the newest published manifest (a few rows) into this handle.
-        Readers keep that snapshot until they refresh or publish, so a report
-        sees one consistent set of table versions.  If two writers ever land
-        in the same sequence number, the smaller writer token wins for every
-        reader, and the other writer retries."""
-        m = self._manifest_all()
-        seq, cur, token = 0, {}, None
-        if m is not None:
-            rows = m.collect()
+        """Read the newest published manifest (one row per table) into this
+        handle.  Readers keep that snapshot until they refresh or publish, so
+        a report sees one consistent set of table versions.  If two writers
+        ever land in the same sequence number, the smaller writer token wins
+        for every reader, and the other writer retries."""
+        seq, cur, token = self._latest_seq(), {}, None
+        if seq:
+            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/_manifest/seq={seq}").collect()
             if rows:
-                seq = max(int(r.seq) for r in rows)
-                token = min(r.writer for r in rows if int(r.seq) == seq)
-                cur = {r.table_name: r.path for r in rows if int(r.seq) == seq and r.writer == token}
+                token = min(r.writer for r in rows)
+                cur = {r.table_name: r.path for r in rows if r.writer == token}
         self._state = (seq, cur)
         self._winner = token
         return self._state
@@ -314,8 +320,9 @@ def snapshot(
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> str:
-    m = spark.read.json(f"{root.rstrip('/')}/_snapshots")
-    return str(m.agg(F.max(F.col("ts").cast("string"))).first()[0])
+    """Newest snapshot stamp, from the listing of the snapshot manifests."""
+    files = spark.read.json(f"{root.rstrip('/')}/_snapshots").inputFiles()
+    return max(m.group(1) for m in (_TS.search(f) for f in files) if m)
 
 
 def restore(spark: SparkSession, root: str, target: TableStore, ts: str | None = None, jobs: int = 4) -> DataFrame:
