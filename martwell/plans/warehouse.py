@@ -62,7 +62,7 @@ def plan_layout(items: DataFrame, buckets: int | None = None) -> tuple[int, bool
 def stage_warehouse(
     store: TableStore, model: RetailModel, buckets: int | None = None,
     max_lines_per_order: int | None = None, jobs: int = 4,
-    layout: tuple[int, bool, int] | None = None,
+    layout: tuple[int, bool, int] | None = None, prepartitioned: tuple[str, ...] = (),
 ) -> dict[str, str]:
     """Write every model table as a new, not yet published version (up to
     ``jobs`` tables at a time); returns table -> version reference.
@@ -74,7 +74,7 @@ def stage_warehouse(
     def write(item: tuple[str, DataFrame]) -> str:
         name, df = item
         if name in FACTS and bucket_lines:
-            return store.stage_bucketed(name, df, "order_id", buckets)
+            return store.stage_bucketed(name, df, "order_id", buckets, prepartitioned=name in prepartitioned)
         if name in FACTS:
             # hot order present: neither fact is bucketed, so the fact join
             # shuffles both sides and AQE can split the hot partition (its
@@ -109,7 +109,16 @@ def open_store(spark: SparkSession, sf_dir: str) -> TableStore:
     with _BUILD_LOCK:  # callers in several threads build once
         root = _BUILT.get(key)
         if root is None:
-            store = build_warehouse(spark, bind_model(spark, sf_dir), max_lines_per_order=LINE_SLOTS - 1)
+            store = TableStore(spark, new_scratch_dir(spark, "warehouse"))
+            layout = plan_layout(bind_model(spark, sf_dir).order_items)
+            buckets, bucket_lines, _ = layout
+            # lines arrive hash-partitioned by order into the bucket count
+            model = bind_model(spark, sf_dir, fact_partitions=buckets if bucket_lines else None)
+            refs = stage_warehouse(
+                store, model, max_lines_per_order=LINE_SLOTS - 1, layout=layout,
+                prepartitioned=("order_items",) if bucket_lines else (),
+            )
+            store.publish(refs)
             _BUILT[key] = store.root
             return store
     return TableStore(spark, root)

@@ -139,15 +139,19 @@ class TableStore:
         w.parquet(path)
         return path
 
-    def stage_bucketed(self, name: str, df: DataFrame, key: str, buckets: int) -> str:
+    def stage_bucketed(
+        self, name: str, df: DataFrame, key: str, buckets: int, prepartitioned: bool = False
+    ) -> str:
         """Write a new version bucketed and sorted by ``key`` (S8).  Rows are
         hash-partitioned into exactly ``buckets`` partitions first (the same
-        hash as bucketing), so each task writes one file.  The manifest entry
+        hash as bucketing), so each task writes one file; ``prepartitioned``
+        says the caller already did that on the same key.  The manifest entry
         records the bucket spec, so any session can register the table again."""
         path = self._new_path(name)
+        if not prepartitioned:
+            df = df.repartition(buckets, key)
         (
-            df.repartition(buckets, key)
-            .write.mode("errorifexists")
+            df.write.mode("errorifexists")
             .option("path", path)
             .bucketBy(buckets, key)
             .sortBy(key)
