@@ -539,8 +539,8 @@ def q_table_inventory(spark, sf_dir):
 
 @register("table_preview")
 def q_table_preview(spark, sf_dir):
-    """Preview of a listed table (n = 100)."""
-    return open_store(spark, sf_dir).preview("regions", 100)
+    """Preview of a listed table (n = 100), first rows by key."""
+    return open_store(spark, sf_dir).preview("orders", 100, order_by="order_id")
 
 
 @register("view_refresh")

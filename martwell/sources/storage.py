@@ -212,12 +212,17 @@ class TableStore:
         """Table names, sorted."""
         return sorted(self.current())
 
-    def preview(self, name: str, n: int = 100) -> DataFrame:
-        """First ``n`` (10..1000) rows of a listed table."""
+    def preview(self, name: str, n: int = 100, order_by: str | None = None) -> DataFrame:
+        """``n`` (10..1000) rows of a listed table.  With ``order_by``
+        the first n by that column (a top-k: each task keeps n rows, so the
+        table size does not matter); otherwise any n rows."""
         if name not in self.current():
             raise KeyError(f"no table {name!r}")
         n = max(10, min(1000, int(n)))
-        return self.read(name).limit(n)
+        df = self.read(name)
+        if order_by:
+            return df.orderBy(F.col(order_by).asc_nulls_last()).limit(n)
+        return df.limit(n)
 
     def refresh_view(self, name: str, definition: DataFrame) -> str:
         """M9: recompute a stored result and publish it; readers see the old
