@@ -8,6 +8,8 @@
     python -m martwell change erase --customer SO-20335 --root WAREHOUSE
     python -m martwell tables --root WAREHOUSE
     python -m martwell preview orders -n 100 --root WAREHOUSE
+    python -m martwell refresh --root WAREHOUSE
+    python -m martwell sql "SELECT * FROM mv_category_sales" --root WAREHOUSE
     python -m martwell snapshot --root WAREHOUSE --to BACKUPS
     python -m martwell restore --from BACKUPS --root NEW_WAREHOUSE
 
@@ -101,6 +103,15 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
     q.add_argument("--new", default=None)
     q.add_argument("--customer", nargs="*", default=[])
 
+    q = sub.add_parser("refresh", help="M9: recompute stored results")
+    q.add_argument("names", nargs="*")
+    q.add_argument("--root", required=True)
+
+    q = sub.add_parser("sql", help="run one SQL statement over the warehouse's tables, views and functions")
+    q.add_argument("statement")
+    q.add_argument("--root", required=True)
+    q.add_argument("--show", type=int, default=50)
+
     q = sub.add_parser("tables")
     q.add_argument("--root", required=True)
     q = sub.add_parser("preview")
@@ -154,6 +165,15 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
             )
         if "sales_audit" in store.refresh()[1]:
             store.read("sales_audit").orderBy(F.desc("audit_id")).limit(5).show(truncate=False)  # O3
+    elif a.cmd == "refresh":
+        from martwell.plans.sql_surface import refresh_materialized
+
+        print(refresh_materialized(store, a.names or None))
+    elif a.cmd == "sql":
+        from martwell.plans.sql_surface import register_sql
+
+        register_sql(spark, store_model(store), store)
+        spark.sql(a.statement).show(a.show, truncate=False)
     elif a.cmd == "tables":
         store.inventory().orderBy("table_name").show(200, truncate=False)
     elif a.cmd == "preview":

@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 from martwell.functions import routines
 from martwell.operators import reports
 from martwell.sources.model import RetailModel
+from martwell.sources.storage import TableStore
 
 # The view and function names of the warehouse's SQL surface.
 VIEW_SALES_BY_REGION_CATEGORY = "v_sales_by_region_category"
@@ -73,9 +74,28 @@ RETURN SELECT {status} FROM (
     ]
 
 
-def register_sql(spark: SparkSession, model: RetailModel) -> list[str]:
+# Stored results and the reports that define them (M9).
+MATERIALIZED = {
+    MV_CATEGORY_SALES: reports.category_revenue,
+    MV_STATE_CITY_SALES: reports.state_city_revenue,
+}
+
+
+def refresh_materialized(store: TableStore, names: list[str] | None = None) -> list[str]:
+    """M9: recompute stored results from the store's current tables and
+    publish them (one commit); readers see the previous contents until then."""
+    model = RetailModel(**{t: store.read(t) for t in RetailModel.__dataclass_fields__})
+    names = names or list(MATERIALIZED)
+    paths = {n: store.stage(n, MATERIALIZED[n](model)) for n in names}
+    store.publish(paths)
+    return names
+
+
+def register_sql(spark: SparkSession, model: RetailModel, store: TableStore | None = None) -> list[str]:
     """Register tables, views, stored results and functions; returns the
-    names registered."""
+    names registered.  With ``store``, stored results that have been
+    refreshed into it are served as stored (stale until the next refresh);
+    otherwise they are computed on read."""
     names = []
     for name, df in model.tables().items():
         df.createOrReplaceTempView(name)
@@ -85,9 +105,10 @@ def register_sql(spark: SparkSession, model: RetailModel) -> list[str]:
         VIEW_SALES_TREND: reports.revenue_by_month(model),
         VIEW_CUSTOMER_LIFETIME_VALUE: reports.customer_value(model),
         VIEW_DELAYED_SHIPMENTS: reports.shipping_delay(model),
-        MV_CATEGORY_SALES: reports.category_revenue(model),
-        MV_STATE_CITY_SALES: reports.state_city_revenue(model),
     }
+    stored = store.current() if store is not None else {}
+    for name, define in MATERIALIZED.items():
+        views[name] = store.read(name) if name in stored else define(model)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
         names.append(name)

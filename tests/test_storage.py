@@ -154,3 +154,27 @@ def test_cli_round_trip(spark, capsys):
     st = TableStore(spark, root)
     assert st.read("customers").where("customer_id in (1, 2)").count() == 0
     assert st.current()["order_items"].startswith("bucketed:")
+
+
+def test_materialized_results_stale_until_refresh(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from martwell.operators import maintenance
+    from martwell.plans.sql_surface import refresh_materialized, register_sql
+    from martwell.plans.warehouse import build_warehouse, store_model
+    from martwell.sources.testdata import bind_model
+
+    store = build_warehouse(spark, bind_model(spark, "/root/testdata/sf0.001"), new_scratch_dir(spark, "t-mv"))
+    refresh_materialized(store)
+    total = lambda: spark.sql("SELECT SUM(total_sales) AS s FROM mv_category_sales").first().s
+    register_sql(spark, store_model(store), store)
+    before = total()
+    maintenance.commit_line_change(store, maintenance.increase_sales(store.read("order_items"), Decimal("10")))
+    register_sql(spark, store_model(store), store)
+    assert total() == before  # stored result: stale
+    refresh_materialized(store)
+    register_sql(spark, store_model(store), store)
+    raised = store.read("order_items").agg(F.sum("sales")).first()[0]
+    assert round(total(), 2) == float(raised)
