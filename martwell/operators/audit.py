@@ -42,13 +42,16 @@ def repair_ship_dates(orders: DataFrame, touched: Column | None = None) -> DataF
     return orders.withColumn("ship_date", fixed)
 
 
-def number_audit_rows(audit: DataFrame, base_id: Column | int = 0, changed_at: Column | None = None) -> DataFrame:
+def number_audit_rows(
+    audit: DataFrame, base_id: Column | int = 0, changed_at: Column | None = None, stable_input: bool = False
+) -> DataFrame:
     """M8 + M7: give new audit rows ids after ``base_id`` in row_id order and a
     change time.  Positions come from the range-split global rank, so no
     single-partition sort; row ids are unique within one batch of changes,
-    so rank == position."""
+    so rank == position.  The batch is persisted before it is numbered
+    (``stable_input`` when the caller already read it back from files)."""
     base = F.lit(base_id) if isinstance(base_id, int) else base_id
-    ranked = global_rank(audit, "row_id", "_pos", descending=False, unique_values=True)
+    ranked = global_rank(audit, "row_id", "_pos", descending=False, unique_values=True, stable_input=stable_input)
     when = changed_at if changed_at is not None else F.localtimestamp()
     return ranked.select(
         (base + F.col("_pos")).cast("long").alias("audit_id"),

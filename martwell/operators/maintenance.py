@@ -141,5 +141,5 @@ def commit_line_change(store, changes: DataFrame, items: str = "order_items", au
     batch_path = store.stage("_audit_batch", audit_rows(changes))
     batch = spark.read.parquet(batch_path)
     base = next_audit_base(store.read(audit_log)) if audit_log in store.current() else F.lit(0).cast("long")
-    numbered_path = store.append(audit_log, number_audit_rows(batch, base))
+    numbered_path = store.append(audit_log, number_audit_rows(batch, base, stable_input=True))
     return store.publish({items: items_path, audit_log: store.appended_paths(audit_log, numbered_path)})

@@ -4,6 +4,7 @@ A global ``rank() OVER (ORDER BY x)`` without PARTITION BY makes Spark move
 every row into one partition.  ``global_rank`` computes the same numbers with
 the work spread out:
 
+0. write the input once (checkpoint), so every pass below reads the same rows;
 1. count rows per distinct value (partial aggregation: a value held by a third
    of all rows still leaves each task as one row);
 2. cut the distinct values into ranges with ``approxQuantile`` (the driver
@@ -51,19 +52,24 @@ def global_rank(
     ranges: int = DEFAULT_RANGES,
     rel_err: float = 0.001,
     unique_values: bool = False,
+    stable_input: bool = False,
 ) -> DataFrame:
     """``rank() over (order by value_col desc nulls first)`` (or ascending,
     nulls last) without a single-partition exchange of the rows.
 
     ``unique_values=True`` (keys such as row ids, where rank == position)
     skips the per-value counts: rows are split by range and numbered inside
-    their range, since no single value can make a range hot."""
-    base = df if unique_values else df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
-    if not unique_values:
-        # written once to the checkpoint folder: the quantiles, the range
-        # totals and the per-value ranks all read it instead of recomputing df
+    their range, since no single value can make a range hot.
+
+    The input is read several times (cut points, range totals, ranks); unless
+    ``stable_input`` says it was just read from files, it is written once to
+    the checkpoint folder first, so every read sees the same rows and values
+    even if recomputing them would not give identical bits (floating-point
+    sums, timestamps)."""
+    if not stable_input:
         ensure_checkpoint_dir(df.sparkSession)
-        base = base.checkpoint(eager=True)
+        df = df.checkpoint(eager=True)
+    base = df if unique_values else df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
     probs = [i / ranges for i in range(1, ranges)]
     edges = sorted(
         set(
