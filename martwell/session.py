@@ -25,8 +25,6 @@ SCALE_CONF = {
     "spark.sql.sources.bucketing.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
-    # MIN / MAX / COUNT from Parquet footers (e.g. the next audit id)
-    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
