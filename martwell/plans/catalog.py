@@ -297,12 +297,14 @@ def _range(spark, sf_dir):
     return quality.range_violations(m.orders, "order_date", "order_id", YEAR_RANGES, "orders")
 
 
-def _amount(spark, sf_dir):
-    return quality.amount_violations(_staging(spark, sf_dir), "sales", "row_id", "staging")
+def _amount(spark, sf_dir, staging=None):
+    st = staging if staging is not None else _staging(spark, sf_dir)
+    return quality.amount_violations(st, "sales", "row_id", "staging")
 
 
-def _date_text(spark, sf_dir):
-    return quality.date_text_violations(_staging(spark, sf_dir), ["order_date", "ship_date"], "row_id", "staging")
+def _date_text(spark, sf_dir, staging=None):
+    st = staging if staging is not None else _staging(spark, sf_dir)
+    return quality.date_text_violations(st, ["order_date", "ship_date"], "row_id", "staging")
 
 
 @register("pk_violations")
@@ -345,14 +347,15 @@ def q_date_text_violations(spark, sf_dir):
 def q_check_summary(spark, sf_dir):
     """Q1-Q6 violation counts, one row per check."""
     m = model_of(spark, sf_dir)
+    st = staging_frame(m)  # one staging plan shared by both text checks
     return quality.check_summary(
         {
             "pk": _pk_all(spark, sf_dir),
             "fk": quality.model_fk_violations(m),
             "length": quality.model_length_violations(m),
             "range": _range(spark, sf_dir),
-            "amount": _amount(spark, sf_dir),
-            "date_text": _date_text(spark, sf_dir),
+            "amount": _amount(spark, sf_dir, st),
+            "date_text": _date_text(spark, sf_dir, st),
         }
     )
 
