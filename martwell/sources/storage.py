@@ -7,13 +7,16 @@ Versions (N5).  A table's data lives in ``<root>/tables/<name>/<version>/``
 and is never overwritten.  Which version is current is recorded in a manifest
 dataset ``<root>/_manifest/seq=<n>/`` (one row per table); publishing writes
 the next sequence number with ``errorifexists``, so a commit is all-or-nothing
-for every table it names and two writers cannot both take the same number.
-Readers take the highest sequence.  A crash before publish leaves an unused
-version folder and no visible change.
+for every table it names.  Each commit carries a writer token; should two
+writers ever land in the same number, the smaller token wins for every reader
+and the other writer retries on top of it.  Readers take the highest sequence
+(found by listing, without reading older manifests).  A crash before publish
+leaves an unused version folder and no visible change.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import time
@@ -37,10 +40,9 @@ BUCKETED_REF = "bucketed:"
 def _catalog_name(path: str) -> str:
     """Session catalog name of a bucketed version (bucket specs live in the
     catalog, so a bucketed read goes through a table)."""
-    import hashlib
-
     return "mw_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 
+
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
@@ -113,12 +115,18 @@ class TableStore:
             except AnalysisException:
                 time.sleep(0.2)  # the number is taken; retry on top of it
                 continue
-            self.refresh()
-            if self._winner == token:
+            # won sequence n+1?  (judged on n+1 itself: a later commit built on
+            # top of ours must not make us publish our paths a second time)
+            if self._winner_of(seq + 1) == token:
+                self.refresh()
                 return seq + 1
             time.sleep(0.2)
         raise RuntimeError("could not publish manifest")
 
+    def _winner_of(self, seq: int) -> str | None:
+        rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/_manifest/seq={seq}").collect()
+        return min((r.writer for r in rows), default=None)
+
     # -- data ------------------------------------------------------------------------
 
     def _new_path(self, name: str) -> str:

@@ -178,3 +178,17 @@ def test_materialized_results_stale_until_refresh(spark):
     register_sql(spark, store_model(store), store)
     raised = store.read("order_items").agg(F.sum("sales")).first()[0]
     assert round(total(), 2) == float(raised)
+
+
+def test_commit_on_top_of_ours_is_not_overwritten(spark):
+    """Writer A commits; writer B commits on top of it; A's confirmation must
+    look at its own sequence and not re-publish over B."""
+    a = TableStore(spark, new_scratch_dir(spark, "t-store"))
+    a.write("t", spark.range(1))
+    b = TableStore(spark, a.root)
+    pa = a.stage("t", spark.range(2))
+    seq_a = a.publish({"t": pa})
+    b.refresh()
+    b.write("t", spark.range(3))
+    assert a._winner_of(seq_a) is not None
+    assert TableStore(spark, a.root).read("t").count() == 3
