@@ -179,7 +179,7 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
     elif a.cmd == "preview":
         store.preview(a.table, a.n).show(a.n, truncate=False)
     elif a.cmd == "snapshot":
-        print(storage.snapshot(spark, {t: store.read(t) for t in store.list_tables()}, a.to))
+        print(storage.snapshot_store(store, a.to))
     elif a.cmd == "restore":
         storage.restore(spark, a.src, store, a.ts).show(truncate=False)
     if stop:

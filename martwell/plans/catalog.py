@@ -529,7 +529,7 @@ def q_snapshot_roundtrip(spark, sf_dir):
     """S9 + S10: snapshot every table, restore the newest snapshot into a new
     store, verify rows and content hashes."""
     root = new_scratch_dir(spark, "snapshots")
-    storage.snapshot(spark, model_of(spark, sf_dir).tables(), root)
+    storage.snapshot_store(open_store(spark, sf_dir), root)
     target = storage.TableStore(spark, new_scratch_dir(spark, "restored"))
     return storage.restore(spark, root, target)
 

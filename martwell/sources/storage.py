@@ -188,7 +188,8 @@ class TableStore:
     def append(self, name: str, df: DataFrame) -> str:
         """Stage one more batch folder of an append-only table (M7); the
         table's version is the list of its committed batches, so an append
-        never rewrites earlier rows.  Publish with ``publish_appended``."""
+        never rewrites earlier rows.  Publish it as
+        ``publish({name: appended_paths(name, batch_path)})``."""
         return self.stage(name, df)
 
     def appended_paths(self, name: str, batch_path: str) -> str:
@@ -238,7 +239,7 @@ class TableStore:
         return self.write(name, definition)
 
     def inventory(self) -> DataFrame:
-        """S11 + S6: every table with its row count (one job per table)."""
+        """S11 + S6: every table with its row count (one union job)."""
         out = None
         for name in self.list_tables():
             row = self.read(name).agg(F.count(F.lit(1)).alias("n_rows")).select(
@@ -287,7 +288,14 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     ``buckets`` so one bucket file is ~128-512 MB.  The rows are first
     hash-partitioned on the key into ``buckets`` partitions (the same hash as
     bucketing), so each task writes one file instead of one per bucket."""
-    df.repartition(buckets, key).write.mode("errorifexists").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    (
+        df.repartition(buckets, key)
+        .write.mode("errorifexists")
+        .option("path", path)
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .saveAsTable(table)
+    )
     return df.sparkSession.table(table)
 
 
@@ -313,29 +321,55 @@ def run_parallel(fn, items, jobs: int):
         return list(pool.map(fn, items))
 
 
+SNAPSHOT_SCHEMA = "table_name string, n_rows long, schema_json string, content_hash string, layout string"
+
+
+def _layout_of(ref: str) -> str:
+    """'<n>:<key>' for a bucketed version reference, '' otherwise."""
+    if ref.startswith(BUCKETED_REF):
+        n, key, _ = ref[len(BUCKETED_REF):].split(":", 2)
+        return f"{n}:{key}"
+    return ""
+
+
 def snapshot(
-    spark: SparkSession, tables: dict[str, DataFrame], root: str, ts: str | None = None, jobs: int = 4
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    root: str,
+    ts: str | None = None,
+    jobs: int = 4,
+    layouts: dict[str, str] | None = None,
 ) -> str:
     """Copy every table to ``<root>/ts=<ts>/<table>`` and record a
-    manifest (table, rows, schema, content hash) computed from the copies.
-    Up to ``jobs`` tables are copied at the same time."""
+    manifest (table, rows, schema, content hash, bucket layout) computed from
+    the copies.  Up to ``jobs`` tables are copied at the same time.
+    ``layouts`` (table -> store reference) records which tables are bucketed,
+    so a restore lays them out the same way."""
     ts = ts or time.strftime("%Y%m%d%H%M%S") + f"{int(time.time() * 1000) % 1000:03d}"
     base = f"{root.rstrip('/')}/ts={ts}"
+    layouts = layouts or {}
 
     def copy(item):
         name, df = item
         df.write.mode("errorifexists").parquet(f"{base}/{name}")
         written = spark.read.parquet(f"{base}/{name}")
         h = content_hash(written).first()
-        return (name, int(h.n_rows), written.schema.json(), h.content_hash or "0")
+        layout = _layout_of(layouts.get(name, ""))
+        return (name, int(h.n_rows), written.schema.json(), h.content_hash or "0", layout)
 
     rows = run_parallel(copy, list(tables.items()), jobs)
-    spark.createDataFrame(
-        rows, "table_name string, n_rows long, schema_json string, content_hash string"
-    ).coalesce(1).write.mode("errorifexists").json(f"{root.rstrip('/')}/_snapshots/ts={ts}")
+    spark.createDataFrame(rows, SNAPSHOT_SCHEMA).coalesce(1).write.mode("errorifexists").json(
+        f"{root.rstrip('/')}/_snapshots/ts={ts}"
+    )
     return ts
 
 
+def snapshot_store(store: TableStore, root: str, ts: str | None = None, jobs: int = 4) -> str:
+    """S9 of a whole store: every current table, with its layout."""
+    cur = store.current()
+    return snapshot(store.spark, {t: store.read(t) for t in sorted(cur)}, root, ts, jobs, layouts=cur)
+
+
 def latest_snapshot(spark: SparkSession, root: str) -> str:
     """Newest snapshot stamp, from the listing of the snapshot manifests."""
     files = spark.read.json(f"{root.rstrip('/')}/_snapshots").inputFiles()
@@ -348,11 +382,17 @@ def restore(spark: SparkSession, root: str, target: TableStore, ts: str | None =
     verify rows and content hash against the snapshot manifest.  Returns
     (table_name, n_rows, restored_equal)."""
     ts = ts or latest_snapshot(spark, root)
-    manifest = spark.read.json(f"{root.rstrip('/')}/_snapshots/ts={ts}").collect()  # one row per table
+    manifest = (
+        spark.read.schema(SNAPSHOT_SCHEMA).json(f"{root.rstrip('/')}/_snapshots/ts={ts}").collect()
+    )  # one row per table
 
     def load(m):
         schema = T.StructType.fromJson(json.loads(m.schema_json))
-        return target.stage(m.table_name, spark.read.schema(schema).parquet(f"{root}/ts={ts}/{m.table_name}"))
+        df = spark.read.schema(schema).parquet(f"{root}/ts={ts}/{m.table_name}")
+        if m.layout:
+            n, key = m.layout.split(":", 1)
+            return target.stage_bucketed(m.table_name, df, key, int(n))
+        return target.stage(m.table_name, df, keep_layout=False)
 
     paths = dict(zip([m.table_name for m in manifest], run_parallel(load, manifest, jobs)))
     target.publish(paths)

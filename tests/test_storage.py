@@ -154,6 +154,13 @@ def test_cli_round_trip(spark, capsys):
     st = TableStore(spark, root)
     assert st.read("customers").where("customer_id in (1, 2)").count() == 0
     assert st.current()["order_items"].startswith("bucketed:")
+    backups, restored = new_scratch_dir(spark, "t-cli-bk"), new_scratch_dir(spark, "t-cli-rs")
+    main(["snapshot", "--root", root, "--to", backups], stop=False)
+    main(["restore", "--from", backups, "--root", restored], stop=False)
+    again = TableStore(spark, restored)
+    assert sorted(again.list_tables()) == sorted(st.list_tables())
+    assert again.current()["order_items"].startswith("bucketed:")
+    assert "false" not in capsys.readouterr().out
 
 
 def test_materialized_results_stale_until_refresh(spark):
@@ -192,3 +199,17 @@ def test_commit_on_top_of_ours_is_not_overwritten(spark):
     b.write("t", spark.range(3))
     assert a._winner_of(seq_a) is not None
     assert TableStore(spark, a.root).read("t").count() == 3
+
+
+def test_restore_keeps_bucket_layout(spark):
+    from martwell.sources.storage import restore, snapshot_store
+
+    store = TableStore(spark, new_scratch_dir(spark, "t-store"))
+    df = spark.range(40).withColumnRenamed("id", "order_id")
+    store.publish({"orders": store.stage_bucketed("orders", df, "order_id", 4), "plain": store.stage("plain", df)})
+    root = new_scratch_dir(spark, "t-snap")
+    snapshot_store(store, root)
+    target = TableStore(spark, new_scratch_dir(spark, "t-restored"))
+    assert all(r.restored_equal for r in restore(spark, root, target).collect())
+    assert target.current()["orders"].startswith("bucketed:4:order_id:")
+    assert not target.current()["plain"].startswith("bucketed:")
