@@ -71,12 +71,16 @@ def global_rank(
         df = df.checkpoint(eager=True)
     base = df if unique_values else df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
     probs = [i / ranges for i in range(1, ranges)]
-    edges = sorted(
-        set(
-            base.where(F.col(value_col).isNotNull())
-            .select(F.col(value_col).cast("double").alias(value_col))
-            .approxQuantile(value_col, probs, rel_err)
+    edges = (
+        sorted(
+            set(
+                base.where(F.col(value_col).isNotNull())
+                .select(F.col(value_col).cast("double").alias(value_col))
+                .approxQuantile(value_col, probs, rel_err)
+            )
         )
+        if probs
+        else []  # one range: no cut points
     )
     rng = _range_of(F.col(value_col), edges, descending)
     if not descending:
