@@ -29,3 +29,29 @@ def test_unique_positions_are_dense(spark, keys, ranges):
     df = spark.createDataFrame([(k,) for k in keys], "row_id long")
     got = {r.row_id: r.p for r in ranking.global_rank(df, "row_id", "p", descending=False, ranges=ranges, unique_values=True).collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    amounts=st.lists(st.decimals(min_value=-6_000_000_000, max_value=6_000_000_000, places=2, allow_nan=False), min_size=1, max_size=30),
+    percent=st.decimals(min_value=-50, max_value=50, places=2, allow_nan=False),
+)
+def test_raise_equals_exact_decimal_rounding(spark, amounts, percent):
+    from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+    from martwell.operators import audit, maintenance
+
+    items = spark.createDataFrame(
+        [(i, "o", "p", a) for i, a in enumerate(amounts)], "row_id long, order_id string, product_id string, sales decimal(12,2)"
+    )
+    changes = maintenance.increase_sales(items, percent)
+    got = {r.row_id: r.sales for r in changes.collect()}
+    with localcontext() as ctx:
+        ctx.prec = 50
+        want = {
+            i: (a + a * percent / Decimal(100)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+            for i, a in enumerate(amounts)
+        }
+    assert got == want
+    logged = {r.row_id for r in audit.audit_rows(changes).collect()}
+    assert logged == {i for i, a in enumerate(amounts) if want[i] != a}
