@@ -457,3 +457,15 @@ def test_rank_of_floating_sums_keeps_every_row(spark):
     ranked = ranking.global_rank(totals, "t", "r", ranges=9)
     assert ranked.count() == 997
     assert ranked.agg(F.min("r"), F.max("r")).first() == (1, 997)
+
+
+def test_rank_groups_by_name_homonyms_merge(spark):
+    m = make_model(
+        spark,
+        customers=[("C1", "Ann Lee", "Consumer"), ("C2", "Ann Lee", "Corporate"), ("C3", "Bo", "Consumer")],
+        orders=[("o1", date(2020, 1, 1), None, "C1"), ("o2", date(2020, 1, 1), None, "C2"),
+                ("o3", date(2020, 1, 1), None, "C3")],
+        items=[(1, "o1", "p", Decimal("4")), (2, "o2", "p", Decimal("4")), (3, "o3", "p", Decimal("6"))],
+    )
+    got = rows(ranking.customer_rank(m), "customer_name", "total_sales", "sales_rank")
+    assert got == [("Ann Lee", 8.0, 1), ("Bo", 6.0, 2)]
