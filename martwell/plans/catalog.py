@@ -685,3 +685,14 @@ def q_sql_customer_functions(spark, sf_dir):
         "SELECT customer_id, fn_customer_order_count(customer_id) AS order_count, "
         "fn_get_customer_status(customer_id) AS status FROM customers",
     )
+
+
+@register("stream_audit_log")
+def q_stream_audit_log(spark, sf_dir):
+    """T3 + M7 + M8: change files of the 5 % raise streamed into the versioned
+    audit log, each micro-batch committed exactly once with numbered ids."""
+    src = new_scratch_dir(spark, "changes")
+    triggers.changes_frame(_raise_changes(spark, sf_dir)).write.parquet(src)
+    store = _branch(spark, sf_dir)
+    triggers.run_audit_log_stream(spark, src, store, new_scratch_dir(spark, "ckpt"))
+    return store.read("sales_audit").drop("changed_at")

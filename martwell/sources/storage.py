@@ -185,6 +185,17 @@ class TableStore:
         paths = {name: self.stage(name, df) for name, df in tables.items()}
         return self.publish(paths)
 
+    def stage_tagged(self, name: str, df: DataFrame, tag: str) -> str:
+        """Stage a version whose folder name carries ``tag`` (used to make a
+        replayed stream batch recognisable)."""
+        path = f"{self.root}/tables/{name}/{tag}-{uuid.uuid4().hex[:8]}"
+        df.write.mode("errorifexists").parquet(path)
+        return path
+
+    def has_tag(self, name: str, tag: str) -> bool:
+        """Whether a committed version / batch of ``name`` carries ``tag``."""
+        return any(p.rsplit("/", 1)[-1].startswith(tag + "-") for p in self.current().get(name, "").split(PATH_SEP))
+
     def append(self, name: str, df: DataFrame) -> str:
         """Stage one more batch folder of an append-only table (M7); the
         table's version is the list of its committed batches, so an append

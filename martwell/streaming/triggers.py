@@ -3,8 +3,9 @@
 Both are stateless: each micro-batch is filtered / projected with the same
 column functions as the batch operators, and appended to a file sink.  The
 file sink plus checkpoint gives exactly-once output; a lost executor only
-re-runs its tasks.  Audit ids (M8) are given by a later batch step, because a
-stream cannot number rows globally without state.
+re-runs its tasks.  ``run_audit_log_stream`` instead appends each micro-batch
+to the versioned audit log with ids (M8) numbered after the highest existing
+one; a replayed micro-batch is recognised by its epoch and skipped.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from martwell.operators.audit import audit_rows, repaired_ship_date
+from martwell.operators.audit import audit_rows, next_audit_base, number_audit_rows, repaired_ship_date
+from martwell.sources.storage import TableStore
 
 CHANGE_SCHEMA = T.StructType(
     [
@@ -69,3 +71,47 @@ def changes_frame(items_changes: DataFrame) -> DataFrame:
     return items_changes.select(
         F.col("row_id").cast("long"), F.col("old_sales"), F.col("sales")
     )
+
+
+def commit_audit_batch(store: TableStore, changes: DataFrame, epoch_id: int, stream: str, log: str = "sales_audit") -> bool:
+    """T1 + M7 + M8 for one micro-batch: keep the real changes, write them,
+    number them after the highest audit id and append them to the audit log
+    in one manifest commit.  ``foreachBatch`` may replay a batch after a
+    failure; the batch folder is tagged with the stream name and epoch, and a
+    replayed epoch that is already committed is skipped, so every change is
+    logged exactly once.  Returns whether rows were committed."""
+    tag = f"{stream}-epoch{epoch_id}"
+    store.refresh()
+    if store.has_tag(log, tag):
+        return False
+    spark = changes.sparkSession
+    batch = spark.read.parquet(store.stage_tagged("_audit_batch", audit_rows(changes), tag))
+    base = next_audit_base(store.read(log)) if log in store.current() else F.lit(0).cast("long")
+    numbered = store.stage_tagged(log, number_audit_rows(batch, base, stable_input=True), tag)
+    store.publish({log: store.appended_paths(log, numbered)})
+    return True
+
+
+def run_audit_log_stream(
+    spark: SparkSession,
+    source_dir: str,
+    store: TableStore,
+    checkpoint_dir: str,
+    stream: str = "audit",
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """T3 into the versioned store: change files -> real changes -> numbered,
+    appended audit batches (exactly once per micro-batch, see
+    ``commit_audit_batch``)."""
+    reader = spark.readStream.schema(CHANGE_SCHEMA).format("parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    q = (
+        reader.load(source_dir)
+        .writeStream.foreachBatch(lambda df, epoch: commit_audit_batch(store, df, epoch, stream))
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return q
