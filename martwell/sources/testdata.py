@@ -162,11 +162,10 @@ def staging_frame(model: RetailModel) -> DataFrame:
     model, with dates rendered as d/M/yyyy text like the source files."""
     from martwell.sources.model import STAGING_SCHEMA
 
-    o = model.orders
-    c = model.customers
-    p = model.products
-    it = model.order_items
-    j = it.join(o, "order_id", "left").join(c, "customer_id", "left").join(p, "product_id", "left")
+    # customers are joined to orders first, so that join shuffles order rows,
+    # not line rows; the lines then meet their orders on the fact key
+    oc = model.orders.join(model.customers, "customer_id", "left")
+    j = model.order_items.join(oc, "order_id", "left").join(model.products, "product_id", "left")
     as_text = lambda col: F.col(col).cast("string")
     return j.select(
         F.col("row_id").cast("long").alias("row_id"),
