@@ -98,3 +98,29 @@ def scratch_root(spark: SparkSession) -> str:
 def new_scratch_dir(spark: SparkSession, tag: str) -> str:
     """A never-before-used folder below the scratch root."""
     return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_settings(total_cores: int, input_bytes: int) -> dict[str, str]:
+    """Partition sizing for a cluster run (pass to ``build_session(extra=...)``).
+
+    * scan splits of 256 MB (512 MB above 10 TB of input) keep the task count
+      of a 100 TB scan in the hundreds of thousands, not millions;
+    * the initial shuffle partition count lets a full shuffle of the input
+      land in ~256 MB partitions (never fewer than 3 per core); AQE then
+      coalesces small partitions to the 256 MB advisory size and splits
+      partitions above 1 GB that are 5x the median (skew);
+    * the broadcast threshold stays a size check (64 MB) -- larger sides are
+      shuffled, never forced into memory.
+    """
+    split = 512 if input_bytes > 10 * 1024**4 else 256
+    mb = 1024 * 1024
+    partitions = max(3 * total_cores, -(-input_bytes // (256 * mb)))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{split}m",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }

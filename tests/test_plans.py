@@ -143,3 +143,15 @@ def test_hot_order_join_is_split_by_aqe(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_cluster_settings_scale_with_input():
+    from martwell.session import cluster_settings
+
+    tb = 1024**4
+    big = cluster_settings(8000, 100 * tb)
+    small = cluster_settings(64, 10 * 1024**3)
+    assert big["spark.sql.files.maxPartitionBytes"] == "512m"
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * tb // (256 * 1024 * 1024)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192  # 3 per core floor
+    assert small["spark.sql.autoBroadcastJoinThreshold"] == "64m"
