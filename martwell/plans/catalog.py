@@ -245,10 +245,9 @@ def _staging(spark, sf_dir):
 
 @register("staging_from_csv")
 def q_staging_from_csv(spark, sf_dir):
-    """Flat staging rows written as CSV in the source dialect, then loaded
-    back by position with the staging schema."""
-    path = write_staging_csv(_staging(spark, sf_dir), new_scratch_dir(spark, "staging-csv"))
-    return read_staging_csv(spark, path)
+    """The flat CSV feed of the sources (written once per session in the
+    source dialect) loaded by position with the staging schema."""
+    return read_staging_csv(spark, feed_of(spark, sf_dir))
 
 
 @register("dim_region")
