@@ -4,8 +4,13 @@ The source tables are normalised once into the retail model and written:
 
 * dimensions (regions, customers, products) and side tables as Parquet;
 * both facts (orders, order_items) bucketed and sorted by ``order_id`` with
-  the same bucket count, so the fact join (J1) reads matching buckets with
-  no shuffle and no sort;
+  the same bucket count (sized from the line count by ``plan_layout``), so
+  the fact join (J1) reads matching buckets with no shuffle (each task only
+  sorts its own bucket); if one order is hot, both facts stay unbucketed and
+  AQE splits the hot partition of a shuffled join instead;
+* the line fact is shuffled once in the build: hash-partitioned by order
+  into the bucket count, which serves the line-position window and the
+  bucketed write alike;
 * ``order_date`` / ``ship_date`` stored as DATE, so date filters reach the
   Parquet reader, and the customer geography stored on the order, so reports
   do not re-join customer / nation / region.
@@ -45,9 +50,9 @@ def plan_layout(items: DataFrame, buckets: int | None = None) -> tuple[int, bool
     The count is sized from the line rows, never below the cluster's default
     parallelism.  Bucketing puts every line of an order into one file read
     by one task, and a bucketed scan cannot be split; so if one order holds
-    more than ``HOT_FACTOR`` times a bucket's share of the lines, the line
-    facts are stored unbucketed and the fact join becomes a shuffle join whose
-    hot partition AQE splits at run time.  Both numbers come from one narrow
+    more than ``HOT_FACTOR`` times a bucket's share of the lines, both facts
+    are stored unbucketed and the fact join becomes a shuffle join whose hot
+    partition AQE splits at run time.  Both numbers come from one narrow
     aggregation (order id only, combined map-side)."""
     spark = items.sparkSession
     per_order = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
