@@ -155,3 +155,10 @@ def test_cluster_settings_scale_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * tb // (256 * 1024 * 1024)
     assert int(small["spark.sql.shuffle.partitions"]) == 192  # 3 per core floor
     assert small["spark.sql.autoBroadcastJoinThreshold"] == "64m"
+
+
+def test_bucketed_fact_join_needs_no_sort(spark, model_small, no_broadcast):
+    """One file per bucket, sorted: with the session's bucketed-scan ordering
+    the join reads both facts in order -- no exchange and no sort."""
+    p = plan(model_small.order_items.join(model_small.orders, "order_id"))
+    assert "SortMergeJoin" in p and "Exchange" not in p and "Sort [" not in p
