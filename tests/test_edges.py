@@ -469,3 +469,11 @@ def test_rank_groups_by_name_homonyms_merge(spark):
     )
     got = rows(ranking.customer_rank(m), "customer_name", "total_sales", "sales_rank")
     assert got == [("Ann Lee", 8.0, 1), ("Bo", 6.0, 2)]
+
+
+def test_enforce_fails_only_on_violations(spark):
+    clean = spark.createDataFrame([("a",), ("b",)], "k string")
+    dup = spark.createDataFrame([("a",), ("a",)], "k string")
+    quality.enforce(quality.pk_violations(clean, ["k"], "t"), "t primary key")
+    with pytest.raises(quality.ConstraintViolation, match="t primary key"):
+        quality.enforce(quality.pk_violations(dup, ["k"], "t"), "t primary key")
