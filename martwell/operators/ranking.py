@@ -176,7 +176,11 @@ def largest_line_per_customer(model: RetailModel) -> DataFrame:
     DESC does), ties to the lowest order id, then the lowest row id.
 
     ``max_by`` aggregates partially, so each task sends one candidate per
-    customer; a customer owning a third of all lines costs nothing extra."""
+    customer; a customer owning a third of all lines costs nothing extra.
+    The struct-valued aggregate is sort-based (each task sorts its own lines
+    by customer, spilling if needed): the tie-break key does not fit one
+    fixed-width value, and every hash-based alternative (max, then join the
+    lines back) would shuffle line rows instead of one row per customer."""
     j = model.order_items.join(model.orders.select("order_id", "customer_id"), "order_id")
     numeric_ids = dict(j.dtypes)["order_id"] in ("bigint", "int", "smallint", "tinyint")
     if numeric_ids:
