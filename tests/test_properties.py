@@ -55,3 +55,26 @@ def test_raise_equals_exact_decimal_rounding(spark, amounts, percent):
     assert got == want
     logged = {r.row_id for r in audit.audit_rows(changes).collect()}
     assert logged == {i for i, a in enumerate(amounts) if want[i] != a}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    pairs=st.lists(
+        st.tuples(st.one_of(st.none(), st.dates()), st.one_of(st.none(), st.dates())), min_size=1, max_size=30
+    )
+)
+def test_ship_repair_and_status_rules(spark, pairs):
+    from martwell.functions.exprs import days_between, shipping_status
+    from martwell.operators.audit import repaired_ship_date
+
+    df = spark.createDataFrame([(i, o, s) for i, (o, s) in enumerate(pairs)], "k long, order_date date, ship_date date")
+    out = df.select(
+        "k",
+        repaired_ship_date().alias("fixed"),
+        shipping_status(days_between("ship_date", "order_date")).alias("status"),
+    )
+    got = {r.k: (r.fixed, r.status) for r in out.collect()}
+    for i, (o, s) in enumerate(pairs):
+        fixed = o if (o is not None and s is not None and s < o) else s
+        delayed = o is not None and s is not None and (s - o).days > 5
+        assert got[i] == (fixed, "Delayed" if delayed else "On Time")
