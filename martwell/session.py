@@ -124,6 +124,9 @@ def cluster_settings(total_cores: int, input_bytes: int) -> dict[str, str]:
         "spark.sql.files.maxPartitionBytes": f"{split}m",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        # on a cluster, coalesce to the advisory size rather than to the
+        # default parallelism (locally, with 8 cores, parallelism wins)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
