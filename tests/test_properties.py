@@ -13,7 +13,7 @@ from martwell.operators import ranking
 values = st.lists(st.one_of(st.none(), st.integers(-5, 5), st.floats(-1e6, 1e6, allow_nan=False)), min_size=1, max_size=40)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(vals=values, ranges=st.integers(1, 9), descending=st.booleans())
 def test_global_rank_equals_window_rank(spark, vals, ranges, descending):
     df = spark.createDataFrame([(i, None if v is None else float(v)) for i, v in enumerate(vals)], "k long, v double")
@@ -23,7 +23,7 @@ def test_global_rank_equals_window_rank(spark, vals, ranges, descending):
     assert got == want
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(keys=st.sets(st.integers(0, 10**9), min_size=1, max_size=40), ranges=st.integers(1, 9))
 def test_unique_positions_are_dense(spark, keys, ranges):
     df = spark.createDataFrame([(k,) for k in keys], "row_id long")
@@ -31,7 +31,7 @@ def test_unique_positions_are_dense(spark, keys, ranges):
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     amounts=st.lists(st.decimals(min_value=-6_000_000_000, max_value=6_000_000_000, places=2, allow_nan=False), min_size=1, max_size=30),
     percent=st.decimals(min_value=-50, max_value=50, places=2, allow_nan=False),
@@ -57,7 +57,7 @@ def test_raise_equals_exact_decimal_rounding(spark, amounts, percent):
     assert logged == {i for i, a in enumerate(amounts) if want[i] != a}
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     pairs=st.lists(
         st.tuples(st.one_of(st.none(), st.dates()), st.one_of(st.none(), st.dates())), min_size=1, max_size=30
