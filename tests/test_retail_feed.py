@@ -53,6 +53,13 @@ def test_retail_feed_end_to_end(spark, capsys):
     got = spark.sql("SELECT fn_total_sales_by_region('South') AS s, fn_customer_order_count('CG-12520') AS n").first()
     assert round(got.s, 2) == round(261.96 + 731.94 + 957.58 + 22.37, 2) and got.n == 1
 
+    main(["refresh", "--root", root], stop=False)
+    main(["sql", "SELECT category, total_sales FROM mv_category_sales ORDER BY category", "--root", root], stop=False)
+    main(["sql", "SELECT fn_get_customer_status('CG-12520') AS st", "--root", root], stop=False)
+    out = capsys.readouterr().out
+    assert "Furniture" in out and "Office Supplies" in out and routines.STATUS_ACTIVE in out
+    assert "mv_category_sales" in TableStore(spark, root).list_tables()
+
     main(["change", "ship-date", "--order", "CA-2016-152156", "--date", "2010-01-01", "--root", root], stop=False)
     main(["change", "erase", "--customer", "SO-20335", "--root", root], stop=False)
     m2 = store_model(TableStore(spark, root))
