@@ -81,3 +81,35 @@ def test_partial_aggregation_before_shuffle(hot):
         below_first_shuffle = p[p.find("Exchange hashpartitioning"):]
         # a partial aggregate, or a partial per-group limit (WindowGroupLimit)
         assert "partial_" in below_first_shuffle or "WindowGroupLimit" in below_first_shuffle, p
+
+
+def test_reports_on_hot_fallback_layout(hot, spark):
+    """A hot order makes the build keep both facts unbucketed; every report
+    must give the same answer on that layout as on the model itself."""
+    from datetime import date as d
+
+    from martwell.functions import routines
+    from martwell.plans.warehouse import build_warehouse, store_model
+    from martwell.session import new_scratch_dir
+
+    m, _ = hot
+    # add one order holding as many lines as all the others together
+    extra_items = spark.createDataFrame(
+        [(100000 + i, "o_big", "P_HOT", Decimal("1.00")) for i in range(8000)], m.order_items.schema
+    )
+    extra_order = spark.createDataFrame([("o_big", d(2020, 3, 1), None, "Standard Class", "HOT", "US", "X", "S", "0", "West")], m.orders.schema)
+    m = m.replace(order_items=m.order_items.unionByName(extra_items), orders=m.orders.unionByName(extra_order))
+    store = build_warehouse(spark, m, new_scratch_dir(spark, "t-hot-layout"), buckets=16)
+    assert not any(r.startswith("bucketed:") for r in store.current().values())
+    w = store_model(store)
+
+    def same(f):
+        a = sorted(map(tuple, f(m).collect()))
+        b = sorted(map(tuple, f(w).collect()))
+        assert a == b
+
+    same(reports.revenue_by_region_category)
+    same(reports.customer_value)
+    same(reports.kpi_summary)
+    same(ranking.largest_line_per_customer)
+    same(lambda x: routines.top_products_all_months(x, 3))
