@@ -477,3 +477,16 @@ def test_enforce_fails_only_on_violations(spark):
     quality.enforce(quality.pk_violations(clean, ["k"], "t"), "t primary key")
     with pytest.raises(quality.ConstraintViolation, match="t primary key"):
         quality.enforce(quality.pk_violations(dup, ["k"], "t"), "t primary key")
+
+
+def test_region_parameter_is_bound_not_pasted(spark):
+    m = make_model(spark, orders=[("o1", date(2020, 1, 1), None, "C1", "West")], items=[(1, "o1", "p", Decimal("3"))])
+    assert reports.region_revenue_param(spark, m, "x' OR '1'='1").count() == 0
+    assert rows(reports.region_revenue_param(spark, m, "West")) == [("West", 3.0)]
+
+
+def test_duplicate_updates_resolve_deterministically(spark):
+    m = make_model(spark, orders=[("a", date(2020, 1, 1), date(2020, 1, 2))])
+    upd = spark.createDataFrame([("a", "First Class"), ("a", "Same Day")], "order_id string, new_mode string")
+    got = rows(maintenance.update_ship_mode(m.orders, upd), "order_id", "ship_mode")
+    assert got == [("a", "Same Day")]  # one row per order; the larger value wins
