@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from martwell.operators.quality import range_partition
+from martwell.operators.quality import enforce, range_partition
 
 # Separator of the batch folders of an append-only table in a manifest row.
 PATH_SEP = "|"
@@ -264,22 +264,27 @@ class TableStore:
 
 
 def write_year_partitioned(
-    orders: DataFrame, path: str, bounds: list[tuple[str, date, date]]
+    orders: DataFrame, path: str, bounds: list[tuple[str, date, date]], strict: bool = False
 ) -> tuple[str, DataFrame]:
     """Orders in declared half-open year ranges, one folder per range
     (``order_year=<name>``).  Rows outside every range are not written; they
-    are returned (lazily) for Q4 reporting.
+    are returned (lazily) for Q4 reporting, or, with ``strict``, any such row
+    refuses the whole write (as inserting into a range-partitioned table
+    does).
 
     No shuffle: a year holds a large share of all rows, so funnelling it
     into one task would be a hot spot.  Each task sorts its own rows by
     (year, date) and writes one file per year it holds, with tight min/max
     date statistics for later filters."""
     tagged = orders.withColumn("order_year", range_partition("order_date", bounds))
+    outside = tagged.where(F.col("order_year").isNull()).drop("order_year")
+    if strict:
+        enforce(outside, "row outside every declared range")
     valid = tagged.where(F.col("order_year").isNotNull())
     valid.sortWithinPartitions("order_year", "order_date").write.mode("errorifexists").partitionBy(
         "order_year"
     ).parquet(path)
-    return path, tagged.where(F.col("order_year").isNull()).drop("order_year")
+    return path, outside
 
 
 def read_years(spark: SparkSession, path: str, years: list[str] | None = None) -> DataFrame:

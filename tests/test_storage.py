@@ -213,3 +213,19 @@ def test_restore_keeps_bucket_layout(spark):
     assert all(r.restored_equal for r in restore(spark, root, target).collect())
     assert target.current()["orders"].startswith("bucketed:4:order_id:")
     assert not target.current()["plain"].startswith("bucketed:")
+
+
+def test_strict_year_partitions_refuse_rows_outside(spark):
+    from datetime import date
+
+    from martwell.operators.quality import ConstraintViolation
+    from martwell.sources.storage import read_years, write_year_partitioned
+
+    bounds = [("2015", date(2015, 1, 1), date(2016, 1, 1)), ("2016", date(2016, 1, 1), date(2017, 1, 1))]
+    ok = spark.createDataFrame([("a", date(2015, 3, 1)), ("b", date(2016, 12, 31))], "order_id string, order_date date")
+    bad = ok.unionByName(spark.createDataFrame([("c", date(2017, 1, 1))], "order_id string, order_date date"))
+    with pytest.raises(ConstraintViolation):
+        write_year_partitioned(bad, new_scratch_dir(spark, "t-years"), bounds, strict=True)
+    path, outside = write_year_partitioned(ok, new_scratch_dir(spark, "t-years"), bounds, strict=True)
+    assert outside.count() == 0
+    assert sorted((r.order_id, r.order_year) for r in read_years(spark, path).collect()) == [("a", 2015), ("b", 2016)]
