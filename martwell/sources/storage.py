@@ -295,6 +295,17 @@ def read_years(spark: SparkSession, path: str, years: list[str] | None = None) -
     return df
 
 
+def read_date_range(spark: SparkSession, path: str, lo: date, hi: date) -> DataFrame:
+    """Orders with ``lo <= order_date < hi`` from the year-partitioned table.
+    A date filter alone prunes no folders, so the matching year filter is
+    added as well: only the folders of the years the range touches are read,
+    and the date filter still reaches the Parquet reader inside them."""
+    years = list(range(lo.year, (hi.year if (hi.month, hi.day) != (1, 1) else hi.year - 1) + 1))
+    return read_years(spark, path, [str(y) for y in years]).where(
+        (F.col("order_date") >= F.lit(lo)) & (F.col("order_date") < F.lit(hi))
+    )
+
+
 # ---- bucketed facts (S8) -----------------------------------------------------------------
 
 

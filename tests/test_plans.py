@@ -162,3 +162,30 @@ def test_bucketed_fact_join_needs_no_sort(spark, model_small, no_broadcast):
     the join reads both facts in order -- no exchange and no sort."""
     p = plan(model_small.order_items.join(model_small.orders, "order_id"))
     assert "SortMergeJoin" in p and "Exchange" not in p and "Sort [" not in p
+
+
+def test_date_range_read_prunes_year_folders(spark, model_small):
+    import contextlib
+    import io
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    from martwell.plans.catalog import YEAR_RANGES
+    from martwell.sources.storage import read_date_range
+
+    def partition_filters(df) -> str:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        return "\n".join(ln for ln in buf.getvalue().splitlines() if ln.startswith("PartitionFilters"))
+
+    path, _ = storage.write_year_partitioned(model_small.orders, new_scratch_dir(spark, "t-years"), YEAR_RANGES)
+    lo, hi = date(1996, 11, 15), date(1997, 2, 1)
+    df = read_date_range(spark, path, lo, hi)
+    pf = partition_filters(df)
+    assert "order_year" in pf and "1996" in pf and "1997" in pf and "1995" not in pf
+    want = model_small.orders.where((F.col("order_date") >= lo) & (F.col("order_date") < hi)).count()
+    assert df.count() == want > 0
+    # a range ending on 1 January does not read the next year's folder
+    assert "1998" not in partition_filters(read_date_range(spark, path, lo, date(1998, 1, 1)))
