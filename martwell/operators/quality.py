@@ -23,7 +23,7 @@ from martwell.sources.model import FOREIGN_KEYS, LENGTH_LIMITS, PRIMARY_KEYS, SA
 
 
 class ConstraintViolation(Exception):
-    pass
+    """A declared constraint does not hold (strict checks and loads)."""
 
 
 def _key_text(cols: Iterable[str]) -> Column:
