@@ -498,6 +498,17 @@ def q_partition_pruned_orders(spark, sf_dir):
     return storage.read_years(spark, path, ["1997"]).select("order_id", "order_date", "order_year")
 
 
+@register("partition_date_range_orders")
+def q_partition_date_range_orders(spark, sf_dir):
+    """S7 read by a date range that crosses a year boundary: only the two
+    touched year folders are read, the date filter reaches the scan."""
+    path, _ = storage.write_year_partitioned(
+        model_of(spark, sf_dir).orders, new_scratch_dir(spark, "orders-by-year"), YEAR_RANGES
+    )
+    df = storage.read_date_range(spark, path, date(1996, 11, 15), date(1997, 2, 1))
+    return df.select("order_id", "order_date", "order_year")
+
+
 @register("bucketed_join_revenue")
 def q_bucketed_join_revenue(spark, sf_dir):
     """Both facts written bucketed by order_id (bucket count sized from
