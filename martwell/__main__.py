@@ -61,6 +61,17 @@ def _reports(spark, model, a):
     }
 
 
+# Report names accepted by ``report`` (the keys of ``_reports``).
+REPORT_NAMES = [
+    "revenue_by_region_category", "revenue_by_month", "customer_value", "shipping_delay",
+    "shipping_status_counts", "category_revenue", "state_city_revenue", "kpi_summary",
+    "region_revenue", "region_total", "top_customers_by_spend", "customer_rank",
+    "top_customers_ranked", "running_revenue", "largest_line_per_customer", "month_calendar",
+    "top_products_of_month", "top_products_all_months", "customer_order_count", "customer_status",
+    "profile_lookup", "tag_lookup", "order_lookup",
+]
+
+
 def main(argv: list[str] | None = None, stop: bool = True) -> int:
     p = argparse.ArgumentParser(prog="martwell")
     p.add_argument("--master", default=None)
@@ -77,7 +88,7 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
     q.add_argument("--root", required=True)
 
     q = sub.add_parser("report")
-    q.add_argument("name")
+    q.add_argument("name", choices=REPORT_NAMES)
     q.add_argument("--root", required=True)
     q.add_argument("--region", default="West")
     q.add_argument("--month", default="2016-11")

@@ -229,3 +229,12 @@ def test_strict_year_partitions_refuse_rows_outside(spark):
     path, outside = write_year_partitioned(ok, new_scratch_dir(spark, "t-years"), bounds, strict=True)
     assert outside.count() == 0
     assert sorted((r.order_id, r.order_year) for r in read_years(spark, path).collect()) == [("a", 2015), ("b", 2016)]
+
+
+def test_cli_report_names_match_reports():
+    import argparse
+
+    from martwell.__main__ import REPORT_NAMES, _reports
+
+    names = set(_reports(None, None, argparse.Namespace(customer=[])).keys())
+    assert names == set(REPORT_NAMES)
