@@ -3,11 +3,16 @@ them, the same queries as DuckDB SQL over the tables."""
 
 from __future__ import annotations
 
-from martwell.llm import chat, packing, warc
+from martwell.llm import chat, fingerprints, langid, licenses, packing, secrets, topk, warc
 
 QUERIES = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
     "op2_warc_bundles": warc.op2_warc_bundles,
+    "op3_secret_scan": secrets.op3_secret_scan,
+    "op4_document_fingerprints": fingerprints.op4_document_fingerprints,
+    "op6_license_scan": licenses.op6_license_scan,
+    "op7_language_id": langid.op7_language_id,
+    "op9_bit_sliced_top_k": topk.op9_bit_sliced_top_k,
     "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
@@ -41,4 +46,20 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op2_warc_bundles": _OP2, "op10_chat_formatting": _OP10}
+_OP9 = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS query_id, b.vec_id,
+           CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLE_SQL = {"op9_bit_sliced_top_k": _OP9, "op2_warc_bundles": _OP2, "op10_chat_formatting": _OP10}
