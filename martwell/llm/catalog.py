@@ -3,15 +3,28 @@ them, the same queries as DuckDB SQL over the tables."""
 
 from __future__ import annotations
 
-from martwell.llm import chat, fingerprints, langid, licenses, packing, secrets, topk, warc
+from martwell.llm import (
+    chat,
+    fingerprints,
+    langid,
+    licenses,
+    neardup,
+    packing,
+    pieces,
+    secrets,
+    topk,
+    warc,
+)
 
 QUERIES = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
     "op2_warc_bundles": warc.op2_warc_bundles,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op4_document_fingerprints": fingerprints.op4_document_fingerprints,
+    "op5_piece_encoding": pieces.op5_piece_encoding,
     "op6_license_scan": licenses.op6_license_scan,
     "op7_language_id": langid.op7_language_id,
+    "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_bit_sliced_top_k": topk.op9_bit_sliced_top_k,
     "op10_chat_formatting": chat.op10_chat_formatting,
 }
