@@ -26,7 +26,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import PandasUDFType
 
 from martwell.llm.common import ship, table
 
@@ -226,7 +225,7 @@ def _predictor(shared):
         for texts in batches:
             yield pd.DataFrame([fitted.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    return F.pandas_udf(told, "lang_pred string, score double", PandasUDFType.SCALAR_ITER)
+    return F.pandas_udf(told, "lang_pred string, score double")
 
 
 def predict(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
