@@ -162,23 +162,27 @@ def hub_pairs(shared: DataFrame) -> DataFrame:
 def _blocks(rows: DataFrame, count: str, most: int) -> DataFrame:
     """Rows of a bucket in blocks of about ``most``."""
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col(count) / most)).alias("block")
-    return rows.groupBy("bucket", block).agg(F.collect_list(F.struct("node", "root", "low")).alias("nodes"))
+    return rows.groupBy("bucket", block).agg(F.collect_list(F.struct("node", "root", "low", "bands")).alias("nodes"))
 
 
-def _block(cell: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _block(cell: pa.StructArray) -> tuple[np.ndarray, ...]:
     node, root = (cell.field(n).to_numpy(zero_copy_only=False) for n in ("node", "root"))
-    return node, root, np.frombuffer(b"".join(cell.field("low").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+    low = np.frombuffer(b"".join(cell.field("low").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+    return node, root, low, cell.field("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
 
 
 def _agreeing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for members, strangers in zip(*batch.columns):
-            node, root, low = _block(members.values)
+        for bucket, main, members, strangers in zip(*batch.columns):
+            bucket, main = bucket.as_py(), main.as_py()
+            node, root, low, bands = _block(members.values)
             out_node, out_hub = [], []
-            for hub, hub_root, hub_low in zip(*_block(strangers.values)):
-                near = np.flatnonzero(
-                    (root != hub_root) & ((low == hub_low).sum(axis=1) >= LEAST_AGREEMENT * REGISTERS)
-                )
+            for hub, hub_root, hub_low, hub_bands in zip(*_block(strangers.values)):
+                once = (root != hub_root) & ((root == main) | (node < hub))
+                near = np.flatnonzero(once & ((low == hub_low).sum(axis=1) >= LEAST_AGREEMENT * REGISTERS))
+                # of all buckets that the two share, this is the first
+                shared = np.argmax(bands[near] == hub_bands, axis=1)
+                near = near[hub_bands[shared] == bucket]
                 out_node.append(node[near])
                 out_hub.append(np.full(len(near), hub))
             yield pa.RecordBatch.from_arrays(
@@ -191,7 +195,8 @@ def left_pairs(shared: DataFrame, component: DataFrame, signed: DataFrame) -> Da
     whose registers agree often enough to be worth a look.
 
     Buckets meet their nodes outside the largest component in blocks, which a
-    task compares as matrices; only agreeing pairs become rows."""
+    task compares as matrices; only agreeing pairs become rows, in the first of
+    the buckets that they share."""
     rows = (
         shared.select("bucket", "node")
         .join(component, "node", "left")
@@ -204,11 +209,12 @@ def left_pairs(shared: DataFrame, component: DataFrame, signed: DataFrame) -> Da
         .filter("members > main.n")
         .select("bucket", "members", F.col("main.root").alias("main"), (F.col("members") - F.col("main.n")).alias("strangers"))
     )
-    low = signed.select(F.col("uid").alias("node"), "low")
-    open_ = rows.join(mixed_, "bucket").join(low, "node")
-    members = _blocks(open_, "members", 1024).select("bucket", F.col("nodes").alias("members"))
-    strangers = _blocks(open_.filter("root <> main"), "strangers", 256).select("bucket", F.col("nodes").alias("strangers"))
-    pairs = members.join(strangers, "bucket").select("members", "strangers").mapInArrow(_agreeing, "node long, hub long")
+    registers = signed.select(F.col("uid").alias("node"), "low", "bands")
+    open_ = rows.join(mixed_, "bucket").join(registers, "node")
+    members = _blocks(open_, "members", 1024).withColumnRenamed("nodes", "member_nodes")
+    strangers = _blocks(open_.filter("root <> main"), "strangers", 256).withColumnRenamed("nodes", "stranger_nodes")
+    blocks = members.drop("block").join(strangers.drop("block"), "bucket").join(mixed_.select("bucket", "main"), "bucket")
+    pairs = blocks.select("bucket", "main", "member_nodes", "stranger_nodes").mapInArrow(_agreeing, "node long, hub long")
     return pairs.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub")).distinct()
 
 
