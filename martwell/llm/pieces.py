@@ -20,6 +20,7 @@ Characters without a piece become their UTF-8 byte pieces.
 
 from __future__ import annotations
 
+import bisect
 import re
 import struct
 import zlib
@@ -39,9 +40,9 @@ _SEPARATOR = 0x110000
 
 #: Remembered units and pairs of a worker; they start anew beyond these numbers.
 REMEMBERED_UNITS = 500_000
-REMEMBERED_PAIRS = 2_000_000
+REMEMBERED_PAIRS = 1_000_000
 #: Characters that one suffix array covers, or one unit.
-INDEXED = 1_000_000
+INDEXED = 300_000
 
 
 class PieceModel:
@@ -60,7 +61,11 @@ class PieceModel:
             raise ValueError("a piece goes on over white space; units would not be independent")
         self.bytes = {int(self.names[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.silent = {i for i in range(n) if sp.is_control(i)}
+        # a byte below 128 is a character by itself; others are part of one
+        self.in_character = np.array([self.byte_of.get(i, 0) >= 128 for i in range(n)])
+        self.written = [
+            "" if sp.is_control(i) else chr(self.byte_of[i]) if i in self.byte_of else self.names[i] for i in range(n)
+        ]
         self.unknown = sp.unk_id()
         self.order = sorted(self.ids)
         self.lengths = np.array([len(p) for p in self.order])
@@ -179,8 +184,8 @@ class PieceModel:
 
     # -- encoding
 
-    def solve(self, units: list[str]) -> Iterator[list[int]]:
-        """Ids of each unit."""
+    def solve(self, units: list[str]) -> Iterator[bytes]:
+        """Ids of each unit as little-endian unsigned 32-bit numbers."""
         joined = chr(0).join(units)
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         sizes = np.array([len(u) for u in units], np.int64)
@@ -205,14 +210,31 @@ class PieceModel:
             good = self.follows(before, t)
             end = s[good] + size[good]
             last[end], span[end] = t[good], size[good]
-        for b, n, unit in zip(begin.tolist(), sizes.tolist(), units):
-            place, found = b + n, []
-            while place > b and span[place]:
-                found.append(int(last[place]))
-                place -= int(span[place])
-            if place > b:
-                raise ValueError(f"no encoding of {unit[:40]!r}")
-            yield [i for t in reversed(found) for i in self.token_ids(t)]
+        # from every unit's end back to its start, side by side
+        place, unit = begin + sizes, np.arange(len(units))
+        tokens, owners = [], []
+        while place.size:
+            if (span[place] == 0).any():
+                raise ValueError(f"no encoding of {units[unit[span[place] == 0][0]][:40]!r}")
+            tokens.append(last[place])
+            owners.append(unit)
+            place = place - span[place]
+            more = place > begin[unit]
+            place, unit = place[more], unit[more]
+        token, owner = np.concatenate(tokens[::-1]), np.concatenate(owners[::-1])
+        token = token[np.argsort(owner, kind="stable")]
+        ends = np.cumsum(np.bincount(owner, minlength=len(units))).tolist()
+        odd = np.flatnonzero(token >= len(self.names)).tolist()
+        ids = token.astype("<u4").tobytes()
+        at = 0
+        for end in ends:
+            if odd and odd[0] < end:
+                wide = [i for t in token[at:end].tolist() for i in self.token_ids(t)]
+                yield struct.pack(f"<{len(wide)}I", *wide)
+                odd = odd[bisect.bisect_left(odd, end) :]
+            else:
+                yield ids[4 * at : 4 * end]
+            at = end
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
@@ -226,31 +248,30 @@ class PieceModel:
             held.append(unit)
             size += len(unit) + 1
             if size >= INDEXED or i + 1 == len(new):
-                for u, ids in zip(held, self.solve(held)):
-                    self.known[u] = struct.pack(f"<{len(ids)}I", *ids)
+                self.known.update(zip(held, self.solve(held)))
                 held, size = [], 0
         for p in parts:
             yield b"".join(map(self.known.__getitem__, p))
 
     # -- decoding
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Text of a document's ids: bytes are joined to characters (what is no
         UTF-8 becomes U+FFFD), control pieces are silent, and the space that
         encoding puts in front is taken away."""
-        out, raw = [], bytearray()
-        for i in ids:
-            byte = self.byte_of.get(i)
-            if byte is not None:
-                raw.append(byte)
-                continue
-            if raw:
-                out.append(raw.decode(errors="replace"))
-                raw = bytearray()
-            if i not in self.silent:
-                out.append(self.names[i])
-        if raw:
+        if self.in_character[ids].any():
+            out, raw = [], bytearray()
+            for i in ids.tolist():
+                if self.in_character[i]:
+                    raw.append(self.byte_of[i])
+                    continue
+                if raw:
+                    out.append(raw.decode(errors="replace"))
+                    raw = bytearray()
+                out.append(self.written[i])
             out.append(raw.decode(errors="replace"))
+        else:
+            out = map(self.written.__getitem__, ids.tolist())
         return "".join(out).replace(SPACE, " ").removeprefix(" ")
 
 
@@ -299,7 +320,11 @@ def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
         for batch in batches:
-            texts = [model.decode(ids or []) for ids in batch.column(batch.num_columns - 1).to_pylist()]
+            cells = batch.column(batch.num_columns - 1)
+            texts = [
+                model.decode(c.values.to_numpy(zero_copy_only=False) if c.is_valid else np.zeros(0, np.int32))
+                for c in cells
+            ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"]
             )
