@@ -31,6 +31,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -56,7 +57,7 @@ _DDL = (
 )
 
 #: Remembered chunks of a Python worker; it starts anew beyond this number.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 _tokenizers: dict = {}
 _spaced = re.compile(r"\s ")
 _chunk = re.compile(r"(?<=\S)(?= )")
@@ -79,23 +80,26 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
+        """The chunks; all but the first come without the space that begins them."""
         if _spaced.search(text):
-            return _chunk.split(text)
-        first, *rest = text.split(" ")
-        rest = [" " + x for x in rest]
-        return [first, *rest] if first else rest
+            first, *rest = _chunk.split(text)
+            return [first, *(x[1:] for x in rest)]
+        return text.split(" ")
+
+    def _packed(self, texts: list[str]) -> Iterator[bytes]:
+        for i in range(0, len(texts), 10_000):
+            for e in self.tokenizer.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False):
+                yield struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         parts = [self.chunks(t) for t in texts]
+        firsts = self._packed([p.pop(0) for p in parts])
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list(set().union(*parts).difference(self.known))
-        for i in range(0, len(new), 10_000):
-            some = new[i : i + 10_000]
-            for word, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        for p in parts:
-            yield b"".join(map(self.known.__getitem__, p))
+        new = list(set().union(*(filterfalse(self.known.__contains__, p) for p in parts)))
+        self.known.update(zip(new, self._packed([" " + x for x in new])))
+        for first, p in zip(firsts, parts):
+            yield first + b"".join(map(self.known.__getitem__, p))
 
 
 def encoder(path: str) -> Encoder:
