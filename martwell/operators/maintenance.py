@@ -135,11 +135,14 @@ def commit_line_change(store, changes: DataFrame, items: str = "order_items", au
     after the highest existing audit id and appended as one more batch of the
     append-only audit log; the line table gets a new version.  Both become
     visible in one manifest commit, like an UPDATE whose trigger writes the
-    log inside the same transaction."""
+    log inside the same transaction.  If another handle published one of them
+    since this handle's snapshot, ``Conflict`` is raised and nothing changes:
+    refresh, and compute ``changes`` from the new version."""
     spark = store.spark
+    seen = store.current()
     items_path = store.stage(items, new_version(changes))
     batch_path = store.stage("_audit_batch", audit_rows(changes))
     batch = spark.read.parquet(batch_path)
     base = next_audit_base(store.read(audit_log)) if audit_log in store.current() else F.lit(0).cast("long")
     numbered_path = store.append(audit_log, number_audit_rows(batch, base, stable_input=True))
-    return store.publish({items: items_path, audit_log: store.appended_paths(audit_log, numbered_path)})
+    return store.publish({items: items_path, audit_log: store.appended_paths(audit_log, numbered_path)}, expected=seen)

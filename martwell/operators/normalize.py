@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwell.functions.exprs import parse_source_date, to_money, try_parse_source_date
-from martwell.sources.model import RetailModel
+from martwell.sources.model import SALES_TYPE, RetailModel
 
 
 def dim_regions(staging: DataFrame) -> DataFrame:
@@ -53,9 +53,12 @@ def fact_orders(staging: DataFrame, strict: bool = True) -> DataFrame:
     ).distinct()
 
 
-def fact_items(staging: DataFrame) -> DataFrame:
-    """P5: line projection; the amount is assigned to NUMERIC(12,2)."""
-    return staging.select("row_id", "order_id", "product_id", to_money(F.col("sales")).alias("sales"))
+def fact_items(staging: DataFrame, strict: bool = True) -> DataFrame:
+    """P5: line projection; the amount is assigned to NUMERIC(12,2).  An amount
+    that does not fit is an error, or NULL without ``strict`` (Q5 reports it)."""
+    sales = F.col("sales")
+    money = to_money(sales) if strict else sales.try_cast(SALES_TYPE)
+    return staging.select("row_id", "order_id", "product_id", money.alias("sales"))
 
 
 def normalise(staging: DataFrame, tags: DataFrame, profiles: DataFrame, strict: bool = True) -> RetailModel:
@@ -66,7 +69,7 @@ def normalise(staging: DataFrame, tags: DataFrame, profiles: DataFrame, strict:
         customers=dim_customers(staging),
         products=dim_products(staging),
         orders=fact_orders(staging, strict),
-        order_items=fact_items(staging),
+        order_items=fact_items(staging, strict),
         product_tags=tags,
         customer_profiles=profiles,
     )

@@ -480,21 +480,24 @@ def q_audit_tail(spark, sf_dir):
 # ---- layouts, versions, snapshots --------------------------------------------------------
 
 
+def _orders_by_year(spark, sf_dir):
+    """All orders, in ranges over the whole span of their dates; a row outside refuses the write."""
+    orders = model_of(spark, sf_dir).orders
+    bounds = storage.year_ranges(orders)
+    return storage.write_year_partitioned(orders, new_scratch_dir(spark, "orders-by-year"), bounds)[0], bounds
+
+
 @register("partitioned_orders_counts")
 def q_partitioned_orders_counts(spark, sf_dir):
     """Orders written by year range, read back, counted per folder."""
-    path, _ = storage.write_year_partitioned(
-        model_of(spark, sf_dir).orders, new_scratch_dir(spark, "orders-by-year"), YEAR_RANGES
-    )
+    path, bounds = _orders_by_year(spark, sf_dir)
     return storage.read_years(spark, path).groupBy("order_year").agg(F.count(F.lit(1)).alias("n_orders"))
 
 
 @register("partition_pruned_orders")
 def q_partition_pruned_orders(spark, sf_dir):
     """S7 read with a partition filter (only the 1997 folder is listed)."""
-    path, _ = storage.write_year_partitioned(
-        model_of(spark, sf_dir).orders, new_scratch_dir(spark, "orders-by-year"), YEAR_RANGES
-    )
+    path, bounds = _orders_by_year(spark, sf_dir)
     return storage.read_years(spark, path, ["1997"]).select("order_id", "order_date", "order_year")
 
 
@@ -502,10 +505,8 @@ def q_partition_pruned_orders(spark, sf_dir):
 def q_partition_date_range_orders(spark, sf_dir):
     """S7 read by a date range that crosses a year boundary: only the two
     touched year folders are read, the date filter reaches the scan."""
-    path, _ = storage.write_year_partitioned(
-        model_of(spark, sf_dir).orders, new_scratch_dir(spark, "orders-by-year"), YEAR_RANGES
-    )
-    df = storage.read_date_range(spark, path, date(1996, 11, 15), date(1997, 2, 1))
+    path, bounds = _orders_by_year(spark, sf_dir)
+    df = storage.read_date_range(spark, path, date(1996, 11, 15), date(1997, 2, 1), bounds)
     return df.select("order_id", "order_date", "order_year")
 
 

@@ -43,9 +43,8 @@ def _function_sql(id_type: str) -> list[str]:
     return [
         f"""CREATE OR REPLACE TEMPORARY FUNCTION {FN_TOTAL_SALES_BY_REGION}(p_region STRING)
 RETURNS DOUBLE
-RETURN SELECT CAST(COALESCE(SUM(oi.sales), 0) AS DOUBLE)
-       FROM order_items oi JOIN orders o ON oi.order_id = o.order_id
-       WHERE o.region = p_region""",
+RETURN SELECT CAST(COALESCE(SUM(sales), 0) AS DOUBLE)
+       FROM (SELECT order_id FROM orders WHERE region = p_region) JOIN order_items USING (order_id)""",
         f"""CREATE OR REPLACE TEMPORARY FUNCTION {FN_CUSTOMER_ORDER_COUNT}(p_customer_id {id_type})
 RETURNS BIGINT
 RETURN SELECT COUNT(*) FROM orders WHERE customer_id = p_customer_id""",
@@ -53,7 +52,7 @@ RETURN SELECT COUNT(*) FROM orders WHERE customer_id = p_customer_id""",
         # function; a row number filter says the same, and once the call is
         # inlined Catalyst plans it as a top-k (TakeOrderedAndProject), so no
         # partition holds more than p_limit rows of it.
-        f"""CREATE OR REPLACE TEMPORARY FUNCTION {FN_TOP_PRODUCTS_BY_MONTH}(p_year_month STRING, p_limit INT)
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION {FN_TOP_PRODUCTS_BY_MONTH}(p_year_month STRING, p_limit INT DEFAULT 5)
 RETURNS TABLE (product_name STRING, category STRING, total_revenue DOUBLE)
 RETURN SELECT product_name, category, total_revenue FROM (
   SELECT p.product_name, p.category, CAST(SUM(r.rev) AS DOUBLE) AS total_revenue,

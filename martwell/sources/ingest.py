@@ -31,6 +31,8 @@ CSV_WRITE_OPTIONS = {
     "escape": '"',
     "emptyValue": '""',
     "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
 }
 
 

@@ -55,6 +55,10 @@ _SEQ = re.compile(r"/seq=(\d+)/")
 _TS = re.compile(r"/ts=(\d+)/")
 
 
+class Conflict(RuntimeError):
+    """Another writer published a table that this commit was computed from."""
+
+
 class TableStore:
     """Versioned warehouse tables under one root folder."""
 
@@ -96,9 +100,14 @@ class TableStore:
         state = getattr(self, "_state", None) or self.refresh()
         return dict(state[1])
 
-    def publish(self, paths: dict[str, str], retries: int = 8) -> int:
+    def publish(self, paths: dict[str, str], retries: int = 8, expected: dict[str, str] | None = None) -> int:
         """Make new versions current together (one manifest commit).
 
+        ``expected``: the references that the new versions were computed from
+        (a snapshot of ``current()``).  If a published table has another one
+        by now, another writer was faster: ``Conflict`` is raised, nothing is
+        published, and the caller refreshes and computes anew.
+
         Optimistic: write sequence n+1 with ``errorifexists``; then re-read
         and confirm this writer won n+1, otherwise retry on top of the
         winner."""
@@ -106,6 +115,9 @@ class TableStore:
         for _ in range(retries):
             seq, cur = self.refresh()
             cur = dict(cur)
+            moved = [] if expected is None else sorted(t for t in paths if cur.get(t) != expected.get(t))
+            if moved:
+                raise Conflict(f"changed by another writer meanwhile: {', '.join(moved)}")
             cur.update(paths)
             rows = [(k, v, token) for k, v in sorted(cur.items())]
             try:
@@ -238,7 +250,8 @@ class TableStore:
         table size does not matter); otherwise any n rows."""
         if name not in self.current():
             raise KeyError(f"no table {name!r}")
-        n = max(10, min(1000, int(n)))
+        if not 10 <= int(n) <= 1000:
+            raise ValueError("a preview has 10 to 1000 rows")
         df = self.read(name)
         if order_by:
             return df.orderBy(F.col(order_by).asc_nulls_last()).limit(n)
@@ -264,13 +277,12 @@ class TableStore:
 
 
 def write_year_partitioned(
-    orders: DataFrame, path: str, bounds: list[tuple[str, date, date]], strict: bool = False
+    orders: DataFrame, path: str, bounds: list[tuple[str, date, date]], strict: bool = True
 ) -> tuple[str, DataFrame]:
     """Orders in declared half-open year ranges, one folder per range
-    (``order_year=<name>``).  Rows outside every range are not written; they
-    are returned (lazily) for Q4 reporting, or, with ``strict``, any such row
-    refuses the whole write (as inserting into a range-partitioned table
-    does).
+    (``order_year=<name>``).  A row outside every range refuses the whole
+    write (as inserting into a range-partitioned table does); without
+    ``strict`` such rows are not written but returned (lazily) for Q4.
 
     No shuffle: a year holds a large share of all rows, so funnelling it
     into one task would be a hot spot.  Each task sorts its own rows by
@@ -295,13 +307,21 @@ def read_years(spark: SparkSession, path: str, years: list[str] | None = None) -
     return df
 
 
-def read_date_range(spark: SparkSession, path: str, lo: date, hi: date) -> DataFrame:
-    """Orders with ``lo <= order_date < hi`` from the year-partitioned table.
-    A date filter alone prunes no folders, so the matching year filter is
-    added as well: only the folders of the years the range touches are read,
-    and the date filter still reaches the Parquet reader inside them."""
-    years = list(range(lo.year, (hi.year if (hi.month, hi.day) != (1, 1) else hi.year - 1) + 1))
-    return read_years(spark, path, [str(y) for y in years]).where(
+def year_ranges(orders: DataFrame) -> list[tuple[str, date, date]]:
+    """Calendar-year ranges over the whole span of the orders' dates."""
+    lo, hi = orders.agg(F.min("order_date"), F.max("order_date")).first()
+    return [] if lo is None else [(str(y), date(y, 1, 1), date(y + 1, 1, 1)) for y in range(lo.year, hi.year + 1)]
+
+
+def read_date_range(
+    spark: SparkSession, path: str, lo: date, hi: date, bounds: list[tuple[str, date, date]]
+) -> DataFrame:
+    """Orders with ``lo <= order_date < hi`` from the table partitioned by
+    ``bounds``.  A date filter alone prunes no folders, so a filter on the
+    ranges that overlap is added: only their folders are read, and the date
+    filter still reaches the Parquet reader inside them."""
+    touched = [int(name) for name, start, end in bounds if start < hi and lo < end]
+    return spark.read.parquet(path).where(F.col("order_year").isin(touched)).where(
         (F.col("order_date") >= F.lit(lo)) & (F.col("order_date") < F.lit(hi))
     )
 

@@ -10,13 +10,15 @@ one; a replayed micro-batch is recognised by its epoch and skipped.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from martwell.operators.audit import audit_rows, next_audit_base, number_audit_rows, repaired_ship_date
-from martwell.sources.storage import TableStore
+from martwell.sources.storage import Conflict, TableStore
 
 CHANGE_SCHEMA = T.StructType(
     [
@@ -81,15 +83,26 @@ def commit_audit_batch(store: TableStore, changes: DataFrame, epoch_id: int, str
     replayed epoch that is already committed is skipped, so every change is
     logged exactly once.  Returns whether rows were committed."""
     tag = f"{stream}-epoch{epoch_id}"
-    store.refresh()
-    if store.has_tag(log, tag):
-        return False
     spark = changes.sparkSession
-    batch = spark.read.parquet(store.stage_tagged("_audit_batch", audit_rows(changes), tag))
-    base = next_audit_base(store.read(log)) if log in store.current() else F.lit(0).cast("long")
-    numbered = store.stage_tagged(log, number_audit_rows(batch, base, stable_input=True), tag)
-    store.publish({log: store.appended_paths(log, numbered)})
-    return True
+    staged = None
+    while True:
+        store.refresh()
+        if store.has_tag(log, tag):
+            return False
+        staged = staged or store.stage_tagged("_audit_batch", audit_rows(changes), tag)
+        seen = store.current()
+        base = next_audit_base(store.read(log)) if log in seen else F.lit(0).cast("long")
+        numbered = store.stage_tagged(log, number_audit_rows(spark.read.parquet(staged), base, stable_input=True), tag)
+        try:
+            store.publish({log: store.appended_paths(log, numbered)}, expected=seen)
+            return True
+        except Conflict:
+            continue  # number the batch after what the other writer logged
+
+
+def query_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """Id of the streaming query that a checkpoint folder belongs to."""
+    return json.loads(spark.read.text(f"{checkpoint_dir.rstrip('/')}/metadata").first()[0])["id"]
 
 
 def run_audit_log_stream(
@@ -102,13 +115,17 @@ def run_audit_log_stream(
 ) -> StreamingQuery:
     """T3 into the versioned store: change files -> real changes -> numbered,
     appended audit batches (exactly once per micro-batch, see
-    ``commit_audit_batch``)."""
+    ``commit_audit_batch``).  A batch is known by the query id of its
+    checkpoint and its epoch, so a stream with a new checkpoint, whose epochs
+    start at 0 again, logs all its changes."""
     reader = spark.readStream.schema(CHANGE_SCHEMA).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     q = (
         reader.load(source_dir)
-        .writeStream.foreachBatch(lambda df, epoch: commit_audit_batch(store, df, epoch, stream))
+        .writeStream.foreachBatch(
+            lambda df, epoch: commit_audit_batch(store, df, epoch, f"{stream}-{query_id(spark, checkpoint_dir)}")
+        )
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()

@@ -59,9 +59,8 @@ def test_top_n_per_month_limits_before_shuffle(model_small):
 
 
 def test_partition_filter_on_year_read(spark, model_small):
-    from martwell.plans.catalog import YEAR_RANGES
-
-    path, _ = storage.write_year_partitioned(model_small.orders, new_scratch_dir(spark, "t-years"), YEAR_RANGES)
+    bounds = storage.year_ranges(model_small.orders)
+    path, _ = storage.write_year_partitioned(model_small.orders, new_scratch_dir(spark, "t-years"), bounds)
     p = plan(storage.read_years(spark, path, ["1997"]))
     scan = [line for line in p.splitlines() if "FileScan" in line][0]
     assert "PartitionFilters: [isnotnull(order_year" in scan and "= 1997" in scan
@@ -171,7 +170,6 @@ def test_date_range_read_prunes_year_folders(spark, model_small):
 
     from pyspark.sql import functions as F
 
-    from martwell.plans.catalog import YEAR_RANGES
     from martwell.sources.storage import read_date_range
 
     def partition_filters(df) -> str:
@@ -180,12 +178,13 @@ def test_date_range_read_prunes_year_folders(spark, model_small):
             df.explain("formatted")
         return "\n".join(ln for ln in buf.getvalue().splitlines() if ln.startswith("PartitionFilters"))
 
-    path, _ = storage.write_year_partitioned(model_small.orders, new_scratch_dir(spark, "t-years"), YEAR_RANGES)
+    bounds = storage.year_ranges(model_small.orders)
+    path, _ = storage.write_year_partitioned(model_small.orders, new_scratch_dir(spark, "t-years"), bounds)
     lo, hi = date(1996, 11, 15), date(1997, 2, 1)
-    df = read_date_range(spark, path, lo, hi)
+    df = read_date_range(spark, path, lo, hi, bounds)
     pf = partition_filters(df)
     assert "order_year" in pf and "1996" in pf and "1997" in pf and "1995" not in pf
     want = model_small.orders.where((F.col("order_date") >= lo) & (F.col("order_date") < hi)).count()
     assert df.count() == want > 0
     # a range ending on 1 January does not read the next year's folder
-    assert "1998" not in partition_filters(read_date_range(spark, path, lo, date(1998, 1, 1)))
+    assert "1998" not in partition_filters(read_date_range(spark, path, lo, date(1998, 1, 1), bounds))
