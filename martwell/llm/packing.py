@@ -57,7 +57,7 @@ _DDL = (
 )
 
 #: Remembered chunks of a Python worker; it starts anew beyond this number.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 _tokenizers: dict = {}
 _spaced = re.compile(r"\s ")
 _chunk = re.compile(r"(?<=\S)(?= )")
@@ -197,7 +197,7 @@ def _packer(path: str, end_id: int, capacity: int, classes: int, slack: float):
                 yield from bins.add(number, total)
 
         for batch in batches:
-            for part in steps(batch, 1):
+            for part in steps(batch, 1, 4_000_000):
                 yield rows(placed(part.column(0).to_pylist(), part.column(1).to_pylist()))
         yield rows(bins.close())
 
