@@ -274,6 +274,9 @@ def read_bundles(index: DataFrame, folder: str, *, with_payload: bool = False) -
     to tasks by (bundle, run of 16 frames)."""
     ship(index.sparkSession)
     runs = index.groupBy("bundle", F.floor(F.col("frame") / 16).cast("int").alias("run")).agg(F.lit(1).alias("one"))
+    # by number, so that adaptive execution does not join these few bytes into one task
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = runs.repartition(tasks, "bundle", "run")
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
