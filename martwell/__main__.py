@@ -114,6 +114,16 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
     q.add_argument("--new", default=None)
     q.add_argument("--customer", nargs="*", default=[])
 
+    q = sub.add_parser("tag", help="S4: append a row of tags to a product")
+    q.add_argument("--product", required=True)
+    q.add_argument("--tags", nargs="*", default=[])
+    q.add_argument("--root", required=True)
+
+    q = sub.add_parser("profile", help="S5: append a JSON profile to a customer")
+    q.add_argument("--customer", required=True)
+    q.add_argument("--json", required=True)
+    q.add_argument("--root", required=True)
+
     q = sub.add_parser("refresh", help="M9: recompute stored results")
     q.add_argument("names", nargs="*")
     q.add_argument("--root", required=True)
@@ -139,6 +149,7 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
 
     a = p.parse_args(argv)
     spark = build_session(master=a.master)
+    from martwell.plans import sql_surface
     from martwell.plans.warehouse import build_warehouse, store_model
     from martwell.sources import storage
     from martwell.sources.testdata import bind_model
@@ -185,10 +196,17 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
 
         register_sql(spark, store_model(store), store)
         spark.sql(a.statement).show(a.show, truncate=False)
+    elif a.cmd == "tag":
+        store.write("product_tags", lookups.append_tag_rows(spark, store.read("product_tags"), [(a.product, a.tags)]))
+    elif a.cmd == "profile":
+        rows, bad = lookups.append_profile_rows(spark, store.read("customer_profiles"), [(a.customer, a.json)])
+        if not bad.isEmpty():
+            raise SystemExit("the profile is no JSON")
+        store.write("customer_profiles", rows)
     elif a.cmd == "tables":
-        store.inventory().orderBy("table_name").show(200, truncate=False)
+        sql_surface.inventory(store_model(store), store).orderBy("table_name").show(200, truncate=False)
     elif a.cmd == "preview":
-        store.preview(a.table, a.n).show(a.n, truncate=False)
+        sql_surface.preview(store_model(store), store, a.table, a.n).show(a.n, truncate=False)
     elif a.cmd == "snapshot":
         print(storage.snapshot_store(store, a.to))
     elif a.cmd == "restore":

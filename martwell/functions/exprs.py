@@ -102,8 +102,3 @@ def json_value(c: str | Column, key: str) -> Column:
 def array_has(arr: str | Column, value: str) -> Column:
     """value = ANY(arr), search text trimmed first."""
     return F.array_contains(col(arr), F.lit(value.strip()))
-
-
-def money_as_double(c: str | Column) -> Column:
-    """Exact decimal result rendered as double for reports."""
-    return col(c).cast("double")

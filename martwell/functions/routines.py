@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwell.functions.exprs import days_between, money_as_double, month_key, month_range
+from martwell.functions.exprs import days_between, month_key, month_range
 from martwell.operators.ranking import top_n_per_group
 from martwell.operators.reports import revenue_per_product
 from martwell.sources.model import RetailModel
@@ -40,7 +40,7 @@ def region_total_or_zero(model: RetailModel, asked_regions: DataFrame) -> DataFr
     """Set form of F1: ``asked_regions(region)`` -> (region, total_sales)."""
     tot = region_revenue(model)
     return asked_regions.select("region").join(tot, "region", "left").select(
-        "region", F.coalesce(money_as_double("total"), F.lit(0.0)).alias("total_sales")
+        "region", F.coalesce("total", F.lit(0)).alias("total_sales")
     )
 
 
@@ -49,7 +49,7 @@ def total_sales_by_region(model: RetailModel, region: str) -> DataFrame:
     j = model.order_items.select("order_id", "sales").join(
         model.orders.where(F.col("region") == F.lit(region)).select("order_id"), "order_id"
     )
-    return j.agg(F.coalesce(money_as_double(F.sum("sales")), F.lit(0.0)).alias("total_sales"))
+    return j.agg(F.coalesce(F.sum("sales"), F.lit(0)).alias("total_sales"))
 
 
 # ---- F2: order count of a customer ----------------------------------------------
@@ -92,7 +92,7 @@ def top_products_of_month(model: RetailModel, year_month: str, n: int = DEFAULT_
             F.col("category").asc_nulls_last(),
         )
         .limit(n)
-        .select("product_name", "category", money_as_double("rev").alias("total_revenue"))
+        .select("product_name", "category", F.col("rev").alias("total_revenue"))
     )
 
 
@@ -111,7 +111,7 @@ def top_products_all_months(model: RetailModel, n: int = DEFAULT_TOP_N) -> DataF
         F.col("category").asc_nulls_last(),
     ]
     return top_n_per_group(per, ["order_month"], order, n, "pos").select(
-        "order_month", "pos", "product_name", "category", money_as_double("rev").alias("total_revenue")
+        "order_month", "pos", "product_name", "category", F.col("rev").alias("total_revenue")
     )
 
 

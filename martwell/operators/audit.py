@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwell.functions.exprs import distinct_from
-from martwell.operators.ranking import global_rank
+from martwell.operators.ranking import numbered
 
 
 def audit_rows(changes: DataFrame, key: str = "row_id", old: str = "old_sales", new: str = "sales") -> DataFrame:
@@ -42,16 +42,13 @@ def repair_ship_dates(orders: DataFrame, touched: Column | None = None) -> DataF
     return orders.withColumn("ship_date", fixed)
 
 
-def number_audit_rows(
-    audit: DataFrame, base_id: Column | int = 0, changed_at: Column | None = None, stable_input: bool = False
-) -> DataFrame:
+def number_audit_rows(audit: DataFrame, base_id: Column | int = 0, changed_at: Column | None = None) -> DataFrame:
     """M8 + M7: give new audit rows ids after ``base_id`` in row_id order and a
-    change time.  Positions come from the range-split global rank, so no
-    single-partition sort; row ids are unique within one batch of changes,
-    so rank == position.  The batch is persisted before it is numbered
-    (``stable_input`` when the caller already read it back from files)."""
+    change time.  The rows are written once in that order, one file per range;
+    an id is the file's offset and the place in the file, so no task orders
+    more than one range."""
     base = F.lit(base_id) if isinstance(base_id, int) else base_id
-    ranked = global_rank(audit, "row_id", "_pos", descending=False, unique_values=True, stable_input=stable_input)
+    ranked = numbered(audit, "row_id", "_pos")
     when = changed_at if changed_at is not None else F.localtimestamp()
     return ranked.select(
         (base + F.col("_pos")).cast("long").alias("audit_id"),

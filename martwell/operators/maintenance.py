@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from martwell.functions.exprs import add_amount, raise_by_percent, to_money
 from martwell.operators.audit import audit_rows, next_audit_base, number_audit_rows, repaired_ship_date
+from martwell.operators.quality import within_limit
 from martwell.sources.model import RetailModel
 
 _HIT = "_touched"
@@ -41,7 +42,9 @@ def update_ship_mode(orders: DataFrame, updates: DataFrame) -> DataFrame:
     hit = F.coalesce(F.col(_HIT), F.lit(False))
     return j.select(
         *[
-            F.when(hit, F.col("new_mode")).otherwise(F.col("ship_mode")).alias("ship_mode")
+            F.when(hit, within_limit(F.col("new_mode"), "orders", "ship_mode"))
+            .otherwise(F.col("ship_mode"))
+            .alias("ship_mode")
             if c == "ship_mode"
             else F.when(hit, repaired_ship_date()).otherwise(F.col("ship_date")).alias("ship_date")
             if c == "ship_date"
@@ -55,7 +58,7 @@ def set_ship_mode(orders: DataFrame, order_id, new_mode: str) -> DataFrame:
     """M1 single key (projection only)."""
     hit = F.col("order_id") == F.lit(order_id)
     return orders.withColumn("ship_date", F.when(hit, repaired_ship_date()).otherwise(F.col("ship_date"))).withColumn(
-        "ship_mode", F.when(hit, F.lit(new_mode)).otherwise(F.col("ship_mode"))
+        "ship_mode", F.when(hit, within_limit(F.lit(new_mode), "orders", "ship_mode")).otherwise(F.col("ship_mode"))
     )
 
 
@@ -105,7 +108,8 @@ def new_version(changes: DataFrame) -> DataFrame:
 def rename_segment(customers: DataFrame, old: str, new: str) -> DataFrame:
     """M3: every customer of segment ``old`` moves to ``new``; NULL stays."""
     return customers.withColumn(
-        "segment", F.when(F.col("segment") == F.lit(old), F.lit(new)).otherwise(F.col("segment"))
+        "segment",
+        F.when(F.col("segment") == F.lit(old), within_limit(F.lit(new), "customers", "segment")).otherwise(F.col("segment")),
     )
 
 
@@ -144,5 +148,5 @@ def commit_line_change(store, changes: DataFrame, items: str = "order_items", au
     batch_path = store.stage("_audit_batch", audit_rows(changes))
     batch = spark.read.parquet(batch_path)
     base = next_audit_base(store.read(audit_log)) if audit_log in store.current() else F.lit(0).cast("long")
-    numbered_path = store.append(audit_log, number_audit_rows(batch, base, stable_input=True))
+    numbered_path = store.append(audit_log, number_audit_rows(batch, base))
     return store.publish({items: items_path, audit_log: store.appended_paths(audit_log, numbered_path)}, expected=seen)

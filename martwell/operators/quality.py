@@ -82,6 +82,13 @@ def length_violations(df: DataFrame, limits: dict[str, int], table_name: str, ke
     )
 
 
+def within_limit(value: Column, table: str, column: str) -> Column:
+    """``value`` if it fits the declared text limit; the job fails otherwise."""
+    limit = LENGTH_LIMITS[table][column]
+    said = F.lit(f"value too long for {table}.{column} ({limit})")
+    return F.when(F.length(F.rtrim(value)) > limit, F.raise_error(said)).otherwise(value)
+
+
 def range_violations(
     df: DataFrame, date_col: str, key_col: str, bounds: list[tuple[str, date, date]], table_name: str
 ) -> DataFrame:
@@ -162,7 +169,7 @@ def model_length_violations(model: RetailModel) -> DataFrame:
     tables = model.tables()
     out = None
     for t, limits in LENGTH_LIMITS.items():
-        key = PRIMARY_KEYS[t][0]
+        key = PRIMARY_KEYS.get(t, list(limits))[0]
         v = length_violations(tables[t], limits, t, key)
         out = v if out is None else out.unionByName(v)
     return out

@@ -4,18 +4,19 @@ A global ``rank() OVER (ORDER BY x)`` without PARTITION BY makes Spark move
 every row into one partition.  ``global_rank`` computes the same numbers with
 the work spread out:
 
-0. write the input once (checkpoint), so every pass below reads the same rows;
 1. count rows per distinct value (partial aggregation: a value held by a third
    of all rows still leaves each task as one row);
-2. cut the distinct values into ranges with ``approxQuantile`` (the driver
-   receives only the cut points);
-3. total rows per range -> prefix offsets (one row per range, so it is
-   broadcast with a known bound);
-4. inside each range, a window over *distinct values* gives the rows above;
+2. write the distinct values in order: range-partitioned (as many ranges as
+   the session's shuffle partitions, so the number follows the input's size),
+   sorted, one file per range;
+3. rows per file -> offsets of the files (one row per file);
+4. inside each file, a window over *distinct values* gives the rows above;
 5. join the rank of each value back to the rows.
 
-Ties never straddle a range because the range is a function of the value, so
-the result equals the single-partition rank exactly.
+``numbered`` needs no window at all: a row's position is its file's offset and
+its place in the file.  Equal values never straddle two ranges, and values
+are compared as they are (no cast), so the result equals the single-partition
+rank exactly.
 """
 
 from __future__ import annotations
@@ -23,95 +24,69 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwell.functions.exprs import col, money_as_double, month_key
-from martwell.plans.broadcast import broadcast_bounded
-from martwell.session import ensure_checkpoint_dir
+from martwell.functions.exprs import col, month_key
+from martwell.session import ensure_checkpoint_dir, new_scratch_dir
 from martwell.sources.model import RetailModel
 
-DEFAULT_RANGES = 64
 
+def _direction(value_col: str, descending: bool) -> Column:
+    """Sort order of SQL: NULL first when descending, last when ascending."""
+    c = F.col(value_col)
+    return c.desc_nulls_first() if descending else c.asc_nulls_last()
 
-def _range_of(value: Column, edges: list[float], descending: bool) -> Column:
-    """Deterministic range number of a value; NULL sorts into range 0 (first
-    for descending order with nulls first, as SQL does for DESC)."""
-    arr = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
-    v = value.cast("double")
-    if descending:
-        # larger values first: count cut points strictly above the value
-        idx = F.size(F.filter(arr, lambda e: e > v))
-    else:
-        idx = F.size(F.filter(arr, lambda e: e < v))
-    return F.when(value.isNull(), F.lit(0)).otherwise(idx + F.lit(1))
+
+def _in_order(df: DataFrame, value_col: str, descending: bool, ranges: int | None) -> DataFrame:
+    """``df`` written in order of ``value_col``, one sorted file per range, and
+    read again with ``_file`` and ``_index`` (place in the file, from 0)."""
+    order = _direction(value_col, descending)
+    dealt = df.repartitionByRange(ranges, order) if ranges else df.repartitionByRange(order)
+    path = new_scratch_dir(df.sparkSession, "in-order")
+    dealt.sortWithinPartitions(order).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")
+    )
+
+
+def _offsets(written: DataFrame, value_col: str, descending: bool, n: Column) -> DataFrame:
+    """(_file, _offset): rows in the files before.  One row per file, so
+    ordering them in one partition is free."""
+    # nulls are passed over by max and min; a file of nothing else is the first
+    # (descending) or the last one (ascending)
+    edge = F.max(value_col) if descending else F.min(value_col)
+    per_file = written.groupBy("_file").agg(edge.alias("_edge"), F.sum(n).alias("_file_n"))
+    before = Window.orderBy(_direction("_edge", descending)).rowsBetween(Window.unboundedPreceding, -1)
+    return per_file.select("_file", F.coalesce(F.sum("_file_n").over(before), F.lit(0)).alias("_offset"))
+
+
+def numbered(df: DataFrame, key_col: str, out_col: str, ranges: int | None = None) -> DataFrame:
+    """Rows with their position (from 1) in ascending order of a unique key."""
+    written = _in_order(df, key_col, False, ranges)
+    return (
+        written.join(_offsets(written, key_col, False, F.lit(1)), "_file")
+        .withColumn(out_col, F.col("_offset") + F.col("_index") + F.lit(1))
+        .drop("_file", "_index", "_offset")
+    )
 
 
 def global_rank(
-    df: DataFrame,
-    value_col: str,
-    out_col: str = "rank",
-    descending: bool = True,
-    ranges: int = DEFAULT_RANGES,
-    rel_err: float = 0.001,
-    unique_values: bool = False,
-    stable_input: bool = False,
+    df: DataFrame, value_col: str, out_col: str = "rank", descending: bool = True, ranges: int | None = None
 ) -> DataFrame:
     """``rank() over (order by value_col desc nulls first)`` (or ascending,
     nulls last) without a single-partition exchange of the rows.
 
-    ``unique_values=True`` (keys such as row ids, where rank == position)
-    skips the per-value counts: rows are split by range and numbered inside
-    their range, since no single value can make a range hot.
-
-    The input is read several times (cut points, range totals, ranks); unless
-    ``stable_input`` says it was just read from files, it is written once to
-    the checkpoint folder first, so every read sees the same rows and values
-    even if recomputing them would not give identical bits (floating-point
-    sums, timestamps)."""
-    if not stable_input:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    base = df if unique_values else df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
-    probs = [i / ranges for i in range(1, ranges)]
-    edges = (
-        sorted(
-            set(
-                base.where(F.col(value_col).isNotNull())
-                .select(F.col(value_col).cast("double").alias(value_col))
-                .approxQuantile(value_col, probs, rel_err)
-            )
-        )
-        if probs
-        else []  # one range: no cut points
-    )
-    rng = _range_of(F.col(value_col), edges, descending)
-    if not descending:
-        # ascending: nulls last -> move them after the last range
-        rng = F.when(F.col(value_col).isNull(), F.lit(len(edges) + 2)).otherwise(rng)
-    n_col = F.lit(1) if unique_values else F.col("_n")
-    tagged = base.withColumn("_range", rng).withColumn("_n", n_col)
-    per_range = tagged.groupBy("_range").agg(F.sum("_n").alias("_range_n"))
-    # at most len(edges)+3 rows: ordering them in one partition is free
-    offsets = per_range.select(
-        "_range",
-        (
-            F.sum("_range_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
-        ).alias("_offset"),
-    ).fillna(0, subset=["_offset"])
-    offsets = broadcast_bounded(offsets, len(edges) + 3)
-    order = F.col(value_col).desc() if descending else F.col(value_col).asc()
-    in_range = Window.partitionBy("_range").orderBy(order)
-    if unique_values:
-        pos = F.row_number().over(in_range)
-        return (
-            tagged.join(offsets, "_range", "inner")
-            .withColumn(out_col, F.col("_offset") + pos)
-            .drop("_range", "_n", "_offset")
-        )
-    above_in_range = F.sum("_n").over(in_range.rowsBetween(Window.unboundedPreceding, -1))
-    value_rank = tagged.join(offsets, "_range", "inner").select(
-        F.col(value_col).alias("_v"),
-        (F.col("_offset") + F.coalesce(above_in_range, F.lit(0)) + F.lit(1)).alias(out_col),
+    The input is read twice (counts, rows), so it is written once to the
+    checkpoint folder first: every read sees the same rows and values even if
+    recomputing them would not give identical bits (floating-point sums)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
+    written = _in_order(counts, value_col, descending, ranges)
+    in_file = Window.partitionBy("_file").orderBy("_index").rowsBetween(Window.unboundedPreceding, -1)
+    above = F.coalesce(F.sum("_n").over(in_file), F.lit(0))
+    ranks = written.join(_offsets(written, value_col, descending, F.col("_n")), "_file").select(
+        F.col(value_col).alias("_v"), (F.col("_offset") + above + F.lit(1)).alias(out_col)
     )
-    return df.join(value_rank, df[value_col].eqNullSafe(value_rank["_v"]), "inner").drop("_v")
+    return df.join(ranks, df[value_col].eqNullSafe(ranks["_v"]), "inner").drop("_v")
 
 
 def customer_totals(model: RetailModel) -> DataFrame:
@@ -123,7 +98,7 @@ def customer_totals(model: RetailModel) -> DataFrame:
         per_cust.join(model.customers.select("customer_id", "customer_name"), "customer_id")
         .groupBy("customer_name")
         .agg(F.sum("spent").alias("total"))
-        .select("customer_name", money_as_double("total").alias("total_sales"))
+        .select("customer_name", F.col("total").alias("total_sales"))
     )
 
 
@@ -135,17 +110,12 @@ def customer_rank_single_partition(model: RetailModel) -> DataFrame:
     return customer_totals(model).withColumn("sales_rank", F.rank().over(w).cast("long"))
 
 
-def customer_rank_scalable(model: RetailModel, ranges: int = DEFAULT_RANGES) -> DataFrame:
-    """W1 + N6: the same numbers with the rows spread over ``ranges`` ranges."""
+def customer_rank(model: RetailModel, ranges: int | None = None) -> DataFrame:
+    """W1 + N6: customers by revenue, ties share a rank, gaps follow."""
     ranked = global_rank(customer_totals(model), "total_sales", "sales_rank", True, ranges)
     return ranked.select("customer_name", "total_sales", F.col("sales_rank").cast("long"))
 
 
-def customer_rank(model: RetailModel) -> DataFrame:
-    """Customers by revenue, ties share a rank, gaps follow."""
-    return customer_rank_scalable(model)
-
-
 def top_customers_ranked(model: RetailModel, n: int = 10) -> DataFrame:
     """The n best customers with their global rank.  The rank of a row in
     the top n depends only on rows above it, so ranking the n rows is exact."""
@@ -166,8 +136,8 @@ def running_revenue(model: RetailModel) -> DataFrame:
     w = Window.orderBy("month").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return monthly.select(
         "month",
-        money_as_double("m").alias("monthly_sales"),
-        money_as_double(F.sum("m").over(w)).alias("cumulative_sales"),
+        F.col("m").alias("monthly_sales"),
+        F.sum("m").over(w).alias("cumulative_sales"),
     ).orderBy("month")
 
 
@@ -188,14 +158,14 @@ def largest_line_per_customer(model: RetailModel) -> DataFrame:
             F.col("sales").isNull(), F.col("sales"), -F.col("order_id"), -F.col("row_id")
         )
         best = j.groupBy("customer_id").agg(F.max_by(F.struct("order_id", "sales"), key).alias("b"))
-        return best.select("customer_id", F.col("b.order_id").alias("order_id"), money_as_double("b.sales").alias("sales"))
+        return best.select("customer_id", F.col("b.order_id").alias("order_id"), F.col("b.sales").alias("sales"))
     w = Window.partitionBy("customer_id").orderBy(
         F.col("sales").desc_nulls_first(), F.col("order_id").asc_nulls_last(), F.col("row_id").asc_nulls_last()
     )
     return (
         j.withColumn("_rn", F.row_number().over(w))
         .where("_rn = 1")
-        .select("customer_id", "order_id", money_as_double("sales").alias("sales"))
+        .select("customer_id", "order_id", "sales")
     )
 
 
@@ -213,7 +183,7 @@ def calendar_revenue(model: RetailModel) -> DataFrame:
     j = model.order_items.join(model.orders.select("order_id", "order_date"), "order_id")
     monthly = j.groupBy(F.trunc("order_date", "month").alias("month_date")).agg(F.sum("sales").alias("m"))
     return months.join(monthly, "month_date", "left").select(
-        "month_date", F.coalesce(money_as_double("m"), F.lit(0.0)).alias("monthly_sales")
+        "month_date", F.coalesce(F.col("m"), F.lit(0)).alias("monthly_sales")
     )
 
 

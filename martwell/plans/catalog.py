@@ -24,7 +24,7 @@ from martwell.plans.render import for_compare
 from martwell.plans.warehouse import open_store, open_warehouse, plan_layout, store_model
 from martwell.session import new_scratch_dir
 from martwell.sources import storage
-from martwell.sources.ingest import read_staging_csv, write_staging_csv
+from martwell.sources.ingest import insert_select, read_staging_csv, write_staging_csv
 from martwell.sources.testdata import read_raw, staging_frame
 from martwell.streaming import triggers
 
@@ -140,14 +140,14 @@ def q_top_customers_by_spend(spark, sf_dir):
 
 @register("customer_rank")
 def q_customer_rank(spark, sf_dir):
-    """W1 (range-split global rank, default ranges)."""
+    """W1 + N6 (as many ranges as the session has shuffle partitions)."""
     return ranking.customer_rank(model_of(spark, sf_dir))
 
 
 @register("customer_rank_scalable")
 def q_customer_rank_scalable(spark, sf_dir):
-    """W1 + N6 with many small ranges (the cluster-sized setting)."""
-    return ranking.customer_rank_scalable(model_of(spark, sf_dir), ranges=256)
+    """W1 + N6 with a stated number of ranges (the same operator)."""
+    return ranking.customer_rank(model_of(spark, sf_dir), ranges=256)
 
 
 @register("top_customers_ranked")
@@ -239,8 +239,17 @@ YEAR_RANGES = [
 ]
 
 
+_STAGED: dict[tuple[str, str], str] = {}
+
+
 def _staging(spark, sf_dir):
-    return staging_frame(model_of(spark, sf_dir))
+    """The staging rows, parsed once per session from the feed."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STAGED:
+        path = new_scratch_dir(spark, "staging")
+        read_staging_csv(spark, feed_of(spark, sf_dir)).write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(_STAGED[key])
 
 
 @register("staging_from_csv")
@@ -296,13 +305,13 @@ def _range(spark, sf_dir):
     return quality.range_violations(m.orders, "order_date", "order_id", YEAR_RANGES, "orders")
 
 
-def _amount(spark, sf_dir, staging=None):
-    st = staging if staging is not None else _staging(spark, sf_dir)
+def _amount(spark, sf_dir):
+    st = _staging(spark, sf_dir)
     return quality.amount_violations(st, "sales", "row_id", "staging")
 
 
-def _date_text(spark, sf_dir, staging=None):
-    st = staging if staging is not None else _staging(spark, sf_dir)
+def _date_text(spark, sf_dir):
+    st = _staging(spark, sf_dir)
     return quality.date_text_violations(st, ["order_date", "ship_date"], "row_id", "staging")
 
 
@@ -346,15 +355,14 @@ def q_date_text_violations(spark, sf_dir):
 def q_check_summary(spark, sf_dir):
     """Q1-Q6 violation counts, one row per check."""
     m = model_of(spark, sf_dir)
-    st = staging_frame(m)  # one staging plan shared by both text checks
     return quality.check_summary(
         {
             "pk": _pk_all(spark, sf_dir),
             "fk": quality.model_fk_violations(m),
             "length": quality.model_length_violations(m),
             "range": _range(spark, sf_dir),
-            "amount": _amount(spark, sf_dir, st),
-            "date_text": _date_text(spark, sf_dir, st),
+            "amount": _amount(spark, sf_dir),
+            "date_text": _date_text(spark, sf_dir),
         }
     )
 
@@ -473,8 +481,10 @@ def q_audit_numbered(spark, sf_dir):
 
 @register("audit_tail")
 def q_audit_tail(spark, sf_dir):
-    """O3: the last 5 audit rows by id."""
-    return _numbered_audit(spark, sf_dir).orderBy(F.col("audit_id").desc()).limit(5)
+    """O3: the last 5 rows of the stored audit log by id (a top-k)."""
+    store = _branch(spark, sf_dir)
+    maintenance.commit_line_change(store, maintenance.increase_sales(store.read("order_items"), RAISE_PERCENT))
+    return store.read("sales_audit").drop("changed_at").orderBy(F.col("audit_id").desc()).limit(5)
 
 
 # ---- layouts, versions, snapshots --------------------------------------------------------
@@ -526,7 +536,7 @@ def q_bucketed_join_revenue(spark, sf_dir):
     )
     j = items.join(orders, "order_id")
     return j.groupBy("ship_mode").agg(
-        F.count_distinct("order_id").alias("total_orders"), F.sum("sales").cast("double").alias("total_sales")
+        F.count_distinct("order_id").alias("total_orders"), F.sum("sales").alias("total_sales")
     )
 
 
@@ -616,10 +626,14 @@ def q_stream_ship_repair(spark, sf_dir):
 def q_audit_log_after_two_updates(spark, sf_dir):
     """M2 then M5, each committed with its audit batch (T1, M7, M8, N5); the
     append-only audit log afterwards (change times left out)."""
+    return _log_after_two_updates(spark, sf_dir).drop("changed_at")
+
+
+def _log_after_two_updates(spark, sf_dir):
     store = _branch(spark, sf_dir)
     maintenance.commit_line_change(store, maintenance.increase_sales(store.read("order_items"), RAISE_PERCENT))
     maintenance.commit_line_change(store, maintenance.add_to_line(store.read("order_items"), LINE_ROW_ID, LINE_AMOUNT))
-    return store.read("sales_audit").drop("changed_at")
+    return store.read("sales_audit")
 
 
 # ---- end-to-end load (S1 -> Q -> P -> S2) ------------------------------------------------
@@ -707,3 +721,165 @@ def q_stream_audit_log(spark, sf_dir):
     store = _branch(spark, sf_dir)
     triggers.run_audit_log_stream(spark, src, store, new_scratch_dir(spark, "ckpt"))
     return store.read("sales_audit").drop("changed_at")
+
+
+# ---- checks that find rows ----------------------------------------------------------------
+
+# What the disturbed feed and the extra checks use.
+LARGE_AMOUNT, AMOUNT_FACTOR = 90000, 1_000_000
+SWAPPED_MODE = "3-MEDIUM"
+TEXT_LIMIT = 1000
+UNKNOWN_REGION = "NOWHERE"
+
+
+def _disturbed(spark, sf_dir):
+    """The staging rows as a feed with faults: amounts above a limit come in
+    another unit, and one ship mode writes its dates month first."""
+    st = _staging(spark, sf_dir)
+    swapped = F.col("ship_mode") == SWAPPED_MODE
+
+    def month_first(c):
+        parts = F.split(c, "/")
+        return F.when(swapped, F.concat_ws("/", parts[1], parts[0], parts[2])).otherwise(F.col(c))
+
+    sales = F.when(F.col("sales") > LARGE_AMOUNT, F.col("sales") * AMOUNT_FACTOR).otherwise(F.col("sales"))
+    return st.select(
+        *(
+            month_first(c).alias(c)
+            if c == "order_date"
+            else sales.cast(st.schema["sales"].dataType).alias(c)
+            if c == "sales"
+            else F.col(c)
+            for c in st.columns
+        )
+    )
+
+
+@register("feed_amount_violations")
+def q_feed_amount_violations(spark, sf_dir):
+    """Q5 on a feed some of whose amounts are too large."""
+    return quality.amount_violations(_disturbed(spark, sf_dir), "sales", "row_id", "staging")
+
+
+@register("feed_date_violations")
+def q_feed_date_violations(spark, sf_dir):
+    """Q6 on a feed some of whose dates are written month first."""
+    return quality.date_text_violations(_disturbed(spark, sf_dir), ["order_date", "ship_date"], "row_id", "staging")
+
+
+@register("feed_load_checks")
+def q_feed_load_checks(spark, sf_dir):
+    """The lenient load (S1, P1-P5, Q1-Q3, Q5, Q6) of the faulty feed: its
+    faults are reported and not thrown."""
+    m = model_of(spark, sf_dir)
+    csv = write_staging_csv(_disturbed(spark, sf_dir), new_scratch_dir(spark, "faulty-feed"))
+    tags = m.product_tags.select(F.col("product_id").cast("string"), "tags")
+    profiles = m.customer_profiles.select(F.col("customer_id").cast("string"), "profile")
+    return pipeline.run_pipeline(spark, csv, tags, profiles, strict=False).checks
+
+
+@register("orphans_after_erasure")
+def q_orphans_after_erasure(spark, sf_dir):
+    """Q2 of the orders before an erasure against the customers after it."""
+    left = _erased(spark, sf_dir).customers
+    return quality.fk_violations(model_of(spark, sf_dir).orders, "customer_id", left, "customer_id", "orders")
+
+
+@register("long_documents")
+def q_long_documents(spark, sf_dir):
+    """Q3 over the texts of documents."""
+    return quality.length_violations(read_raw(spark, sf_dir, "documents"), {"text": TEXT_LIMIT}, "documents", "doc_id")
+
+
+@register("audit_key_check")
+def q_audit_key_check(spark, sf_dir):
+    """Q1 of the audit log after two updates: by its key, and by the line
+    changed (a line changed twice shows)."""
+    log = _log_after_two_updates(spark, sf_dir)
+    return quality.pk_violations(log, ["audit_id"], "sales_audit").unionByName(
+        quality.pk_violations(log, ["row_id"], "changed lines")
+    )
+
+
+@register("audit_change_times")
+def q_audit_change_times(spark, sf_dir):
+    """Rows, change times (one per commit) and missing times of the log
+    after two updates."""
+    return _log_after_two_updates(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("changed_at").alias("n_times"),
+        F.count_if(F.col("changed_at").isNull()).alias("n_missing"),
+    )
+
+
+# ---- inserts, views, unknown keys ---------------------------------------------------------
+
+
+@register("insert_selected_orders")
+def q_insert_selected_orders(spark, sf_dir):
+    """S3: two INSERT ... SELECT into one target, some columns of the orders
+    with and without a ship date."""
+    orders = model_of(spark, sf_dir).orders
+    path, cols = new_scratch_dir(spark, "inserted"), ["order_id", "ship_date", "customer_id"]
+    insert_select(path, orders.where("ship_date IS NOT NULL"), cols)
+    insert_select(path, orders.where("ship_date IS NULL"), cols)
+    return spark.read.schema(orders.select(*cols).schema).parquet(path)
+
+
+@register("tags_appended")
+def q_tags_appended(spark, sf_dir):
+    """Literal rows with arrays appended to the tags, and a literal
+    array of its own on every row."""
+    tags = lookups.append_tag_rows(spark, model_of(spark, sf_dir).product_tags, [("NEW-1", ["red", "ring"]), ("NEW-2", [])])
+    return tags.withColumn("kinds", F.array(F.lit("product"), F.lit("tag")))
+
+
+@register("profiles_appended")
+def q_profiles_appended(spark, sf_dir):
+    """Literal JSON rows appended to the profiles; text that is no JSON is
+    refused."""
+    rows = [("NEW-1", '{"k": 42}'), ("NEW-2", "no json {")]
+    return lookups.append_profile_rows(spark, model_of(spark, sf_dir).customer_profiles, rows)[0]
+
+
+@register("preview_any_rows")
+def q_preview_any_rows(spark, sf_dir):
+    """A preview without an order holds n rows of the table."""
+    store = open_store(spark, sf_dir)
+    some = store.preview("orders", 100).join(store.read("orders").select("order_id"), "order_id", "left_semi")
+    return some.agg(F.count_distinct("order_id").alias("n_rows"))
+
+
+@register("relation_inventory")
+def q_relation_inventory(spark, sf_dir):
+    """Tables and views by name with their row counts."""
+    store = open_store(spark, sf_dir)
+    return sql_surface.inventory(store_model(store), store)
+
+
+@register("view_preview")
+def q_view_preview(spark, sf_dir):
+    """S12 of a view: the first 50 rows by month."""
+    store = open_store(spark, sf_dir)
+    return sql_surface.preview(store_model(store), store, sql_surface.VIEW_SALES_TREND, 50, order_by="order_month")
+
+
+@register("state_city_refresh")
+def q_state_city_refresh(spark, sf_dir):
+    """M9: the stored state and city result after the 5 % raise, as read before
+    its refresh (stale) and after it."""
+    store = _branch(spark, sf_dir)
+    name = sql_surface.MV_STATE_CITY_SALES
+    sql_surface.refresh_materialized(store, [name])
+    store.write("order_items", maintenance.new_version(maintenance.increase_sales(store.read("order_items"), RAISE_PERCENT)))
+    stale = store.read(name).select("state", "city", F.col("total_sales").alias("stale_sales"))
+    sql_surface.refresh_materialized(store, [name])
+    return store.read(name).join(stale, ["state", "city"])
+
+
+@register("region_total_unknown")
+def q_region_total_unknown(spark, sf_dir):
+    """F1 over every region and one that does not exist."""
+    m = model_of(spark, sf_dir)
+    unknown = spark.range(1).select(F.lit(UNKNOWN_REGION).alias("region"))
+    return routines.region_total_or_zero(m, m.regions.select(F.col("region_name").alias("region")).unionByName(unknown))

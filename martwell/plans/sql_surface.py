@@ -13,12 +13,13 @@ registered.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martwell.functions import routines
 from martwell.operators import reports
 from martwell.sources.model import RetailModel
-from martwell.sources.storage import TableStore
+from martwell.sources.storage import TableStore, preview_of
 
 # The view and function names of the warehouse's SQL surface.
 VIEW_SALES_BY_REGION_CATEGORY = "v_sales_by_region_category"
@@ -32,6 +33,9 @@ FN_CUSTOMER_ORDER_COUNT = "fn_customer_order_count"
 FN_TOP_PRODUCTS_BY_MONTH = "fn_top_products_by_month"
 FN_GET_CUSTOMER_STATUS = "fn_get_customer_status"
 
+# Type of summed amounts.
+MONEY = "DECIMAL(32,2)"
+
 
 def _function_sql(id_type: str) -> list[str]:
     status = (
@@ -42,8 +46,8 @@ def _function_sql(id_type: str) -> list[str]:
     )
     return [
         f"""CREATE OR REPLACE TEMPORARY FUNCTION {FN_TOTAL_SALES_BY_REGION}(p_region STRING)
-RETURNS DOUBLE
-RETURN SELECT CAST(COALESCE(SUM(sales), 0) AS DOUBLE)
+RETURNS {MONEY}
+RETURN SELECT COALESCE(SUM(sales), 0)
        FROM (SELECT order_id FROM orders WHERE region = p_region) JOIN order_items USING (order_id)""",
         f"""CREATE OR REPLACE TEMPORARY FUNCTION {FN_CUSTOMER_ORDER_COUNT}(p_customer_id {id_type})
 RETURNS BIGINT
@@ -53,9 +57,9 @@ RETURN SELECT COUNT(*) FROM orders WHERE customer_id = p_customer_id""",
         # inlined Catalyst plans it as a top-k (TakeOrderedAndProject), so no
         # partition holds more than p_limit rows of it.
         f"""CREATE OR REPLACE TEMPORARY FUNCTION {FN_TOP_PRODUCTS_BY_MONTH}(p_year_month STRING, p_limit INT DEFAULT 5)
-RETURNS TABLE (product_name STRING, category STRING, total_revenue DOUBLE)
+RETURNS TABLE (product_name STRING, category STRING, total_revenue {MONEY})
 RETURN SELECT product_name, category, total_revenue FROM (
-  SELECT p.product_name, p.category, CAST(SUM(r.rev) AS DOUBLE) AS total_revenue,
+  SELECT p.product_name, p.category, SUM(r.rev) AS total_revenue,
          ROW_NUMBER() OVER (ORDER BY SUM(r.rev) DESC, p.product_name, p.category) AS pos
   FROM (SELECT oi.product_id, SUM(oi.sales) AS rev
         FROM order_items oi JOIN orders o ON oi.order_id = o.order_id
@@ -90,6 +94,37 @@ def refresh_materialized(store: TableStore, names: list[str] | None = None) -> l
     return names
 
 
+def views(model: RetailModel, store: TableStore | None = None) -> dict[str, DataFrame]:
+    """Every view and stored result by name; stored results that ``store``
+    holds are read, others are computed."""
+    found = {
+        VIEW_SALES_BY_REGION_CATEGORY: reports.revenue_by_region_category(model),
+        VIEW_SALES_TREND: reports.revenue_by_month(model),
+        VIEW_CUSTOMER_LIFETIME_VALUE: reports.customer_value(model),
+        VIEW_DELAYED_SHIPMENTS: reports.shipping_delay(model),
+    }
+    stored = store.current() if store is not None else {}
+    for name, define in MATERIALIZED.items():
+        found[name] = store.read(name) if name in stored else define(model)
+    return found
+
+
+def inventory(model: RetailModel, store: TableStore) -> DataFrame:
+    """(table_name, kind, n_rows) of the stored tables and the views."""
+    out = store.inventory().withColumn("kind", F.lit("table"))
+    for name, df in views(model, store).items():
+        if name not in store.current():
+            counted = df.agg(F.count(F.lit(1)).alias("n_rows"))
+            out = out.unionByName(counted.select(F.lit(name).alias("table_name"), "n_rows", F.lit("view").alias("kind")))
+    return out
+
+
+def preview(model: RetailModel, store: TableStore, name: str, n: int = 100, order_by: str | None = None) -> DataFrame:
+    """S12 of a stored table or a view (see ``TableStore.preview``)."""
+    found = views(model, store)
+    return preview_of(found[name], n, order_by) if name in found else store.preview(name, n, order_by)
+
+
 def register_sql(spark: SparkSession, model: RetailModel, store: TableStore | None = None) -> list[str]:
     """Register tables, views, stored results and functions; returns the
     names registered.  With ``store``, stored results that have been
@@ -99,16 +134,7 @@ def register_sql(spark: SparkSession, model: RetailModel, store: TableStore | No
     for name, df in model.tables().items():
         df.createOrReplaceTempView(name)
         names.append(name)
-    views = {
-        VIEW_SALES_BY_REGION_CATEGORY: reports.revenue_by_region_category(model),
-        VIEW_SALES_TREND: reports.revenue_by_month(model),
-        VIEW_CUSTOMER_LIFETIME_VALUE: reports.customer_value(model),
-        VIEW_DELAYED_SHIPMENTS: reports.shipping_delay(model),
-    }
-    stored = store.current() if store is not None else {}
-    for name, define in MATERIALIZED.items():
-        views[name] = store.read(name) if name in stored else define(model)
-    for name, df in views.items():
+    for name, df in views(model, store).items():
         df.createOrReplaceTempView(name)
         names.append(name)
     for stmt in _function_sql(dict(model.customers.dtypes)["customer_id"].upper()):

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from martwell.session import new_scratch_dir
 from martwell.sources.model import RetailModel
 from martwell.sources.storage import TableStore, run_parallel
-from martwell.sources.testdata import LINE_SLOTS, bind_model
+from martwell.sources.testdata import bind_model, line_slots, read_raw
 
 _BUILT: dict[tuple[str, str], str] = {}
 _BUILD_LOCK = threading.Lock()
@@ -66,15 +66,12 @@ def plan_layout(items: DataFrame, buckets: int | None = None) -> tuple[int, bool
 
 def stage_warehouse(
     store: TableStore, model: RetailModel, buckets: int | None = None,
-    max_lines_per_order: int | None = None, jobs: int = 4,
-    layout: tuple[int, bool, int] | None = None, prepartitioned: tuple[str, ...] = (),
+    jobs: int = 4, layout: tuple[int, bool, int] | None = None, prepartitioned: tuple[str, ...] = (),
 ) -> dict[str, str]:
     """Write every model table as a new, not yet published version (up to
     ``jobs`` tables at a time); returns table -> version reference.
     ``layout`` reuses a ``plan_layout`` result already computed."""
-    buckets, bucket_lines, top = layout or plan_layout(model.order_items, buckets)
-    if max_lines_per_order is not None and top > max_lines_per_order:
-        raise ValueError(f"an order has {top} lines; line keys allow {max_lines_per_order}")
+    buckets, bucket_lines, _ = layout or plan_layout(model.order_items, buckets)
 
     def write(item: tuple[str, DataFrame]) -> str:
         name, df = item
@@ -98,12 +95,12 @@ def staged_model(store: TableStore, refs: dict[str, str]) -> RetailModel:
 
 def build_warehouse(
     spark: SparkSession, model: RetailModel, root: str | None = None, buckets: int | None = None,
-    max_lines_per_order: int | None = None, jobs: int = 4,
+    jobs: int = 4,
 ) -> TableStore:
     """Write every model table (from the test binding or from staging
     normalisation) into a new versioned store and publish them together."""
     store = TableStore(spark, root or new_scratch_dir(spark, "warehouse"))
-    store.publish(stage_warehouse(store, model, buckets, max_lines_per_order, jobs))
+    store.publish(stage_warehouse(store, model, buckets, jobs))
     return store
 
 
@@ -115,13 +112,12 @@ def open_store(spark: SparkSession, sf_dir: str) -> TableStore:
         root = _BUILT.get(key)
         if root is None:
             store = TableStore(spark, new_scratch_dir(spark, "warehouse"))
-            layout = plan_layout(bind_model(spark, sf_dir).order_items)
-            buckets, bucket_lines, _ = layout
+            layout = plan_layout(read_raw(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "order_id"))
+            buckets, bucket_lines, top = layout
             # lines arrive hash-partitioned by order into the bucket count
-            model = bind_model(spark, sf_dir, fact_partitions=buckets if bucket_lines else None)
+            model = bind_model(spark, sf_dir, buckets if bucket_lines else None, line_slots(top))
             refs = stage_warehouse(
-                store, model, max_lines_per_order=LINE_SLOTS - 1, layout=layout,
-                prepartitioned=("order_items",) if bucket_lines else (),
+                store, model, layout=layout, prepartitioned=("order_items",) if bucket_lines else (),
             )
             store.publish(refs)
             _BUILT[key] = store.root

@@ -29,6 +29,8 @@ LENGTH_LIMITS: dict[str, dict[str, int]] = {
         "region": 50,
     },
     "order_items": {"order_id": 30, "product_id": 30},
+    "product_tags": {"product_id": 30},
+    "customer_profiles": {"customer_id": 20},
 }
 
 # Primary keys and foreign keys of the model.

@@ -59,6 +59,12 @@ class Conflict(RuntimeError):
     """Another writer published a table that this commit was computed from."""
 
 
+def preview_of(df: DataFrame, n: int, order_by: str | None) -> DataFrame:
+    if not 10 <= int(n) <= 1000:
+        raise ValueError("a preview has 10 to 1000 rows")
+    return (df.orderBy(F.col(order_by).asc_nulls_last()) if order_by else df).limit(n)
+
+
 class TableStore:
     """Versioned warehouse tables under one root folder."""
 
@@ -250,12 +256,7 @@ class TableStore:
         table size does not matter); otherwise any n rows."""
         if name not in self.current():
             raise KeyError(f"no table {name!r}")
-        if not 10 <= int(n) <= 1000:
-            raise ValueError("a preview has 10 to 1000 rows")
-        df = self.read(name)
-        if order_by:
-            return df.orderBy(F.col(order_by).asc_nulls_last()).limit(n)
-        return df.limit(n)
+        return preview_of(self.read(name), n, order_by)
 
     def refresh_view(self, name: str, definition: DataFrame) -> str:
         """M9: recompute a stored result and publish it; readers see the old
@@ -388,8 +389,8 @@ def snapshot(
     layouts: dict[str, str] | None = None,
 ) -> str:
     """Copy every table to ``<root>/ts=<ts>/<table>`` and record a
-    manifest (table, rows, schema, content hash, bucket layout) computed from
-    the copies.  Up to ``jobs`` tables are copied at the same time.
+    manifest (table, rows, schema, content hash, bucket layout) of the source
+    tables; a copy that differs from its source stops the snapshot.  Up to ``jobs`` tables are copied at the same time.
     ``layouts`` (table -> store reference) records which tables are bucketed,
     so a restore lays them out the same way."""
     ts = ts or time.strftime("%Y%m%d%H%M%S") + f"{int(time.time() * 1000) % 1000:03d}"
@@ -400,7 +401,9 @@ def snapshot(
         name, df = item
         df.write.mode("errorifexists").parquet(f"{base}/{name}")
         written = spark.read.parquet(f"{base}/{name}")
-        h = content_hash(written).first()
+        h = content_hash(df).first()
+        if content_hash(written).first() != h:
+            raise RuntimeError(f"the copy of {name} differs from its source")
         layout = _layout_of(layouts.get(name, ""))
         return (name, int(h.n_rows), written.schema.json(), h.content_hash or "0", layout)
 

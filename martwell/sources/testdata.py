@@ -11,7 +11,7 @@
 | orders.ship_mode                    | o_orderpriority                          |
 | orders.country/state/city/postal    | customer's nation and key                 |
 | orders.region                       | customer's region name                   |
-| order_items.row_id                  | l_orderkey * 1000 + line position        |
+| order_items.row_id                  | l_orderkey * line_slots + line position  |
 | order_items.product_id / sales      | l_partkey / decimal(12,2) extendedprice  |
 | product_tags.tags                   | words of p_name                          |
 | customer_profiles.profile           | events.user_id / events.props (JSON)     |
@@ -45,11 +45,16 @@ RAW_TABLES = (
     "conversations",
 )
 
-# Line slots per order used to build a numeric line key.  The line position
-# inside an order must stay below this; Q1 on row_id catches a breach.
+# Line slots per order of the numeric line key, for orders of fewer lines.
 LINE_SLOTS = 1000
 
 
+def line_slots(most_lines: int) -> int:
+    """Slots that keep line keys apart when the largest order has
+    ``most_lines`` lines: ``LINE_SLOTS``, or the next power of ten above it."""
+    return max(LINE_SLOTS, 10 ** len(str(most_lines)))
+
+
 def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -102,11 +107,22 @@ def bind_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bind_order_items(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
-    """``partitions``: hash-partition the lines by order key into exactly
+def most_lines(spark: SparkSession, sf_dir: str) -> int:
+    """Lines of the largest order (combined map-side, one column read)."""
+    per_order = read_raw(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    return per_order.agg(F.max("n")).first()[0] or 0
+
+
+def bind_order_items(
+    spark: SparkSession, sf_dir: str, partitions: int | None = None, slots: int | None = None
+) -> DataFrame:
+    """``slots``: line slots per order (measured when not given).
+
+    ``partitions``: hash-partition the lines by order key into exactly
     that many partitions first.  The position window then needs no shuffle of
     its own, and a bucketed write with as many buckets finds every bucket's
     rows in one task -- one shuffle of the largest table instead of two."""
+    slots = slots or line_slots(most_lines(spark, sf_dir))
     li = read_raw(spark, sf_dir, "lineitem")
     if partitions:
         li = li.repartition(partitions, "l_orderkey")
@@ -119,14 +135,16 @@ def bind_order_items(spark: SparkSession, sf_dir: str, partitions: int | None =
         )
     )
     return li.select(
-        (F.col("l_orderkey") * LINE_SLOTS + pos).alias("row_id"),
+        (F.col("l_orderkey").cast("long") * F.lit(slots) + pos).alias("row_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_extendedprice").cast(SALES_TYPE).alias("sales"),
     )
 
 
-def bind_model(spark: SparkSession, sf_dir: str, fact_partitions: int | None = None) -> RetailModel:
+def bind_model(
+    spark: SparkSession, sf_dir: str, fact_partitions: int | None = None, slots: int | None = None
+) -> RetailModel:
     region = read_raw(spark, sf_dir, "region")
     customer = read_raw(spark, sf_dir, "customer")
     part = read_raw(spark, sf_dir, "part")
@@ -145,7 +163,7 @@ def bind_model(spark: SparkSession, sf_dir: str, fact_partitions: int | None = N
             F.col("p_brand").alias("sub_category"),
         ),
         orders=bind_orders(spark, sf_dir),
-        order_items=bind_order_items(spark, sf_dir, fact_partitions),
+        order_items=bind_order_items(spark, sf_dir, fact_partitions, slots),
         product_tags=part.select(
             F.col("p_partkey").alias("product_id"),
             F.split(F.col("p_name"), " ").alias("tags"),

@@ -92,7 +92,7 @@ def commit_audit_batch(store: TableStore, changes: DataFrame, epoch_id: int, str
         staged = staged or store.stage_tagged("_audit_batch", audit_rows(changes), tag)
         seen = store.current()
         base = next_audit_base(store.read(log)) if log in seen else F.lit(0).cast("long")
-        numbered = store.stage_tagged(log, number_audit_rows(spark.read.parquet(staged), base, stable_input=True), tag)
+        numbered = store.stage_tagged(log, number_audit_rows(spark.read.parquet(staged), base), tag)
         try:
             store.publish({log: store.appended_paths(log, numbered)}, expected=seen)
             return True

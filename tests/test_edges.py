@@ -490,3 +490,61 @@ def test_duplicate_updates_resolve_deterministically(spark):
     upd = spark.createDataFrame([("a", "First Class"), ("a", "Same Day")], "order_id string, new_mode string")
     got = rows(maintenance.update_ship_mode(m.orders, upd), "order_id", "ship_mode")
     assert got == [("a", "Same Day")]  # one row per order; the larger value wins
+
+
+def test_rank_keeps_cents_beyond_double_precision(spark):
+    df = spark.createDataFrame(
+        [("a", Decimal("90071992547409.93")), ("b", Decimal("90071992547409.94"))], "name string, total decimal(32,2)"
+    )
+    assert rows(ranking.global_rank(df, "total", "r"), "name", "r") == [("a", 2), ("b", 1)]
+
+
+def test_numbering_has_as_many_files_as_the_session_has_partitions(spark):
+    log = ranking._in_order(spark.range(100_000).withColumnRenamed("id", "row_id"), "row_id", False, 8)
+    sizes = [r["count"] for r in log.groupBy("_file").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 100_000 / 4
+
+
+def test_line_slots_follow_the_largest_order():
+    from martwell.sources.testdata import line_slots
+
+    assert [line_slots(n) for n in (0, 7, 999, 1000, 5000, 123456)] == [1000, 1000, 1000, 10_000, 10_000, 1_000_000]
+
+
+def test_orders_of_thousands_of_lines_build(spark, tmp_path):
+    from martwell.plans.warehouse import open_warehouse
+
+    src = str(tmp_path / "long")
+    os.makedirs(src)
+    for t in ("region", "nation", "customer", "part", "orders", "events"):
+        os.symlink(f"/root/testdata/sf0.001/{t}.parquet", f"{src}/{t}.parquet")
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    first = lines.orderBy("l_orderkey", "l_linenumber").limit(1).drop("l_linenumber")
+    kind = lines.schema["l_linenumber"].dataType
+    more = first.crossJoin(spark.range(10, 5010).select(F.col("id").cast(kind).alias("l_linenumber")))
+    lines.unionByName(more).write.parquet(f"{src}/lineitem.parquet")
+    m = open_warehouse(spark, src)
+    assert m.order_items.count() == lines.count() + 5000
+    assert quality.model_pk_violations(m).isEmpty()
+
+
+def test_snapshot_refuses_a_copy_that_differs(spark, tmp_path):
+    from martwell.sources import storage
+
+    changing = spark.range(10).select(F.current_timestamp().alias("v"))  # other values in every job
+    with pytest.raises(RuntimeError, match="differs"):
+        storage.snapshot(spark, {"t": changing}, str(tmp_path / "snap"))
+
+
+def test_changes_keep_the_declared_limits(spark):
+    m = make_model(spark, customers=[("C1", "Ann", "Consumer")], orders=[("o1", date(2020, 1, 1), None, "C1")], items=[])
+    assert maintenance.rename_segment(m.customers, "Consumer", "x" * 50 + "  ").count() == 1  # blanks don't count
+    assert maintenance.rename_segment(m.customers, "Other", "x" * 51).collect()[0].segment == "Consumer"  # no row written
+    long = spark.createDataFrame([("o1", "x" * 51)], "order_id string, new_mode string")
+    for changed in (
+        maintenance.rename_segment(m.customers, "Consumer", "x" * 51),
+        maintenance.set_ship_mode(m.orders, "o1", "x" * 51),
+        maintenance.update_ship_mode(m.orders, long),
+    ):
+        with pytest.raises(Exception, match="too long"):
+            changed.collect()

@@ -40,9 +40,9 @@ def test_top_k_is_take_ordered(model_small):
 
 
 def test_scalable_rank_moves_no_rows_to_one_partition(model_small, no_broadcast):
-    p = plan(ranking.customer_rank_scalable(model_small))
+    p = plan(ranking.customer_rank(model_small))
     single = [line for line in p.splitlines() if "SinglePartition" in line]
-    # only the per-range offsets (a handful of rows) are ordered in one partition
+    # only the offsets (one row per written file) are ordered in one partition
     assert len(single) == 1
     plain = plan(ranking.customer_rank_single_partition(model_small))
     assert "SinglePartition" in plain

@@ -27,7 +27,7 @@ def test_global_rank_equals_window_rank(spark, vals, ranges, descending):
 @given(keys=st.sets(st.integers(0, 10**9), min_size=1, max_size=40), ranges=st.integers(1, 9))
 def test_unique_positions_are_dense(spark, keys, ranges):
     df = spark.createDataFrame([(k,) for k in keys], "row_id long")
-    got = {r.row_id: r.p for r in ranking.global_rank(df, "row_id", "p", descending=False, ranges=ranges, unique_values=True).collect()}
+    got = {r.row_id: r.p for r in ranking.numbered(df, "row_id", "p", ranges=ranges).collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
 
 
