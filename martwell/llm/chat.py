@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwell.llm.common import ship, steps, table, text_of
+from martwell.llm.common import kept_by, ship, steps, table, text_of
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 _marked = re.compile(r"<(\\*)\|")
@@ -73,13 +73,11 @@ class ChatTokenizer:
         return self.tokenizer.decode_batch([s.tolist() for s in segments], skip_special_tokens=False)
 
 
-_tokenizers: dict[str, ChatTokenizer] = {}
-
-
 def chat_tokenizer(path: str) -> ChatTokenizer:
-    if path not in _tokenizers:
-        _tokenizers[path] = ChatTokenizer(path)
-    return _tokenizers[path]
+    kept = kept_by("chat")
+    if path not in kept:
+        kept[path] = ChatTokenizer(path)
+    return kept[path]
 
 
 def assemble(tok: ChatTokenizer, roles: list[str], texts: list[str], trained: frozenset) -> Iterator[tuple]:

@@ -20,6 +20,19 @@ STEP_CHARS = 8_000_000
 _shipped: set[str] = set()
 
 
+_kept: dict[str, dict] = {}
+
+
+def kept_by(operator: str) -> dict:
+    """What a worker's Python keeps for an operator from task to task.  What it
+    kept for others goes, as workers serve many stages and queries and would
+    hold the memory of all of them."""
+    for other in [x for x in _kept if x != operator]:
+        del _kept[other]
+        pa.default_memory_pool().release_unused()
+    return _kept.setdefault(operator, {})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwell.llm.common import ship, table
+from martwell.llm.common import kept_by, ship, table
 
 FEATURES = 1 << 15
 LONGEST = 3
@@ -35,20 +35,19 @@ SAMPLE_ROWS = 6000
 UNKNOWN = "und"
 _SPACE = 32
 
-_folds: list[np.ndarray] = []
-
 
 def _fold() -> np.ndarray:
     """Code point to its lower-case letter, or to a space if it is no letter."""
-    if not _folds:
+    kept = kept_by("langid")
+    if "fold" not in kept:
         table_ = np.full(0x110000, _SPACE, np.uint32)
         for i in range(0x110000):
             c = chr(i)
             if c.isalpha():
                 low = c.lower()
                 table_[i] = ord(low) if len(low) == 1 else i
-        _folds.append(table_)
-    return _folds[0]
+        kept["fold"] = table_
+    return kept["fold"]
 
 
 def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwell.llm.common import ship, steps, stored, table, text_of
+from martwell.llm.common import kept_by, ship, steps, stored, table, text_of
 from martwell.llm.shingles import jaccard, mixed, shingles
 
 BANDS, ROWS = 32, 6
@@ -106,8 +106,9 @@ def band_hashes(held: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kept_by("neardup")
     for batch in batches:
-        for part in steps(batch, 3, 4_000_000):
+        for part in steps(batch, 3, 1_000_000):
             held, has = signatures(part.column(3).to_pylist())
             bands = band_hashes(held)[has].ravel()
             ends = np.cumsum(np.where(has, BANDS, 0))

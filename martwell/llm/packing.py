@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwell.llm.common import ship, steps, table, text_of
+from martwell.llm.common import kept_by, ship, steps, table, text_of
 
 PIECES = pa.schema(
     [
@@ -58,7 +58,6 @@ _DDL = (
 
 #: Remembered chunks of a Python worker; it starts anew beyond this number.
 REMEMBERED = 700_000
-_tokenizers: dict = {}
 _spaced = re.compile(r"\s ")
 _chunk = re.compile(r"(?<=\S)(?= )")
 
@@ -103,10 +102,11 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _tokenizers:
+    known = kept_by("packing")
+    if path not in known:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _tokenizers[path] = Encoder(path)
-    return _tokenizers[path]
+        known[path] = Encoder(path)
+    return known[path]
 
 
 class HarmonicBins:

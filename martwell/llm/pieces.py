@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwell.llm.common import ship, steps, table, text_of
+from martwell.llm.common import kept_by, ship, steps, table, text_of
 
 SPACE = "▁"
 _unit = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -275,13 +275,11 @@ class PieceModel:
         return "".join(out).replace(SPACE, " ").removeprefix(" ")
 
 
-_models: dict[str, PieceModel] = {}
-
-
 def piece_model(path: str) -> PieceModel:
-    if path not in _models:
-        _models[path] = PieceModel(path)
-    return _models[path]
+    kept = kept_by("pieces")
+    if path not in kept:
+        kept[path] = PieceModel(path)
+    return kept[path]
 
 
 ENCODED_DDL = "doc_id long, ids array<int>, ids_crc32 long"
