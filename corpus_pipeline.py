@@ -18,6 +18,9 @@ from martwell.llm.common import stored, table, text_of
 #: A document whose best language is less likely than this has none of them.
 LEAST_SCORE = 0.3
 REDACTED = "[SECRET]"
+#: Chunks that a packing worker remembers; fewer than alone, as executors hold
+#: what the stages before left them.  Affects time only.
+REMEMBERED = 200_000
 
 
 def _row(docs: DataFrame) -> Column:
@@ -75,7 +78,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Harmonic packing of what is left (one row per piece)."""
-    return packing.harmonic_pack(docs, packing.default_tokenizer())
+    return packing.harmonic_pack(docs, packing.default_tokenizer(), remembered=REMEMBERED)
 
 
 STAGES = [

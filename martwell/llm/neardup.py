@@ -240,7 +240,7 @@ def _verify(similarity: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets()
         for batch in batches:
-            for part in steps(batch, 2):
+            for part in steps(batch, 2, 1_000_000):
                 keep = [
                     jaccard(sets.of(node, node_text), sets.of(hub, hub_text)) >= similarity
                     for node, hub, node_text, hub_text in zip(*(c.to_pylist() for c in part.columns))

@@ -77,6 +77,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.most = REMEMBERED
 
     def chunks(self, text: str) -> list[str]:
         """The chunks; all but the first come without the space that begins them."""
@@ -93,7 +94,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         parts = [self.chunks(t) for t in texts]
         firsts = self._packed([p.pop(0) for p in parts])
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.most:
             self.known.clear()
         new = list(set().union(*(filterfalse(self.known.__contains__, p) for p in parts)))
         self.known.update(zip(new, self._packed([" " + x for x in new])))
@@ -101,11 +102,12 @@ class Encoder:
             yield first + b"".join(map(self.known.__getitem__, p))
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     known = kept_by("packing")
     if path not in known:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         known[path] = Encoder(path)
+    known[path].most = remembered
     return known[path]
 
 
@@ -161,14 +163,14 @@ class HarmonicBins:
                 yield from self._lay(d, s, n)
 
 
-def _packer(path: str, end_id: int, capacity: int, classes: int, slack: float):
+def _packer(path: str, end_id: int, capacity: int, classes: int, slack: float, remembered: int):
     end = end_id.to_bytes(4, "little")
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         first = (context.partitionId() if context else 0) << 33
         bins = HarmonicBins(capacity, classes, slack, first)
-        enc = encoder(path)
+        enc = encoder(path, remembered)
         # ids of documents with pieces in open bins only: at most `classes` squared pieces
         waiting: dict[int, list] = {}
         number = 0
@@ -213,6 +215,7 @@ def harmonic_pack(
     capacity: int = 1024,
     classes: int = 64,
     slack: float = 1 / 64,
+    remembered: int = REMEMBERED,
     end_id: int = 0,
 ) -> DataFrame:
     """Pack every document of ``docs`` into sequences of ``capacity`` tokens.
@@ -223,13 +226,14 @@ def harmonic_pack(
     ``id_col`` values are packed like any other row (each row is a document of
     its own); other columns of ``docs`` are not read; an empty table gives no
     rows.  Memory of a task: one step of texts, its open bins (fewer than
-    ``classes`` squared pieces with their documents) and the remembered chunks.
+    ``classes`` squared pieces with their documents) and about ``remembered``
+    chunks.
     """
     if capacity < 1 or classes < 1 or not 0 <= slack < 1:
         raise ValueError("capacity and classes are at least 1, slack is from 0 to below 1")
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(_packer(tokenizer_path, end_id, capacity, min(classes, capacity), slack), _DDL)
+    return rows.mapInArrow(_packer(tokenizer_path, end_id, capacity, min(classes, capacity), slack, remembered), _DDL)
 
 
 def padding(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
