@@ -5,9 +5,12 @@
    arrivals fall on random registers, and a register keeps the shingle that
    arrives first.  A shingle's arrivals are drawn until they come later than
    the last register's first one (early termination), so two documents agree in
-   a register with their probability Jaccard similarity.
-2. Equal texts are one class, a node.  The registers of a node make ``BANDS``
-   bands of ``ROWS``; nodes with an equal band share a bucket.
+   a register with their probability Jaccard similarity.  A document that repeats
+   a shingle gets a second signature, all weights 1: its registers agree with
+   the plain Jaccard similarity, the one that is verified.  Without repeats both
+   are the same.
+2. Equal texts are one class, a node.  The registers of each signature of a node
+   make ``BANDS`` bands of ``ROWS``; nodes with an equal band share a bucket.
 3. Verification: the exact Jaccard similarity of the shingle sets, at least
    ``SIMILARITY``, makes a link.
 4. Groups are the connected components of the links.
@@ -17,8 +20,9 @@ No step emits the pairs of a bucket.  A bucket's hub is its most central node
 edited from) and all others are verified against it.  After the components of
 those links are known, only pairs that lie in one bucket but in different
 components are left.  A bucket's nodes outside its largest component meet its nodes
-in blocks, whose registers a task compares as matrices; pairs that agree about
-as much as the similarity asks for become rows and are verified.  So every
+in blocks, whose registers a task compares as matrices; pairs that agree, in
+either signature, about as much as the similarity asks for become rows and are
+verified.  So every
 pair that shares a band is linked up or looked at, and a large group of near
 copies costs strangers times members comparisons of registers, in blocks.
 
@@ -29,6 +33,7 @@ on hashes and hubs are plain equi-joins that Spark can split.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +46,10 @@ from martwell.llm.shingles import jaccard, mixed, shingles
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 SIMILARITY = 0.8
-#: Share of agreeing registers below which a pair beyond the hubs is not worth a
-#: look: 3.4 standard deviations under the similarity asked for.
-LEAST_AGREEMENT = 0.7
+#: A pair beyond the hubs is not worth a look if the share of agreeing registers
+#: of both signatures is this many standard deviations under the similarity
+#: asked for (0.7 for 0.8).
+DEVIATIONS = 3.46
 
 _SIGNED_DDL = "uid long, doc_id long, hash string, bands array<long>, low binary"
 
@@ -82,19 +88,31 @@ def prob_minhash(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, own
     return holder.reshape(owners, registers)
 
 
-def signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Registers of every text, and whether it has shingles at all."""
-    owner, element, weight, has = [], [], [], np.zeros(len(texts), bool)
+def least_agreement(similarity: float) -> float:
+    """Share of agreeing registers, of a signature of plain shingle sets, that a
+    pair of this similarity falls short of by chance only (they are independent)."""
+    return similarity - DEVIATIONS * (similarity * (1 - similarity) / REGISTERS) ** 0.5
+
+
+def signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(texts, 2, REGISTERS) registers of every text, with weights 1 and with
+    weights by count; whether it has shingles at all, and whether it repeats one."""
+    owner, element, weight = [], [], []
+    has, repeats = np.zeros((2, len(texts)), bool)
     for i, t in enumerate(texts):
         found, counts = np.unique(shingles(t), return_counts=True)
-        has[i] = bool(len(found))
+        has[i], repeats[i] = bool(len(found)), bool((counts > 1).any())
         owner.append(np.full(len(found), i))
         element.append(found)
         weight.append(1 + np.log(counts))
-    held = prob_minhash(
-        np.concatenate(owner).astype(np.int64), np.concatenate(element), np.concatenate(weight), len(texts), REGISTERS
-    )
-    return held, has
+    own, elements, weights = np.concatenate(owner).astype(np.int64), np.concatenate(element), np.concatenate(weight)
+    held = np.empty((len(texts), 2, REGISTERS), np.uint64)
+    held[:] = prob_minhash(own, elements, np.ones(len(own)), len(texts), REGISTERS)[:, None]
+    if repeats.any():
+        some = repeats[own]
+        number = np.cumsum(repeats) - 1
+        held[repeats, 1] = prob_minhash(number[own[some]], elements[some], weights[some], int(repeats.sum()), REGISTERS)
+    return held, has, repeats
 
 
 def band_hashes(held: np.ndarray) -> np.ndarray:
@@ -109,14 +127,16 @@ def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept_by("neardup")
     for batch in batches:
         for part in steps(batch, 3, 1_000_000):
-            held, has = signatures(part.column(3).to_pylist())
-            bands = band_hashes(held)[has].ravel()
-            ends = np.cumsum(np.where(has, BANDS, 0))
+            held, has, repeats = signatures(part.column(3).to_pylist())
+            # the second signature is kept where it differs
+            kept = np.column_stack([has, repeats])
+            bands = band_hashes(held.reshape(-1, REGISTERS)).reshape(-1, 2, BANDS)[kept].ravel()
+            ends = np.cumsum(kept.sum(axis=1) * BANDS)
             low = (held & np.uint64(255)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2),
                  pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(bands)),
-                 pa.array([r.tobytes() for r in low], pa.binary())],
+                 pa.array([r[: 1 + twice].tobytes() for r, twice in zip(low, repeats)], pa.binary())],
                 names=["uid", "doc_id", "hash", "bands", "low"],
             )
 
@@ -127,7 +147,8 @@ def text_hash(text: Column) -> Column:
 
 def sign(docs: DataFrame) -> DataFrame:
     """uid, doc_id, hash of the text, band hashes (none without words) and the
-    registers' low bytes of every row of ``docs`` (doc_id, text); stored."""
+    registers' low bytes of every row of ``docs`` (doc_id, text); of two
+    signatures if a shingle is repeated; stored."""
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", text_hash(F.col("text")).alias("hash"), "text")
     return stored(rows.mapInArrow(_sign, _SIGNED_DDL), "signatures")
 
@@ -146,7 +167,7 @@ def buckets(signed: DataFrame, nodes: DataFrame) -> DataFrame:
     """(bucket, node, central) of the bands that several nodes share; central is
     the number of nodes in all buckets of the node; stored."""
     own = signed.join(nodes.select(F.col("node").alias("uid")), "uid", "left_semi")
-    rows = own.select(F.col("uid").alias("node"), F.explode("bands").alias("bucket"))
+    rows = own.select(F.col("uid").alias("node"), F.explode(F.array_distinct("bands")).alias("bucket"))
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = stored(rows.join(sizes, "bucket"), "buckets")
     central = shared.groupBy("node").agg(F.sum("size").alias("central"))
@@ -167,23 +188,30 @@ def _blocks(rows: DataFrame, count: str, most: int) -> DataFrame:
 
 
 def _block(cell: pa.StructArray) -> tuple[np.ndarray, ...]:
+    """Nodes, roots, and low bytes and bands of both signatures (rows, 2, ...)."""
     node, root = (cell.field(n).to_numpy(zero_copy_only=False) for n in ("node", "root"))
-    low = np.frombuffer(b"".join(cell.field("low").to_pylist()), np.uint8).reshape(-1, REGISTERS)
-    return node, root, low, cell.field("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+    both = (low if len(low) > REGISTERS else low * 2 for low in cell.field("low").to_pylist())
+    low = np.frombuffer(b"".join(both), np.uint8).reshape(-1, 2, REGISTERS)
+    bands = cell.field("bands")
+    sizes = pa.compute.list_value_length(bands).to_numpy(zero_copy_only=False).astype(np.int64)
+    spot = (np.cumsum(sizes) - sizes)[:, None] + np.arange(2 * BANDS) % sizes[:, None]
+    return node, root, low, bands.flatten().to_numpy(zero_copy_only=False)[spot].reshape(-1, 2, BANDS)
 
 
-def _agreeing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _agreeing(batches: Iterable[pa.RecordBatch], similarity: float = SIMILARITY) -> Iterator[pa.RecordBatch]:
+    least = least_agreement(similarity) * REGISTERS
     for batch in batches:
         for bucket, main, members, strangers in zip(*batch.columns):
             bucket, main = bucket.as_py(), main.as_py()
             node, root, low, bands = _block(members.values)
             out_node, out_hub = [], []
             for hub, hub_root, hub_low, hub_bands in zip(*_block(strangers.values)):
-                once = (root != hub_root) & ((root == main) | (node < hub))
-                near = np.flatnonzero(once & ((low == hub_low).sum(axis=1) >= LEAST_AGREEMENT * REGISTERS))
-                # of all buckets that the two share, this is the first
-                shared = np.argmax(bands[near] == hub_bands, axis=1)
-                near = near[hub_bands[shared] == bucket]
+                once = np.flatnonzero((root != hub_root) & ((root == main) | (node < hub)))
+                near = once[((low[once] == hub_low).sum(axis=2) >= least).any(axis=1)]
+                # of all buckets that the two share, by any signature, this is the least
+                equal = bands[near][:, :, None] == hub_bands
+                shared = np.where(equal, hub_bands, np.iinfo(np.int64).max).min(axis=(1, 2, 3))
+                near = near[shared == bucket]
                 out_node.append(node[near])
                 out_hub.append(np.full(len(near), hub))
             yield pa.RecordBatch.from_arrays(
@@ -191,12 +219,12 @@ def _agreeing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def left_pairs(shared: DataFrame, component: DataFrame, signed: DataFrame) -> DataFrame:
+def left_pairs(shared: DataFrame, component: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
     """(node, hub) pairs of one bucket that are in different components, and
     whose registers agree often enough to be worth a look.
 
     Buckets meet their nodes outside the largest component in blocks, which a
-    task compares as matrices; only agreeing pairs become rows, in the first of
+    task compares as matrices; only agreeing pairs become rows, in the least of
     the buckets that they share."""
     rows = (
         shared.select("bucket", "node")
@@ -215,7 +243,9 @@ def left_pairs(shared: DataFrame, component: DataFrame, signed: DataFrame) -> Da
     members = _blocks(open_, "members", 1024).withColumnRenamed("nodes", "member_nodes")
     strangers = _blocks(open_.filter("root <> main"), "strangers", 256).withColumnRenamed("nodes", "stranger_nodes")
     blocks = members.drop("block").join(strangers.drop("block"), "bucket").join(mixed_.select("bucket", "main"), "bucket")
-    pairs = blocks.select("bucket", "main", "member_nodes", "stranger_nodes").mapInArrow(_agreeing, "node long, hub long")
+    pairs = blocks.select("bucket", "main", "member_nodes", "stranger_nodes").mapInArrow(
+        partial(_agreeing, similarity=similarity), "node long, hub long"
+    )
     return pairs.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub")).distinct()
 
 
@@ -299,7 +329,7 @@ def near_duplicates(
     texts = stored(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
     direct = stored(links(hub_pairs(shared), texts, similarity), "links")
     component = components(direct)
-    more = stored(links(left_pairs(shared, component, signed), texts, similarity), "links")
+    more = stored(links(left_pairs(shared, component, signed, similarity), texts, similarity), "links")
     if not more.isEmpty():
         component = components(direct.union(more))
     grouped = component.join(nodes.select("node", "rep"), "node")

@@ -281,6 +281,34 @@ def test_leftover_pairs_of_a_bucket_are_found():
         assert out == want
 
 
+def test_near_duplicates_with_repeated_lines(spark):
+    """Texts whose own lines are repeated: similar as sets, not by weighted shingles."""
+    import pyarrow as pa
+
+    rows = []
+    for g in range(8):
+        body = " ".join(f"g{g}w{i}" for i in range(904))
+        rows += [(2 * g + k, body + f" {' '.join(f'g{g}own{k}x{i}' for i in range(100))}" * 50) for k in (0, 1)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.group_id for r in got} == {i: i - i % 2 for i in range(16)}
+    # and the registers let every such pair pass beyond the hubs
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([i for i, _ in rows]), pa.array([i for i, _ in rows]), pa.array(["h"] * 16), pa.array([t for _, t in rows])],
+        names=["uid", "doc_id", "hash", "text"],
+    )
+    signed = [r for out in neardup._sign([batch]) for r in out.to_pylist()]
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("root", pa.int64()), ("low", pa.binary()), ("bands", pa.list_(pa.int64()))]))
+    for a, b in zip(signed[::2], signed[1::2]):
+        nodes = [{"node": r["uid"], "root": r["uid"], "low": r["low"], "bands": r["bands"]} for r in (a, b)]
+        common = sorted(set(a["bands"]) & set(b["bands"]))
+        found = []
+        for bucket in common:
+            cells = [pa.array([bucket]), pa.array([a["uid"]]), pa.array([nodes], kind), pa.array([nodes[1:]], kind)]
+            for out in neardup._agreeing([pa.RecordBatch.from_arrays(cells, names=list("abcd"))]):
+                found += out.to_pylist()
+        assert found == [{"node": a["uid"], "hub": b["uid"]}]
+
+
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 60)
     rnd = np.random.default_rng(3)
