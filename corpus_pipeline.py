@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from martwell.llm import langid, neardup, packing, secrets
 from martwell.llm.common import stored, table, text_of
 
-#: A document whose best language is less likely than this has none of them.
-LEAST_SCORE = 0.3
 REDACTED = "[SECRET]"
 #: Chunks that a packing worker remembers; fewer than alone, as executors hold
 #: what the stages before left them.  Affects time only.
@@ -38,10 +36,17 @@ def _rows_again(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the labelled documents, reject what has no language (no
-    letters, or no language that is likely), and label what has no label."""
+    letters, or less likely to be in a learned one than the bound that the model
+    takes from held-out documents), and label what has no label.
+
+    With nothing to learn from (no label on a document with letters), documents
+    with letters stay and ``lang`` stays null.  With one learned language, or
+    too few held-out documents for a bound, only those without letters go."""
     model = langid.fit(docs.select("text", "lang"))
+    if not model.languages:
+        return docs.filter(langid.has_letters(F.col("text")))
     told = langid.predict(docs.select(_row(docs), "text"), model)
-    kept = told.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    kept = told.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= model.least))
     lang = F.coalesce(F.col("row.lang"), F.col("lang_pred"))
     return _rows_again(kept.select(F.col("row").withField("lang", lang).alias("row")), docs)
 

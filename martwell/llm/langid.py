@@ -11,7 +11,9 @@ document frequency, each document scaled to length 1.
   those with the least hashes of their content among all labelled rows.  It is
   trained on four fifths of it by follow-the-regularised-leader with L1 and L2
   penalties (weights that the data don't need stay exactly 0); the last fifth
-  fits the temperature that calibrates its probabilities.
+  fits the temperature that calibrates its probabilities, and the rejection
+  bound: at most a ``REJECTED`` share of documents like the held-out ones that
+  it tells rightly has a best probability below it.
 * Prediction runs where documents are read.  The model has a fixed size
   (``FEATURES`` by the number of languages), so it is broadcast.
 """
@@ -24,7 +26,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwell.llm.common import kept_by, ship, table
@@ -32,6 +34,8 @@ from martwell.llm.common import kept_by, ship, table
 FEATURES = 1 << 15
 LONGEST = 3
 SAMPLE_ROWS = 6000
+#: Share of clean documents that the rejection bound may cost.
+REJECTED = 0.002
 UNKNOWN = "und"
 _SPACE = 32
 
@@ -74,12 +78,14 @@ def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
 
 @dataclass
 class Model:
-    """Fitted model; ``languages`` is empty if there was nothing to learn from."""
+    """Fitted model; ``languages`` is empty if there was nothing to learn from.
+    A text whose score is below ``least`` is in no learned language."""
 
     languages: list[str] = field(default_factory=list)
     idf: np.ndarray | None = None
     weights: np.ndarray | None = None
     temperature: float = 1.0
+    least: float = 0.0
 
     def vector(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         where, n = counts
@@ -146,6 +152,14 @@ def fit_temperature(scores: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def rejection_bound(told: np.ndarray, share: float = REJECTED) -> float:
+    """The best probability that at most ``share`` of documents like those of
+    ``told`` (best probabilities of held-out documents) are below (split
+    conformal); 0, which rejects nothing, if ``told`` are too few to say."""
+    rank = int(share * (len(told) + 1))
+    return float(np.sort(told)[rank - 1]) if rank else 0.0
+
+
 def _document_frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(feature, documents with it) of a task; feature -1 counts documents."""
     total, seen = np.zeros(FEATURES, np.int64), 0
@@ -213,9 +227,23 @@ def fit(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> Model:
     scores = np.array([vectors[i][1] @ model.weights[vectors[i][0]] for i in np.flatnonzero(held)])
     model.temperature = fit_temperature(scores, labels[held])
     model.weights = model.weights.astype(np.float32)
+    # of the weights and in the arithmetic that predict uses
+    scores = np.array([vectors[i][1] @ model.weights[vectors[i][0]] for i in np.flatnonzero(held)])
+    if len(scores):
+        told = softmax(scores / model.temperature)
+        model.least = rejection_bound(told.max(axis=1)[told.argmax(axis=1) == labels[held]])
     return model
 
 
+def has_letters(text: Column) -> Column:
+    """Whether a text has a letter (what ``ngram_counts`` takes for one)."""
+
+    def told(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(t) and any(map(str.isalpha, t)) for t in texts], dtype=bool)
+
+    return F.pandas_udf(told, "boolean")(text)
+
+
 def _predictor(shared):
     """Pandas UDF from text to (lang_pred, score) with the broadcast model."""
 

@@ -363,6 +363,40 @@ def test_pipeline_stages(spark, documents):
     assert P.STAGES[-1][1](spark, docs, "").select("doc_id").distinct().count() == 5
 
 
+def test_pipeline_without_labels_keeps_documents_with_letters(spark, documents):
+    import corpus_pipeline as P
+    from pyspark.sql import functions as F
+
+    letters = [0, 4, 5, 6, 7, 7, 9, 10]
+    nowhere = documents.withColumn("lang", F.lit(None).cast("string"))
+    got = P.identify_language(spark, nowhere, "").collect()
+    assert sorted(r.doc_id or 0 for r in got) == letters and {r.lang for r in got} == {None}
+    # labels only where there is nothing to learn from
+    blank = documents.withColumn("lang", F.when(F.col("doc_id").isin(1, 2, 11), "en"))
+    got = P.identify_language(spark, blank, "").collect()
+    assert sorted(r.doc_id or 0 for r in got) == letters and {r.lang for r in got} == {None}
+
+
+def test_pipeline_rejects_by_the_learned_languages(spark):
+    """Two languages, whose best probability is 1/2 at least: other text goes, clean short text stays."""
+    import corpus_pipeline as P
+
+    rnd = random.Random(6)
+    parts = {"xx": ["thar", "wen", "ol"], "yy": ["ézu", "qia", "nè"]}
+    text = lambda lang: " ".join("".join(rnd.choices(parts[lang], k=3)) for _ in range(rnd.randint(3, 30)))
+    rows = [(i, text(lang), lang) for i, lang in enumerate(["xx", "yy"] * 1500)]
+    strange = [(9000, "бдж щфы гцк " * 5, None), (9001, "漢字漢字 仮名仮名", None)]
+    df = spark.createDataFrame(rows + strange, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in P.identify_language(spark, df, "").collect()}
+    assert not kept & {9000, 9001} and len(kept) >= 0.99 * len(rows)
+
+
+def test_rejection_bound_costs_its_share_at_most():
+    scores = np.random.default_rng(3).permutation(np.linspace(0.4, 1, 1200))
+    assert (scores < langid.rejection_bound(scores, 0.01)).mean() <= 0.01 and langid.rejection_bound(scores, 0.01) > 0.4
+    assert langid.rejection_bound(scores[:50], 0.01) == langid.rejection_bound(scores[:0]) == 0
+
+
 def test_pipeline_redacts_credentials_but_not_examples(spark):
     import corpus_pipeline as P
 
