@@ -44,7 +44,7 @@ def _reports(spark, model, a):
         "region_revenue": lambda: reports.region_revenue_param(spark, model, a.region),
         "region_total": lambda: routines.total_sales_by_region(model, a.region),
         "top_customers_by_spend": lambda: reports.top_customers_by_spend(model, a.n),
-        "customer_rank": lambda: ranking.customer_rank_scalable(model),
+        "customer_rank": lambda: ranking.customer_rank(model),
         "top_customers_ranked": lambda: ranking.top_customers_ranked(model, a.n),
         "running_revenue": lambda: ranking.running_revenue(model),
         "largest_line_per_customer": lambda: ranking.largest_line_per_customer(model),

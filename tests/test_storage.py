@@ -288,3 +288,14 @@ def test_fiscal_year_ranges_read_by_their_bounds(spark):
     rows = spark.createDataFrame([("a", date(2015, 11, 3))], "order_id string, order_date date")
     path, _ = write_year_partitioned(rows, new_scratch_dir(spark, "t-years"), bounds)
     assert read_date_range(spark, path, date(2015, 11, 1), date(2015, 12, 31), bounds).count() == 1
+
+
+def test_cli_runs_every_report(spark, capsys):
+    from martwell.__main__ import REPORT_NAMES, main
+
+    root = new_scratch_dir(spark, "t-reports")
+    main(["build", "--source", "/root/testdata/sf0.001", "--root", root], stop=False)
+    for name in REPORT_NAMES:
+        capsys.readouterr()
+        main(["report", name, "--root", root, "--customer", "1", "--order", "1", "--show", "2"], stop=False)
+        assert "+--" in capsys.readouterr().out, name
