@@ -15,7 +15,9 @@
 
 Results are shown with a row limit (``--show``); nothing unbounded reaches
 the driver.  Changes are written as new table versions and published in one
-commit (with the audit rows for amount changes).
+commit (with the audit rows for amount changes).  If another process published
+one of the changed tables since they were read, or a commit at the same time,
+the command ends in ``Conflict`` and changes nothing; run it again.
 """
 
 from __future__ import annotations
@@ -168,22 +170,23 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
     elif a.cmd == "report":
         _reports(spark, store_model(store), a)[a.name]().show(a.show, truncate=False)
     elif a.cmd == "change":
-        m = store_model(store)
+        m, seen = store_model(store), store.current()
         if a.what == "ship-mode":
-            store.write("orders", maintenance.set_ship_mode(m.orders, a.order, a.mode))
+            store.write("orders", maintenance.set_ship_mode(m.orders, a.order, a.mode), expected=seen)
         elif a.what == "ship-date":
-            store.write("orders", maintenance.set_ship_date(m.orders, a.order, F.to_date(F.lit(a.date))))
+            store.write("orders", maintenance.set_ship_date(m.orders, a.order, F.to_date(F.lit(a.date))), expected=seen)
         elif a.what == "raise":
             maintenance.commit_line_change(store, maintenance.increase_sales(m.order_items, Decimal(a.percent)))
         elif a.what == "add":
             maintenance.commit_line_change(store, maintenance.add_to_line(m.order_items, int(a.row), Decimal(a.amount)))
         elif a.what == "rename-segment":
-            store.write("customers", maintenance.rename_segment(m.customers, a.old, a.new))
+            store.write("customers", maintenance.rename_segment(m.customers, a.old, a.new), expected=seen)
         elif a.what == "erase":
             ids = spark.createDataFrame([(c,) for c in a.customer], "customer_id string")
             e = maintenance.erase_customers(m, ids.select(F.col("customer_id").cast(dict(m.customers.dtypes)["customer_id"])))
             store.write_all(
-                {t: getattr(e, t) for t in ("order_items", "orders", "customer_profiles", "customers")}
+                {t: getattr(e, t) for t in ("order_items", "orders", "customer_profiles", "customers")},
+                expected=seen,
             )
         if "sales_audit" in store.refresh()[1]:
             store.read("sales_audit").orderBy(F.desc("audit_id")).limit(5).show(truncate=False)  # O3
@@ -197,12 +200,15 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
         register_sql(spark, store_model(store), store)
         spark.sql(a.statement).show(a.show, truncate=False)
     elif a.cmd == "tag":
-        store.write("product_tags", lookups.append_tag_rows(spark, store.read("product_tags"), [(a.product, a.tags)]))
+        seen = store.current()
+        rows = lookups.append_tag_rows(spark, store.read("product_tags"), [(a.product, a.tags)])
+        store.write("product_tags", rows, expected=seen)
     elif a.cmd == "profile":
+        seen = store.current()
         rows, bad = lookups.append_profile_rows(spark, store.read("customer_profiles"), [(a.customer, a.json)])
         if not bad.isEmpty():
             raise SystemExit("the profile is no JSON")
-        store.write("customer_profiles", rows)
+        store.write("customer_profiles", rows, expected=seen)
     elif a.cmd == "tables":
         sql_surface.inventory(store_model(store), store).orderBy("table_name").show(200, truncate=False)
     elif a.cmd == "preview":

@@ -87,10 +87,11 @@ MATERIALIZED = {
 def refresh_materialized(store: TableStore, names: list[str] | None = None) -> list[str]:
     """M9: recompute stored results from the store's current tables and
     publish them (one commit); readers see the previous contents until then."""
+    seen = store.current()
     model = RetailModel(**{t: store.read(t) for t in RetailModel.__dataclass_fields__})
     names = names or list(MATERIALIZED)
     paths = {n: store.stage(n, MATERIALIZED[n](model)) for n in names}
-    store.publish(paths)
+    store.publish(paths, expected=seen)
     return names
 
 

@@ -5,13 +5,13 @@ it works on any Hadoop-compatible shared file system the cluster uses.
 
 Versions (N5).  A table's data lives in ``<root>/tables/<name>/<version>/``
 and is never overwritten.  Which version is current is recorded in a manifest
-dataset ``<root>/_manifest/seq=<n>/`` (one row per table); publishing writes
-the next sequence number with ``errorifexists``, so a commit is all-or-nothing
-for every table it names.  Each commit carries a writer token; should two
-writers ever land in the same number, the smaller token wins for every reader
-and the other writer retries on top of it.  Readers take the highest sequence
-(found by listing, without reading older manifests).  A crash before publish
-leaves an unused version folder and no visible change.
+dataset ``<root>/_manifest/seq=<n>/`` (one row per table); publishing writes it
+aside and renames it to the next sequence number, so a commit is all-or-nothing
+for every table it names.  The first rename to a number takes it for good (an
+atomic rename of folders, as HDFS and local disks have); any other writer gets
+``Conflict`` and publishes nothing.  Readers take the highest sequence (found by
+listing, without reading older manifests).  A crash before publish leaves unused
+folders and no visible change.
 """
 
 from __future__ import annotations
@@ -56,7 +56,8 @@ _TS = re.compile(r"/ts=(\d+)/")
 
 
 class Conflict(RuntimeError):
-    """Another writer published a table that this commit was computed from."""
+    """Another writer published a table that this commit was computed from, or
+    the commit that this one was about to be."""
 
 
 def preview_of(df: DataFrame, n: int, order_by: str | None) -> DataFrame:
@@ -88,9 +89,9 @@ class TableStore:
     def refresh(self) -> tuple[int, dict[str, str]]:
         """Read the newest published manifest (one row per table) into this
         handle.  Readers keep that snapshot until they refresh or publish, so
-        a report sees one consistent set of table versions.  If two writers
-        ever land in the same sequence number, the smaller writer token wins
-        for every reader, and the other writer retries."""
+        a report sees one consistent set of table versions.  (A number that
+        holds the rows of two writers, from before numbers were taken by
+        rename, reads as the one with the smaller token.)"""
         seq, cur, token = self._latest_seq(), {}, None
         if seq:
             rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/_manifest/seq={seq}").collect()
@@ -106,40 +107,40 @@ class TableStore:
         state = getattr(self, "_state", None) or self.refresh()
         return dict(state[1])
 
-    def publish(self, paths: dict[str, str], retries: int = 8, expected: dict[str, str] | None = None) -> int:
+    def publish(self, paths: dict[str, str], expected: dict[str, str] | None = None) -> int:
         """Make new versions current together (one manifest commit).
 
         ``expected``: the references that the new versions were computed from
         (a snapshot of ``current()``).  If a published table has another one
-        by now, another writer was faster: ``Conflict`` is raised, nothing is
-        published, and the caller refreshes and computes anew.
-
-        Optimistic: write sequence n+1 with ``errorifexists``; then re-read
-        and confirm this writer won n+1, otherwise retry on top of the
-        winner."""
+        by now, or another writer takes the next number first, ``Conflict`` is
+        raised, nothing is published and this handle keeps its snapshot; the
+        caller refreshes and computes anew."""
+        held = getattr(self, "_state", None)
+        seq, cur = self.refresh()
+        moved = [] if expected is None else sorted(t for t in paths if cur.get(t) != expected.get(t))
+        if moved:
+            self._state = held or (seq, expected)
+            raise Conflict(f"changed by another writer meanwhile: {', '.join(moved)}")
+        if not self._take(seq + 1, {**cur, **paths}):
+            self._state = held or (seq, cur)
+            raise Conflict(f"another writer published commit {seq + 1} meanwhile")
+        self.refresh()
+        return seq + 1
+
+    def _take(self, seq: int, refs: dict[str, str]) -> bool:
+        """Make ``refs`` the manifest ``seq``; False if the number is taken.
+
+        A rename onto a folder that is there fails or ends inside of it, below a
+        name that readers skip, so a number that is taken never changes."""
         token = uuid.uuid4().hex
-        for _ in range(retries):
-            seq, cur = self.refresh()
-            cur = dict(cur)
-            moved = [] if expected is None else sorted(t for t in paths if cur.get(t) != expected.get(t))
-            if moved:
-                raise Conflict(f"changed by another writer meanwhile: {', '.join(moved)}")
-            cur.update(paths)
-            rows = [(k, v, token) for k, v in sorted(cur.items())]
-            try:
-                self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").json(
-                    f"{self.root}/_manifest/seq={seq + 1}"
-                )
-            except AnalysisException:
-                time.sleep(0.2)  # the number is taken; retry on top of it
-                continue
-            # won sequence n+1?  (judged on n+1 itself: a later commit built on
-            # top of ours must not make us publish our paths a second time)
-            if self._winner_of(seq + 1) == token:
-                self.refresh()
-                return seq + 1
-            time.sleep(0.2)
-        raise RuntimeError("could not publish manifest")
+        staged, final = f"{self.root}/_manifest/_new-{token}", f"{self.root}/_manifest/seq={seq}"
+        rows = [(k, v, token) for k, v in sorted(refs.items())]
+        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").json(staged)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(staged).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if fs.exists(path(final)):
+            return False
+        return bool(fs.rename(path(staged), path(final))) and self._winner_of(seq) == token
 
     def _winner_of(self, seq: int) -> str | None:
         rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/_manifest/seq={seq}").collect()
@@ -193,15 +194,22 @@ class TableStore:
         branch.publish(self.current())
         return branch
 
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
+    def write(
+        self, name: str, df: DataFrame, partition_by: list[str] | None = None, expected: dict[str, str] | None = None
+    ) -> str:
+        """Write and publish one table, computed from ``expected`` (this handle's
+        snapshot, which its reads see, if not given); ``Conflict`` as in ``publish``."""
+        seen = self.current() if expected is None else expected
         path = self.stage(name, df, partition_by)
-        self.publish({name: path})
+        self.publish({name: path}, expected=seen)
         return path
 
-    def write_all(self, tables: dict[str, DataFrame]) -> int:
-        """Write several tables and publish them in one commit (M4)."""
+    def write_all(self, tables: dict[str, DataFrame], expected: dict[str, str] | None = None) -> int:
+        """Write several tables and publish them in one commit (M4); ``expected``
+        as in ``write``."""
+        seen = self.current() if expected is None else expected
         paths = {name: self.stage(name, df) for name, df in tables.items()}
-        return self.publish(paths)
+        return self.publish(paths, expected=seen)
 
     def stage_tagged(self, name: str, df: DataFrame, tag: str) -> str:
         """Stage a version whose folder name carries ``tag`` (used to make a

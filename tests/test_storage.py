@@ -299,3 +299,61 @@ def test_cli_runs_every_report(spark, capsys):
         capsys.readouterr()
         main(["report", name, "--root", root, "--customer", "1", "--order", "1", "--show", "2"], stop=False)
         assert "+--" in capsys.readouterr().out, name
+
+
+def test_write_from_an_older_snapshot_conflicts(spark):
+    from martwell.sources.storage import Conflict
+
+    a = TableStore(spark, new_scratch_dir(spark, "t-store"))
+    a.write_all({"t": spark.range(3), "u": spark.range(3)})
+    b = TableStore(spark, a.root)
+    rows = b.read("t").where("id < 2")
+    a.write("t", spark.range(9))
+    for _ in range(2):  # a second try without a refresh is as stale
+        with pytest.raises(Conflict):
+            b.write("t", rows)
+        with pytest.raises(Conflict):
+            b.write_all({"u": b.read("u"), "t": rows})
+    assert TableStore(spark, a.root).read("t").count() == 9
+    b.refresh()
+    b.write("t", b.read("t").where("id < 2"))
+    assert TableStore(spark, a.root).read("t").count() == 2
+
+
+def test_cli_change_does_not_overwrite_another_writer(spark, monkeypatch):
+    from martwell import __main__ as cli
+    from martwell.operators import lookups
+    from martwell.sources.storage import Conflict
+
+    root = new_scratch_dir(spark, "t-cli-race")
+    cli.main(["build", "--source", "/root/testdata/sf0.001", "--root", root], stop=False)
+    n = TableStore(spark, root).read("product_tags").count()
+    append = lookups.append_tag_rows
+
+    def slow(spark, tags, rows):
+        other = TableStore(spark, root)
+        other.write("product_tags", append(spark, other.read("product_tags"), [("1", ["theirs"])]))
+        return append(spark, tags, rows)
+
+    monkeypatch.setattr(lookups, "append_tag_rows", slow)
+    with pytest.raises(Conflict):
+        cli.main(["tag", "--product", "1", "--tags", "ours", "--root", root], stop=False)
+    assert TableStore(spark, root).read("product_tags").count() == n + 1
+
+
+def test_a_taken_number_never_changes(spark):
+    """A later writer in the same number, whatever its token, undoes nothing."""
+    store = TableStore(spark, new_scratch_dir(spark, "t-store"))
+    seq = store.publish({"t": store.stage("t", spark.range(4))})
+    late = TableStore(spark, store.root)
+    path = late.stage("t", spark.range(7))
+    fs = spark._jvm.org.apache.hadoop.fs.Path(store.root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for _ in range(4):
+        assert not late._take(seq, {"t": path})
+        # as a writer that saw the number free just before
+        staged = spark.createDataFrame([("t", path, "0" * 32)], "table_name string, path string, writer string")
+        hidden = f"{store.root}/_manifest/_new-{new_scratch_dir(spark, 'x').rsplit('/', 1)[-1]}"
+        staged.write.json(hidden)
+        to = spark._jvm.org.apache.hadoop.fs.Path
+        fs.rename(to(hidden), to(f"{store.root}/_manifest/seq={seq}"))
+        assert TableStore(spark, store.root).read("t").count() == 4
