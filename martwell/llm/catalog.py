@@ -7,12 +7,15 @@ from martwell.llm import (
     chat,
     fingerprints,
     langid,
+    lexical,
     licenses,
     neardup,
     packing,
     pieces,
+    repeats,
     secrets,
     topk,
+    trie,
     warc,
 )
 
@@ -27,6 +30,9 @@ QUERIES = {
     "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_bit_sliced_top_k": topk.op9_bit_sliced_top_k,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op11_prefix_trie": trie.op11_prefix_trie,
+    "op12_repeat_removal": repeats.op12_repeat_removal,
+    "op13_ranked_search": lexical.op13_ranked_search,
 }
 
 _OP2 = """
@@ -75,4 +81,79 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLE_SQL = {"op9_bit_sliced_top_k": _OP9, "op2_warc_bundles": _OP2, "op10_chat_formatting": _OP10}
+_OP11 = """
+WITH o AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, ''))
+                         ORDER BY turn NULLS FIRST, role, text) AS own
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+    SELECT *, CAST(xor(4294967295, list_reduce(
+        flatten(list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+            lambda i: [CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END,
+        CAST(4294967295 AS BIGINT))) % 6 AS INTEGER) AS h
+    FROM o
+), b AS (
+    SELECT h.conv_id, list_concat(coalesce(f.own[1:h.h], []), h.own[h.h + 1:]) AS path
+    FROM h LEFT JOIN o f ON f.conv_id = h.conv_id - h.conv_id % 100
+), m AS (
+    SELECT conv_id, len(path) AS n, d, path[1:d] AS k FROM b, unnest(range(0, len(path) + 1)) AS u(d)
+), g AS (
+    SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CASE WHEN n = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+    FROM m GROUP BY k, d
+), c AS (
+    SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS n_children FROM g WHERE d > 0 GROUP BY ALL
+), e AS (
+    SELECT g.*, coalesce(c.n_children, 0) AS n_children,
+           CASE WHEN g.d > 0 THEN (g.n_convs - 1) * length(g.k[g.d].x) ELSE 0 END AS saved
+    FROM g LEFT JOIN c ON c.d = g.d AND c.k = g.k
+), s AS (
+    SELECT e.k[1:u.a] AS k, u.a AS d, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+    FROM e, unnest(range(0, e.d + 1)) AS u(a) GROUP BY ALL
+)
+SELECT e.conv_id, e.d AS depth, p.conv_id AS parent_conv_id, e.n_convs, e.n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, e.ends_sha256
+FROM e JOIN s ON s.d = e.d AND s.k = e.k LEFT JOIN g p ON p.d = e.d - 1 AND p.k = e.k[1:e.d - 1]
+"""
+
+_OP13 = r"""
+WITH t AS (
+    SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), d AS (
+    SELECT uid, doc_id, len(terms) AS n, terms FROM t WHERE len(terms) > 0
+), c AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM d
+), f AS (
+    SELECT uid, doc_id, term, count(*) AS tf, any_value(n) AS n
+    FROM (SELECT uid, doc_id, n, unnest(terms) AS term FROM d) GROUP BY uid, doc_id, term
+), w AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM f, c GROUP BY term
+), q AS (
+    SELECT item, item_id, term, count(*) AS repeats
+    FROM (SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+    GROUP BY item, item_id, term
+), s AS (
+    SELECT item, item_id, uid, doc_id,
+           CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)))) AS BIGINT) AS score
+    FROM q JOIN f USING (term) JOIN w USING (term), c GROUP BY item, item_id, uid, doc_id
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, uid) AS INTEGER) AS rank
+    FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLE_SQL = {
+    "op9_bit_sliced_top_k": _OP9,
+    "op2_warc_bundles": _OP2,
+    "op10_chat_formatting": _OP10,
+    "op11_prefix_trie": _OP11,
+    "op13_ranked_search": _OP13,
+}
