@@ -172,13 +172,14 @@ def main(argv: list[str] | None = None, stop: bool = True) -> int:
     elif a.cmd == "change":
         m, seen = store_model(store), store.current()
         if a.what == "ship-mode":
-            store.write("orders", maintenance.set_ship_mode(m.orders, a.order, a.mode), expected=seen)
+            asked = m.orders.where(F.col("order_id") == F.lit(a.order)).select("order_id", F.lit(a.mode).alias("new_mode"))
+            maintenance.commit_order_change(store, maintenance.touched_orders(m.orders, asked))
         elif a.what == "ship-date":
-            store.write("orders", maintenance.set_ship_date(m.orders, a.order, F.to_date(F.lit(a.date))), expected=seen)
+            maintenance.commit_order_change(store, maintenance.redated_order(m.orders, a.order, F.to_date(F.lit(a.date))))
         elif a.what == "raise":
             maintenance.commit_line_change(store, maintenance.increase_sales(m.order_items, Decimal(a.percent)))
         elif a.what == "add":
-            maintenance.commit_line_change(store, maintenance.add_to_line(m.order_items, int(a.row), Decimal(a.amount)))
+            maintenance.commit_line_update(store, maintenance.touched_line(m.order_items, int(a.row), Decimal(a.amount)))
         elif a.what == "rename-segment":
             store.write("customers", maintenance.rename_segment(m.customers, a.old, a.new), expected=seen)
         elif a.what == "erase":

@@ -86,17 +86,25 @@ def distinct_from(a: str | Column, b: str | Column) -> Column:
     return ~col(a).eqNullSafe(col(b))
 
 
+def _plain_key(key: str) -> bool:
+    return bool(key) and not set(key) & set("'?\\")
+
+
 def json_text(c: str | Column, key: str) -> Column:
     """Profile->>'key' -- scalar as text, JSON null / missing / bad JSON
-    as NULL, nested values as their JSON text."""
-    return F.get_json_object(col(c), f"$.{key}")
+    as NULL, nested values as their JSON text.  A key is one key, whatever its
+    spelling: dots and blanks are part of it."""
+    if _plain_key(key):
+        return F.get_json_object(col(c), f"$['{key}']")
+    return F.try_element_at(F.from_json(col(c), "map<string,string>"), F.lit(key))
 
 
 def json_value(c: str | Column, key: str) -> Column:
     """Profile->'key' as JSON text.  Strings keep their quotes, as the
     JSON operator does; other values are the same text as E10."""
-    parsed = F.try_parse_json(col(c))
-    return F.to_json(F.variant_get(parsed, f"$.{key}", "variant"))
+    if _plain_key(key):
+        return F.to_json(F.try_variant_get(F.try_parse_json(col(c)), f"$['{key}']", "variant"))
+    return F.to_json(F.try_element_at(F.from_json(col(c), "map<string,variant>"), F.lit(key)))
 
 
 def array_has(arr: str | Column, value: str) -> Column:

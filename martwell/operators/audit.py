@@ -57,8 +57,3 @@ def number_audit_rows(audit: DataFrame, base_id: Column | int = 0, changed_at: C
         "new_sales",
         when.cast("timestamp_ntz").alias("changed_at"),
     )
-
-
-def next_audit_base(existing_audit: DataFrame) -> Column:
-    """Highest audit id so far (0 for an empty log) as a scalar subquery."""
-    return existing_audit.agg(F.coalesce(F.max("audit_id"), F.lit(0)).cast("long")).scalar()

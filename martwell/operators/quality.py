@@ -59,6 +59,32 @@ def fk_violations(
     )
 
 
+def insert_violations(
+    new: DataFrame, existing: DataFrame, key: str, parents: dict[str, tuple[DataFrame, str]], table_name: str
+) -> DataFrame:
+    """Q1 and Q2 of an insert: what forbids adding ``new`` to the rows whose keys
+    are ``existing`` -> (table_name, rule, key_value, n_rows).
+
+    Only the new rows are grouped.  The existing keys and the parents' keys are
+    read as one narrow column each and only filtered by the new rows' keys (semi
+    and anti joins), so a small insert moves none of them."""
+
+    def told(rule: str, df: DataFrame, value: str) -> DataFrame:
+        return df.select(
+            F.lit(table_name).alias("table_name"), F.lit(rule).alias("rule"), F.col(value).cast("string").alias("key_value"), "n_rows"
+        )
+
+    per_key = new.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("n_rows"))
+    out = told("key is null", per_key.where(F.col("_key").isNull()), "_key")
+    out = out.unionByName(told("key repeats", per_key.where(F.col("_key").isNotNull() & (F.col("n_rows") > 1)), "_key"))
+    present = existing.select(F.col(key).alias("_key")).join(per_key.select("_key"), "_key", "left_semi")
+    present = present.distinct().withColumn("n_rows", F.lit(1).cast("long"))
+    out = out.unionByName(told("key exists", present, "_key"))
+    for column, (parent, pk) in parents.items():
+        out = out.unionByName(told(f"{column} has no parent", fk_violations(new, column, parent, pk, table_name), "missing_value"))
+    return out
+
+
 def length_violations(df: DataFrame, limits: dict[str, int], table_name: str, key_col: str) -> DataFrame:
     """Q3: text longer than its declared limit (trailing blanks do not count,
     as for VARCHAR) -> (table_name, column_name, row_key, value_length).

@@ -35,6 +35,14 @@ from martwell.operators.quality import enforce, range_partition
 PATH_SEP = "|"
 # Manifest prefix of a bucketed version: "bucketed:<n>:<key>:<path>".
 BUCKETED_REF = "bucketed:"
+# Manifest prefix of a table in layers (``martwell.sources.layers``).
+LAYERED_REF = "layers:"
+
+
+def base_ref(ref: str) -> str:
+    """The base's reference of a table in layers, else the reference itself."""
+    return json.loads(ref[len(LAYERED_REF):]).get("base", "") if ref.startswith(LAYERED_REF) else ref
+
 
 
 def _catalog_name(path: str) -> str:
@@ -155,7 +163,7 @@ class TableStore:
         """Write a new, not yet visible version of ``name``; returns its path.
         A table that is bucketed now stays bucketed the same way, so later
         joins keep their shuffle-free plan."""
-        ref = self.current().get(name, "") if keep_layout else ""
+        ref = base_ref(self.current().get(name, "")) if keep_layout else ""
         if ref.startswith(BUCKETED_REF) and not partition_by:
             n, key, _ = ref[len(BUCKETED_REF):].split(":", 2)
             return self.stage_bucketed(name, df, key, int(n))
@@ -211,27 +219,10 @@ class TableStore:
         paths = {name: self.stage(name, df) for name, df in tables.items()}
         return self.publish(paths, expected=seen)
 
-    def stage_tagged(self, name: str, df: DataFrame, tag: str) -> str:
-        """Stage a version whose folder name carries ``tag`` (used to make a
-        replayed stream batch recognisable)."""
-        path = f"{self.root}/tables/{name}/{tag}-{uuid.uuid4().hex[:8]}"
-        df.write.mode("errorifexists").parquet(path)
-        return path
-
-    def has_tag(self, name: str, tag: str) -> bool:
-        """Whether a committed version / batch of ``name`` carries ``tag``."""
-        return any(p.rsplit("/", 1)[-1].startswith(tag + "-") for p in self.current().get(name, "").split(PATH_SEP))
-
-    def append(self, name: str, df: DataFrame) -> str:
-        """Stage one more batch folder of an append-only table (M7); the
-        table's version is the list of its committed batches, so an append
-        never rewrites earlier rows.  Publish it as
-        ``publish({name: appended_paths(name, batch_path)})``."""
-        return self.stage(name, df)
-
-    def appended_paths(self, name: str, batch_path: str) -> str:
-        prev = self.current().get(name)
-        return batch_path if not prev else prev + PATH_SEP + batch_path
+    def stage_apart(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        """Write rows that are a layer of a table (a batch, a log's rows, bounds)
+        in a folder of their own; returns its path."""
+        return self.stage(name, df, partition_by, keep_layout=False)
 
     def read(self, name: str) -> DataFrame:
         cur = self.current()
@@ -241,6 +232,10 @@ class TableStore:
 
     def read_ref(self, ref: str) -> DataFrame:
         """Read a version by its reference (published or only staged)."""
+        if ref.startswith(LAYERED_REF):
+            from martwell.sources.layers import read_layers
+
+            return read_layers(self, ref)
         if ref.startswith(BUCKETED_REF):
             n, key, path = ref[len(BUCKETED_REF):].split(":", 2)
             table = _catalog_name(path)
@@ -382,6 +377,7 @@ SNAPSHOT_SCHEMA = "table_name string, n_rows long, schema_json string, content_h
 
 def _layout_of(ref: str) -> str:
     """'<n>:<key>' for a bucketed version reference, '' otherwise."""
+    ref = base_ref(ref)
     if ref.startswith(BUCKETED_REF):
         n, key, _ = ref[len(BUCKETED_REF):].split(":", 2)
         return f"{n}:{key}"

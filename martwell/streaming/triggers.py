@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from martwell.operators.audit import audit_rows, next_audit_base, number_audit_rows, repaired_ship_date
+from martwell.operators import maintenance
+from martwell.operators.audit import audit_rows, repaired_ship_date
+from martwell.sources.layers import log_state
 from martwell.sources.storage import Conflict, TableStore
 
 CHANGE_SCHEMA = T.StructType(
@@ -27,6 +29,7 @@ CHANGE_SCHEMA = T.StructType(
         T.StructField("sales", T.DecimalType(12, 2)),
     ]
 )
+LINE_SCHEMA = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("sales", T.DecimalType(12, 2))])
 
 
 def audit_stream(changes: DataFrame) -> DataFrame:
@@ -75,31 +78,44 @@ def changes_frame(items_changes: DataFrame) -> DataFrame:
     )
 
 
-def commit_audit_batch(store: TableStore, changes: DataFrame, epoch_id: int, stream: str, log: str = "sales_audit") -> bool:
-    """T1 + M7 + M8 for one micro-batch: keep the real changes, write them,
-    number them after the highest audit id and append them to the audit log
-    in one manifest commit.  ``foreachBatch`` may replay a batch after a
-    failure; the batch folder is tagged with the stream name and epoch, and a
-    replayed epoch that is already committed is skipped, so every change is
-    logged exactly once.  Returns whether rows were committed."""
-    tag = f"{stream}-epoch{epoch_id}"
-    spark = changes.sparkSession
-    staged = None
+def _once(store: TableStore, log: str, stream: str, epoch: int, commit) -> bool:
+    """Run ``commit`` unless the log has the stream's epoch; again from the new
+    snapshot if another writer was first.  Returns whether it was committed."""
     while True:
         store.refresh()
-        if store.has_tag(log, tag):
+        if epoch <= log_state(store, log)[1].get(stream, -1):
             return False
-        staged = staged or store.stage_tagged("_audit_batch", audit_rows(changes), tag)
-        seen = store.current()
-        base = next_audit_base(store.read(log)) if log in seen else F.lit(0).cast("long")
-        numbered = store.stage_tagged(log, number_audit_rows(spark.read.parquet(staged), base), tag)
         try:
-            store.publish({log: store.appended_paths(log, numbered)}, expected=seen)
+            commit()
             return True
         except Conflict:
             continue  # number the batch after what the other writer logged
 
 
+def commit_audit_batch(store: TableStore, changes: DataFrame, epoch_id: int, stream: str, log: str = "sales_audit") -> bool:
+    """T1 + M7 + M8 for one micro-batch: keep the real changes, number them after
+    the highest audit id and append them to the audit log in one manifest commit.
+    ``foreachBatch`` may replay a batch after a failure; the log keeps the last
+    epoch of every stream (epochs come in order), and a replayed epoch is skipped,
+    so every change is logged exactly once.  Returns whether rows were committed."""
+    return _once(store, log, stream, epoch_id, lambda: maintenance.commit_audit(store, changes, stream, epoch_id, log))
+
+
+def commit_line_batch(store: TableStore, written: DataFrame, epoch_id: int, stream: str, log: str = "sales_audit") -> bool:
+    """T3 with OLD: one micro-batch of written lines (row_id, sales).  The old
+    amounts are fetched from the stored lines, and the new amounts and the audit
+    rows are published in one commit, exactly once.  A line that is written
+    several times in a batch gets its greatest amount; an unknown line changes
+    nothing, as an UPDATE that finds no row."""
+
+    def commit():
+        new = written.groupBy("row_id").agg(F.max("sales").alias("sales"))
+        old = store.read("order_items").select("row_id", F.col("sales").alias("old_sales"))
+        maintenance.commit_line_update(store, old.join(new, "row_id"), audit_log=log, stream=stream, epoch=epoch_id)
+
+    return _once(store, log, stream, epoch_id, commit)
+
+
 def query_id(spark: SparkSession, checkpoint_dir: str) -> str:
     """Id of the streaming query that a checkpoint folder belongs to."""
     return json.loads(spark.read.text(f"{checkpoint_dir.rstrip('/')}/metadata").first()[0])["id"]
@@ -112,19 +128,23 @@ def run_audit_log_stream(
     checkpoint_dir: str,
     stream: str = "audit",
     max_files_per_trigger: int | None = None,
+    schema: T.StructType = CHANGE_SCHEMA,
+    commit=commit_audit_batch,
 ) -> StreamingQuery:
     """T3 into the versioned store: change files -> real changes -> numbered,
     appended audit batches (exactly once per micro-batch, see
     ``commit_audit_batch``).  A batch is known by the query id of its
     checkpoint and its epoch, so a stream with a new checkpoint, whose epochs
-    start at 0 again, logs all its changes."""
-    reader = spark.readStream.schema(CHANGE_SCHEMA).format("parquet")
+    start at 0 again, logs all its changes.  With ``LINE_SCHEMA`` and
+    ``commit_line_batch`` the files hold written lines, whose old amounts come
+    from the store."""
+    reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     q = (
         reader.load(source_dir)
         .writeStream.foreachBatch(
-            lambda df, epoch: commit_audit_batch(store, df, epoch, f"{stream}-{query_id(spark, checkpoint_dir)}")
+            lambda df, epoch: commit(store, df, epoch, f"{stream}-{query_id(spark, checkpoint_dir)}")
         )
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
