@@ -26,14 +26,15 @@ the pieces of a sequence lie at ``offset`` 0, without gaps.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import filterfalse
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,9 +58,42 @@ _DDL = (
 )
 
 #: Remembered chunks of a Python worker; it starts anew beyond this number.
-REMEMBERED = 700_000
+REMEMBERED = 2_000_000
 _spaced = re.compile(r"\s ")
+#: White space of any script, as Arrow's regular expressions have it.
+_WHITE = r"[\s\v\x1c-\x1f\x{85}\p{Z}]"
 _chunk = re.compile(r"(?<=\S)(?= )")
+#: Chunks that the tokenizer gets as one text.
+TOGETHER = 1000
+
+
+#: Fixed value: how a byte-level tokenizer of this family parts words.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def by_ranks(tokenizer) -> "tiktoken.Encoding | None":  # noqa: F821
+    """The same byte-level BPE by ranks, which encodes plain words several times
+    faster; None if the file's merges are not in the order of its ids or it parts
+    or changes texts in another way."""
+    import tiktoken
+
+    told = json.loads(tokenizer.to_str())
+    model, before = told["model"], told.get("pre_tokenizer") or {}
+    level = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True)
+    if model["type"] != "BPE" or told.get("normalizer") or not level or model.get("ignore_merges") or model.get("dropout"):
+        return None
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printed)]
+    byte_of = {chr(b): b for b in printed} | {chr(256 + i): b for i, b in enumerate(others)}
+    vocabulary = model["vocab"]
+    merged = [vocabulary.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    single = [vocabulary.get(c) for c in byte_of]
+    if None in merged or None in single or merged != sorted(set(merged)) or (merged and max(single) > merged[0]):
+        return None
+    of_merges = set(merged)
+    tokens = [*byte_of, *(t for t, i in vocabulary.items() if i in of_merges)]
+    ranks = {bytes(byte_of[c] for c in t): vocabulary[t] for t in tokens}
+    return tiktoken.Encoding("by ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 class Encoder:
@@ -68,16 +102,28 @@ class Encoder:
     Text is cut before every space that follows a non-space.  A byte-level BPE
     pattern of this family never has a word that crosses such a place, so the
     ids of the chunks, joined, are the ids of the text; each distinct chunk is
-    encoded once per worker.
-    """
+    encoded once per worker, many of them in one text (``by_ranks`` where the file
+    allows it), told apart again by the space that begins each.  A text with an added token of the tokenizer (such as
+    ``<|endoftext|>``) is encoded as it is.
+
+    Ids of known chunks lie in one array; a step of texts is cut and numbered by
+    Arrow and its ids are gathered from there."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.ranked = by_ranks(self.tokenizer)
         self.most = REMEMBERED
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.leads = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.leads[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # a space, byte by byte
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.at, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def chunks(self, text: str) -> list[str]:
         """The chunks; all but the first come without the space that begins them."""
@@ -86,20 +132,68 @@ class Encoder:
             return [first, *(x[1:] for x in rest)]
         return text.split(" ")
 
-    def _packed(self, texts: list[str]) -> Iterator[bytes]:
-        for i in range(0, len(texts), 10_000):
-            for e in self.tokenizer.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False):
-                yield struct.pack(f"<{len(e.ids)}I", *e.ids)
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Put the chunks and their ids behind those that are known; their places."""
+        known = len(self.known)
+        simple = pa.compute.invert(pa.compute.match_substring_regex(new, _WHITE))
+        simple = pa.compute.and_(simple, pa.compute.not_equal(new, ""))
+        plain, rest = new.filter(simple), new.filter(pa.compute.invert(simple))
+        words = plain.to_pylist()
+        texts = [" " + " ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        parts = [self.ranked.encode_to_numpy(t) for t in texts] if self.ranked else self._encoded(texts)
+        flat = np.concatenate([np.zeros(0, np.uint32), *parts])
+        first = np.flatnonzero(self.leads[flat])
+        if len(first) != len(words):  # a tokenizer that does not begin a chunk with its space
+            plain, rest, flat, first = new[:0], new, flat[:0], first[:0]
+        alone = self._encoded([" " + x for x in rest.to_pylist()])
+        sizes = np.append(np.diff(np.append(first, len(flat))), [len(x) for x in alone]).astype(np.int64)
+        added = pa.concat_arrays([plain, rest])
+        self.known = pa.concat_arrays([self.known, added])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, flat, *alone])
+        return known + pa.compute.index_in(new, value_set=added).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """Which texts are encoded whole, and the chunks of the others."""
+        whole = np.zeros(len(texts), bool)
+        for token in self.added:
+            whole |= pa.compute.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        odd = pa.compute.match_substring_regex(texts, _WHITE + " ").to_numpy(zero_copy_only=False)
+        cut = pa.compute.split_pattern(pa.compute.if_else(pa.array(whole | odd), "", texts), " ")
+        if odd.any():
+            own = [self.chunks(t) if o and not w else c for t, w, o, c in zip(texts.to_pylist(), whole, odd, cut.to_pylist())]
+            cut = pa.array(own, pa.list_(pa.string()))
+        return whole, cut
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        parts = [self.chunks(t) for t in texts]
-        firsts = self._packed([p.pop(0) for p in parts])
+        """The ids of every text."""
         if len(self.known) > self.most:
-            self.known.clear()
-        new = list(set().union(*(filterfalse(self.known.__contains__, p) for p in parts)))
-        self.known.update(zip(new, self._packed([" " + x for x in new])))
-        for first, p in zip(firsts, parts):
-            yield first + b"".join(map(self.known.__getitem__, p))
+            self._forget()
+        if not texts:
+            return
+        whole, cut = self._cut(pa.array(texts, pa.string()))
+        starts = np.cumsum(np.append(0, pa.compute.list_value_length(cut).to_numpy(zero_copy_only=False)))
+        firsts, chunks = starts[:-1], cut.flatten()
+        after = np.ones(len(chunks), bool)
+        after[firsts] = False
+        heads = chunks.take(pa.array(firsts)).to_pylist()
+        told = chunks.filter(pa.array(after)).dictionary_encode()
+        found = pa.compute.index_in(told.dictionary, value_set=self.known)
+        place, unknown = found.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), found.is_null()
+        if found.null_count:
+            place[unknown.to_numpy(zero_copy_only=False)] = self._learn(told.dictionary.filter(unknown))
+        spot = place[told.indices.to_numpy(zero_copy_only=False)]
+        begin, sizes = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        begin[after], sizes[after] = self.at[spot], self.at[spot + 1] - self.at[spot]
+        ends = np.append(0, np.cumsum(sizes))
+        ids = self.ids[np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])].astype("<u4")
+        first_ids = self._encoded([t if w else h for t, w, h in zip(texts, whole, heads)])
+        for head, a, b in zip(first_ids, ends[starts[:-1]], ends[starts[1:]]):
+            yield head.astype("<u4").tobytes() + ids[a:b].tobytes()
 
 
 def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
