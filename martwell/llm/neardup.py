@@ -20,11 +20,14 @@ No step emits the pairs of a bucket.  A bucket's hub is its most central node
 edited from) and all others are verified against it.  After the components of
 those links are known, only pairs that lie in one bucket but in different
 components are left.  A bucket's nodes outside its largest component meet its nodes
-in blocks, whose registers a task compares as matrices; pairs that agree, in
-either signature, about as much as the similarity asks for become rows and are
-verified.  So every
-pair that shares a band is linked up or looked at, and a large group of near
-copies costs strangers times members comparisons of registers, in blocks.
+in blocks, whose registers a task compares as matrices; it notes, in one row,
+which pairs agree, in either signature, about as much as the similarity asks
+for.  The shingle sets of a block's noted nodes then come to that block, and
+pairs whose components its earlier links have not joined yet are verified there.
+A block gives out only links that join two components, so fewer rows than it has
+nodes; no pair becomes a row.  So every pair that shares a band is linked up or
+looked at, and a large group of near copies costs strangers times members
+comparisons, in blocks.
 
 A class of copies that a third of all documents belong to is one node.  Joins
 on hashes and hubs are plain equi-joins that Spark can split.
@@ -51,7 +54,7 @@ SIMILARITY = 0.8
 #: asked for (0.7 for 0.8).
 DEVIATIONS = 3.46
 
-_SIGNED_DDL = "uid long, doc_id long, hash string, bands array<long>, low binary"
+_SIGNED_DDL = "uid long, doc_id long, hash string, bands array<long>, low binary, size int"
 
 
 def prob_minhash(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, owners: int, registers: int) -> np.ndarray:
@@ -96,12 +99,12 @@ def least_agreement(similarity: float) -> float:
 
 def signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(texts, 2, REGISTERS) registers of every text, with weights 1 and with
-    weights by count; whether it has shingles at all, and whether it repeats one."""
+    weights by count; how many different shingles it has, and whether it repeats one."""
     owner, element, weight = [], [], []
-    has, repeats = np.zeros((2, len(texts)), bool)
+    sizes, repeats = np.zeros(len(texts), np.int32), np.zeros(len(texts), bool)
     for i, t in enumerate(texts):
         found, counts = np.unique(shingles(t), return_counts=True)
-        has[i], repeats[i] = bool(len(found)), bool((counts > 1).any())
+        sizes[i], repeats[i] = len(found), bool((counts > 1).any())
         owner.append(np.full(len(found), i))
         element.append(found)
         weight.append(1 + np.log(counts))
@@ -112,7 +115,7 @@ def signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         some = repeats[own]
         number = np.cumsum(repeats) - 1
         held[repeats, 1] = prob_minhash(number[own[some]], elements[some], weights[some], int(repeats.sum()), REGISTERS)
-    return held, has, repeats
+    return held, sizes, repeats
 
 
 def band_hashes(held: np.ndarray) -> np.ndarray:
@@ -127,17 +130,17 @@ def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept_by("neardup")
     for batch in batches:
         for part in steps(batch, 3, 1_000_000):
-            held, has, repeats = signatures(part.column(3).to_pylist())
+            held, sizes, repeats = signatures(part.column(3).to_pylist())
             # the second signature is kept where it differs
-            kept = np.column_stack([has, repeats])
+            kept = np.column_stack([sizes > 0, repeats])
             bands = band_hashes(held.reshape(-1, REGISTERS)).reshape(-1, 2, BANDS)[kept].ravel()
             ends = np.cumsum(kept.sum(axis=1) * BANDS)
             low = (held & np.uint64(255)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2),
                  pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(bands)),
-                 pa.array([r[: 1 + twice].tobytes() for r, twice in zip(low, repeats)], pa.binary())],
-                names=["uid", "doc_id", "hash", "bands", "low"],
+                 pa.array([r[: 1 + twice].tobytes() for r, twice in zip(low, repeats)], pa.binary()), pa.array(sizes, pa.int32())],
+                names=["uid", "doc_id", "hash", "bands", "low", "size"],
             )
 
 
@@ -146,8 +149,8 @@ def text_hash(text: Column) -> Column:
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """uid, doc_id, hash of the text, band hashes (none without words) and the
-    registers' low bytes of every row of ``docs`` (doc_id, text); of two
+    """uid, doc_id, hash of the text, band hashes (none without words), the
+    registers' low bytes and the number of shingles of every row of ``docs`` (doc_id, text); of two
     signatures if a shingle is repeated; stored."""
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", text_hash(F.col("text")).alias("hash"), "text")
     return stored(rows.mapInArrow(_sign, _SIGNED_DDL), "signatures")
@@ -181,10 +184,21 @@ def hub_pairs(shared: DataFrame) -> DataFrame:
     return shared.join(hubs, "bucket").filter("node <> hub").select("node", "hub").distinct()
 
 
-def _blocks(rows: DataFrame, count: str, most: int) -> DataFrame:
-    """Rows of a bucket in blocks of about ``most``."""
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col(count) / most)).alias("block")
-    return rows.groupBy("bucket", block).agg(F.collect_list(F.struct("node", "root", "low", "bands")).alias("nodes"))
+#: Nodes of a block of a bucket's members and of its strangers, and shingles of both, about.
+MEMBERS, STRANGERS = 2048, 1024
+BLOCK_SHINGLES = 500_000
+
+
+def _block_of(nodes: str, size: str, most: int) -> Column:
+    """The number of a node's block in its bucket: about ``most`` nodes each and
+    no more than ``BLOCK_SHINGLES`` shingles."""
+    blocks = F.ceil(F.greatest(F.col(nodes) / most, F.col(size) / BLOCK_SHINGLES))
+    return F.pmod(F.xxhash64("node"), F.greatest(blocks, F.lit(1)))
+
+
+def _blocks(rows: DataFrame, block: Column, name: str) -> DataFrame:
+    held = F.collect_list(F.struct("node", "root", "low", "bands")).alias(f"{name}_nodes")
+    return rows.groupBy("bucket", block.alias(name)).agg(held)
 
 
 def _block(cell: pa.StructArray) -> tuple[np.ndarray, ...]:
@@ -219,34 +233,125 @@ def _agreeing(batches: Iterable[pa.RecordBatch], similarity: float = SIMILARITY)
             )
 
 
-def left_pairs(shared: DataFrame, component: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
-    """(node, hub) pairs of one bucket that are in different components, and
-    whose registers agree often enough to be worth a look.
+_NOTED_DDL = "bucket long, member long, stranger long, nodes array<long>, roots array<long>, pairs binary"
+
+
+def _noted(batches: Iterable[pa.RecordBatch], similarity: float = SIMILARITY) -> Iterator[pa.RecordBatch]:
+    """Per block pair with agreeing pairs, in one row: the nodes that have any,
+    their roots, and the pairs as places of both in these."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1)
+            cells = row.select(["bucket", "main", "member_nodes", "stranger_nodes"])
+            found = pa.Table.from_batches(list(_agreeing([cells], similarity)))
+            if not found.num_rows:
+                continue
+            node, hub = (c.to_numpy() for c in found.columns)
+            held = [row.column(c)[0].values for c in ("member_nodes", "stranger_nodes")]
+            every, root = (np.concatenate([h.field(n).to_numpy(zero_copy_only=False) for h in held]) for n in ("node", "root"))
+            nodes = np.unique(np.concatenate([node, hub]))
+            order = np.argsort(every, kind="stable")
+            roots = root[order[np.searchsorted(every, nodes, sorter=order)]]
+            pairs = np.column_stack([np.searchsorted(nodes, x) for x in (hub, node)]).astype(np.int32)
+            out = [row.column("bucket")[0].as_py(), row.column("member")[0].as_py(), row.column("stranger")[0].as_py()]
+            out += [nodes, roots, pairs.tobytes()]
+            kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x], t) for x, t in zip(out, kinds)], names=[x.split()[0] for x in _NOTED_DDL.split(", ")]
+            )
+
+
+class _Trees:
+    """Components that links of a block have joined."""
+
+    def __init__(self, roots: Iterable[int]):
+        self.up = {r: r for r in roots}
+
+    def of(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.of(a), self.of(b)
+        self.up[a] = b
+        return a != b
+
+
+def _joining(similarity: float):
+    """Of rows (nodes, roots, pairs, sets: node and its hashes): links that join
+    two components of their block."""
+
+    def of_block(nodes: list, roots: list, pairs: np.ndarray, sets: dict[int, bytes]) -> Iterator[tuple[int, int]]:
+        trees = _Trees(roots)
+        held = [np.frombuffer(sets[n], np.uint64) for n in nodes]
+        for i, j in pairs.tolist():
+            if trees.of(roots[i]) != trees.of(roots[j]) and jaccard(held[i], held[j]) >= similarity:
+                trees.join(roots[i], roots[j])
+                yield nodes[j], nodes[i]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                nodes, roots, pairs, sets = (c[r].as_py() for c in batch.columns)
+                places = np.frombuffer(pairs, np.int32).reshape(-1, 2)
+                found = list(of_block(nodes, roots, places, {s["node"]: s["hashes"] for s in sets}))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["node", "hub"]
+                )
+
+    return run
+
+
+def _hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in steps(batch, 1, 1_000_000):
+            sets = [np.unique(shingles(t)).tobytes() for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["node", "hashes"])
+
+
+def left_links(shared: DataFrame, component: DataFrame, signed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links between nodes that share a bucket and are in different components:
+    enough of them to join all components that such links join.
 
     Buckets meet their nodes outside the largest component in blocks, which a
-    task compares as matrices; only agreeing pairs become rows, in the least of
-    the buckets that they share."""
+    task compares as matrices; a pair is looked at in the least of the buckets
+    that it shares."""
     rows = (
         shared.select("bucket", "node")
         .join(component, "node", "left")
-        .select("bucket", "node", F.coalesce("root", "node").alias("root"))
+        .join(signed.select(F.col("uid").alias("node"), "size"), "node")
+        .select("bucket", "node", F.coalesce("root", "node").alias("root"), "size")
     )
-    counted = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    counted = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
     mixed_ = (
         counted.groupBy("bucket")
-        .agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("members"))
+        .agg(F.max(F.struct("n", "root", "size")).alias("main"), F.sum("n").alias("members"), F.sum("size").alias("member_size"))
         .filter("members > main.n")
-        .select("bucket", "members", F.col("main.root").alias("main"), (F.col("members") - F.col("main.n")).alias("strangers"))
-    )
+        .select(
+            "bucket", "members", "member_size", F.col("main.root").alias("main"),
+            (F.col("members") - F.col("main.n")).alias("strangers"),
+            (F.col("member_size") - F.col("main.size")).alias("stranger_size"),
+        )
+    )
     registers = signed.select(F.col("uid").alias("node"), "low", "bands")
     open_ = rows.join(mixed_, "bucket").join(registers, "node")
-    members = _blocks(open_, "members", 1024).withColumnRenamed("nodes", "member_nodes")
-    strangers = _blocks(open_.filter("root <> main"), "strangers", 256).withColumnRenamed("nodes", "stranger_nodes")
-    blocks = members.drop("block").join(strangers.drop("block"), "bucket").join(mixed_.select("bucket", "main"), "bucket")
-    pairs = blocks.select("bucket", "main", "member_nodes", "stranger_nodes").mapInArrow(
-        partial(_agreeing, similarity=similarity), "node long, hub long"
+    members = _blocks(open_, _block_of("members", "member_size", MEMBERS), "member")
+    strangers = _blocks(open_.filter("root <> main"), _block_of("strangers", "stranger_size", STRANGERS), "stranger")
+    blocks = members.join(strangers, "bucket").join(mixed_.select("bucket", "main"), "bucket")
+    agreeing = blocks.select("bucket", "main", "member", "member_nodes", "stranger", "stranger_nodes").mapInArrow(
+        partial(_noted, similarity=similarity), _NOTED_DDL
+    )
+    agreeing = stored(agreeing, "agreeing")
+    block = ["bucket", "member", "stranger"]
+    asked = agreeing.select(*block, F.explode("nodes").alias("node"))
+    sets = texts.join(asked.select("node").distinct(), "node").select("node", "text").mapInArrow(_hashes, "node long, hashes binary")
+    brought = asked.join(sets, "node").groupBy(*block).agg(F.collect_list(F.struct("node", "hashes")).alias("sets"))
+    return (
+        agreeing.join(brought, block)
+        .select("nodes", "roots", "pairs", "sets")
+        .mapInArrow(_joining(similarity), "node long, hub long")
     )
-    return pairs.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub")).distinct()
 
 
 class _Sets:
@@ -329,7 +434,7 @@ def near_duplicates(
     texts = stored(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
     direct = stored(links(hub_pairs(shared), texts, similarity), "links")
     component = components(direct)
-    more = stored(links(left_pairs(shared, component, signed, similarity), texts, similarity), "links")
+    more = stored(left_links(shared, component, signed, texts, similarity), "links")
     if not more.isEmpty():
         component = components(direct.union(more))
     grouped = component.join(nodes.select("node", "rep"), "node")
