@@ -95,7 +95,9 @@ def fingerprint(text: Column) -> Column:
         return F.filter(ordered, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(ordered, i - 1))))
 
     def packed(least: Column) -> Column:
-        low = F.transform(_densified(least), lambda v: v.bitwiseAND(F.lit((1 << BITS) - 1).cast("bigint")).cast("tinyint"))
+        # bits of value and bin: bins that one value fills agree by chance each on its own
+        mask = F.lit((1 << BITS) - 1).cast("bigint")
+        low = F.transform(_densified(least), lambda v, i: F.xxhash64(v, i).bitwiseAND(mask).cast("tinyint"))
         return F.when(F.size(least) > 0, low).otherwise(F.array().cast("array<tinyint>"))
 
     return let(let(F.sort_array(shingle_hashes(text)), runs), packed)

@@ -48,6 +48,8 @@ KINDS = [
 BASE = 3
 NAMES = [k[0] for k in KINDS]
 EXAMPLE_OWNERS = 3
+#: Repositories of one owner from which a candidate is no longer told as live.
+COPIED_REPOSITORIES = 50
 
 
 def _found(text: Column, kind: int) -> Column:
@@ -128,10 +130,12 @@ def scan_secrets(
     repo_col: str = "doc_id",
     owner_col: str = "source",
     example_owners: int = EXAMPLE_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id`` and ``spans``, an array of
     (start, kind, end, name, owners, repos, verdict) by start and kind; verdict
-    is live, shared or example.  Positions are code points, end exclusive.
+    is example (that many owners have it), live (one owner has it, in fewer than
+    ``copied_repositories`` repositories) or shared.  Positions are code points, end exclusive.
 
     Null text is empty and has no spans; null ids, owners and repositories are
     values like any other; repeated rows get a row each; other columns are not
@@ -143,9 +147,8 @@ def scan_secrets(
         text_of(text_col).alias("text"),
     )
     found = candidates(rows)
-    verdict = (
-        F.when(F.col("owners") >= example_owners, "example").when(F.col("owners") == 1, "live").otherwise("shared")
-    )
+    own = (F.col("owners") == 1) & (F.col("repos") < copied_repositories)
+    verdict = F.when(F.col("owners") >= example_owners, "example").when(own, "live").otherwise("shared")
     judged = (
         found.filter("hash IS NOT NULL")
         .join(ownership(found), "hash")

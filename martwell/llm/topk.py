@@ -34,8 +34,7 @@ SCALE = 1024
 BLOCK_ROWS = 8192
 QUERY_ROWS = 128
 SLICES = 7
-#: Greatest |floor(scale * x)|: sums of products of up to 2^15 dimensions fit a long.
-GREATEST = 1 << 24
+LONG = 1 << 63
 
 _INDEX_DDL = (
     "block int, rows int, dims int, cut int, ids binary, least binary, integers binary, slices binary"
@@ -53,7 +52,12 @@ def usable(vector: Column) -> Column:
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("bigint"))
+    def whole(x: Column) -> Column:
+        scaled = F.floor(x.cast("double") * F.lit(float(scale)))
+        fits = F.abs(x.cast("double") * F.lit(float(scale))) < F.lit(float(LONG))
+        return F.when(fits, scaled.cast("bigint")).otherwise(F.raise_error(F.lit("a quantised component is no long")).cast("bigint"))
+
+    return F.transform(vector, whole)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -62,11 +66,22 @@ def _matrix(column: pa.Array) -> np.ndarray:
     out = np.zeros((len(rows), max(map(len, rows), default=0)), np.int64)
     for i, r in enumerate(rows):
         out[i, : len(r)] = r
-    if out.size and np.abs(out).max() > GREATEST:
-        raise ValueError(f"a quantised component is beyond {GREATEST}; scores may not fit a long")
     return out
 
 
+def _greatest(values: np.ndarray) -> int:
+    """Greatest amount of any component."""
+    return max(abs(int(values.max())), abs(int(values.min()))) if values.size else 0
+
+
+def exact_scores(values: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of rows with a query: in 64 bits where none can leave them,
+    else in whole numbers of any size."""
+    if _greatest(values) * _greatest(query) * max(1, len(query)) < LONG:
+        return values @ query
+    return (values.astype(object) * query.astype(object)).sum(axis=1)
+
+
 def _pack(flags: np.ndarray) -> np.ndarray:
     """Rows of booleans as little-endian 64-bit words."""
     words = -(-flags.shape[-1] // 64)
@@ -80,10 +95,10 @@ def slice_block(values: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
     """Least value per dimension, number of cut-off bits, and the bitmaps
     (dimension, slice, words) of the upper bits, least slice first."""
     least = values.min(axis=0)
-    raised = values - least
+    raised = values.view(np.uint64) - least.view(np.uint64)  # no overflow: it wraps to the true difference
     bits = int(raised.max()).bit_length() if raised.size else 0
     cut = max(0, bits - SLICES)
-    planes = [(raised >> (cut + b)) & 1 for b in range(bits - cut)]
+    planes = [(raised >> np.uint64(cut + b)) & np.uint64(1) for b in range(bits - cut)]
     packed = [_pack(p.T.astype(bool)) for p in planes]
     words = -(-len(values) // 64)
     slices = np.stack(packed, axis=1) if packed else np.zeros((values.shape[1], 0, words), np.uint64)
@@ -126,11 +141,11 @@ def quantised_scores(slices: np.ndarray, queries: np.ndarray, shape: np.ndarray)
     """Bit slices (queries, words) of sum |q| * quantised attribute, where a
     negative q takes the reflected attribute."""
     counter = BitCounter()
-    weights = np.abs(queries)
+    weights = np.abs(queries).astype(np.uint64)
     for d in range(queries.shape[1]):
         flip = np.where(queries[:, d] < 0, ~np.uint64(0), np.uint64(0))[:, None]
         chosen = [
-            (j, np.where((weights[:, d] >> j) & 1, ~np.uint64(0), np.uint64(0))[:, None])
+            (j, np.where((weights[:, d] >> np.uint64(j)) & np.uint64(1), ~np.uint64(0), np.uint64(0))[:, None])
             for j in range(int(weights[:, d].max()).bit_length())
         ]
         for b in range(slices.shape[1]):
@@ -179,18 +194,23 @@ def block_top(
     rows &= ~own
     bits = quantised_scores(slices[:dims], exact_queries, rows)
     threshold = kth_greatest(bits, rows, k)
-    slack = np.abs(exact_queries).sum(axis=1) * ((1 << cut) - 1)
+    slack = [sum(abs(x) for x in q) * ((1 << cut) - 1) for q in exact_queries.tolist()]
     bounds = []
     for i in range(len(queries)):
         value = sum(1 << (len(bits) - 1 - p) for p, mask in enumerate(threshold) if mask[i, 0])
         # a row may gain the slack that the k-th has not got
-        bounds.append(max(0, value - -(-int(slack[i]) >> cut) if cut else value))
+        bounds.append(max(0, value - -(-slack[i] >> cut) if cut else value))
     boundary = np.unpackbits(at_least(bits, rows, bounds).view(np.uint8), axis=1, bitorder="little")
     for i in range(len(queries)):
         near = np.flatnonzero(boundary[i, : len(ids)])
-        score = exact_values[near] @ exact_queries[i]
-        best = np.lexsort((ids[near], -score))[:k]
-        yield i, near[best], score[best]
+        score = exact_scores(exact_values[near], exact_queries[i])
+        if score.dtype == object:
+            best = np.array(sorted(range(len(near)), key=lambda j: (-score[j], ids[near[j]]))[:k], np.int64)
+            if any(not -LONG <= x < LONG for x in score[best]):
+                raise ValueError("a score is no long")
+        else:
+            best = np.lexsort((ids[near], -score))[:k]
+        yield i, near[best], score[best].astype(np.int64)
 
 
 def build_index(vectors: DataFrame, blocks: int) -> DataFrame:
@@ -205,7 +225,7 @@ def build_index(vectors: DataFrame, blocks: int) -> DataFrame:
         least, cut, slices = slice_block(values)
         row = [
             TaskContext.get().partitionId(), len(ids), values.shape[1], cut, ids.tobytes(),
-            least.tobytes(), values.astype(np.int32).tobytes(), slices.tobytes(),
+            least.tobytes(), values.astype(np.int32 if _greatest(values) < 1 << 31 else np.int64).tobytes(), slices.tobytes(),
         ]
         kinds = [pa.int32()] * 4 + [pa.binary()] * 4
         yield pa.RecordBatch.from_arrays(
@@ -238,8 +258,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, *, scale: int = SCALE)
     Vectors or queries that are null or hold null or non-finite components,
     and null ids, take no part; a missing component counts as 0; repeated rows
     are rows of their own; an empty table gives no rows; other columns are not
-    read.  A component beyond ``GREATEST`` stops the job (no long would hold
-    its scores)."""
+    read.  Large components take part like any (scores that could leave 64 bits are
+    added up in whole numbers of any size); the job stops with an error only if a
+    scaled component, or a score of the result, is no long."""
     spark = vectors.sparkSession
     ship(spark)
 
@@ -269,7 +290,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, *, scale: int = SCALE)
                 uids, query_ids, ids, least = (
                     np.frombuffer(r[n], np.int64) for n in ("uids", "query_ids", "ids", "least")
                 )
-                values = np.frombuffer(r["integers"], np.int32).reshape(r["rows"], r["dims"]).astype(np.int64)
+                kind = np.int32 if len(r["integers"]) == 4 * r["rows"] * r["dims"] else np.int64
+                values = np.frombuffer(r["integers"], kind).reshape(r["rows"], r["dims"]).astype(np.int64)
                 asked_ = np.frombuffer(r["query_integers"], np.int64).reshape(len(uids), r["query_dims"])
                 slices = np.frombuffer(r["slices"], np.uint64).reshape(r["dims"], -1, -(-r["rows"] // 64))
                 found = [
