@@ -174,7 +174,7 @@ def write_bundles(
     Null html is an empty payload; null ids and urls are written as empty
     headers; repeated rows get a record each; other columns are not read; an
     empty table writes no bundle and an empty index.  A record longer than
-    ``frame_bytes`` is a frame of its own; a task holds one frame."""
+    ``frame_bytes`` ends the frame that it falls into; a task holds one frame."""
     spark = pages.sparkSession
     ship(spark)
     pafs.FileSystem.from_uri(folder)[0].create_dir(pafs.FileSystem.from_uri(folder)[1], recursive=True)
@@ -267,16 +267,22 @@ _READ = pa.schema(
 )
 
 
+def dealt_runs(index: DataFrame) -> DataFrame:
+    """(bundle, run): the runs of 16 frames, dealt to tasks one by one."""
+    runs = index.groupBy("bundle", F.floor(F.col("frame") / 16).cast("int").alias("run")).agg(F.lit(1).alias("one"))
+    # By number and by a hash: dealt by the grouping's own keys the planner would
+    # drop it, and adaptive execution would join these few bytes into one task.
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return runs.select("bundle", "run").repartition(tasks, F.xxhash64("bundle", "run"))
+
+
 def read_bundles(index: DataFrame, folder: str, *, with_payload: bool = False) -> DataFrame:
     """All records of the bundles that ``index`` names, parsed from the files
     (``READ_DDL``; a response's payload is checked against its digest).  A task
     holds one frame at a time; a bundle's size is bounded, so frames are dealt
     to tasks by (bundle, run of 16 frames)."""
     ship(index.sparkSession)
-    runs = index.groupBy("bundle", F.floor(F.col("frame") / 16).cast("int").alias("run")).agg(F.lit(1).alias("one"))
-    # by number, so that adaptive execution does not join these few bytes into one task
-    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = runs.repartition(tasks, "bundle", "run")
+    runs = dealt_runs(index)
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,7 +297,7 @@ def read_bundles(index: DataFrame, folder: str, *, with_payload: bool = False) -
                     yield _rows_batch(rows, _READ)
                 reader.close()
 
-    return runs.select("bundle", "run").mapInArrow(read, READ_DDL)
+    return runs.mapInArrow(read, READ_DDL)
 
 
 def fetch_records(index: DataFrame, folder: str, wanted: DataFrame) -> DataFrame:

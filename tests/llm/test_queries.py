@@ -1,0 +1,115 @@
+"""Registered queries against brute force, contract column by contract column."""
+
+from __future__ import annotations
+
+import math
+import random
+import zlib
+
+import numpy as np
+from pyspark import TaskContext
+from pyspark.sql import functions as F
+
+from martwell.llm import fingerprints, packing, secrets, topk, warc
+from martwell.session import new_scratch_dir
+
+
+def _folder(spark, **tables):
+    path = new_scratch_dir(spark, "t-tables")
+    for name, df in tables.items():
+        df.write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
+def _odd_texts():
+    rnd = random.Random(8)
+    bits = list(" \n\t  a'b's.é☃0½  \0\r 　\x1c\v") + ["  ", " \n", "can't", "<|endoftext|>", " <|endoftext|> ", "  word, ", "x", " plain words"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 40))) for _ in range(1500)]
+    return texts + ["a <|endoftext|> b", "<|endoftext|>", "", " ", "word " * 9000]
+
+
+def test_chunked_ids_are_those_of_the_file():
+    """By the tokenizer file as it is: its added token in a text is one id."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    assert tok.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    ranked, plain, forgetful = (packing.Encoder(packing.default_tokenizer()) for _ in range(3))
+    assert ranked.ranked is not None
+    plain.ranked, forgetful.most = None, 10
+    texts = _odd_texts()
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    for enc in (ranked, plain, forgetful):
+        for at in range(0, len(texts), 400):
+            got = [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts[at : at + 400])]
+            assert got == want[at : at + 400]
+    assert list(ranked.encode([])) == []
+
+
+def test_op1_query(spark, clashing):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    texts = _odd_texts()[-400:] + [None]
+    df = clashing(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    pieces = packing.op1_harmonic_packing(spark, _folder(spark, documents=df)).collect()
+    want = [np.array(tok.encode(t or "", add_special_tokens=False).ids + [0], "<u4") for t in texts]
+    ends, fill = [0] * len(texts), {}
+    for r in sorted(pieces, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == ends[r.doc_id] and r.doc_tokens == len(want[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(want[r.doc_id][r.start : r.start + r.length].tobytes())
+        ends[r.doc_id] += r.length
+    assert ends == [len(x) for x in want]
+    for r in sorted(pieces, key=lambda r: (r.sequence_id, r.offset)):
+        assert fill.get(r.sequence_id, 0) == r.offset
+        fill[r.sequence_id] = r.offset + r.length
+    assert max(fill.values()) <= 1024
+
+
+def test_op2_small_index_is_read_by_many_tasks(spark):
+    """The runs of a few bundles are dealt to several tasks, whatever their bytes."""
+    rows = [(b, f) for b in range(9) for f in range(32)]
+    index = spark.createDataFrame(rows, "b int, frame int").select(F.concat(F.lit("bundle-"), "b").alias("bundle"), "frame")
+    runs = warc.dealt_runs(index)
+
+    def with_task(frames):
+        for frame in frames:
+            yield frame.assign(task=TaskContext.get().partitionId())
+
+    tasks = {r.task for r in runs.mapInPandas(with_task, "bundle string, run int, task int").collect()}
+    assert runs.count() == 18 and len(tasks) > 3
+
+
+def test_op9_large_components_take_part(spark, clashing):
+    rnd = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rnd.normal(size=4)]) for i in range(150)]
+    rows += [(300, [20000.0, -1.0, 0.5, 0.0]), (301, [-3e9, 2e9, 1.0, 0.0]), (400, [1e8, 0.0, 0.0, 1.0]), (401, [5e4, 1e4, 1e4, 1e4])]
+    rows += [(500, None), (501, [float("inf"), 0.0, 0.0, 0.0]), (502, [float("nan")] * 4), (200, [0.0, 0.0, 0.0, 0.0])]
+    df = clashing(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = topk.op9_bit_sliced_top_k(spark, _folder(spark, embeddings=df)).collect()
+    sound = {i: [math.floor(1024 * x) for x in v] for i, v in rows if v and all(map(math.isfinite, v))}
+    want = []
+    for q in (i for i in sound if i % 100 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(sound[q], sound[i])), i) for i in sound if i != q)[:10]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)
+
+
+def test_op3_repositories_take_part_in_the_verdict(spark):
+    text = "password = Abcdefgh12345"
+    rows = [(i, f"{text}{i % 2}", "one") for i in range(120)] + [(200, "token: 0123456789abcdefgh", "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    told = {r.doc_id: {s.verdict for s in r.spans} for r in secrets.scan_secrets(df).collect()}
+    assert told[0] == told[1] == {"shared"} and told[200] == {"live"}
+    told = {r.doc_id: {s.verdict for s in r.spans} for r in secrets.scan_secrets(df, copied_repositories=61).collect()}
+    assert told[0] == {"live"}
+
+
+def test_op4_bins_of_one_value_agree_on_their_own(spark):
+    """Disjoint sets of one shingle: no pair is told as alike."""
+    rows = [(i, f"a{i} b{i} c{i} d{i} e{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    told = df.select("doc_id", fingerprints.fingerprint(F.col("text")).alias("p"))
+    pairs = told.alias("x").join(told.alias("y"), F.expr("y.doc_id = x.doc_id + 1"))
+    most = pairs.select(F.max(fingerprints.likeness(F.col("x.p"), F.col("y.p")))).first()[0]
+    assert most < 0.15
