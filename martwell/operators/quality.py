@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,6 +86,33 @@ def insert_violations(
     return out
 
 
+def _too_long(column: str, limit: int) -> Column:
+    return F.length(F.rtrim(F.col(column).cast("string"))) > limit
+
+
+def _outside(date_col: str, bounds: list[tuple[str, date, date]]) -> Column:
+    inside = F.lit(False)
+    for _, lo, hi in bounds:
+        inside = inside | ((F.col(date_col) >= F.lit(lo)) & (F.col(date_col) < F.lit(hi)))
+    return F.col(date_col).isNull() | ~inside
+
+
+def _misfit(amount_col: str) -> Column:
+    return F.col(amount_col).isNotNull() & F.col(amount_col).try_cast(SALES_TYPE).isNull()
+
+
+def _no_date(text: Column) -> Column:
+    return text.isNotNull() & try_parse_source_date(text).isNull()
+
+
+def faults(*bad: Column) -> Column:
+    """Aggregate: how often one of the conditions holds in a row (0 for no rows)."""
+    n = F.lit(0).cast("long")
+    for b in bad:
+        n = n + F.count_if(b)
+    return n
+
+
 def length_violations(df: DataFrame, limits: dict[str, int], table_name: str, key_col: str) -> DataFrame:
     """Q3: text longer than its declared limit (trailing blanks do not count,
     as for VARCHAR) -> (table_name, column_name, row_key, value_length).
@@ -121,10 +149,7 @@ def range_violations(
     """Q4: rows whose date falls in no declared half-open range [lo, hi) or is
     NULL -> (table_name, row_key, date_value).  The ranges are few, so they are
     an expression, not a join."""
-    inside = F.lit(False)
-    for _, lo, hi in bounds:
-        inside = inside | ((F.col(date_col) >= F.lit(lo)) & (F.col(date_col) < F.lit(hi)))
-    return df.where(F.col(date_col).isNull() | ~inside).select(
+    return df.where(_outside(date_col, bounds)).select(
         F.lit(table_name).alias("table_name"),
         F.col(key_col).cast("string").alias("row_key"),
         F.col(date_col).alias("date_value"),
@@ -142,8 +167,7 @@ def range_partition(date_col: str, bounds: list[tuple[str, date, date]]) -> Colu
 
 def amount_violations(df: DataFrame, amount_col: str, key_col: str, table_name: str) -> DataFrame:
     """Q5: amounts that do not fit NUMERIC(12,2) -> (table_name, row_key, amount_text)."""
-    fits = F.col(amount_col).try_cast(SALES_TYPE).isNotNull()
-    return df.where(F.col(amount_col).isNotNull() & ~fits).select(
+    return df.where(_misfit(amount_col)).select(
         F.lit(table_name).alias("table_name"),
         F.col(key_col).cast("string").alias("row_key"),
         F.col(amount_col).cast("string").alias("amount_text"),
@@ -155,7 +179,7 @@ def date_text_violations(df: DataFrame, date_cols: list[str], key_col: str, tabl
     cells = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("date_text")) for c in date_cols]
     )
-    bad = F.filter(cells, lambda x: x["date_text"].isNotNull() & try_parse_source_date(x["date_text"]).isNull())
+    bad = F.filter(cells, lambda x: _no_date(x["date_text"]))
     return (
         df.select(F.col(key_col).cast("string").alias("row_key"), bad.alias("_bad"))
         .where(F.size("_bad") > 0)
@@ -201,6 +225,34 @@ def model_length_violations(model: RetailModel) -> DataFrame:
     return out
 
 
+def staging_faults() -> dict[str, Column]:
+    """Q5 and Q6 of staging rows as aggregates (check name -> number of
+    violations), to be observed while the rows are written."""
+    return {
+        "amount": faults(_misfit("sales")),
+        "date_text": faults(*(_no_date(F.col(c)) for c in ("order_date", "ship_date"))),
+    }
+
+
+def row_fault_counts(model: RetailModel, year_ranges: list[tuple[str, date, date]] | None = None) -> DataFrame:
+    """Q3 and, with ``year_ranges``, Q4 of all tables as counts (check_name,
+    n_violations): every table with a limit is read once, by one aggregation of
+    the limited columns, whatever the number of limits and ranges."""
+    tables, per_table = model.tables(), []
+    for t in tables:
+        told = {}
+        if t in LENGTH_LIMITS:
+            told["length"] = faults(*(_too_long(c, n) for c, n in LENGTH_LIMITS[t].items()))
+        if t == "orders" and year_ranges:
+            told["range"] = faults(_outside("order_date", year_ranges))
+        if told:
+            counts = tables[t].agg(*(c.alias(name) for name, c in told.items()))
+            each = F.explode(F.array(*(F.struct(F.lit(n).alias("check_name"), F.col(n).alias("n")) for n in told)))
+            per_table.append(counts.select(each.alias("c")).select("c.*"))
+    every = reduce(DataFrame.unionByName, per_table)
+    return every.groupBy("check_name").agg(F.sum("n").alias("n_violations"))
+
+
 def check_summary(parts: dict[str, DataFrame]) -> DataFrame:
     """One row per check with its violation count (0 = clean)."""
     out = None

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from martwell.session import new_scratch_dir
 from martwell.sources.model import RetailModel
 from martwell.sources.storage import TableStore, run_parallel
-from martwell.sources.testdata import bind_model, line_slots, read_raw
+from martwell.sources.testdata import LINE_SLOTS, bind_model, read_raw
 
 _BUILT: dict[tuple[str, str], str] = {}
 _BUILD_LOCK = threading.Lock()
@@ -114,11 +114,11 @@ def open_store(spark: SparkSession, sf_dir: str) -> TableStore:
             store = TableStore(spark, new_scratch_dir(spark, "warehouse"))
             layout = plan_layout(read_raw(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "order_id"))
             buckets, bucket_lines, top = layout
-            # lines arrive hash-partitioned by order into the bucket count
-            model = bind_model(spark, sf_dir, buckets if bucket_lines else None, line_slots(top))
-            refs = stage_warehouse(
-                store, model, layout=layout, prepartitioned=("order_items",) if bucket_lines else (),
-            )
+            # lines arrive hash-partitioned by order into the bucket count, but for
+            # orders beyond their slots, which come in ranges
+            dealt = bucket_lines and top < LINE_SLOTS
+            model = bind_model(spark, sf_dir, buckets if dealt else None, top)
+            refs = stage_warehouse(store, model, layout=layout, prepartitioned=("order_items",) if dealt else ())
             store.publish(refs)
             _BUILT[key] = store.root
             return store

@@ -11,7 +11,7 @@
 | orders.ship_mode                    | o_orderpriority                          |
 | orders.country/state/city/postal    | customer's nation and key                 |
 | orders.region                       | customer's region name                   |
-| order_items.row_id                  | l_orderkey * line_slots + line position  |
+| order_items.row_id                  | see ``line_key``                         |
 | order_items.product_id / sales      | l_partkey / decimal(12,2) extendedprice  |
 | product_tags.tags                   | words of p_name                          |
 | customer_profiles.profile           | events.user_id / events.props (JSON)     |
@@ -23,9 +23,10 @@ from plans that do not read ``ship_date``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from martwell.operators import ranking
 from martwell.sources.model import SALES_TYPE, RetailModel
 
 RAW_TABLES = (
@@ -45,14 +46,10 @@ RAW_TABLES = (
     "conversations",
 )
 
-# Line slots per order of the numeric line key, for orders of fewer lines.
+# Line slots per order of the numeric line key.
 LINE_SLOTS = 1000
-
-
-def line_slots(most_lines: int) -> int:
-    """Slots that keep line keys apart when the largest order has
-    ``most_lines`` lines: ``LINE_SLOTS``, or the next power of ten above it."""
-    return max(LINE_SLOTS, 10 ** len(str(most_lines)))
+# What tells the lines of an order apart, in order.
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
 def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,29 +110,63 @@ def most_lines(spark: SparkSession, sf_dir: str) -> int:
     return per_order.agg(F.max("n")).first()[0] or 0
 
 
+def line_key(pos: Column, place: Column) -> Column:
+    """Numeric key of the line at ``pos`` (from 1) of its order: order key *
+    ``LINE_SLOTS`` + pos.  Lines beyond the slots have the negative of their
+    ``place`` among all lines of orders that outgrow their slots, so such an
+    order changes the key of no line of an order that doesn't."""
+    return F.when(pos < LINE_SLOTS, F.col("l_orderkey").cast("long") * F.lit(LINE_SLOTS) + pos).otherwise(-place)
+
+
+def _long_order_lines(lines: DataFrame) -> DataFrame:
+    """Lines of the long orders with ``pos`` and ``place``.  They are numbered in
+    sorted ranges, all orders together, so one order of a third of all rows is
+    spread over many tasks; an order's least place (combined map-side) turns
+    places into positions."""
+    identity = F.struct("l_orderkey", *LINE_ORDER, "source_file", "source_row")
+    placed = ranking.numbered(lines.select(identity.alias("line")), "line", "place")
+    first = placed.groupBy(F.col("line.l_orderkey").alias("long_order")).agg(F.min("place").alias("first_place"))
+    return (
+        placed.join(first, F.col("line.l_orderkey") == F.col("long_order"))
+        .select("line.l_orderkey", "line.l_partkey", "line.l_extendedprice", "place",
+                (F.col("place") - F.col("first_place") + 1).alias("pos"))
+    )
+
+
 def bind_order_items(
-    spark: SparkSession, sf_dir: str, partitions: int | None = None, slots: int | None = None
+    spark: SparkSession, sf_dir: str, partitions: int | None = None, most: int | None = None
 ) -> DataFrame:
-    """``slots``: line slots per order (measured when not given).
+    """``most``: lines of the largest order (measured when not given).
 
     ``partitions``: hash-partition the lines by order key into exactly
     that many partitions first.  The position window then needs no shuffle of
     its own, and a bucketed write with as many buckets finds every bucket's
-    rows in one task -- one shuffle of the largest table instead of two."""
-    slots = slots or line_slots(most_lines(spark, sf_dir))
-    li = read_raw(spark, sf_dir, "lineitem")
-    if partitions:
-        li = li.repartition(partitions, "l_orderkey")
+    rows in one task -- one shuffle of the largest table instead of two.  Only
+    for orders that all fit their slots.
+
+    Orders of ``LINE_SLOTS`` lines and more go by ``_long_order_lines``, so no
+    window holds more lines than that."""
+    most = most_lines(spark, sf_dir) if most is None else most
+    raw = read_raw(spark, sf_dir, "lineitem")
+    li = raw.repartition(partitions, "l_orderkey") if partitions else raw
+    if most >= LINE_SLOTS:
+        per_order = raw.groupBy(F.col("l_orderkey").alias("long_order")).agg(F.count(F.lit(1)).alias("n"))
+        long_orders = per_order.where(F.col("n") >= LINE_SLOTS).select("long_order")
+        is_long = F.col("l_orderkey") == F.col("long_order")
+        li = li.join(long_orders, is_long, "left_anti")
     # Position of the line inside its order under a total order of the line
     # identity.  The window is partitioned by the order key, the same key the
     # fact join shuffles on, so Spark reuses that partitioning.
-    pos = F.row_number().over(
-        Window.partitionBy("l_orderkey").orderBy(
-            "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
+    pos = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
+    lines = li.select("l_orderkey", "l_partkey", "l_extendedprice", F.lit(0).cast("long").alias("place"), pos.alias("pos"))
+    if most >= LINE_SLOTS:
+        # equal lines are told apart by where they stand in the source, so that they can be cut as well
+        told_apart = raw.select(
+            "*", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.row_index").alias("source_row")
         )
-    )
-    return li.select(
-        (F.col("l_orderkey").cast("long") * F.lit(slots) + pos).alias("row_id"),
+        lines = lines.unionByName(_long_order_lines(told_apart.join(long_orders, is_long, "left_semi")))
+    return lines.select(
+        line_key(F.col("pos"), F.col("place")).alias("row_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_extendedprice").cast(SALES_TYPE).alias("sales"),
@@ -143,7 +174,7 @@ def bind_order_items(
 
 
 def bind_model(
-    spark: SparkSession, sf_dir: str, fact_partitions: int | None = None, slots: int | None = None
+    spark: SparkSession, sf_dir: str, fact_partitions: int | None = None, most: int | None = None
 ) -> RetailModel:
     region = read_raw(spark, sf_dir, "region")
     customer = read_raw(spark, sf_dir, "customer")
@@ -163,7 +194,7 @@ def bind_model(
             F.col("p_brand").alias("sub_category"),
         ),
         orders=bind_orders(spark, sf_dir),
-        order_items=bind_order_items(spark, sf_dir, fact_partitions, slots),
+        order_items=bind_order_items(spark, sf_dir, fact_partitions, most),
         product_tags=part.select(
             F.col("p_partkey").alias("product_id"),
             F.split(F.col("p_name"), " ").alias("tags"),

@@ -7,6 +7,7 @@ import tempfile
 from datetime import date
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -505,12 +506,6 @@ def test_numbering_has_as_many_files_as_the_session_has_partitions(spark):
     assert len(sizes) == 8 and max(sizes) < 100_000 / 4
 
 
-def test_line_slots_follow_the_largest_order():
-    from martwell.sources.testdata import line_slots
-
-    assert [line_slots(n) for n in (0, 7, 999, 1000, 5000, 123456)] == [1000, 1000, 1000, 10_000, 10_000, 1_000_000]
-
-
 def test_orders_of_thousands_of_lines_build(spark, tmp_path):
     from martwell.plans.warehouse import open_warehouse
 
@@ -527,6 +522,33 @@ def test_orders_of_thousands_of_lines_build(spark, tmp_path):
     assert m.order_items.count() == lines.count() + 5000
     assert quality.model_pk_violations(m).isEmpty()
 
+    # a long order changes the key of no line of another order, and has the keys of the plain formula
+    from martwell.plans.oracle import with_model
+
+    before = open_warehouse(spark, "/root/testdata/sf0.001").order_items
+    key = first.first().l_orderkey
+    others = lambda df: df.where(F.col("order_id") != key).select("row_id", "order_id", "product_id", "sales")
+    assert others(before).exceptAll(others(m.order_items)).isEmpty() and others(m.order_items).count() == others(before).count()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{src}/lineitem.parquet/*.parquet')")
+    for t in ("region", "nation", "customer", "part", "orders", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{src}/{t}.parquet')")
+    want = con.execute(with_model("SELECT row_id, order_id, product_id, sales FROM m_items")).fetchall()
+    assert sorted(map(tuple, m.order_items.select("row_id", "order_id", "product_id", "sales").collect())) == sorted(want)
+    long_keys = sorted(r.row_id for r in m.order_items.where(F.col("order_id") == key).collect())
+    over = len(long_keys) - 999
+    assert long_keys[over:] == [key * 1000 + p for p in range(1, 1000)] and long_keys[0] == -len(long_keys)
+
+
+def test_equal_lines_of_a_long_order_have_keys_of_their_own(spark, tmp_path):
+    from martwell.sources.testdata import bind_order_items
+
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    one = lines.orderBy("l_orderkey", "l_linenumber").limit(1)
+    lines.unionByName(one.crossJoin(spark.range(3000)).drop("id")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    items = bind_order_items(spark, str(tmp_path))
+    assert items.count() == items.select("row_id").distinct().count() == lines.count() + 3000
+
 
 def test_snapshot_refuses_a_copy_that_differs(spark, tmp_path):
     from martwell.sources import storage
