@@ -36,8 +36,69 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Wording of public licenses and of their usual notices.
+#: Licenses whose tag in a file's head is looked for.
+TAGGED = [
+    "Apache-2.0", "MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1",
+    "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "EPL-2.0", "BSL-1.0", "Zlib", "Unlicense", "CC0-1.0", "CC-BY-4.0",
+    "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+]
+
+#: Licenses of one family: label, name in the notice, version there, and the
+#: date at the head of the whole text.
+GNU = [
+    ("gpl-2.0", "GNU General Public License", "2", "June 1991"),
+    ("gpl-3.0", "GNU General Public License", "3", "29 June 2007"),
+    ("lgpl-2.0", "GNU Library General Public License", "2", "June 1991"),
+    ("lgpl-2.1", "GNU Lesser General Public License", "2.1", "February 1999"),
+    ("lgpl-3.0", "GNU Lesser General Public License", "3", "29 June 2007"),
+    ("agpl-3.0", "GNU Affero General Public License", "3", "19 November 2007"),
+]
+
+
+def _tag(license_: str) -> tuple[str, str]:
+    # the kinds with "only" and "or later" are those of the same license
+    return license_.lower(), (
+        f"SPDX-License-Identifier: {license_}<<beginOptional>> only<<endOptional>><<beginOptional>> or later<<endOptional>>"
+    )
+
+
+def _gnu(label: str, name: str, version: str, date: str) -> list[tuple[str, str]]:
+    can = "you can redistribute it and/or modify it under the terms of the "
+    return [
+        (label, f"{can}{name} as published by the Free Software Foundation<<beginOptional>>,<<endOptional>> "
+                f"<<beginOptional>>either <<endOptional>>version {version} of the License"
+                "<<beginOptional>>, or (at your option) any later version<<endOptional>>"),
+        (label, f"{can}{name}<<beginOptional>>,<<endOptional>> version {version}<<beginOptional>>,<<endOptional>> "
+                "as published by the Free Software Foundation"),
+        (label, f"{name} Version {version}, {date}"),
+    ]
+
+
+# Wording of public licenses, of their usual notices and of the
+# heads of their whole texts.
 TEMPLATES = [
+    *(wording for g in GNU for wording in _gnu(*g)),
+    *map(_tag, TAGGED),
+    ("apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+     'distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the '
+     "License for the specific language governing permissions and limitations under the License."),
+    ("mpl-2.0", "subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+     'this file, You can obtain one at <<var;words="1-1">>://mozilla.org/MPL/2.0/'),
+    ("mpl-2.0", "Mozilla Public License<<beginOptional>>,<<endOptional>> Version 2.0"),
+    *(("epl-2.0", f"Eclipse Public License {version}") for version in ("- v 2.0", "v2.0", "2.0", "Version 2.0")),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+     "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for "
+     "any purpose, commercial or non-commercial, and by any means."),
+    ("bsl-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+     'software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, '
+     "distribute, execute, and transmit the Software, and to prepare derivative works of the Software"),
+    ("zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and "
+     "to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("0bsd", "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any "
+     'purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED "AS IS"'),
+    ("cc0-1.0", 'To the extent possible under law, <<var;words="1-12">> waived all copyright and related or neighboring '
+     "rights to"),
     ("apache-2.0", '<<beginOptional>>This <<var;words="1-4">> is <<endOptional>>licensed under the '
      "<<beginOptional>>terms of the <<endOptional>>Apache License, Version 2.0"
      "<<beginOptional>> (the \"License\"); you may not use this file except in compliance with the License."
@@ -49,9 +110,6 @@ TEMPLATES = [
     ("gpl-3.0", '<<beginOptional>>This <<var;words="1-4">> is <<endOptional>>licensed under the '
      "<<beginOptional>>terms of the <<endOptional>>GNU General Public License, version 3"
      "<<beginOptional>> of the License<<endOptional>>"),
-    ("gpl-3.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License as "
-     "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
-     "version."),
     ("cc-by-nc-4.0", '<<beginOptional>>This <<var;words="1-4">> is <<endOptional>>licensed under '
      "<<beginOptional>>a <<endOptional>><<beginOptional>>the <<endOptional>>CC BY-NC 4.0"
      "<<beginOptional>> license<<endOptional>>"),
