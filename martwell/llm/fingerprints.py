@@ -120,7 +120,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and fingerprint (hexadecimal) of every row.  Null text is empty;
-    null and repeated ids are kept; other columns are not read."""
+    null and repeated ids are kept; other columns are not read; an empty table
+    gives no rows, and a text of any length is one row's array of hashes."""
     return docs.select(F.col(id_col).alias("doc_id"), as_hex(fingerprint(text_of(text_col))).alias("fingerprint"))
 
 

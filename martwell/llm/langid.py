@@ -7,9 +7,11 @@ document frequency, each document scaled to length 1.
 
 * Document frequencies come from every training document (one pass; a task
   adds them up before they meet others).
-* The classifier is fitted on a bounded sample, ``SAMPLE_ROWS`` rows at most:
-  those with the least hashes of their content among all labelled rows.  It is
-  trained on four fifths of it by follow-the-regularised-leader with L1 and L2
+* The classifier is fitted on a bounded sample, ``SAMPLE_ROWS`` texts at most.
+  Copies of a text count once, and the languages take turns: each gives its text
+  of the least hash, then each its next one, until the sample is full, so copies
+  and a frequent language crowd no rare one out.  It is
+  trained on four fifths of each language's texts by follow-the-regularised-leader with L1 and L2
   penalties (weights that the data don't need stay exactly 0); the last fifth
   fits the temperature that calibrates its probabilities, and the rejection
   bound: at most a ``REJECTED`` share of documents like the held-out ones that
@@ -22,11 +24,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martwell.llm.common import kept_by, ship, table
@@ -34,6 +37,8 @@ from martwell.llm.common import kept_by, ship, table
 FEATURES = 1 << 15
 LONGEST = 3
 SAMPLE_ROWS = 6000
+#: Parts in which a language's texts are thinned before the sample is drawn.
+PARTS = 256
 #: Share of clean documents that the rejection bound may cost.
 REJECTED = 0.002
 UNKNOWN = "und"
@@ -176,19 +181,53 @@ def _document_frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Reco
 
 
 def _sample_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of the sample's texts, copies once a task."""
+    seen = set()  # as large as the sample at most
     for batch in batches:
         rows = []
-        for order, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
-            counts = ngram_counts(text)
+        for turn, h, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+            counts = None if (h, lang) in seen else ngram_counts(text)
+            seen.add((h, lang))
             if counts is not None:
-                rows.append((order, lang, counts[0].tobytes(), counts[1].astype(np.int32).tobytes()))
-        kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary()]
-        cols = zip(*rows) if rows else [[]] * 4
+                rows.append((turn, h, lang, counts[0].tobytes(), counts[1].astype(np.int32).tobytes()))
+        kinds = [pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
+        cols = zip(*rows) if rows else [[]] * 5
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, kinds)], names=["h", "lang", "places", "counts"]
+            [pa.array(c, t) for c, t in zip(cols, kinds)], names=["turn", "h", "lang", "places", "counts"]
         )
 
 
+def drawn_texts(rows: DataFrame, sample_rows: int) -> DataFrame:
+    """(turn, h, lang) of at most ``sample_rows`` distinct labelled texts of
+    ``rows`` (text, lang) with letters; h is the text's hash.  Hashes alone are
+    shuffled, and copies become one row before; the last window of a language
+    has ``PARTS`` * ``sample_rows`` hashes at most."""
+    hashes = rows.filter(F.col("text").rlike(r"\p{L}")).select(F.xxhash64("text").alias("h"), "lang").distinct()
+    # a language's hashes are thinned in parts first, so a frequent one is not one task
+    part = F.row_number().over(Window.partitionBy("lang", "part").orderBy("h"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    return (
+        hashes.withColumn("part", F.pmod("h", F.lit(PARTS)))
+        .withColumn("turn", part)
+        .filter(F.col("turn") <= sample_rows)
+        .withColumn("turn", turn)
+        .filter(F.col("turn") <= sample_rows)
+        .orderBy("turn", "h", "lang")
+        .limit(sample_rows)
+        .select("turn", "h", "lang")
+    )
+
+
+def held_out(keys: list[tuple[str, int]]) -> np.ndarray:
+    """Which of the sample's (lang, text hash) calibrate: every fifth text of a
+    language.  All rows of one text are on one side."""
+    side: dict[int, bool] = {}
+    for _, of_one in groupby(sorted(keys), key=lambda k: k[0]):
+        for i, (_, h) in enumerate(of_one):
+            side.setdefault(h, i % 5 == 4)
+    return np.array([side[h] for _, h in keys], dtype=bool)
+
+
 def fit(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Model from ``labelled`` (text, lang).  Rows without label or letters
     teach nothing; with no row left the model predicts ``und`` everywhere."""
@@ -204,24 +243,27 @@ def fit(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> Model:
     idf = np.zeros(FEATURES)
     idf[list(found)] = list(found.values())
     idf = np.log((1 + documents) / (1 + idf)) + 1
-    # rows with the least hashes: a share that has twice the sample or all rows, then its least
-    scale = 1 << 30
-    share = min(scale, -(-2 * sample_rows * scale // documents))
-    drawn = rows.withColumn("h", F.xxhash64("text", "lang")).filter(F.pmod(F.col("h"), F.lit(scale)) < share)
+    chosen = F.broadcast(drawn_texts(rows, sample_rows))  # sample_rows rows at most
     sample = (
-        drawn.select(F.pmod(F.col("h"), F.lit(scale)).alias("h"), "lang", "text")
-        .mapInArrow(_sample_features, "h long, lang string, places binary, counts binary")
-        .orderBy("h", "lang", "places")
-        .limit(sample_rows)
+        rows.withColumn("h", F.xxhash64("text"))
+        .join(chosen, ["h", "lang"])
+        .select("turn", "h", "lang", "text")
+        .mapInArrow(_sample_features, "turn int, h long, lang string, places binary, counts binary")
+        .groupBy("h", "lang")
+        .agg(F.min(F.struct("turn", "places", "counts")).alias("one"))
+        .select("h", "lang", "one.*")
+        .orderBy("h", "lang")
         .collect()
     )
+    if not sample:
+        return Model()
     model = Model(sorted({r["lang"] for r in sample}), idf)
     number = {lang: i for i, lang in enumerate(model.languages)}
     labels = np.array([number[r["lang"]] for r in sample])
     vectors = [
         model.vector((np.frombuffer(r["places"], np.int32), np.frombuffer(r["counts"], np.int32))) for r in sample
     ]
-    held = np.arange(len(vectors)) % 5 == 4
+    held = held_out([(r["lang"], r["h"]) for r in sample])
     own = np.flatnonzero(~held)
     model.weights = train_ftrl([vectors[i] for i in own], labels[own], len(number))
     scores = np.array([vectors[i][1] @ model.weights[vectors[i][0]] for i in np.flatnonzero(held)])
