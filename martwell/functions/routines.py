@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from martwell.functions.exprs import days_between, month_key, month_range
 from martwell.operators.ranking import top_n_per_group
-from martwell.operators.reports import revenue_per_product
+from martwell.operators.reports import lines_with_orders, revenue_per_product
 from martwell.sources.model import RetailModel
 
 # Customer status labels and day limits.
@@ -30,10 +30,7 @@ DEFAULT_TOP_N = 5
 
 
 def region_revenue(model: RetailModel) -> DataFrame:
-    j = model.order_items.select("order_id", "sales").join(
-        model.orders.select("order_id", "region"), "order_id"
-    )
-    return j.groupBy("region").agg(F.sum("sales").alias("total"))
+    return lines_with_orders(model, ["region"]).groupBy("region").agg(F.sum("sales").alias("total"))
 
 
 def region_total_or_zero(model: RetailModel, asked_regions: DataFrame) -> DataFrame:
@@ -46,10 +43,8 @@ def region_total_or_zero(model: RetailModel, asked_regions: DataFrame) -> DataFr
 
 def total_sales_by_region(model: RetailModel, region: str) -> DataFrame:
     """Single-key F1: one row, total revenue of ``region`` or 0."""
-    j = model.order_items.select("order_id", "sales").join(
-        model.orders.where(F.col("region") == F.lit(region)).select("order_id"), "order_id"
-    )
-    return j.agg(F.coalesce(F.sum("sales"), F.lit(0)).alias("total_sales"))
+    here = lines_with_orders(model, ["region"]).where(F.col("region") == F.lit(region))
+    return here.agg(F.coalesce(F.sum("sales"), F.lit(0)).alias("total_sales"))
 
 
 # ---- F2: order count of a customer ----------------------------------------------
@@ -79,8 +74,7 @@ def top_products_of_month(model: RetailModel, year_month: str, n: int = DEFAULT_
     month; ties by name then category.  The month becomes a date range so the
     filter reaches the scan."""
     lo, hi = month_range(year_month)
-    o = model.orders.where((F.col("order_date") >= lo) & (F.col("order_date") < hi)).select("order_id")
-    lines = model.order_items.select("order_id", "product_id", "sales").join(o, "order_id")
+    lines = lines_with_orders(model, ["order_date"]).where((F.col("order_date") >= lo) & (F.col("order_date") < hi))
     per = revenue_per_product(lines, [])
     j = per.join(model.products.select("product_id", "product_name", "category"), "product_id")
     return (
@@ -98,9 +92,7 @@ def top_products_of_month(model: RetailModel, year_month: str, n: int = DEFAULT_
 
 def top_products_all_months(model: RetailModel, n: int = DEFAULT_TOP_N) -> DataFrame:
     """Set form of F3: the top n of every month in one job."""
-    lines = model.order_items.select("order_id", "product_id", "sales").join(
-        model.orders.select("order_id", month_key("order_date").alias("order_month")), "order_id"
-    )
+    lines = lines_with_orders(model, ["order_date"]).withColumn("order_month", month_key("order_date"))
     j = revenue_per_product(lines, ["order_month"]).join(
         model.products.select("product_id", "product_name", "category"), "product_id"
     )

@@ -196,7 +196,8 @@ def commit_line_change(store, changes: DataFrame, items: str = "order_items", au
     seen = store.current()
     base = store.stage(items, changes)
     log = _audit_ref(store, store.read_ref(base), audit_log, None, None)
-    return store.publish({items: layers.ref_of({"base": base, "hidden": ["old_sales"]}), audit_log: log}, expected=seen)
+    lines = layers.ref_of(layers.parts_of(base) | {"hidden": ["old_sales"]})
+    return store.publish({items: lines, audit_log: log}, expected=seen)
 
 
 def commit_line_update(

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwell.functions.exprs import col, month_key
+from martwell.operators.reports import lines_with_orders
 from martwell.session import ensure_checkpoint_dir, new_scratch_dir
 from martwell.sources.model import RetailModel
 
@@ -91,7 +92,7 @@ def global_rank(
 
 def customer_totals(model: RetailModel) -> DataFrame:
     """Revenue per customer *name* (J4; homonyms merge, as in the source)."""
-    per_cust = model.order_items.join(model.orders.select("order_id", "customer_id"), "order_id").groupBy(
+    per_cust = lines_with_orders(model, ["customer_id"]).groupBy(
         "customer_id"
     ).agg(F.sum("sales").alias("spent"))
     return (
@@ -131,7 +132,7 @@ def top_customers_ranked(model: RetailModel, n: int = 10) -> DataFrame:
 def running_revenue(model: RetailModel) -> DataFrame:
     """Revenue per month and the running total (default RANGE frame).
     One row per month reaches the window, so one partition is fine."""
-    j = model.order_items.join(model.orders.select("order_id", "order_date"), "order_id")
+    j = lines_with_orders(model, ["order_date"])
     monthly = j.groupBy(month_key("order_date").alias("month")).agg(F.sum("sales").alias("m"))
     w = Window.orderBy("month").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return monthly.select(
@@ -151,7 +152,7 @@ def largest_line_per_customer(model: RetailModel) -> DataFrame:
     by customer, spilling if needed): the tie-break key does not fit one
     fixed-width value, and every hash-based alternative (max, then join the
     lines back) would shuffle line rows instead of one row per customer."""
-    j = model.order_items.join(model.orders.select("order_id", "customer_id"), "order_id")
+    j = lines_with_orders(model, ["customer_id"])
     numeric_ids = dict(j.dtypes)["order_id"] in ("bigint", "int", "smallint", "tinyint")
     if numeric_ids:
         key = F.struct(
@@ -180,7 +181,7 @@ def calendar_revenue(model: RetailModel) -> DataFrame:
     month of the date span, so it is tiny whatever the data size."""
     bounds = model.orders.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
     months = bounds.select(month_calendar(F.col("lo"), F.col("hi")).alias("month_date"))
-    j = model.order_items.join(model.orders.select("order_id", "order_date"), "order_id")
+    j = lines_with_orders(model, ["order_date"])
     monthly = j.groupBy(F.trunc("order_date", "month").alias("month_date")).agg(F.sum("sales").alias("m"))
     return months.join(monthly, "month_date", "left").select(
         "month_date", F.coalesce(F.col("m"), F.lit(0)).alias("monthly_sales")

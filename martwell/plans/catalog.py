@@ -21,7 +21,7 @@ from martwell.functions import routines
 from martwell.operators import audit, lookups, maintenance, normalize, quality, ranking, reports
 from martwell.plans import pipeline, sql_surface
 from martwell.plans.render import for_compare
-from martwell.plans.warehouse import open_store, open_warehouse, plan_layout, store_model
+from martwell.plans.warehouse import build_warehouse, open_store, open_warehouse, plan_layout, store_model
 from martwell.session import new_scratch_dir
 from martwell.sources import layers, storage
 from martwell.sources.ingest import insert_select, read_staging_csv, write_staging_csv
@@ -552,6 +552,22 @@ def q_bucketed_join_revenue(spark, sf_dir):
     )
 
 
+@register("hot_order_revenue")
+def q_hot_order_revenue(spark, sf_dir):
+    """S8 with a hot order: a third of the products' lines are moved to the first
+    order and the warehouse is built of that.  Its lines are kept apart and meet the
+    broadcast order row; all others join in buckets.  Orders and revenue per region."""
+    m = model_of(spark, sf_dir)
+    first = m.orders.agg(F.min("order_id")).scalar()
+    moved = m.order_items.withColumn(
+        "order_id", F.when(F.col("product_id") % 3 == 0, first).otherwise(F.col("order_id"))
+    )
+    store = build_warehouse(spark, m.replace(order_items=moved), new_scratch_dir(spark, "hot-order"))
+    return reports.orders_with_sums(store_model(store), ["region"]).groupBy("region").agg(
+        F.count("order_id").alias("total_orders"), F.sum("order_sales").alias("total_sales")
+    )
+
+
 def _branch(spark, sf_dir) -> storage.TableStore:
     """A metadata-only branch of the warehouse to change without touching it."""
     return open_store(spark, sf_dir).clone(new_scratch_dir(spark, "branch"))

@@ -6,8 +6,8 @@ The source tables are normalised once into the retail model and written:
 * both facts (orders, order_items) bucketed and sorted by ``order_id`` with
   the same bucket count (sized from the line count by ``plan_layout``), so
   the fact join (J1) reads matching buckets with no shuffle (each task only
-  sorts its own bucket); if one order is hot, both facts stay unbucketed and
-  AQE splits the hot partition of a shuffled join instead;
+  sorts its own bucket); the lines of hot orders, if there are any, are kept in a
+  folder apart, spread as they come, and meet their few order rows by a broadcast;
 * the line fact is shuffled once in the build: hash-partitioned by order
   into the bucket count, which serves the line-position window and the
   bucketed write alike;
@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwell.session import new_scratch_dir
+from martwell.sources import layers
 from martwell.sources.model import RetailModel
-from martwell.sources.storage import TableStore, run_parallel
+from martwell.sources.storage import HOT_FACTOR, TableStore, run_parallel
 from martwell.sources.testdata import LINE_SLOTS, bind_model, read_raw
 
 _BUILT: dict[tuple[str, str], str] = {}
@@ -39,21 +40,18 @@ FACTS = ("orders", "order_items")
 
 # Rows of the narrow line fact per bucket (~128-256 MB of Parquet).
 ROWS_PER_BUCKET = 8_000_000
-# A key whose rows exceed this many times a bucket's fair share is "hot".
-HOT_FACTOR = 4.0
 
 
 def plan_layout(items: DataFrame, buckets: int | None = None) -> tuple[int, bool, int]:
-    """Bucket count, whether the line fact may be bucketed, and the largest
-    number of lines of one order.
+    """Bucket count, whether every order fits a bucket, and the largest number of
+    lines of one order.
 
     The count is sized from the line rows, never below the cluster's default
     parallelism.  Bucketing puts every line of an order into one file read
-    by one task, and a bucketed scan cannot be split; so if one order holds
-    more than ``HOT_FACTOR`` times a bucket's share of the lines, both facts
-    are stored unbucketed and the fact join becomes a shuffle join whose hot
-    partition AQE splits at run time.  Both numbers come from one narrow
-    aggregation (order id only, combined map-side)."""
+    by one task, and a bucketed scan cannot be split; so the lines of an order
+    with more than ``HOT_FACTOR`` times a bucket's share of them are stored apart
+    (``TableStore.stage_split``).  All numbers come from one narrow aggregation
+    (order id only, combined map-side)."""
     spark = items.sparkSession
     per_order = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
     stats = per_order.agg(F.sum("n").alias("rows"), F.max("n").alias("top")).first()
@@ -75,14 +73,11 @@ def stage_warehouse(
 
     def write(item: tuple[str, DataFrame]) -> str:
         name, df = item
-        if name in FACTS and bucket_lines:
-            return store.stage_bucketed(name, df, "order_id", buckets, prepartitioned=name in prepartitioned)
+        if name == "order_items" and not bucket_lines:
+            hot = store.stage_hot_keys(name, df.select("order_id"), "order_id", buckets)
+            return store.stage_split(name, df, "order_id", buckets, hot)
         if name in FACTS:
-            # hot order present: neither fact is bucketed, so the fact join
-            # shuffles both sides and AQE can split the hot partition (its
-            # skew handling needs a shuffle on both sides).  No shuffle at
-            # write time; order ids are clustered within each file.
-            return store.stage(name, df.sortWithinPartitions("order_id"), keep_layout=False)
+            return store.stage_bucketed(name, df, "order_id", buckets, prepartitioned=name in prepartitioned)
         return store.stage(name, df, keep_layout=False)
 
     items = list(model.tables().items())
@@ -90,7 +85,14 @@ def stage_warehouse(
 
 
 def staged_model(store: TableStore, refs: dict[str, str]) -> RetailModel:
-    return RetailModel(**{name: store.read_ref(refs[name]) for name in RetailModel.__dataclass_fields__})
+    model = RetailModel(**{name: store.read_ref(refs[name]) for name in RetailModel.__dataclass_fields__})
+    split = layers.split_of(store, refs["order_items"])
+    if split:
+        # a join that takes the facts as they are shuffles both, so that adaptive
+        # execution can split the hot order; beside buckets it could not
+        model.split = (*split, model.orders)
+        model.orders = store.read_ref(layers.unbucketed(refs["orders"]))
+    return model
 
 
 def build_warehouse(
@@ -126,7 +128,7 @@ def open_store(spark: SparkSession, sf_dir: str) -> TableStore:
 
 
 def store_model(store: TableStore) -> RetailModel:
-    return RetailModel(**{name: store.read(name) for name in RetailModel.__dataclass_fields__})
+    return staged_model(store, store.current())
 
 
 def open_warehouse(spark: SparkSession, sf_dir: str) -> RetailModel:

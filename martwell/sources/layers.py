@@ -12,6 +12,9 @@ the base.  When ``MERGE`` folders of one size class have come together they are
 written as one of the next class, so a table has few folders however many
 commits it has seen, and a row is rewritten once per class.
 
+A bucketed table with hot keys (S8) keeps their rows in a folder apart, so that no
+bucket holds a hot key; the hot keys are a small dataset of their own.
+
 A log keeps its highest id and, for streams, the last epoch of each query, so
 neither is looked up in its rows.  A table in ranges (S7) keeps the declared
 bounds as a dataset of its own, which routes later inserts and prunes reads.
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martwell.operators.quality import ConstraintViolation, enforce, insert_violations, range_partition
-from martwell.sources.storage import LAYERED_REF, PATH_SEP, TableStore
+from martwell.sources.storage import BUCKETED_REF, LAYERED_REF, PATH_SEP, TableStore
 
 #: Folders of one size class, or change batches, that are merged into one.
 MERGE = 8
@@ -71,10 +74,16 @@ def _newest(store: TableStore, parts: dict) -> DataFrame:
     return out.groupBy(key).agg(F.max_by("_new", "_at").alias("_new"))
 
 
+def _base_rows(store: TableStore, parts: dict) -> DataFrame | None:
+    rows = store.read_ref(parts["base"]) if "base" in parts else None
+    return rows.unionByName(store.read_ref(parts["apart"])) if "apart" in parts else rows
+
+
 def read_layers(store: TableStore, ref: str) -> DataFrame:
     """The rows of a layered table."""
     parts = parts_of(ref)
-    rows = store.read_ref(parts["base"]) if "base" in parts else None
+    rows = _base_rows(store, parts)
+    rows = rows.drop(*parts.get("hidden", [])) if rows is not None else None  # the base alone has them
     inserts = [p for p, _ in parts.get("inserts", [])]
     if inserts and "bounds" not in parts:
         added = store.spark.read.parquet(*inserts)
@@ -83,7 +92,31 @@ def read_layers(store: TableStore, ref: str) -> DataFrame:
         for path in inserts:
             added = store.spark.read.parquet(path)
             rows = added if rows is None else rows.unionByName(added)
-    rows = rows.drop(*parts.get("hidden", []))
+    return _changed(store, parts, rows)
+
+
+def split_of(store: TableStore, ref: str) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """(rows of all other keys, rows of the hot keys, the hot keys) of a table that
+    keeps them apart; None for any other table, and while rows have been inserted
+    beside the base, as those may be of any key (``fold`` deals them out)."""
+    parts = parts_of(ref)
+    if "apart" not in parts or parts.get("inserts"):
+        return None
+    hidden = parts.get("hidden", [])
+    calm, apart = (_changed(store, parts, store.read_ref(parts[p]).drop(*hidden)) for p in ("base", "apart"))
+    return calm, apart, store.read_ref(parts["hot"])
+
+
+def unbucketed(ref: str) -> str:
+    """A reference to the same rows that doesn't say that they lie in buckets."""
+    parts = parts_of(ref)
+    if parts.get("base", "").startswith(BUCKETED_REF):
+        parts["base"] = parts["base"][len(BUCKETED_REF):].split(":", 2)[2]
+    return ref_of(parts) if ref.startswith(LAYERED_REF) else parts.get("base", ref)
+
+
+def _changed(store: TableStore, parts: dict, rows: DataFrame) -> DataFrame:
+    """Stored rows as readers see them, with the newest values of the changes."""
     if not parts.get("changes"):
         return rows
     changed = rows.join(_newest(store, parts), parts["key"], "left")
@@ -127,7 +160,7 @@ def last_change(store: TableStore, name: str) -> DataFrame:
     if parts.get("changes"):
         rows = store.spark.read.parquet(parts["changes"][-1])
     else:
-        rows = store.read_ref(parts["base"])
+        rows = _base_rows(store, parts)
     if "old_sales" not in rows.columns:
         raise ValueError(f"the old values of {name}'s last change are not kept")
     return rows

@@ -8,9 +8,12 @@ a JSON text column).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The declared column limits of the model (VARCHAR(n)).
@@ -117,10 +120,32 @@ class RetailModel:
     product_tags: DataFrame
     customer_profiles: DataFrame
 
+    # (lines of all other orders, lines of the hot orders, ids of the hot orders, the
+    # orders in buckets) where the store keeps hot orders' lines apart (S8); no table.
+    split = None
+
+    def fact_parts(self) -> list[tuple[DataFrame, DataFrame]]:
+        """The facts as (lines, the orders they can belong to) such that every order
+        has its lines in one part.  Hot orders are fewer than a quarter of the
+        buckets (``storage.hot_keys``), so their order rows are broadcast and their
+        lines stay where they are; the other lines meet the orders bucket by bucket."""
+        if self.split is None:
+            return [(self.order_items, self.orders)]
+        calm, apart, ids, orders = self.split
+        few = orders.join(F.broadcast(ids), F.col("order_id").eqNullSafe(F.col("hot_key")), "left_semi")
+        return [(calm, orders), (apart, F.broadcast(few))]
+
+    def over_facts(self, join: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+        """``join(lines, orders)`` over each part of the facts, the rows together:
+        right for joins on the order and for groups that lie within one order."""
+        return reduce(DataFrame.unionByName, (join(lines, orders) for lines, orders in self.fact_parts()))
+
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
     def replace(self, **changes: DataFrame) -> "RetailModel":
         current = self.tables()
         current.update(changes)
-        return RetailModel(**current)
+        other = RetailModel(**current)
+        other.split = None if {"orders", "order_items"} & set(changes) else self.split
+        return other

@@ -37,6 +37,10 @@ PATH_SEP = "|"
 BUCKETED_REF = "bucketed:"
 # Manifest prefix of a table in layers (``martwell.sources.layers``).
 LAYERED_REF = "layers:"
+# Prefix of a snapshot's layout note for a table whose hot keys are kept apart.
+APART_LAYOUT = "apart:"
+# A key whose rows exceed this many times a bucket's fair share is "hot".
+HOT_FACTOR = 4.0
 
 
 def base_ref(ref: str) -> str:
@@ -44,6 +48,11 @@ def base_ref(ref: str) -> str:
     return json.loads(ref[len(LAYERED_REF):]).get("base", "") if ref.startswith(LAYERED_REF) else ref
 
 
+def hot_ref(ref: str) -> str | None:
+    """Where the hot keys of a table that keeps their rows apart are stored."""
+    return json.loads(ref[len(LAYERED_REF):]).get("hot") if ref.startswith(LAYERED_REF) else None
+
+
 
 def _catalog_name(path: str) -> str:
     """Session catalog name of a bucketed version (bucket specs live in the
@@ -163,10 +172,12 @@ class TableStore:
         """Write a new, not yet visible version of ``name``; returns its path.
         A table that is bucketed now stays bucketed the same way, so later
         joins keep their shuffle-free plan."""
-        ref = base_ref(self.current().get(name, "")) if keep_layout else ""
+        now = self.current().get(name, "") if keep_layout else ""
+        ref = base_ref(now)
         if ref.startswith(BUCKETED_REF) and not partition_by:
             n, key, _ = ref[len(BUCKETED_REF):].split(":", 2)
-            return self.stage_bucketed(name, df, key, int(n))
+            hot = hot_ref(now)
+            return self.stage_split(name, df, key, int(n), hot) if hot else self.stage_bucketed(name, df, key, int(n))
         path = self._new_path(name)
         w = df.write.mode("errorifexists")
         if partition_by:
@@ -194,6 +205,20 @@ class TableStore:
         )
         return f"{BUCKETED_REF}{buckets}:{key}:{path}"
 
+    def stage_hot_keys(self, name: str, df: DataFrame, key: str, buckets: int) -> str:
+        """Write the hot keys of ``df`` (``hot_keys``) aside; returns their path."""
+        return self.stage_apart(f"{name}_hot", hot_keys(df, key, buckets).coalesce(1))
+
+    def stage_split(self, name: str, df: DataFrame, key: str, buckets: int, hot: str) -> str:
+        """Write a new version bucketed by ``key``, but for the rows of the hot keys
+        stored at ``hot``: those are dealt evenly into a folder of their own, so that no bucket holds a
+        hot key and no task all of its rows."""
+        is_hot = F.col(key).eqNullSafe(F.col("hot_key"))
+        ids = F.broadcast(self.spark.read.parquet(hot))  # fewer than buckets / HOT_FACTOR rows
+        base = self.stage_bucketed(name, df.join(ids, is_hot, "left_anti"), key, buckets)
+        apart = self.stage_apart(f"{name}_apart", df.join(ids, is_hot, "left_semi").hint("rebalance"))
+        return LAYERED_REF + json.dumps({"apart": apart, "base": base, "hot": hot}, sort_keys=True)
+
     def clone(self, root: str) -> "TableStore":
         """A branch at ``root`` that starts from this store's current tables.
         Only the manifest is written: versions are immutable, so the branch
@@ -333,6 +358,15 @@ def read_date_range(
 # ---- bucketed facts (S8) -----------------------------------------------------------------
 
 
+def hot_keys(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """(hot_key): keys with more than ``HOT_FACTOR`` times a bucket's fair share of
+    the rows (a missing key counts as one).  There are fewer than ``buckets /
+    HOT_FACTOR`` of them, whatever the data."""
+    per_key = df.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("n"))
+    share = per_key.agg(F.sum("n")).scalar() / F.lit(buckets)
+    return per_key.where(F.col("n") > F.lit(HOT_FACTOR) * F.greatest(F.lit(1.0), share)).select("hot_key")
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
     """A table bucketed and sorted by ``key`` at ``path``; two tables
     bucketed alike on the join key join without a shuffle.  At scale choose
@@ -347,7 +381,9 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
         .sortBy(key)
         .saveAsTable(table)
     )
-    return df.sparkSession.table(table)
+    written = df.sparkSession.table(table)  # keeps the bucket spec; the name is not needed any more
+    df.sparkSession.sql(f"DROP TABLE `{table}`")
+    return written
 
 
 # ---- snapshot and restore (S9, S10) --------------------------------------------------------
@@ -376,11 +412,12 @@ SNAPSHOT_SCHEMA = "table_name string, n_rows long, schema_json string, content_h
 
 
 def _layout_of(ref: str) -> str:
-    """'<n>:<key>' for a bucketed version reference, '' otherwise."""
-    ref = base_ref(ref)
-    if ref.startswith(BUCKETED_REF):
-        n, key, _ = ref[len(BUCKETED_REF):].split(":", 2)
-        return f"{n}:{key}"
+    """'<n>:<key>' for a bucketed version reference ('apart:<n>:<key>' if the rows of
+    its hot keys are kept apart), '' otherwise."""
+    base = base_ref(ref)
+    if base.startswith(BUCKETED_REF):
+        n, key, _ = base[len(BUCKETED_REF):].split(":", 2)
+        return f"{APART_LAYOUT if hot_ref(ref) else ''}{n}:{key}"
     return ""
 
 
@@ -444,7 +481,10 @@ def restore(spark: SparkSession, root: str, target: TableStore, ts: str | None =
         schema = T.StructType.fromJson(json.loads(m.schema_json))
         df = spark.read.schema(schema).parquet(f"{root}/ts={ts}/{m.table_name}")
         if m.layout:
-            n, key = m.layout.split(":", 1)
+            n, key = m.layout.removeprefix(APART_LAYOUT).split(":", 1)
+            if m.layout.startswith(APART_LAYOUT):
+                hot = target.stage_hot_keys(m.table_name, df, key, int(n))
+                return target.stage_split(m.table_name, df, key, int(n), hot)
             return target.stage_bucketed(m.table_name, df, key, int(n))
         return target.stage(m.table_name, df, keep_layout=False)
 

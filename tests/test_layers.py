@@ -186,3 +186,17 @@ def test_json_keys_of_any_spelling(spark):
         got = df.select(json_text("profile", key).alias("t"), json_value("profile", key).alias("v")).collect()
         assert (got[0].t, got[0].v) == (text, value), key
         assert [tuple(r) for r in got[1:]] == [(None, None)] * 2
+
+
+def test_insert_after_a_change_of_all_lines(spark, branch):
+    """The old amounts that a raise keeps in the base are hidden; inserted rows have none."""
+    items = branch.read("order_items")
+    maintenance.commit_line_change(branch, maintenance.increase_sales(items, Decimal("5")))
+    raised = branch.read("order_items")
+    first = raised.orderBy("row_id").first()
+    more = spark.createDataFrame([(-7, first.order_id, first.product_id, Decimal("2.00"))], raised.schema)
+    n = raised.count()
+    layers.insert(branch, "order_items", more, "row_id", {"order_id": ("orders", "order_id")})
+    now = branch.read("order_items")
+    assert now.columns == items.columns and now.count() == n + 1
+    assert now.where("row_id = -7").first().sales == Decimal("2.00")

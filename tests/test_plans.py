@@ -6,7 +6,7 @@ import pytest
 
 from martwell.functions import routines
 from martwell.operators import ranking, reports
-from martwell.sources import storage
+from martwell.sources import layers, storage
 from martwell.session import new_scratch_dir
 from martwell.sources.testdata import bind_model
 from tests.conftest import SF_SMALL
@@ -87,7 +87,7 @@ def test_no_python_in_plans(model_small):
         assert "Python" not in p and "ArrowEval" not in p
 
 
-def test_hot_order_disables_line_bucketing(spark):
+def test_hot_order_is_kept_apart(spark):
     from datetime import date
     from decimal import Decimal
 
@@ -100,15 +100,19 @@ def test_hot_order_disables_line_bucketing(spark):
     m = make_model(spark, orders=orders, items=items)
     buckets, bucket_lines, top = plan_layout(m.order_items, buckets=16)
     assert (bucket_lines, top) == (False, 200)
-    refs = build_warehouse(spark, m, new_scratch_dir(spark, "t-hot"), buckets=16).current()
-    assert not refs["order_items"].startswith("bucketed:") and not refs["orders"].startswith("bucketed:")
+    store = build_warehouse(spark, m, new_scratch_dir(spark, "t-hot"), buckets=16)
+    refs = store.current()
+    parts = layers.parts_of(refs["order_items"])
+    assert refs["orders"].startswith("bucketed:16:") and parts["base"].startswith("bucketed:16:")
+    assert [tuple(r) for r in spark.read.parquet(parts["hot"]).collect()] == [("hot",)]
+    assert spark.read.parquet(parts["apart"]).count() == 200 and store.read("order_items").count() == 400
     calm = make_model(spark, orders=orders, items=[(i, f"o{i - i % 2}", "p", Decimal("1")) for i in range(400)])
     assert plan_layout(calm.order_items, buckets=16)[1] is True
 
 
 def test_hot_order_join_is_split_by_aqe(spark):
-    """With a hot order the fact join is a shuffle join; AQE splits the hot
-    partition into several tasks."""
+    """A join of the facts as they are is a shuffle join if an order is hot; AQE
+    splits the hot partition into several tasks."""
     from datetime import date
     from decimal import Decimal
 
