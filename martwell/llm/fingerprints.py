@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martwell.llm.common import table, text_of
+from martwell.llm.common import stored, table, text_of
 
 WORDS = 5
 BINS = 256
@@ -125,22 +125,38 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return docs.select(F.col(id_col).alias("doc_id"), as_hex(fingerprint(text_of(text_col))).alias("fingerprint"))
 
 
-def _bucket(value: Column, cuts: list[int]) -> Column:
-    """Number of cuts that are at most ``value`` (0 for null), looked up in
-    about twice the square root of their number of steps."""
-    if not cuts:
-        return F.lit(0)
-    step = max(1, int(len(cuts) ** 0.5))
-    some = F.array(*(F.lit(c).cast("bigint") for c in cuts[::step]))
-    every = F.array(*(F.lit(c).cast("bigint") for c in cuts))
+def _step(pieces: int) -> int:
+    return max(1, int(pieces**0.5))
+
+
+def _range_starts(rows: DataFrame, pieces: int) -> DataFrame:
+    """One row on the ids cut into at most ``pieces`` ranges of about equal size:
+    ``firsts``, the least id of each (null first, if there are null ids), ``cuts``,
+    those but the first, and ``some``, each ``_step``-th of the cuts.
+
+    Only ids are shuffled; of a range one row goes on.  The row is written, so the
+    ranges stay the same when a task runs again."""
+    ids = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    least = (
+        ids.repartitionByRange(pieces, F.col("doc_id").asc_nulls_first())
+        .groupBy(F.spark_partition_id())
+        .agg(F.min(F.struct("doc_id")).alias("least"))
+        .agg(F.transform(F.sort_array(F.collect_list("least")), lambda x: x["doc_id"]).alias("firsts"))
+    )
+    cuts = least.select("firsts", F.expr("slice(firsts, 2, greatest(size(firsts) - 1, 0))").alias("cuts"))
+    return stored(cuts.withColumn("some", F.filter("cuts", lambda _, i: i % _step(pieces) == 0)), "id-ranges")
+
+
+def _range_of(value: Column, step: int) -> Column:
+    """Number of ``_cuts`` that are at most ``value`` (0 for null), looked up in about
+    twice the square root of their number of steps."""
 
     def place(coarse: Column) -> Column:
-        near = F.slice(every, (coarse - 1) * step + 1, F.lit(step))
-        return F.when(coarse == 0, F.lit(0)).otherwise(
-            (coarse - 1) * step + F.size(F.filter(near, lambda c: c <= value))
-        )
+        near = F.slice("_cuts", (coarse - 1) * step + 1, step)
+        fine = F.size(F.filter(near, lambda c: c <= value))
+        return F.when(coarse == 0, F.lit(0)).otherwise((coarse - 1) * step + fine)
 
-    return F.when(value.isNull(), F.lit(0)).otherwise(let(F.size(F.filter(some, lambda c: c <= value)), place))
+    return F.when(value.isNull(), F.lit(0)).otherwise(let(F.size(F.filter("_some", lambda c: c <= value)), place))
 
 
 def with_next(rows: DataFrame, carried: list[str], pieces: int) -> DataFrame:
@@ -148,31 +164,20 @@ def with_next(rows: DataFrame, carried: list[str], pieces: int) -> DataFrame:
     that of the next row by doc_id (ties by text, nulls first; after the last
     row comes the first).
 
-    One shuffle: rows are cut by quantiles of doc_id into ``pieces`` ranges of
-    about equal size, and the first row of a range goes to the range before it
-    as well, so every range finds its rows' successors by itself.  Per range
-    one id comes to the driver, ``pieces`` + 1 at most."""
-    ids = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    wanted = [i / pieces for i in range(1, pieces)] or [0.5]
-    cuts = ids.agg(F.percentile_approx("doc_id", wanted, 10 * pieces)).first()[0]
-    cuts = sorted(set(cuts or []))
-    bucket = _bucket(F.col("doc_id"), cuts)
-    found = ids.groupBy(bucket.alias("b")).agg(F.min(F.struct("doc_id")).alias("least")).orderBy("b").collect()
-    if not found:
-        none = [F.lit(None).cast(rows.schema[c].dataType).alias(f"next_{c}") for c in carried]
-        return rows.select("*", *none)
-    size = found[-1]["b"] + 1
-    first, before = [None] * size, [0] * size
-    for i, r in enumerate(found):
-        first[r["b"]], before[r["b"]] = r["least"]["doc_id"], found[i - 1]["b"]
-    firsts = F.array(*(F.lit(x).cast("bigint") for x in first))
-    befores = F.array(*(F.lit(x) for x in before))
+    One shuffle of the rows: they are cut by doc_id into ``pieces`` ranges of about
+    equal size, and the first row of a range goes to the range before it as well,
+    so every range finds its rows' successors by itself.  The ranges are a written
+    row that tasks look up as values of the plan; no row carries them."""
+    ranges = _range_starts(rows, pieces)
+    cuts = rows.select("*", *(ranges.select(c).scalar().alias(f"_{c}") for c in ("cuts", "some")))
+    dealt = cuts.select(*rows.columns, _range_of(F.col("doc_id"), _step(pieces)).alias("b"))
+    firsts = ranges.select("firsts").scalar()
     own = F.struct(F.col("b"), F.lit(False).alias("echo"))
-    echo = F.struct(F.get(befores, F.col("b")).alias("b"), F.lit(True).alias("echo"))
+    before = F.when(F.col("b") == 0, ranges.select(F.size("firsts")).scalar()).otherwise(F.col("b")) - 1
+    echo = F.struct(before.alias("b"), F.lit(True).alias("echo"))
     is_first = F.col("doc_id").eqNullSafe(F.get(firsts, F.col("b")))
     placed = (
-        rows.withColumn("b", bucket)
-        .withColumn("place", F.explode(F.when(is_first, F.array(own, echo)).otherwise(F.array(own))))
+        dealt.withColumn("place", F.explode(F.when(is_first, F.array(own, echo)).otherwise(F.array(own))))
         .drop("b")
     )
     order = Window.partitionBy("place.b").orderBy("place.echo", F.col("doc_id").asc_nulls_first(), "text")
