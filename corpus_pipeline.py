@@ -18,7 +18,7 @@ from martwell.llm.common import stored, table, text_of
 REDACTED = "[SECRET]"
 #: Chunks that a packing worker remembers; fewer than alone, as executors hold
 #: what the stages before left them.  Affects time only.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 def _row(docs: DataFrame) -> Column:
