@@ -46,6 +46,22 @@ def test_staging_rows_are_widened_last(spark):
     assert "order_id" in joins[0] and not any("product_id" in j for j in joins[:1])
 
 
+def test_orders_of_the_feed_stay_in_their_buckets(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store = warehouse.build_warehouse(spark, _tiny_model(spark), str(tmp_path / "w"), buckets=4)
+        told = staging_frame(warehouse.store_model(store))
+        assert told.count() == 6
+        # neither rows with an order's columns are shuffled by customer nor by order
+        plan = told._jdf.queryExecution().executedPlan()
+        text = plan.initialPlan().toString() if plan.nodeName() == "AdaptiveSparkPlan" else plan.toString()
+        lines = text.splitlines()
+        moved = [lines[at + 1] for at, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+        assert moved and not any("postal_code" in line for line in moved)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_buckets_follow_the_rows_not_the_cluster():
     of = warehouse.buckets_for
     assert of(0) == 1 and of(500_000) == 1 and of(36_000_000) == 72
