@@ -37,10 +37,13 @@ from martwell.llm.common import kept_by, ship, steps, table, text_of
 SPACE = "▁"
 _unit = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _SEPARATOR = 0x110000
+_SPREAD = 0x9E3779B1  # of a pair's number over the slots
 
 #: Remembered units and pairs of a worker; they start anew beyond these numbers.
 REMEMBERED_UNITS = 500_000
 REMEMBERED_PAIRS = 1_000_000
+#: Slots of a worker's table before those pairs, a power of two; a slot has the pair met last.
+PAIR_SLOTS = 1 << 20
 #: Characters that one suffix array covers, or one unit.
 INDEXED = 300_000
 
@@ -68,14 +71,16 @@ class PieceModel:
         ]
         self.unknown = sp.unk_id()
         self.order = sorted(self.ids)
-        self.lengths = np.array([len(p) for p in self.order])
-        self.numbers = np.array([self.ids[p] for p in self.order])
+        self.lengths = np.array([len(p) for p in self.order], np.int32)
+        self.numbers = np.array([self.ids[p] for p in self.order], np.int32)
         self.longest = int(self.lengths.max())
         self.codes = np.zeros((len(self.order), self.longest), np.int64)
         for i, p in enumerate(self.order):
             self.codes[i, : len(p)] = [ord(c) for c in p]
         self.known: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
+        # a pair and whether it can stand, in one number each
+        self.slots = np.full(PAIR_SLOTS, -1, np.int64)
 
     # -- rules of a BPE model
 
@@ -107,34 +112,50 @@ class PieceModel:
     def follows(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Whether each token can stand after the token ``before`` (-1: the unit's start)."""
         width = len(self.names) + _SEPARATOR
-        keys, back = np.unique((before + 1) * width + token, return_inverse=True)
-        if len(self.pairs) > REMEMBERED_PAIRS:
-            self.pairs.clear()
-        told = np.zeros(len(keys), bool)
-        for i, key in enumerate(keys.tolist()):
-            known = self.pairs.get(key)
-            if known is None:
-                a, b = divmod(key, width)
-                two = [self.name(a - 1), self.name(b)] if a else [self.name(b)]
-                known = self.pairs[key] = self.merged("".join(two)) == two
-            told[i] = known
-        return told[back]
+        wanted = (before + 1) * width + token
+        slot = (wanted * _SPREAD >> 32) & (PAIR_SLOTS - 1)
+        held = self.slots[slot]
+        told = (held & 1).astype(bool)
+        unmet = np.flatnonzero(held >> 1 != wanted)
+        if unmet.size:
+            keys, back = np.unique(wanted[unmet], return_inverse=True)
+            if len(self.pairs) > REMEMBERED_PAIRS:
+                self.pairs.clear()
+            found = np.zeros(len(keys), np.int64)
+            for i, key in enumerate(keys.tolist()):
+                known = self.pairs.get(key)
+                if known is None:
+                    a, b = divmod(key, width)
+                    two = [self.name(a - 1), self.name(b)] if a else [self.name(b)]
+                    known = self.pairs[key] = self.merged("".join(two)) == two
+                found[i] = known
+            told[unmet] = found[back]
+            self.slots[slot[unmet]] = wanted[unmet] * 2 + found[back]
+        return told
 
     # -- index
 
     def suffixes(self, codes: np.ndarray) -> np.ndarray:
         """Suffix array of ``codes``, sorted as deep as the longest piece."""
         n = len(codes)
-        rank = np.unique(codes, return_inverse=True)[1].astype(np.int64)
-        depth, order = 1, np.argsort(rank, kind="stable")
-        while depth < self.longest:
-            key = rank * (n + 1)
-            key[:-depth or None] += rank[depth:] + 1 if depth < n else 0
-            order = np.argsort(key, kind="stable")
+        symbols, rank = np.unique(codes, return_inverse=True)
+        rank = rank.astype(np.int64)
+        # as many characters as fit in a number come first, then twice as many each time
+        base = len(symbols) + 1
+        key, depth = rank + 1, 1
+        while depth < self.longest and base ** (depth + 1) < 1 << 63:
+            key = key * base
+            key[:-depth] += rank[depth:] + 1
+            depth += 1
+        while True:
+            order = np.argsort(key)
+            if depth >= self.longest:
+                return order
             ordered = key[order]
             rank[order] = np.cumsum(np.append(0, ordered[1:] != ordered[:-1]))
+            key = rank * (n + 1)
+            key[:-depth or None] += rank[depth:] + 1 if depth < n else 0
             depth *= 2
-        return order
 
     def ranges(self, codes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per piece the range of suffixes that begin with it."""
@@ -170,16 +191,16 @@ class PieceModel:
         low, high = self.ranges(codes, order)
         n = np.maximum(high - low, 0)
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        start = order[np.repeat(low, n) + inside]
+        start = order[np.repeat(low, n) + inside].astype(np.int32)
         length, token = np.repeat(self.lengths, n), np.repeat(self.numbers, n)
         single = np.ones(len(codes), bool)
         single[start[length == 1]] = False
         single &= codes != _SEPARATOR
         alone = np.flatnonzero(single)
         return (
-            np.concatenate([start, alone]),
-            np.concatenate([length, np.ones(len(alone), np.int64)]),
-            np.concatenate([token, codes[alone] + len(self.names)]),
+            np.concatenate([start, alone.astype(np.int32)]),
+            np.concatenate([length, np.ones(len(alone), np.int32)]),
+            np.concatenate([token, (codes[alone] + len(self.names)).astype(np.int32)]),
         )
 
     # -- encoding
@@ -194,7 +215,8 @@ class PieceModel:
         start, length, token = self.edges(codes)
         unit_of = np.repeat(begin, sizes + 1)[: len(codes)]
         offset = start + length - unit_of[start]
-        by_offset = np.argsort(offset, kind="stable")
+        # few units are as long as 65536 characters, and short numbers are sorted sooner
+        by_offset = np.argsort(offset.astype(np.uint16) if sizes.max() < 1 << 16 else offset, kind="stable")
         start, length, token, offset = (x[by_offset] for x in (start, length, token, offset))
         # last[p + 1], span[p + 1]: token that ends at place p and its length; at a unit's start none
         last = np.full(len(codes) + 2, -2, np.int64)
@@ -294,7 +316,7 @@ def encode_pieces(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", t
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
         for batch in batches:
-            for part in steps(batch, 1, 4_000_000):
+            for part in steps(batch, 1, 2_000_000):
                 found = list(model.encode(part.column(1).to_pylist()))
                 ends = np.cumsum([0, *(len(f) // 4 for f in found)])
                 ids = np.frombuffer(b"".join(found), "<u4").astype(np.int32)

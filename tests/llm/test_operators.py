@@ -175,6 +175,36 @@ def test_pieces_equal_the_library(documents):
     )
 
 
+@pytest.mark.parametrize("slots", [2, 1 << 20])
+def test_pairs_met_before_are_looked_up_together(slots, monkeypatch):
+    monkeypatch.setattr(pieces, "PAIR_SLOTS", slots)
+    model = pieces.PieceModel(pieces.default_model())
+    rnd = random.Random(5)
+    tokens = rnd.sample(sorted(model.ids.values()), 40)
+    before = np.array([-1] * 40 + tokens * 40)
+    token = np.array(tokens + [t for t in tokens for _ in tokens])
+    want = []
+    for a, b in zip(before.tolist(), token.tolist()):
+        two = [model.name(x) for x in (a, b) if x >= 0]
+        want.append(model.merged("".join(two)) == two)
+    for _ in range(3):
+        assert model.follows(before, token).tolist() == want
+    if slots > 2:  # one pair after the other, as slots are shared by few of them
+        model.follows(before[:5], token[:5])
+        model.pairs = None
+        assert model.follows(before[:5], token[:5]).tolist() == want[:5]
+
+
+def test_suffixes_are_sorted_as_deep_as_the_longest_piece():
+    model = pieces.piece_model(pieces.default_model())
+    rnd = random.Random(7)
+    for text in ("", "a", "ab" * 40, "aaaa" * 30, "".join(rnd.choice("ab漢🙂\U0010ffff") for _ in range(400)), "".join(map(chr, range(33, 3000)))):
+        codes = np.array([ord(c) for c in text], np.int64)
+        order = model.suffixes(codes).tolist()
+        cut = [text[i : i + model.longest] for i in order]
+        assert sorted(order) == list(range(len(text))) and cut == sorted(cut)
+
+
 def test_license_places_and_templates(documents):
     t = licenses.Template("x", '<<beginOptional>>This <<var;words="1-2">> is <<endOptional>>free for all')
     assert t.accepts("This big work is FREE, for all!") and t.accepts("free for all")
