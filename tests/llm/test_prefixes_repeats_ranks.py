@@ -115,6 +115,18 @@ def test_suffix_array_and_common_prefixes(many, monkeypatch):
                 assert (before[b], shared[b]) == (a, n)
 
 
+def test_induced_one_by_one_equals_whole_buckets():
+    rnd = random.Random(11)
+    for kind in (np.uint8, np.int64):
+        for _ in range(200):
+            s = np.array([rnd.randrange(rnd.choice([1, 2, 30, 250])) for _ in range(rnd.randint(2, 80))]).astype(kind)
+            small = suffixes._types(s)
+            places = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+            rnd.shuffle(places)
+            found = [f(s, small, places, np.bincount(s)) for f in (suffixes._induced_one_by_one, suffixes._induced_by_bucket)]
+            assert found[0].tolist() == found[1].tolist()
+
+
 def _without_repeats(texts, length):
     seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
