@@ -19,6 +19,9 @@ REDACTED = "[SECRET]"
 #: Chunks that a packing worker remembers; fewer than alone, as executors hold
 #: what the stages before left them.  Affects time only.
 REMEMBERED = 100_000
+#: Bytes of texts that a packing worker encodes at once; fewer than alone, for the
+#: same reason.  Affects time and memory only.
+STEP_BYTES = 1_000_000
 
 
 def _row(docs: DataFrame) -> Column:
@@ -83,7 +86,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Harmonic packing of what is left (one row per piece)."""
-    return packing.harmonic_pack(docs, packing.default_tokenizer(), remembered=REMEMBERED)
+    return packing.harmonic_pack(docs, packing.default_tokenizer(), remembered=REMEMBERED, step_bytes=STEP_BYTES)
 
 
 STAGES = [

@@ -294,7 +294,8 @@ def _predictor(shared):
         for texts in batches:
             yield pd.DataFrame([fitted.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    return F.pandas_udf(told, "lang_pred string, score double")
+    # a filter on the result is not pushed below, where the function would run once more
+    return F.pandas_udf(told, "lang_pred string, score double").asNondeterministic()
 
 
 def predict(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:

@@ -43,6 +43,11 @@ def test_packing_covers_every_id_once(documents):
     assert packing.harmonic_pack(documents.limit(0), packing.default_tokenizer()).count() == 0
 
 
+def test_packing_does_not_depend_on_its_steps(documents):
+    pack = lambda **k: sorted(packing.harmonic_pack(documents.coalesce(1), packing.default_tokenizer(), **k).collect(), key=str)
+    assert pack(step_bytes=1000, remembered=10) == pack()
+
+
 def test_harmonic_classes_take_a_fixed_number():
     bins = packing.HarmonicBins(1024, 64, 1 / 64, 0)
     rnd = random.Random(5)
@@ -421,6 +426,13 @@ def test_pipeline_rejects_by_the_learned_languages(spark):
     assert not kept & {9000, 9001} and len(kept) >= 0.99 * len(rows)
 
 
+def test_pipeline_predicts_a_language_once(spark, documents):
+    import corpus_pipeline as P
+
+    told = P.identify_language(spark, documents, "")
+    assert told._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_rejection_bound_costs_its_share_at_most():
     scores = np.random.default_rng(3).permutation(np.linspace(0.4, 1, 1200))
     assert (scores < langid.rejection_bound(scores, 0.01)).mean() <= 0.01 and langid.rejection_bound(scores, 0.01) > 0.4
