@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from martwell.operators import quality
 from martwell.plans import warehouse
+from martwell.session import BROADCAST_ROWS
 from martwell.sources import ingest
 from martwell.sources.model import STAGING_SCHEMA, RetailModel
 from martwell.sources.testdata import staging_frame
@@ -89,3 +90,37 @@ def test_key_check_deals_keys_by_their_number(spark, monkeypatch):
     assert rows(dealt) == at_once and len(at_once) == 100
     assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(a" in dealt._jdf.queryExecution().executedPlan().toString()
+
+
+def _joins(df) -> list[str]:
+    """The joins of the plan as first made, before adaptive execution has seen a size."""
+    plan = df._jdf.queryExecution().executedPlan()
+    text = plan.initialPlan().toString() if plan.nodeName() == "AdaptiveSparkPlan" else plan.toString()
+    return [line for line in text.splitlines() if "Join [" in line]
+
+
+def _many_products_and_customers(spark, root: str) -> RetailModel:
+    """Stored dimensions of more rows than may be broadcast, in files that look small."""
+    n = BROADCAST_ROWS + 1
+    tiny = _tiny_model(spark)
+    store = warehouse.build_warehouse(spark, tiny.replace(
+        customers=spark.range(1, n + 1).selectExpr("id AS customer_id", "concat('Customer#', id) AS customer_name", "'A' AS segment"),
+        products=spark.range(n).selectExpr("id AS product_id", "'nut' AS product_name", "concat('C', id % 9) AS category", "'D' AS sub_category"),
+    ), root, buckets=4)
+    model = warehouse.store_model(store)
+    for table in (model.customers, model.products):
+        assert table.count() == n and table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 10 << 20
+    return model
+
+
+def test_feed_broadcasts_no_dimension_of_many_rows(spark, tmp_path):
+    told = staging_frame(_many_products_and_customers(spark, str(tmp_path / "w")))
+    joins = _joins(told)
+    for key in ("product_id", "customer_id"):
+        assert [j.split("Join")[0].split()[-1] for j in joins if f"Join [{key}" in j] == ["SortMerge"], joins
+    assert rows(told.na.fill("-"), "row_id", "order_id", "customer_name", "category") == [
+        (1, "10", "Customer#1", "C7"), (2, "11", "-", "C8"), (3, "12", "-", "C7"), (4, "-", "-", "-"),
+    ]
+    # small ones are left to Spark's size check
+    store = warehouse.build_warehouse(spark, _tiny_model(spark), str(tmp_path / "small"), buckets=4)
+    assert any("BroadcastHashJoin [product_id" in j for j in _joins(staging_frame(warehouse.store_model(store))))
