@@ -3,7 +3,7 @@ narrow rows are shuffled before they are widened, tasks get a bounded number of
 
 from __future__ import annotations
 
-from martwell.operators import quality
+from martwell.operators import quality, reports
 from martwell.plans import warehouse
 from martwell.session import BROADCAST_ROWS
 from martwell.sources import ingest
@@ -124,3 +124,16 @@ def test_feed_broadcasts_no_dimension_of_many_rows(spark, tmp_path):
     # small ones are left to Spark's size check
     store = warehouse.build_warehouse(spark, _tiny_model(spark), str(tmp_path / "small"), buckets=4)
     assert any("BroadcastHashJoin [product_id" in j for j in _joins(staging_frame(warehouse.store_model(store))))
+
+
+def test_loads_checks_and_report_broadcast_no_dimension_of_many_rows(spark, tmp_path):
+    m = _many_products_and_customers(spark, str(tmp_path / "w"))
+    missing = quality.model_fk_violations(m)
+    assert [j.split("Join")[0].split()[-1] for j in _joins(missing)] == ["SortMerge"] * 4
+    assert rows(missing, "table_name", "missing_value", "n_rows") == [("order_items", "12", 1)]
+    # the references are grouped before they are joined
+    told = missing._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert ["Aggregate" in told[at + 1] for at, line in enumerate(told) if "Join LeftAnti" in line] == [True] * 4
+    report = reports.revenue_by_region_category(m)
+    assert [j.split("Join")[0].split()[-1] for j in _joins(report) if "Join [product_id" in j] == ["SortMerge"]
+    assert rows(report, "region", "category", "total_sales") == [("ASIA", "C7", 1.0), ("ASIA", "C8", 2.0)]
